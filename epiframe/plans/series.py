@@ -2,7 +2,7 @@
 
 Most keys are small, so their rows go through ordinary windows partitioned by the key:
 one exchange and one sort. Keys that hold more rows than a task should sort are found
-first by a partially aggregated count. Their rows are range-partitioned on the full
+first by a partially aggregated count (skipped where the whole input is small). Their rows are range-partitioned on the full
 order into blocks, written once to shared storage, scanned per block, and joined to the
 per-block summaries of the blocks before (or after) them.
 
@@ -22,14 +22,22 @@ from epiframe.plans.shared import settle
 
 MAX_ROWS = 4_000_000
 SHARE = 10_000
+SMALL_BYTES = 64 << 20
 BLOCK = "_blk"
 
 
-def hot_keys(df: DataFrame, keys: list[str], max_rows: int = MAX_ROWS):
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan, from file sizes; no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def hot_keys(df: DataFrame, keys: list[str], max_rows: int) -> DataFrame | None:
     """Keys with more than ``max_rows`` rows and more than 1/SHARE of the table, with counts."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n"))
-    bound = F.greatest(F.lit(max_rows), F.floor(total.scalar() / SHARE))
+    top = counts.agg(F.max("_n").alias("most"), F.sum("_n").alias("total")).first()
+    bound = max(max_rows, (top.total or 0) // SHARE)
+    if (top.most or 0) <= bound:
+        return None
     return counts.filter(F.col("_n") > bound)
 
 
@@ -46,10 +54,14 @@ class Series:
 
     @staticmethod
     def plan(df: DataFrame, keys: list[str], order: list[str], max_rows: int | None = None) -> "Series":
+        """Split hot keys off. Inputs that fit a task by their size alone are not counted."""
+        if max_rows is None and estimated_bytes(df) <= SMALL_BYTES:
+            return Series(keys, order, df)
         max_rows = max_rows or MAX_ROWS
-        found = hot_keys(df, keys, max_rows).collect()  # fewer than SHARE rows
-        if not found:
+        hot = hot_keys(df, keys, max_rows)
+        if hot is None:
             return Series(keys, order, df)
+        found = hot.collect()  # fewer than SHARE rows
         spark = df.sparkSession
         schema = df.select(*keys).schema
         names = spark.createDataFrame([tuple(r[k] for k in keys) for r in found], schema)

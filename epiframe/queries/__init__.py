@@ -1,4 +1,4 @@
 """Every operator as a query over the driver tables, with DuckDB SQL where SQL can say it."""
 
-from epiframe.queries import joins  # noqa: F401
+from epiframe.queries import joins, sequence  # noqa: F401
 from epiframe.queries.base import QUERIES, SQL  # noqa: F401
