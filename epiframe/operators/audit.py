@@ -162,22 +162,16 @@ def partition_check(
     )
 
 
-def row_digest(*cols: str) -> Column:
-    """64-bit hash of a row, for order-free checksums by summing halves."""
-    return F.xxhash64(*cols)
+def canonical_digest(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Order-free digest of a record set: row count and sums of four hash quarters.
 
-
-def table_digest(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Order-free digest of a whole table: row count and sums of two hash halves.
-
-    Sums merge map-side, so no row list is ever collected. Equal tables have equal
-    digests; the digest is ours and not comparable to a hash of a file.
+    Each record is hashed as JSON with sorted keys. Sums merge map-side, so no list of
+    records is ever collected. Equal sets have equal digests; the digest is ours.
     """
-    h = F.col("_h")
-    return df.select(row_digest(*cols).alias("_h")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(F.shiftrightunsigned(h, 32)).alias("high"),
-        F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"),
+    text = F.to_json(F.struct(*sorted(cols)), {"ignoreNullFields": "false"})
+    parts = [F.conv(F.substring("_h", 8 * i + 1, 8), 16, 10).cast("bigint") for i in range(4)]
+    return df.select(F.md5(text).alias("_h")).agg(
+        F.count(F.lit(1)).alias("rows"), *[F.sum(p).alias(f"part{i}") for i, p in enumerate(parts)]
     )
 
 
