@@ -4,7 +4,7 @@ A pose column is a struct of seven doubles: position ``px py pz`` and unit quate
 ``qx qy qz qw``. Everything is plain arithmetic, so it stays in generated code.
 """
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FIELDS = ("px", "py", "pz", "qx", "qy", "qz", "qw")
@@ -15,6 +15,17 @@ def pose(p, q) -> Column:
     return F.struct(*[c.alias(f) for c, f in zip([*p, *q], FIELDS)])
 
 
+def with_pose(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a pose column computed once per row.
+
+    The seven numbers are first projected as plain columns. Catalyst keeps that projection
+    apart, where it would inline a struct into every later use of one of its fields.
+    """
+    parts = {f"_{name}_{f}": value[f] for f in FIELDS}
+    packed = F.struct(*[F.col(c).alias(f) for c, f in zip(parts, FIELDS)])
+    return df.withColumns(parts).withColumn(name, packed).drop(*parts)
+
+
 def identity() -> Column:
     return pose([F.lit(0.0)] * 3, [F.lit(0.0)] * 3 + [F.lit(1.0)])
 
@@ -196,9 +207,10 @@ def scale(a: Column, translation: float, rotation_scale: float) -> Column:
     return pose([x * translation for x in position(a)], turned)
 
 
-def conjugate_by(a: Column, x: Column) -> Column:
-    """inverse(x) a x: the same motion seen from a frame moved by x."""
-    return compose(relative(x, a), x)
+def conjugated(df: DataFrame, name: str, a: Column, x: Column) -> DataFrame:
+    """Add inverse(x) a x: the same motion seen from a frame moved by x."""
+    df = with_pose(df, name, relative(x, a))
+    return with_pose(df, name, compose(F.col(name), x))
 
 
 def basis_change(a: Column) -> Column:

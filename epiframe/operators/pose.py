@@ -86,26 +86,19 @@ def relative_deltas(s: Series, pose: str, valid: str, frame: str, ts: str, step:
         link = link & (F.col("dt") <= max_dt)
     ok = F.coalesce(link & F.col(valid) & F.col("_pv"), F.lit(False))
     s = s.with_columns({"delta_valid": ok})
-    s = s.with_columns(
-        {
-            "delta": F.when(
-                F.col("delta_valid"), g.relative(F.col("_pp"), F.col(pose))
-            ).otherwise(g.identity())
-        }
+    step, still = g.relative(F.col("_pp"), F.col(pose)), g.identity()
+    delta = F.struct(
+        *[F.when(F.col("delta_valid"), step[f]).otherwise(still[f]).alias(f) for f in g.FIELDS]
     )
-    return s
+    return s.map(lambda d: g.with_pose(d, "delta", delta))
 
 
 def state_delta(s: Series, pose: str, strict: bool = False) -> Series:
     """Motion from the previous row; the first row is identity, or dropped if strict."""
     s = s.shift({"_pp": F.col(pose)})
-    s = s.with_columns(
-        {
-            "state": F.when(F.col("_pp").isNull(), g.identity()).otherwise(
-                g.relative(F.col("_pp"), F.col(pose))
-            )
-        }
-    )
+    step, still, first = g.relative(F.col("_pp"), F.col(pose)), g.identity(), F.col("_pp").isNull()
+    state = F.struct(*[F.when(first, still[f]).otherwise(step[f]).alias(f) for f in g.FIELDS])
+    s = s.map(lambda d: g.with_pose(d, "state", state))
     if strict:
         s = s.filter(F.col("_pp").isNotNull())
     return s.map(lambda d: d.drop("_pp"))
