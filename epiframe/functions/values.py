@@ -104,13 +104,31 @@ def crop_right_half(width: Column, height: Column) -> Column:
 
 
 def letterbox(width: Column, height: Column, box_w: int, box_h: int) -> Column:
-    """Even size that fits the box at the same aspect, and the padding on each side."""
-    scale = F.least(F.lit(box_w) / width, F.lit(box_h) / height)
-    w = F.floor(width * scale / 2) * 2
-    h = F.floor(height * scale / 2) * 2
+    """Size that fits the box at the same aspect, nearest pixel, and the padding left and top."""
+
+    def nearest(a: Column, b: Column) -> Column:
+        return F.call_function("div", a * 2 + b, b * 2)
+
+    w = F.least(F.lit(box_w).cast("bigint"), nearest(width * box_h, height))
+    h = F.least(F.lit(box_h).cast("bigint"), nearest(height * box_w, width))
     return F.struct(
         w.alias("w"),
         h.alias("h"),
-        F.floor((F.lit(box_w) - w) / 2).alias("pad_x"),
-        F.floor((F.lit(box_h) - h) / 2).alias("pad_y"),
+        F.call_function("div", F.lit(box_w) - w, F.lit(2)).alias("pad_x"),
+        F.call_function("div", F.lit(box_h) - h, F.lit(2)).alias("pad_y"),
     )
+
+
+def episode_id_parts(c: Column) -> Column:
+    """Date, time and the two counters of an episode id; null where the id is malformed."""
+    part = [F.regexp_extract(c, r"^(\d{8})_(\d{6})_(\d+)_(\d+)$", i) for i in range(1, 5)]
+    names = ("date", "time", "major", "minor")
+    return F.when(c.rlike(EPISODE_ID), F.struct(*[p.alias(n) for p, n in zip(part, names)]))
+
+
+def trash_name_parts(c: Column) -> Column:
+    """Episode, stamp and nonce of a quarantine name; null where the name is malformed."""
+    pattern = r"^(\d{8}_\d{6}_\d+_\d+)__(\d{8}T\d{6}\.\d{6}Z)__([0-9a-f]{8})$"
+    part = [F.regexp_extract(c, pattern, i) for i in range(1, 4)]
+    names = ("episode", "stamp", "nonce")
+    return F.when(c.rlike(pattern), F.struct(*[p.alias(n) for p, n in zip(part, names)]))

@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from epiframe.plans.series import Series
+
 
 def equi_join_timestamp(
     grid: DataFrame, poses: DataFrame, keys: list[str], ts: str, values: list[str], defaults: dict
@@ -124,42 +126,116 @@ def partition_check(
     original: DataFrame, selected: DataFrame, excluded: DataFrame, key: str, pos: str
 ) -> DataFrame:
     """One row: is ``selected`` plus ``excluded`` an exact, ordered partition of ``original``?"""
-    tagged = (
-        original.select(key, F.col(pos).alias("_o"))
-        .withColumns({"_s": F.lit(None).cast("bigint"), "_x": F.lit(0), "_no": F.lit(1), "_ns": F.lit(0)})
-        .unionByName(
-            selected.select(key, F.col(pos).cast("bigint").alias("_s")).withColumns(
-                {"_o": F.lit(None).cast("bigint"), "_x": F.lit(0), "_no": F.lit(0), "_ns": F.lit(1)}
-            )
+
+    def tagged(df, is_original, is_selected, is_excluded):
+        at = F.col(pos).cast("bigint")
+        null = F.lit(None).cast("bigint")
+        return df.select(
+            key,
+            F.lit(is_original).alias("_no"),
+            F.lit(is_selected).alias("_ns"),
+            F.lit(is_excluded).alias("_nx"),
+            (at if is_original else null).alias("_o"),
+            (at if is_selected else null).alias("_s"),
         )
-        .unionByName(
-            excluded.select(key).withColumns(
-                {
-                    "_o": F.lit(None).cast("bigint"),
-                    "_s": F.lit(None).cast("bigint"),
-                    "_x": F.lit(1),
-                    "_no": F.lit(0),
-                    "_ns": F.lit(0),
-                }
-            )
+
+    ids = (
+        tagged(original, 1, 0, 0)
+        .unionByName(tagged(selected, 0, 1, 0))
+        .unionByName(tagged(excluded, 0, 0, 1))
+        .groupBy(key)
+        .agg(
+            F.sum("_no").alias("_no"),
+            F.sum("_ns").alias("_ns"),
+            F.sum("_nx").alias("_nx"),
+            F.min("_o").alias("_o"),
+            F.min("_s").alias("_s"),
         )
     )
-    ids = tagged.groupBy(key).agg(
-        F.sum("_no").alias("_no"),
-        F.sum("_ns").alias("_ns"),
-        F.sum("_x").alias("_nx"),
-        F.min("_o").alias("_o"),
-        F.min("_s").alias("_s"),
-    )
+    kept = ids.filter("_s IS NOT NULL AND _o IS NOT NULL").withColumn("_all", F.lit(1))
+    steps = Series.plan(kept, ["_all"], ["_s"]).shift({"_before": F.col("_o")}).frame()
+    breaks = steps.agg(F.count_if(F.col("_o") <= F.col("_before")))
+    used = F.col("_ns") + F.col("_nx")
     return ids.agg(
         F.sum("_no").alias("original"),
         F.sum("_ns").alias("selected"),
         F.sum("_nx").alias("excluded"),
         F.count_if((F.col("_ns") > 0) & (F.col("_nx") > 0)).alias("in_both"),
-        F.count_if((F.col("_no") > 0) & (F.col("_ns") + F.col("_nx") == 0)).alias("in_neither"),
-        F.count_if((F.col("_no") == 0)).alias("unknown"),
-        F.count_if((F.col("_no") > 1) | (F.col("_ns") > 1) | (F.col("_nx") > 1)).alias("repeated"),
+        F.count_if((F.col("_no") > 0) & (used == 0)).alias("in_neither"),
+        F.count_if((F.col("_no") == 0) & (used > 0)).alias("unknown"),
+        F.count_if(F.greatest("_no", "_ns", "_nx") > 1).alias("repeated"),
+    ).withColumn("order_breaks", breaks.scalar())
+
+
+def nested_entries(entries: DataFrame, path: str) -> DataFrame:
+    """Entries that lie inside another entry, with the nearest such ancestor.
+
+    Each path names its own few ancestors, which are joined back to the entries; no pair
+    of paths is compared otherwise.
+    """
+    parts = F.split(F.col(path), "/")
+    levels = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(parts) - 1))
+    above = entries.filter(F.size(parts) > 1).select(
+        F.col(path).alias("inner"),
+        F.explode(F.transform(levels, lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))).alias("outer"),
+    )
+    hits = above.join(entries.select(F.col(path).alias("outer")).distinct(), "outer")
+    return hits.groupBy("inner").agg(F.max_by("outer", F.length("outer")).alias("outer"))
+
+
+def merge_plan(entries: DataFrame, existing: DataFrame, path: str, policy: str) -> DataFrame:
+    """Bring entries into one namespace by their last path part.
+
+    The first entry of a name in path order takes it, unless it exists already. Others are
+    conflicts: reported (``error``), left out (``skip``) or given the lowest free
+    ``stem__n`` (``rename``). A number is free if neither an existing name nor the own name
+    of any entry has it. Columns: path, name, outcome, target.
+    """
+    if policy not in ("error", "skip", "rename"):
+        raise ValueError(f"unsupported conflict policy {policy}")
+    name = F.element_at(F.split(F.col(path), "/"), -1)
+    taken = existing.select("name").distinct().withColumn("_there", F.lit(True))
+    rows = entries.select(path, name.alias("name")).join(taken, "name", "left")
+    s = Series.plan(rows, ["name"], [path]).number("_rank")
+    rows = s.frame().withColumn(
+        "_conflict",
+        F.when(F.col("_there"), F.col("_rank")).when(F.col("_rank") > 0, F.col("_rank") - 1),
+    )
+    free = rows.filter("_conflict IS NULL").select(
+        path, "name", F.lit("placed").alias("outcome"), F.col("name").alias("target")
+    )
+    clash = rows.filter("_conflict IS NOT NULL")
+    if policy != "rename":
+        outcome = "error" if policy == "error" else "skipped"
+        none = F.lit(None).cast("string")
+        clash = clash.select(path, "name", F.lit(outcome).alias("outcome"), none.alias("target"))
+        return free.unionByName(clash)
+
+    # own numbers: names of the form stem__n.suffix use up n for stem.suffix
+    used = existing.select("name").unionByName(entries.select(name.alias("name"))).distinct()
+    form = r"^(.*)__([1-9]\d*)(\.[^.]*)?$"
+    used = used.filter(F.col("name").rlike(form)).select(
+        F.concat(F.regexp_extract("name", form, 1), F.regexp_extract("name", form, 3)).alias("name"),
+        F.regexp_extract("name", form, 2).try_cast("bigint").alias("_n"),
+    )
+    used = Series.plan(used.filter("_n IS NOT NULL"), ["name"], ["_n"]).number("_i").frame()
+    # the n-th used number is passed over by every conflict whose rank reaches the count of
+    # free numbers below it
+    marks = used.select("name", (F.col("_n") - 1 - F.col("_i")).alias("_at"), F.lit(0).alias("_t"),
+                        F.lit("").alias(path))
+    asks = clash.select("name", F.col("_conflict").alias("_at"), F.lit(1).alias("_t"), path)
+    both = Series.plan(asks.unionByName(marks), ["name"], ["_at", "_t"])
+    both = both.cumulate({"_passed": (F.col("_t") == 0).cast("bigint")}).frame().filter("_t = 1")
+    number = (F.col("_at") + 1 + F.col("_passed")).cast("string")
+    stem = F.regexp_extract("name", r"^(.+?)(\.[^.]*)?$", 1)
+    suffix = F.regexp_extract("name", r"^(.+?)(\.[^.]*)?$", 2)
+    renamed = both.select(
+        path,
+        "name",
+        F.lit("renamed").alias("outcome"),
+        F.concat(stem, F.lit("__"), number, suffix).alias("target"),
     )
+    return free.unionByName(renamed)
 
 
 def canonical_digest(df: DataFrame, cols: list[str]) -> DataFrame:

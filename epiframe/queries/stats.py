@@ -459,7 +459,7 @@ def padding_totals(spark, sf_dir):
         count(*) FILTER (WHERE status = 'kept') AS kept,
         count(*) FILTER (WHERE status = 'skipped') AS skipped,
         count(*) FILTER (WHERE status = 'trashed') AS trashed,
-        count(*) FILTER (WHERE status IN ('kept', 'skipped')) AS reviewed FROM cat""",
+        count(*) FILTER (WHERE status <> 'pending') AS reviewed FROM cat""",
     ),
 )
 def review_counts(spark, sf_dir):
@@ -469,7 +469,7 @@ def review_counts(spark, sf_dir):
         F.count(F.lit(1)).alias("total"),
         F.count_if(status != "trashed").alias("active"),
         *[F.count_if(status == n).alias(n) for n in names],
-        F.count_if(status.isin("kept", "skipped")).alias("reviewed"),
+        F.count_if(status != "pending").alias("reviewed"),
     )
 
 
