@@ -45,6 +45,7 @@ def seeded_pick(spark, sf_dir):
     return val.seeded_pick(events(spark, sf_dir).select("user_id"), "user_id", 17)
 
 
+_REAL_SQL = (
     "pt AS (SELECT url, regexp_replace(regexp_replace(regexp_replace(url, '^https?://', ''), "
     "'[?#].*$', ''), '/$', '') AS path FROM pages)"
 )
