@@ -1,7 +1,9 @@
 """Rigid transforms as column arithmetic.
 
 A pose column is a struct of seven doubles: position ``px py pz`` and unit quaternion
-``qx qy qz qw``. Everything is plain arithmetic, so it stays in generated code.
+``qx qy qz qw``. Functions take pose columns or lists of the seven columns, and return
+lists, which ``pack`` or ``with_pose`` turn into a pose column. Everything is plain
+arithmetic, so it stays in generated code.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -11,36 +13,39 @@ FIELDS = ("px", "py", "pz", "qx", "qy", "qz", "qw")
 POSE_TYPE = "struct<" + ",".join(f"{f}:double" for f in FIELDS) + ">"
 
 
-def pose(p, q) -> Column:
-    return F.struct(*[c.alias(f) for c, f in zip([*p, *q], FIELDS)])
+def pack(values) -> Column:
+    """Pose column of seven columns."""
+    return F.struct(*[c.alias(f) for c, f in zip(values, FIELDS)])
 
 
-def with_pose(df: DataFrame, name: str, value: Column) -> DataFrame:
+def with_pose(df: DataFrame, name: str, values) -> DataFrame:
     """Add a pose column computed once per row.
 
     The seven numbers are first projected as plain columns. Catalyst keeps that projection
     apart, where it would inline a struct into every later use of one of its fields.
     """
-    parts = {f"_{name}_{f}": value[f] for f in FIELDS}
-    packed = F.struct(*[F.col(c).alias(f) for c, f in zip(parts, FIELDS)])
-    return df.withColumns(parts).withColumn(name, packed).drop(*parts)
+    parts = {f"_{name}_{f}": c for f, c in zip(FIELDS, values)}
+    return df.withColumns(parts).withColumn(name, pack([F.col(c) for c in parts])).drop(*parts)
 
 
-def identity() -> Column:
-    return pose([F.lit(0.0)] * 3, [F.lit(0.0)] * 3 + [F.lit(1.0)])
+def constant(values) -> list[Column]:
+    return [F.lit(float(x)) for x in values]
 
 
-def constant(values) -> Column:
-    v = [F.lit(float(x)) for x in values]
-    return pose(v[:3], v[3:])
+def identity() -> list[Column]:
+    return constant((0, 0, 0, 0, 0, 0, 1))
 
 
-def position(c: Column) -> list[Column]:
-    return [c[f] for f in FIELDS[:3]]
+def choose(condition: Column, a, b) -> list[Column]:
+    return [F.when(condition, x).otherwise(y) for x, y in zip(a, b)]
 
 
-def rotation(c: Column) -> list[Column]:
-    return [c[f] for f in FIELDS[3:]]
+def position(p) -> list[Column]:
+    return p[:3] if isinstance(p, list) else [p[f] for f in FIELDS[:3]]
+
+
+def rotation(p) -> list[Column]:
+    return p[3:] if isinstance(p, list) else [p[f] for f in FIELDS[3:]]
 
 
 # -- quaternions (x, y, z, w) -----------------------------------------------------------
@@ -168,56 +173,55 @@ def angle_between_deg(a, b) -> Column:
 # -- poses ------------------------------------------------------------------------------
 
 
-def compose(a: Column, b: Column) -> Column:
+def compose(a, b) -> list[Column]:
     moved = rotate(rotation(a), position(b))
-    return pose([x + y for x, y in zip(position(a), moved)], multiply(rotation(a), rotation(b)))
+    return [x + y for x, y in zip(position(a), moved)] + multiply(rotation(a), rotation(b))
 
 
-def inverse(a: Column) -> Column:
+def inverse(a) -> list[Column]:
     back = conjugate(rotation(a))
-    return pose([-x for x in rotate(back, position(a))], back)
+    return [-x for x in rotate(back, position(a))] + back
 
 
-def relative(a: Column, b: Column) -> Column:
+def relative(a, b) -> list[Column]:
     """inverse(a) times b."""
     back = conjugate(rotation(a))
     step = [y - x for x, y in zip(position(a), position(b))]
-    return pose(rotate(back, step), multiply(back, rotation(b)))
+    return rotate(back, step) + multiply(back, rotation(b))
 
 
-def spatial_delta(a: Column, b: Column) -> Column:
+def spatial_delta(a, b) -> list[Column]:
     """Base-frame difference: position difference and R_b R_a'."""
     step = [y - x for x, y in zip(position(a), position(b))]
-    return pose(step, multiply(rotation(b), conjugate(rotation(a))))
+    return step + multiply(rotation(b), conjugate(rotation(a)))
 
 
-def pose9(a: Column) -> Column:
+def pose9(a) -> Column:
     """Translation and the first two rotation columns."""
     m = matrix(rotation(a))
     return F.array(*position(a), *[m[r][0] for r in range(3)], *[m[r][1] for r in range(3)])
 
 
-def scale(a: Column, translation: float, rotation_scale: float) -> Column:
+def scale(a, translation: float, rotation_scale: float) -> list[Column]:
     """Translation times a factor, rotation vector times a factor."""
     q = canonical(rotation(a))
     s = norm(q[:3])
     half = F.atan2(s, q[3]) * rotation_scale
     gain = F.when(s < 1e-12, F.lit(float(rotation_scale))).otherwise(F.sin(half) / s)
-    turned = [x * gain for x in q[:3]] + [F.cos(half)]
-    return pose([x * translation for x in position(a)], turned)
+    return [x * translation for x in position(a)] + [x * gain for x in q[:3]] + [F.cos(half)]
 
 
-def conjugated(df: DataFrame, name: str, a: Column, x: Column) -> DataFrame:
+def conjugated(df: DataFrame, name: str, a, x) -> DataFrame:
     """Add inverse(x) a x: the same motion seen from a frame moved by x."""
     df = with_pose(df, name, relative(x, a))
     return with_pose(df, name, compose(F.col(name), x))
 
 
-def basis_change(a: Column) -> Column:
+def basis_change(a) -> list[Column]:
     """Pose in axes (-z, -x, y): v' = A v and R' = A R A'."""
     px, py, pz = position(a)
     qx, qy, qz, qw = rotation(a)
-    return pose([-pz, -px, py], [-qz, -qx, qy, qw])
+    return [-pz, -px, py, -qz, -qx, qy, qw]
 
 
 def three_point_frame(origin, front, up):

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epiframe.plans.series import Series
+from epiframe.plans.series import BLOCK, Series
 
 POLICIES = ("nearest", "causal", "causal_strict")
 
@@ -85,15 +85,16 @@ def align_series(
         for name, rule in chosen.items():
             cols.update(_choose(name, rule))
         extra = [c for c in grid.columns if c not in keys]
-        out = df.select(
+        block = [BLOCK] if BLOCK in df.columns else []
+        return df.select(
             *base,
+            *block,
             "_t",
             "_q",
             "_id",
             *[F.col(f"_g.{c}").alias(c) for c in extra],
             *[c.alias(n) for n, c in cols.items()],
         )
-        return out
 
     return series.map(pick)
 

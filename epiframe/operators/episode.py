@@ -106,7 +106,7 @@ def training_samples(s: Series, pose: str, joints: Column, how: Sampling) -> Ser
         return F.concat(g.pose9(p), j).cast("array<float>")
 
     moved = F.transform(
-        "chunk", lambda x: F.struct(g.relative(F.col(pose), x.p).alias("p"), x.j.alias("j"))
+        "chunk", lambda x: F.struct(g.pack(g.relative(F.col(pose), x.p)).alias("p"), x.j.alias("j"))
     )
     action = F.transform(moved, lambda y: packed(y.p, y.j))
     return s.with_columns(

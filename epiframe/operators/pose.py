@@ -29,7 +29,7 @@ def prefix_products(
     step = 1
     while step < min(BLOCK_ROWS, longest):
         df = df.withColumn("_lag", F.lag(pose, step).over(w))
-        joined = g.compose(F.col("_lag"), F.col(pose))
+        joined = g.pack(g.compose(F.col("_lag"), F.col(pose)))
         df = df.withColumn(pose, F.when(F.col("_lag").isNull(), F.col(pose)).otherwise(joined))
         step *= 2
     df = df.drop("_lag")
@@ -43,7 +43,7 @@ def prefix_products(
         *group, (F.col(idx) + 1).alias("_b"), F.col(pose).alias("_before")
     )
     whole = g.compose(F.col("_before"), F.col(pose))
-    whole = g.pose(g.position(whole), g.unit(g.rotation(whole)))
+    whole = g.pack(g.position(whole) + g.unit(g.rotation(whole)))
     return (
         df.join(before, [*group, "_b"], "left")
         .withColumn(pose, F.when(F.col("_before").isNull(), F.col(pose)).otherwise(whole))
@@ -60,7 +60,7 @@ def cumulative_pose(
     s = s.with_columns(
         {
             "_i": F.col("_pos") - F.col("_start"),
-            "pose": F.when(F.col("linked"), F.col(delta)).otherwise(g.identity()),
+            "pose": F.when(F.col("linked"), F.col(delta)).otherwise(g.pack(g.identity())),
         }
     ).map(lambda d: d.drop("_pos", "_start"))
     return prefix_products(s.frame(), [*s.keys, "segment"], "_i", "pose").drop("_i")
@@ -68,7 +68,7 @@ def cumulative_pose(
 
 def integrate_hold(s: Series, delta: Column, valid: Column) -> DataFrame:
     """Target trajectory from deltas; an invalid delta keeps the last pose."""
-    s = s.number("_i").with_columns({"pose": F.when(valid, delta).otherwise(g.identity())})
+    s = s.number("_i").with_columns({"pose": F.when(valid, delta).otherwise(g.pack(g.identity()))})
     return prefix_products(s.frame(), s.keys, "_i", "pose").drop("_i")
 
 
@@ -86,18 +86,16 @@ def relative_deltas(s: Series, pose: str, valid: str, frame: str, ts: str, step:
         link = link & (F.col("dt") <= max_dt)
     ok = F.coalesce(link & F.col(valid) & F.col("_pv"), F.lit(False))
     s = s.with_columns({"delta_valid": ok})
-    step, still = g.relative(F.col("_pp"), F.col(pose)), g.identity()
-    delta = F.struct(
-        *[F.when(F.col("delta_valid"), step[f]).otherwise(still[f]).alias(f) for f in g.FIELDS]
-    )
+    step = g.relative(F.col("_pp"), F.col(pose))
+    delta = g.choose(F.col("delta_valid"), step, g.identity())
     return s.map(lambda d: g.with_pose(d, "delta", delta))
 
 
 def state_delta(s: Series, pose: str, strict: bool = False) -> Series:
     """Motion from the previous row; the first row is identity, or dropped if strict."""
     s = s.shift({"_pp": F.col(pose)})
-    step, still, first = g.relative(F.col("_pp"), F.col(pose)), g.identity(), F.col("_pp").isNull()
-    state = F.struct(*[F.when(first, still[f]).otherwise(step[f]).alias(f) for f in g.FIELDS])
+    step = g.relative(F.col("_pp"), F.col(pose))
+    state = g.choose(F.col("_pp").isNull(), g.identity(), step)
     s = s.map(lambda d: g.with_pose(d, "state", state))
     if strict:
         s = s.filter(F.col("_pp").isNotNull())

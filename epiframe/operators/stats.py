@@ -6,24 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epiframe.plans.series import Series
+from epiframe.plans.shared import settle
 
 
-def exact_quantiles(
-    df: DataFrame,
+def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
+        F.count(F.lit(1)).alias("_c")
+    )
+
+
+def quantiles_of_counts(
+    counts: DataFrame,
     keys: list[str],
     value: str,
     points: Mapping[str, float],
     max_rows: int | None = None,
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation, one column per name in ``points``.
-
-    Counts per distinct value are merged map-side, then a running count in value order
-    gives the ranks. The running count is a blocked scan, so a key with any number of
-    values never sits in one task or one aggregation buffer.
-    """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
-        F.count(F.lit(1)).alias("_c")
-    )
+    """Quantiles with linear interpolation from a table of distinct values and counts."""
     s = Series.plan(counts, keys, [value], max_rows).cumulate({"_upto": F.col("_c")})
     totals = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"))
     rows = s.join_keys(totals).frame()
@@ -49,10 +48,52 @@ def exact_quantiles(
     )
 
 
-def vector_stats(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
-    """Long form: per key and dimension min, max, mean, population std and count."""
-    flat = df.select(*keys, F.posexplode(vector).alias("dim", "x"))
-    return scalar_stats(flat, [*keys, "dim"], "x")
+def exact_quantiles(
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    points: Mapping[str, float],
+    max_rows: int | None = None,
+) -> DataFrame:
+    """Exact quantiles, one column per name in ``points``.
+
+    Counts per distinct value are merged map-side, then a running count in value order
+    gives the ranks. The running count is a blocked scan, so a key with any number of
+    values never sits in one task or one aggregation buffer.
+    """
+    return quantiles_of_counts(value_counts(df, keys, value), keys, value, points, max_rows)
+
+
+def moments_of_counts(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Mean, population std (about the mean, in a second pass) and number of values."""
+    v, c = F.col(value).cast("double"), F.col("_c")
+    centre = counts.groupBy(*keys).agg(
+        (F.sum(v * c) / F.sum(c)).alias("mean"), F.sum(c).alias("n")
+    )
+    spread = F.sqrt(F.sum(c * F.pow(v - F.col("mean"), 2)) / F.first("n"))
+    # one row per key; the counts stay where they are if the keys are few
+    return counts.join(centre, keys).groupBy(*keys).agg(
+        F.first("mean").alias("mean"), spread.alias("std"), F.first("n").alias("n")
+    )
+
+
+def vector_stats(df: DataFrame, keys: list[str], vector: str, dims: int | None = None) -> DataFrame:
+    """Long form: per key and dimension min, max, mean, population std and count.
+
+    With the number of dimensions known, a key sends one wide row through the exchange
+    and is unfolded after it.
+    """
+    if dims is None:
+        flat = df.select(*keys, F.posexplode(vector).alias("dim", "x"))
+        return scalar_stats(flat, [*keys, "dim"], "x")
+    aggs, entries = [], []
+    for i in range(dims):
+        v = F.get(vector, F.lit(i)).cast("double")
+        parts = {"min": F.min(v), "max": F.max(v), "mean": F.avg(v), "std": F.stddev_pop(v),
+                 "n": F.count(v)}
+        aggs += [a.alias(f"_{n}{i}") for n, a in parts.items()]
+        entries.append(F.struct(F.lit(i).alias("dim"), *[F.col(f"_{n}{i}").alias(n) for n in parts]))
+    return df.groupBy(*keys).agg(*aggs).select(*keys, F.inline(F.array(*entries)))
 
 
 def scalar_stats(flat: DataFrame, keys: list[str], x: str) -> DataFrame:
@@ -67,27 +108,34 @@ def scalar_stats(flat: DataFrame, keys: list[str], x: str) -> DataFrame:
 
 
 def masked_vector_stats(
-    rows: DataFrame, vector: str, mask: str | None = None, max_rows: int | None = None
+    rows: DataFrame,
+    vectors: Mapping[str, str],
+    slots: Mapping[str, tuple[str, str]],
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """Per dimension: mean, population std, q01 and q99, all exact and in double precision.
+    """Per name and dimension: mean, population std, q01 and q99, all exact, in doubles.
 
-    With ``mask``, ``vector`` is an array of slot vectors and padded slots are left out.
-    A NaN or infinity anywhere is an error.
+    ``vectors`` maps a name to a vector column. ``slots`` maps a name to an array of slot
+    vectors and its padding mask; padded slots are left out. A NaN or infinity is an error.
+    The rows are unfolded once, into merged counts per distinct value that are written to
+    shared storage, and everything else is computed from the counts.
     """
-    if mask is not None:
-        slots = F.filter(F.arrays_zip(F.col(vector).alias("v"), F.col(mask).alias("m")), lambda z: ~z.m)
-        rows = rows.select(F.explode(slots).alias("_z")).select(F.col("_z.v").alias(vector))
-    flat = rows.select(F.posexplode(vector).alias("dim", "x"))
+    tags = [F.array(F.lit(n)) for n in vectors]
+    tags += [F.array_repeat(F.lit(n), F.size(v)) for n, (v, _) in slots.items()]
+    values = [F.array(c) for c in vectors.values()] + [F.col(v) for v, _ in slots.values()]
+    masks = [F.array(F.lit(False)) for _ in vectors] + [F.col(m) for _, m in slots.values()]
+    entries = F.arrays_zip(
+        F.concat(*tags).alias("key"), F.concat(*values).alias("v"), F.concat(*masks).alias("pad")
+    )
+    real = rows.select(F.inline(entries)).filter(~F.col("pad"))
+    flat = real.select("key", F.posexplode("v").alias("dim", "x"))
     x = F.col("x").cast("double")
     finite = ~(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
-    checked = flat.select(
-        "dim", F.when(finite, x).otherwise(F.raise_error("non-finite value").cast("double")).alias("x")
-    )
-    moments = checked.groupBy("dim").agg(
-        F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"), F.count("x").alias("n")
-    )
-    tails = exact_quantiles(checked, ["dim"], "x", {"q01": 0.01, "q99": 0.99}, max_rows)
-    return moments.join(tails, "dim")
+    checked = F.when(finite, x).otherwise(F.raise_error(F.lit("non-finite value")).cast("double"))
+    keys = ["key", "dim"]
+    counts = settle(value_counts(flat.select(*keys, checked.alias("x")), keys, "x"))
+    tails = quantiles_of_counts(counts, keys, "x", {"q01": 0.01, "q99": 0.99}, max_rows)
+    return moments_of_counts(counts, keys, "x").join(tails, keys)
 
 
 def merge_stats(stats: DataFrame, keys: list[str]) -> DataFrame:

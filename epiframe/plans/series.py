@@ -76,7 +76,7 @@ class Series:
     # -- row-wise steps ---------------------------------------------------------------
 
     def map(self, fn: Callable[[DataFrame], DataFrame]) -> "Series":
-        """Apply a row-wise DataFrame function that keeps the key and order columns."""
+        """Apply a row-wise DataFrame function that keeps the key, order and block columns."""
         return replace(self, cold=fn(self.cold), hot=None if self.hot is None else fn(self.hot))
 
     def with_columns(self, cols: dict[str, Column]) -> "Series":

@@ -67,7 +67,7 @@ def pose_rows(spark, sf_dir) -> DataFrame:
     """Embeddings as poses, unit quaternion in XYZW order."""
     e = [F.get("embedding", F.lit(i)).cast("double") for i in range(7)]
     rows = table(spark, sf_dir, "embeddings").select("label", "vec_id", "embedding")
-    return g.with_pose(rows, "pose", g.pose(e[:3], g.unit(e[3:]))).drop("embedding")
+    return g.with_pose(rows, "pose", e[:3] + g.unit(e[3:])).drop("embedding")
 
 
 def pose_series(spark, sf_dir) -> Series:

@@ -18,7 +18,6 @@ from epiframe.functions.values import (
 from epiframe.operators import pose as po
 from epiframe.operators.align import Stream
 from epiframe.operators.episode import Sampling, emitted_rows, resampled_grid, training_samples
-from epiframe.plans.series import Series
 from epiframe.queries.base import (
     EM,
     EV,
@@ -285,10 +284,10 @@ _OK = "coalesce(ok AND l_ok AND vec_id - l_id <= 12, false)"
 _EYE = [["1.0" if i == j else "0.0" for j in range(3)] for i in range(3)]
 
 
-def hand_poses(spark, sf_dir):
+def hand_poses(spark, df):
     """Controller poses moved to the hand target by the calibration of their side."""
     side = F.when(F.col("label") < 5, "left").otherwise("right")
-    rows = pose_rows(spark, sf_dir).withColumns({"side": side, "ok": F.col("pose.qw") > -0.2})
+    rows = df.withColumns({"side": side, "ok": F.col("pose.qw") > -0.2})
     rows = rows.join(F.broadcast(calibrations(spark)), "side")  # two rows, one per side
     shift = g.constant((ORIGIN_SHIFT, 0, 0, 0, 0, 0, 1))
     rows = g.with_pose(rows, "hand", g.compose(F.col("pose"), F.col("offset")))
@@ -296,7 +295,7 @@ def hand_poses(spark, sf_dir):
 
 
 def hand_deltas(spark, sf_dir):
-    s = Series.plan(hand_poses(spark, sf_dir), ["label"], ["vec_id"])
+    s = pose_series(spark, sf_dir).map(lambda d: hand_poses(spark, d))
     return po.relative_deltas(s, "hand", "ok", "vec_id", "vec_id", step=0, max_dt=12)
 
 
@@ -587,7 +586,7 @@ def packed_vector(spark, sf_dir):
         *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(7)],
     )
     e = [F.col(f"e{i}") for i in range(7)]
-    rows = joints.select("vec_id", "joints", g.pose(e[:3], g.unit(e[3:])).alias("pose"))
+    rows = joints.select("vec_id", "joints", g.pack(e[:3] + g.unit(e[3:])).alias("pose"))
     packed = F.concat(g.pose9(F.col("pose")), g.pose9(g.inverse(F.col("pose"))), "joints")
     out = rows.select("vec_id", F.posexplode(packed.cast("array<float>")).alias("dim", "x"))
     return out.withColumn("x", r6(F.col("x").cast("double")))
@@ -745,9 +744,8 @@ def clicks_with_pose(spark, sf_dir):
     """Click rows with a planar pose made of their value and counter."""
     turn = F.col("k") * F.lit(math.pi / 200)
     zero = F.lit(0.0)
-    pose = g.pose(
-        [F.col("value") / 100.0, F.col("k") / 100.0, zero], [zero, zero, F.sin(turn), F.cos(turn)]
-    )
+    flat = [F.col("value") / 100.0, F.col("k") / 100.0, zero]
+    pose = g.pack([*flat, zero, zero, F.sin(turn), F.cos(turn)])
     rows = kind(events(spark, sf_dir), "click").withColumn("k", props_k())
     return rows.select(
         "user_id", "event_id", "ts_us", pose.alias("pose"), (F.col("value") >= 2).alias("pose_ok")

@@ -374,5 +374,5 @@ def calibration_join(spark, sf_dir):
     side = F.when(F.col("label") < 5, "left").otherwise("right")
     rows = pose_rows(spark, sf_dir).withColumn("side", side)
     rows = rows.join(F.broadcast(calibrations(spark)), "side")  # two rows, one per side
-    out = rows.withColumn("hand", g.compose(F.col("pose"), F.col("offset")))
+    out = g.with_pose(rows, "hand", g.compose(F.col("pose"), F.col("offset")))
     return out.select("vec_id", "side", *[r6(F.col(f"hand.p{a}")).alias(f"p{a}") for a in "xyz"])

@@ -64,16 +64,14 @@ def _rounded(df, *cols):
 )
 def masked_vector_stats(spark, sf_dir):
     rows = chunks(spark, sf_dir).frame()
-    state = stats.masked_vector_stats(rows, "state").withColumn("key", F.lit("state"))
-    action = stats.masked_vector_stats(rows.drop("state"), "chunk", "is_pad")
-    both = state.unionByName(action.withColumn("key", F.lit("actions")))
+    both = stats.masked_vector_stats(rows, {"state": "state"}, {"actions": ("chunk", "is_pad")})
     # five digits: the true mean of a channel ends in a 5 at the seventh
     return both.withColumns({c: F.round(c, 5) + 0.0 for c in ("mean", "std", "q01", "q99")})
 
 
 def episode_stats(spark, sf_dir):
     rows = frames(spark, sf_dir).frame()
-    return stats.vector_stats(rows, ["l_orderkey"], "state")
+    return stats.vector_stats(rows, ["l_orderkey"], "state", len(DIMS))
 
 
 @query(
@@ -99,19 +97,20 @@ def feature_stats(spark, sf_dir):
 def feature_stats_masked(spark, sf_dir):
     """Statistics over real action slots; episodes without any are left out."""
     rows = slots(chunks(spark, sf_dir).frame(), ["l_orderkey"]).filter(~F.col("padded"))
-    return _rounded(stats.vector_stats(rows, ["l_orderkey"], "target"), "mean", "std")
+    return _rounded(stats.vector_stats(rows, ["l_orderkey"], "target", len(DIMS)), "mean", "std")
 
 
 @query(
     "merge_stats",
     with_sql(
         [LI, ST],
-        f"""SELECT dim, min(x) AS min, max(x) AS max, {r6_sql('avg(x)')} AS mean,
-        {r6_sql('stddev_pop(x)')} AS std, count(*) AS n FROM st GROUP BY 1""",
+        """SELECT dim, min(x) AS min, max(x) AS max, round(avg(x), 5) + 0.0 AS mean,
+        round(stddev_pop(x), 5) + 0.0 AS std, count(*) AS n FROM st GROUP BY 1""",
     ),
 )
 def merge_stats(spark, sf_dir):
-    return _rounded(stats.merge_stats(episode_stats(spark, sf_dir), ["dim"]), "mean", "std")
+    out = stats.merge_stats(episode_stats(spark, sf_dir), ["dim"])
+    return out.withColumns({c: F.round(c, 5) + 0.0 for c in ("mean", "std")})
 
 
 def value_histogram(spark, sf_dir):

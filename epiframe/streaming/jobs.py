@@ -179,7 +179,14 @@ def as_asof_input(df: DataFrame, query: Column, source: Column) -> DataFrame:
 
 def gap_runs(rows: DataFrame, keys: Sequence[str], time: str, gap: str, ts: str,
              late: str | None = None) -> DataFrame:
-    """Runs of rows less than ``gap`` apart; on a stream, emitted when the gap has passed."""
+    """Runs of rows less than ``gap`` apart; on a stream, emitted when the gap has passed.
+
+    Rows of one key are merged into sessions before the exchange, so a hot key sends
+    sessions, not rows.
+    """
+    conf = rows.sparkSession.conf
+    conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
+    conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     if late is not None:
         rows = rows.withWatermark(time, late)
     return rows.groupBy(*keys, F.session_window(time, gap).alias("_w")).agg(
