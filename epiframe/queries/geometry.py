@@ -711,13 +711,12 @@ def discretize_state(spark, sf_dir):
     ),
 )
 def state_prompt_text(spark, sf_dir):
-    wide = bounds(spark, sf_dir).groupBy(F.lit(1).alias("_all")).pivot("dim", [0, 1, 2, 3]).agg(
-        F.first("q01").alias("a"), F.first("q99").alias("z")
-    )
-    # a single row with the bounds of all channels
-    rows = table(spark, sf_dir, "lineitem").withColumn("_all", F.lit(1)).join(F.broadcast(wide), "_all")
+    entry = F.struct("dim", F.struct("q01", "q99"))
+    channels = bounds(spark, sf_dir).agg(F.map_from_entries(F.collect_list(entry))).scalar()
+    rows = table(spark, sf_dir, "lineitem").withColumn("b", channels)  # four entries
     bins = [
-        state_bin(quantile_scale(F.col(c), F.col(f"{i}_a"), F.col(f"{i}_z"))) for i, c in enumerate(DIMS)
+        state_bin(quantile_scale(F.col(c), F.col("b")[i]["q01"], F.col("b")[i]["q99"]))
+        for i, c in enumerate(DIMS)
     ]
     text = F.concat(
         F.lit("Task: ship "),
