@@ -50,7 +50,7 @@ def check(spark, monkeypatch, name, max_rows):
 
 @pytest.mark.parametrize("name", EVENT_QUERIES)
 def test_hot_keys(spark, monkeypatch, name):
-    check(spark, monkeypatch, name, 40)
+    check(spark, monkeypatch, name, 20)
 
 
 @pytest.mark.parametrize("name", FRAME_QUERIES)
