@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The form of an episode id, and the words of a flag.
 EPISODE_ID = r"^\d{8}_\d{6}_\d+_\d+$"
 TRUE_WORDS = ("1", "true", "yes")
 FALSE_WORDS = ("0", "false", "no")

@@ -194,13 +194,16 @@ def merge_plan(entries: DataFrame, existing: DataFrame, path: str, policy: str)
     if policy not in ("error", "skip", "rename"):
         raise ValueError(f"unsupported conflict policy {policy}")
     name = F.element_at(F.split(F.col(path), "/"), -1)
-    taken = existing.select("name").distinct().withColumn("_there", F.lit(True))
-    rows = entries.select(path, name.alias("name")).join(taken, "name", "left")
-    s = Series.plan(rows, ["name"], [path]).number("_rank")
-    rows = s.frame().withColumn(
-        "_conflict",
-        F.when(F.col("_there"), F.col("_rank")).when(F.col("_rank") > 0, F.col("_rank") - 1),
+    # existing names come first within a name, so one scan tells both facts about an entry
+    rows = entries.select(path, name.alias("name"), F.lit(1).alias("_entry")).unionByName(
+        existing.select(F.lit("").alias(path), "name", F.lit(0).alias("_entry")).distinct()
     )
+    s = Series.plan(rows, ["name"], ["_entry", path]).cumulate(
+        {"_there": 1 - F.col("_entry"), "_nth": F.col("_entry")}
+    )
+    rank = F.col("_nth") - 1
+    conflict = F.when(F.col("_there") > 0, rank).when(rank > 0, rank - 1)
+    rows = s.frame().filter("_entry = 1").withColumn("_conflict", conflict)
     free = rows.filter("_conflict IS NULL").select(
         path, "name", F.lit("placed").alias("outcome"), F.col("name").alias("target")
     )

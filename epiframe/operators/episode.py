@@ -57,7 +57,9 @@ def resampled_grid(
     s = align_series(master, {**cameras, **hands}, keys, ts, row_id, policy, max_rows)
     s = s.number("source_row")
 
-    gaps = s.shift({"_p": F.col(ts)}).frame().select(*keys, (F.col(ts) - F.col("_p")).alias("_gap"))
+    clock = Series.plan(master.select(*keys, ts, row_id), keys, [ts, row_id], max_rows)
+    clock = clock.shift({"_p": F.col(ts)}).frame()
+    gaps = clock.select(*keys, (F.col(ts) - F.col("_p")).alias("_gap"))
     nominal = exact_quantiles(gaps, keys, "_gap", {"_median": 0.5}, max_rows).select(
         *keys, F.bround("_median").cast("bigint").alias("nominal")
     )

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from epiframe.functions import geometry as g
 from epiframe.operators.sequence import segment_ids
 from epiframe.plans.series import Series
+from epiframe.plans.shared import settle
 
 BLOCK_ROWS = 128
 
@@ -38,7 +39,10 @@ def prefix_products(
     totals = df.filter(F.col(idx) % BLOCK_ROWS == BLOCK_ROWS - 1).select(
         *group, F.col("_b").alias(idx), F.col(pose)
     )
-    totals = prefix_products(totals, group, idx, pose, -(-longest // BLOCK_ROWS))
+    above = -(-longest // BLOCK_ROWS)
+    if above > BLOCK_ROWS:
+        totals = settle(totals)  # 1/128 of the rows, so that no level repeats the one below
+    totals = prefix_products(totals, group, idx, pose, above)
     before = totals.select(
         *group, (F.col(idx) + 1).alias("_b"), F.col(pose).alias("_before")
     )

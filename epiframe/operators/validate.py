@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Statuses that raise no warning, and names of the status filters.
 HEALTHY = ("ok", "OK", "healthy")
 STATUS_ALIASES = {
     "keep": "kept",

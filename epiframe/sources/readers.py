@@ -74,14 +74,13 @@ def scan_ordered_id_list(
 ) -> DataFrame:
     """Ids of a list in file order, each with its line number and what is wrong with it."""
     rows = _not_empty(ordered_lines(spark, path, max_rows), path)
-    first = rows.groupBy("value").agg(F.min("pos").alias("_first"))
-    rows = rows.join(first, "value")
+    rows = Series.plan(rows, ["value"], ["pos"], max_rows).number("_nth").frame()
     text = F.col("value")
     problem = (
         F.when(text == "", "empty")
         .when(text != F.trim(text), "untrimmed")
         .when(~text.rlike(pattern), "malformed")
-        .when(F.col("pos") > F.col("_first"), "duplicate")
+        .when(F.col("_nth") > 0, "duplicate")
     )
     return rows.select((F.col("pos") + 1).alias("line"), text.alias("id"), problem.alias("problem"))
 
@@ -117,6 +116,7 @@ def discover_sources(
     return found
 
 
+# Fixed value: the form of a metric line.
 LOG_LINE = r"Step (\d+):.*loss=([^,\s]+)"
 
 
