@@ -29,6 +29,7 @@ def align_series(
     row_id: str,
     policy: str | Mapping[str, str] = "nearest",
     max_rows: int | None = None,
+    number: str | None = None,
 ) -> Series:
     """Grid rows in time order, each with its match from every stream.
 
@@ -40,6 +41,8 @@ def align_series(
     * ``causal``: last row at or before; before the first row the first one fills in, with
       index -1 and a positive delta.
     * ``causal_strict``: as causal, null before the first row.
+
+    ``number`` names a column for the position of the grid row.
     """
     chosen = {n: policy if isinstance(policy, str) else policy[n] for n in streams}
     for name, value in chosen.items():
@@ -71,17 +74,19 @@ def align_series(
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
     series = Series.plan(union, keys, ["_t", "_q", "_id"], max_rows)
-    series = series.cumulate(
-        {f"_c_{n}": F.col(f"_s_{n}").isNotNull().cast("bigint") for n in streams}
-    )
-    source = {n: F.col(f"_s_{n}") for n in streams}
-    series = series.around(
-        {f"_b_{n}": c for n, c in source.items()}, {f"_a_{n}": c for n, c in source.items()}
+    rows = {n: F.col(f"_s_{n}") for n in streams}
+    counts = {f"_c_{n}": c.isNotNull().cast("bigint") for n, c in rows.items()}
+    if number is not None:
+        counts["_grid"] = F.col("_q").cast("bigint")
+    series = series.scan(
+        total=counts,
+        held={f"_b_{n}": c for n, c in rows.items()},
+        ahead={f"_a_{n}": c for n, c in rows.items()},
     )
     series = series.filter(F.col("_q") == 1)
 
     def pick(df: DataFrame) -> DataFrame:
-        cols = {}
+        cols = {} if number is None else {number: F.col("_grid") - 1}
         for name, rule in chosen.items():
             cols.update(_choose(name, rule))
         extra = [c for c in grid.columns if c not in keys]

@@ -54,8 +54,8 @@ def resampled_grid(
     moved on, every raw pose was valid and no raw interval was off its nominal length.
     """
     policy = {n: "nearest" for n in cameras} | {n: how.hand_policy for n in hands}
-    s = align_series(master, {**cameras, **hands}, keys, ts, row_id, policy, max_rows)
-    s = s.number("source_row")
+    streams = {**cameras, **hands}
+    s = align_series(master, streams, keys, ts, row_id, policy, max_rows, number="source_row")
 
     clock = Series.plan(master.select(*keys, ts, row_id), keys, [ts, row_id], max_rows)
     clock = clock.shift({"_p": F.col(ts)}).frame()
@@ -78,8 +78,8 @@ def resampled_grid(
         F.pmod("source_row", F.lit(how.stride)) == 0,
         F.col(pose_valid) & F.col("interval_ok"),
         [f"{n}_index" for n in cameras],
+        number="grid_index",
     )
-    s = s.number("grid_index")
     return seq.valid_runs(s, F.col("sample_valid"), F.col("transition_valid"))
 
 

@@ -60,7 +60,7 @@ def cumulative_pose(
 ) -> DataFrame:
     """Absolute poses from adjacent deltas: identity at the start of each segment."""
     s = segment_ids(s.number("_pos"), valid, declared_previous, frame)
-    s = s.around({"_start": F.when(~F.col("linked"), F.col("_pos"))}, {})
+    s = s.scan(held={"_start": F.when(~F.col("linked"), F.col("_pos"))})
     s = s.with_columns(
         {
             "_i": F.col("_pos") - F.col("_start"),

@@ -55,16 +55,24 @@ def interval_discontinuity(
 
 
 def span_all_true(
-    s: Series, on_grid: Column, row_ok: Column, increasing: list[str], name: str = "transition_valid"
+    s: Series,
+    on_grid: Column,
+    row_ok: Column,
+    increasing: list[str],
+    name: str = "transition_valid",
+    number: str | None = None,
 ) -> Series:
     """Grid rows only, each saying whether the span from the previous grid row is sound.
 
     Sound means every raw row after the previous grid row up to this one is ok and each
     ``increasing`` column grew. The first grid row is sound. A running count of bad rows
-    replaces a scan of each span.
+    replaces a scan of each span. ``number`` names a column for the position on the grid.
     """
     s = s.cumulate({"_bad": (~row_ok).cast("bigint")}).filter(on_grid)
-    s = s.shift({"_pbad": F.col("_bad"), **{f"_p_{c}": F.col(c) for c in increasing}})
+    s = s.scan(
+        number=number,
+        previous={"_pbad": F.col("_bad"), **{f"_p_{c}": F.col(c) for c in increasing}},
+    )
     grew = F.lit(True)
     for c in increasing:
         grew = grew & F.coalesce(F.col(c) > F.col(f"_p_{c}"), F.lit(False))
@@ -217,7 +225,7 @@ def cfr_resample(s: Series, ts: str, period: int, row: str) -> DataFrame:
     first = s.frame().groupBy(*s.keys).agg(
         F.min(ts).alias("_t0"), (F.max(ts) - F.min(ts)).alias("_span")
     )
-    s = s.shift({"_prev": F.col(ts)}).shift({"_next": F.col(ts)}, forward=True)
+    s = s.scan(previous={"_prev": F.col(ts)}, following={"_next": F.col(ts)})
     delays = s.frame().select(*s.keys, (F.col(ts) - F.col("_prev")).alias("_delay"))
     tail = exact_quantiles(delays.filter("_delay > 0"), s.keys, "_delay", {"_tail": 0.5})
     length = first.join(tail, s.keys, "left")

@@ -12,7 +12,7 @@ The summary side is broadcast. Its size is bounded: a hot key owns more than abo
 summary row per key and block, whatever the table size.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
@@ -25,6 +25,7 @@ MAX_ROWS = 4_000_000
 SHARE = 10_000
 TRACKED = 131_072
 SMALL_BYTES = 64 << 20
+STEPS = 3
 BLOCK = "_blk"
 
 
@@ -63,7 +64,7 @@ class Series:
     cold: DataFrame
     hot: DataFrame | None = None
     names: DataFrame | None = None
-    settled: bool = True
+    pending: int = 0
 
     @staticmethod
     def plan(df: DataFrame, keys: list[str], order: list[str], max_rows: int | None = None) -> "Series":
@@ -114,147 +115,125 @@ class Series:
 
     # -- windows ----------------------------------------------------------------------
 
-    def _window(self, blocked: bool):
-        keys = [*self.keys, BLOCK] if blocked else self.keys
-        return W.partitionBy(*keys).orderBy(*self.order)
-
-    def _sql_window(self, blocked: bool) -> str:
+    def _over(self, blocked: bool) -> str:
         def quoted(names):
             return ", ".join(f"`{n}`" for n in names)
 
         keys = [*self.keys, BLOCK] if blocked else self.keys
-        return f"(PARTITION BY {quoted(keys)} ORDER BY {quoted(self.order)})"
+        return f"OVER (PARTITION BY {quoted(keys)} ORDER BY {quoted(self.order)})"
 
-    def _at(self) -> Column:
-        return F.struct(*self.order)
+    def _window(self, blocked: bool):
+        keys = [*self.keys, BLOCK] if blocked else self.keys
+        return W.partitionBy(*keys).orderBy(*self.order)
 
     def _next(self, cold: DataFrame, hot_step: Callable[[DataFrame], DataFrame]) -> "Series":
         if self.hot is None:
             return replace(self, cold=cold)
-        base = self.hot if self.settled else settle(self.hot)
-        return replace(self, cold=cold, hot=hot_step(base), settled=False)
-
-    def _carry(self, hot: DataFrame, aggs: list[Column], carries: list[Column]) -> DataFrame:
-        """Per-block summary, moved along the blocks of each key, joined back to the rows."""
-        blocks = hot.groupBy(*self.keys, BLOCK).agg(*aggs)
-        moved = blocks.select(*self.keys, BLOCK, *carries)
-        return hot.join(F.broadcast(moved), [*self.keys, BLOCK], "left")
-
-    def _block_window(self):
-        return W.partitionBy(*self.keys).orderBy(BLOCK)
-
-    def number(self, name: str = "pos") -> "Series":
-        """Zero-based position of each row within its key."""
-
-        def hot_step(hot):
-            before = self._block_window().rowsBetween(W.unboundedPreceding, -1)
-            joined = self._carry(
-                hot,
-                [F.count(F.lit(1)).alias("_n")],
-                [F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")],
-            )
-            here = F.row_number().over(self._window(True)) - 1
-            return joined.withColumn(name, (here + F.col("_off")).cast("bigint")).drop("_off")
-
-        cold = self.cold.withColumn(
-            name, (F.row_number().over(self._window(False)) - 1).cast("bigint")
-        )
-        return self._next(cold, hot_step)
-
-    def shift(self, cols: dict[str, Column], forward: bool = False) -> "Series":
-        """Value of the previous row (or of the next row) under each new name."""
-        move = F.lead if forward else F.lag
+        # a step reads the hot rows twice, for the summaries and for the rows; a few steps
+        # share one exchange, more are cut by a write
+        full = self.pending >= STEPS
+        base = settle(self.hot) if full else self.hot
+        return replace(self, cold=cold, hot=hot_step(base), pending=1 if full else self.pending + 1)
+
+    def scan(
+        self,
+        number: str | None = None,
+        total: Mapping[str, Column] | None = None,
+        held: Mapping[str, Column] | None = None,
+        ahead: Mapping[str, Column] | None = None,
+        previous: Mapping[str, Column] | None = None,
+        following: Mapping[str, Column] | None = None,
+    ) -> "Series":
+        """Add ordered values, all from one pass in one ordering.
+
+        * ``number``: zero-based position within the key.
+        * ``total``: running sum up to and including the row.
+        * ``held``: last non-null value at or before the row; ``ahead``: first one after it.
+        * ``previous`` / ``following``: value of the row before / after.
+        """
+        groups = {
+            "total": dict(total or {}),
+            "held": dict(held or {}),
+            "ahead": dict(ahead or {}),
+            "previous": dict(previous or {}),
+            "following": dict(following or {}),
+        }
+        inputs = {f"_v_{n}": c for cols in groups.values() for n, c in cols.items()}
+        kinds = {n: kind for kind, cols in groups.items() for n in cols}
+
+        def local(df: DataFrame, blocked: bool) -> dict[str, Column]:
+            w, over = self._window(blocked), self._over(blocked)
+            upto = w.rowsBetween(W.unboundedPreceding, 0)
+            make = {
+                "total": lambda v: F.coalesce(F.sum(v).over(upto), F.lit(0)),
+                "held": lambda v: F.last(v, ignorenulls=True).over(upto),
+                "ahead": lambda v: F.expr(f"lead(`{v}`) IGNORE NULLS {over}"),
+                "previous": lambda v: F.lag(v).over(w),
+                "following": lambda v: F.lead(v).over(w),
+            }
+            cols = {n: make[kind](f"_v_{n}") for n, kind in kinds.items()}
+            if number is not None:
+                cols[number] = (F.row_number().over(w) - 1).cast("bigint")
+            return cols
+
+        def hot_step(hot: DataFrame) -> DataFrame:
+            temp = hot.withColumns(inputs) if inputs else hot
+            at = F.struct(*self.order)
+            along = W.partitionBy(*self.keys).orderBy(BLOCK)
+            before = along.rowsBetween(W.unboundedPreceding, -1)
+            back = W.partitionBy(*self.keys).orderBy(F.col(BLOCK).desc())
+            after = back.rowsBetween(W.unboundedPreceding, -1)
+
+            aggs, carries = [], []
+            if number is not None:
+                aggs.append(F.count(F.lit(1)).alias("_n"))
+                carries.append(F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n"))
+            for n, kind in kinds.items():
+                v, e = F.col(f"_v_{n}"), f"_e_{n}"
+                present = F.when(v.isNotNull(), at)
+                # edge rows are wrapped, since their value itself may be null
+                agg, move = {
+                    "total": lambda: (F.sum(v), F.sum(e).over(before)),
+                    "held": lambda: (F.max_by(v, present), F.last(e, True).over(before)),
+                    "ahead": lambda: (F.min_by(v, present), F.last(e, True).over(after)),
+                    "previous": lambda: (F.max_by(F.struct(v.alias("v")), at), F.lag(e).over(along)),
+                    "following": lambda: (F.min_by(F.struct(v.alias("v")), at), F.lead(e).over(along)),
+                }[kind]()
+                aggs.append(agg.alias(e))
+                carries.append(move.alias(e))
+            blocks = temp.groupBy(*self.keys, BLOCK).agg(*aggs)
+            moved = blocks.select(*self.keys, BLOCK, *carries)
+            out = temp.join(F.broadcast(moved), [*self.keys, BLOCK], "left")
 
-        def hot_step(hot):
-            temp = hot.withColumns({f"_v_{n}": c for n, c in cols.items()})
-            pick = F.min_by if forward else F.max_by
-            packed = F.struct(*[F.col(f"_v_{n}").alias(n) for n in cols])
-            joined = self._carry(
-                temp,
-                [pick(packed, self._at()).alias("_edge")],
-                [move("_edge").over(self._block_window()).alias("_edge")],
-            )
             w = self._window(True)
-            at_edge = move(F.lit(1)).over(w).isNull()
-            out = joined.withColumns(
-                {
-                    n: F.when(at_edge, F.col(f"_edge.{n}")).otherwise(move(f"_v_{n}").over(w))
-                    for n in cols
-                }
-            )
-            return out.drop("_edge", *[f"_v_{n}" for n in cols])
-
-        cold = self.cold.withColumns({n: move(c).over(self._window(False)) for n, c in cols.items()})
+            here = local(out, True)
+            cols = {}
+            for n, kind in kinds.items():
+                e = F.col(f"_e_{n}")
+                cols[n] = {
+                    "total": lambda: here[n] + F.coalesce(e, F.lit(0)),
+                    "held": lambda: F.coalesce(here[n], e),
+                    "ahead": lambda: F.coalesce(here[n], e),
+                    "previous": lambda: F.when(F.lag(F.lit(1)).over(w).isNull(), e["v"]).otherwise(here[n]),
+                    "following": lambda: F.when(F.lead(F.lit(1)).over(w).isNull(), e["v"]).otherwise(here[n]),
+                }[kind]()
+            if number is not None:
+                cols[number] = here[number] + F.col("_n")
+            extra = [f"_e_{n}" for n in kinds] + (["_n"] if number is not None else [])
+            return out.withColumns(cols).drop(*inputs, *extra)
+
+        cold = self.cold.withColumns(inputs) if inputs else self.cold
+        cold = cold.withColumns(local(cold, False)).drop(*inputs)
         return self._next(cold, hot_step)
 
-    def cumulate(self, cols: dict[str, Column]) -> "Series":
-        """Running sum up to and including the current row."""
-
-        def hot_step(hot):
-            temp = hot.withColumns({f"_v_{n}": c for n, c in cols.items()})
-            before = self._block_window().rowsBetween(W.unboundedPreceding, -1)
-            joined = self._carry(
-                temp,
-                [F.sum(f"_v_{n}").alias(f"_s_{n}") for n in cols],
-                [F.sum(f"_s_{n}").over(before).alias(f"_s_{n}") for n in cols],
-            )
-            upto = self._window(True).rowsBetween(W.unboundedPreceding, 0)
-            out = joined.withColumns(
-                {
-                    n: F.coalesce(F.sum(f"_v_{n}").over(upto), F.lit(0))
-                    + F.coalesce(F.col(f"_s_{n}"), F.lit(0))
-                    for n in cols
-                }
-            )
-            return out.drop(*[f"_v_{n}" for n in cols], *[f"_s_{n}" for n in cols])
-
-        upto = self._window(False).rowsBetween(W.unboundedPreceding, 0)
-        cold = self.cold.withColumns(
-            {n: F.coalesce(F.sum(c).over(upto), F.lit(0)) for n, c in cols.items()}
-        )
-        return self._next(cold, hot_step)
-
-    def around(self, held: dict[str, Column], ahead: dict[str, Column]) -> "Series":
-        """Nearest non-null values: at or before the current row, and strictly after it.
-
-        Both directions share one ordering, hence one sort.
-        """
-        names = [*held, *ahead]
-        values = {f"_v_{n}": c for n, c in {**held, **ahead}.items()}
-
-        def local(df, blocked):
-            upto = self._window(blocked).rowsBetween(W.unboundedPreceding, 0)
-            over = self._sql_window(blocked)
-            cols = {n: F.last(f"_v_{n}", ignorenulls=True).over(upto) for n in held}
-            cols.update({n: F.expr(f"lead(`_v_{n}`) IGNORE NULLS OVER {over}") for n in ahead})
-            return df.withColumns(cols)
-
-        def hot_step(hot):
-            temp = hot.withColumns(values)
+    def number(self, name: str = "pos") -> "Series":
+        return self.scan(number=name)
 
-            def at(n):
-                return F.when(F.col(f"_v_{n}").isNotNull(), self._at())
+    def cumulate(self, cols: Mapping[str, Column]) -> "Series":
+        return self.scan(total=cols)
 
-            before = self._block_window().rowsBetween(W.unboundedPreceding, -1)
-            after = (
-                W.partitionBy(*self.keys)
-                .orderBy(F.col(BLOCK).desc())
-                .rowsBetween(W.unboundedPreceding, -1)
-            )
-            aggs = [F.max_by(f"_v_{n}", at(n)).alias(f"_e_{n}") for n in held]
-            aggs += [F.min_by(f"_v_{n}", at(n)).alias(f"_e_{n}") for n in ahead]
-            carries = [
-                F.last(f"_e_{n}", ignorenulls=True).over(before).alias(f"_e_{n}") for n in held
-            ]
-            carries += [
-                F.last(f"_e_{n}", ignorenulls=True).over(after).alias(f"_e_{n}") for n in ahead
-            ]
-            out = local(self._carry(temp, aggs, carries), True)
-            out = out.withColumns({n: F.coalesce(n, f"_e_{n}") for n in names})
-            return out.drop(*values, *[f"_e_{n}" for n in names])
-
-        cold = local(self.cold.withColumns(values), False).drop(*values)
-        return self._next(cold, hot_step)
+    def shift(self, cols: Mapping[str, Column], forward: bool = False) -> "Series":
+        return self.scan(following=cols) if forward else self.scan(previous=cols)
 
     def future(self, name: str, value: Column, horizon: int, pos: str) -> "Series":
         """Array of the values of the next ``horizon`` rows (shorter at the end).
