@@ -22,6 +22,11 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Cut lineage through reliable storage, so lost executors cost no recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a table to shared storage and go on from there.
+
+    This cuts the lineage, so lost executors cost no recomputation, and later steps read
+    only the columns they need.
+    """
+    path = new_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
