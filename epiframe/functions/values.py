@@ -10,8 +10,11 @@ FALSE_WORDS = ("0", "false", "no")
 
 
 def micros(ts: Column) -> Column:
-    """Integer microseconds of a zone-free timestamp."""
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    """Integer microseconds of a zone-free timestamp, whatever the session time zone."""
+    seconds = F.unix_date(ts.cast("date")) * F.lit(86_400).cast("bigint")
+    seconds = seconds + F.hour(ts) * 3600 + F.minute(ts) * 60
+    fraction = F.extract(F.lit("SECOND"), ts) * 1_000_000
+    return seconds * 1_000_000 + fraction.cast("bigint")
 
 
 def r6(x: Column) -> Column:

@@ -20,15 +20,26 @@ def arriving(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def run_available(stream: DataFrame, sink: Callable, mode: str, checkpoint: str) -> None:
-    """Process everything that has arrived since the last run, then stop."""
-    query = (
-        stream.writeStream.foreachBatch(sink)
-        .outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    """Process everything that has arrived since the last run, then stop.
+
+    A new job gets one state partition per core of the cluster; the checkpoint keeps that
+    number for later runs.
+    """
+    spark = stream.sparkSession
+    name = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
+    try:
+        query = (
+            stream.writeStream.foreachBatch(sink)
+            .outputMode(mode)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    finally:
+        spark.conf.set(name, usual)
 
 
 def _folder(base: str, batch: int) -> str:

@@ -244,3 +244,18 @@ def test_edge_repeats(spark):
     assert [(r.prefix_repeats, r.suffix_repeats, r.interior_repeats) for r in out] == [
         (1, 2, 0), (1, 0, 0), (0, 0, 1),
     ]
+
+
+def test_microseconds_do_not_depend_on_the_session_zone(spark):
+    from epiframe.functions.values import micros
+
+    texts = ["2024-03-10 02:30:00.5", "2024-11-03 01:30:00", "1969-12-31 23:59:59.999999"]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            got = [r[0] for r in df.select(micros(F.col("t").cast("timestamp_ntz"))).collect()]
+            assert got == [1710037800500000, 1730597400000000, -1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
