@@ -1,20 +1,25 @@
 """Small column expressions over single values, flags, packets and vectors."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The form of an episode id, and the words of a flag.
 EPISODE_ID = r"^\d{8}_\d{6}_\d+_\d+$"
 TRUE_WORDS = ("1", "true", "yes")
 FALSE_WORDS = ("0", "false", "no")
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
 
 def micros(ts: Column) -> Column:
     """Integer microseconds of a zone-free timestamp, whatever the session time zone."""
+    instant = F.unix_micros(ts.cast("timestamp"))
+    if SparkSession.active().conf.get("spark.sql.session.timeZone") in UTC_NAMES:
+        return instant
     seconds = F.unix_date(ts.cast("date")) * F.lit(86_400).cast("bigint")
-    seconds = seconds + F.hour(ts) * 3600 + F.minute(ts) * 60
-    fraction = F.extract(F.lit("SECOND"), ts) * 1_000_000
-    return seconds * 1_000_000 + fraction.cast("bigint")
+    seconds = seconds + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    # zones differ by whole seconds, so the fraction may be taken in any of them
+    fraction = F.pmod(instant, F.lit(1_000_000))
+    return seconds * 1_000_000 + fraction
 
 
 def r6(x: Column) -> Column:
