@@ -5,6 +5,7 @@ Thresholds are lowered so that almost every key counts as hot.
 
 import pytest
 from oracle import difference, duck
+from pyspark.sql import functions as F
 
 from epiframe.plans import series
 from epiframe.queries import QUERIES, SQL
@@ -68,7 +69,7 @@ def test_one_key_with_all_rows(spark):
     df = spark.range(5000).selectExpr("1 AS k", "id AS t", "id % 7 AS v")
     s = series.Series.plan(df, ["k"], ["t"], 300).number("pos")
     assert s.hot is not None and s.cold.isEmpty()
-    s = s.cumulate({"c": s.hot["v"]}).shift({"p": s.hot["t"]}).shift({"n": s.hot["t"]}, forward=True)
+    s = s.cumulate({"c": F.col("v")}).shift({"p": F.col("t")}).shift({"n": F.col("t")}, forward=True)
     rows = sorted(s.frame().collect(), key=lambda r: r.t)
     total = 0
     for i, r in enumerate(rows):
