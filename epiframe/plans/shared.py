@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a fresh one only where none is set."""
+    """The folder named by ``spark.checkpoint.dir``; a fresh one only in an unset local session."""
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if path is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="epiframe-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
