@@ -1,4 +1,4 @@
 """Operators of training-data pipelines, one module each, and their queries."""
 
-from epiframe.llm import mixing, near_dedup, quality, token_counts  # noqa: F401
+from epiframe.llm import mixing, near_dedup, packing, quality, token_counts  # noqa: F401
 from epiframe.llm.common import QUERIES, SQL  # noqa: F401

@@ -29,7 +29,7 @@ from epiframe.llm.scan import Texts, U, batches, mixed, windows
 
 SAMPLE = 1500
 BITS = 17
-KEEP = 0.5
+KEEP = 0.25
 BATCH = 1 << 20
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
