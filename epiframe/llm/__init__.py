@@ -1,4 +1,4 @@
 """Operators of training-data pipelines, one module each, and their queries."""
 
-from epiframe.llm import mixing, near_dedup, packing, pii, quality, sharding, token_counts, topk  # noqa: F401
+from epiframe.llm import licenses, mixing, near_dedup, packing, pii, quality, sharding, token_counts, topk, warc  # noqa: F401
 from epiframe.llm.common import QUERIES, SQL  # noqa: F401
