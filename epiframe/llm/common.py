@@ -33,6 +33,12 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def compact(df: DataFrame) -> DataFrame:
+    """``settle`` for what comes out of a shuffle: at most two files a core, since small
+    files cost more than the rows in them."""
+    return settle(df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism))
+
+
 def same(a: Column, b: Column) -> Column:
     """Equality that also holds between nulls."""
     return a.eqNullSafe(b)

@@ -16,7 +16,7 @@ Defined results
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epiframe.llm.common import query, same, settle, small, table
+from epiframe.llm.common import compact, query, same, small, table
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: A notice names a year, a holder after "by" or a sign; wrapped text that begins with the word stays.
@@ -111,7 +111,7 @@ def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
     if not isinstance(known, DataFrame):
         known = spark.createDataFrame(known, "name string, text string")
     found = known.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("name").alias("license"))
-    return settle(found.filter(F.col("digest") != digest(F.lit(""))))
+    return compact(found.filter(F.col("digest") != digest(F.lit(""))))
 
 
 def scan(docs: DataFrame, known=KNOWN) -> DataFrame:

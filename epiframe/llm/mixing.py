@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from epiframe.llm.common import WORD, query, same, settle, table
+from epiframe.llm.common import WORD, compact, query, same, settle, table
 
 BITS = 60
 LEVEL = 10
@@ -51,7 +51,7 @@ def ranked(totals: DataFrame) -> DataFrame:
     number of sources can be ranked; only one row per partition meets in one task.
     """
     order = [F.col("source").isNull(), F.col("source")]
-    parts = settle(totals.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+    parts = compact(totals.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     starts = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     starts = starts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
@@ -69,7 +69,7 @@ def targets(rows: DataFrame, weights: Sequence[float], most: int) -> DataFrame:
     """
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int"))
-    t = settle(ranked(totals).withColumn("weight", weight))
+    t = compact(ranked(totals).withColumn("weight", weight))
     size, w = F.col("source_size"), F.col("weight")
     total, all_w = t.agg(F.sum(size), F.sum(w)).first()
     if not total:
@@ -97,7 +97,7 @@ def boundary(rows: DataFrame, need: DataFrame, shift: int) -> DataFrame:
     here = F.struct("bucket", (F.col("below") + F.col("upto") - F.col("words")).alias("below"), "words", "low", "high")
     ends = sums.filter(F.col("below") + F.col("upto") >= F.col("need"))
     ends = ends.groupBy("s.source", "need").agg(F.min(here).alias("b"))
-    return settle(ends.select("source", "need", "b.*"))
+    return compact(ends.select("source", "need", "b.*"))
 
 
 def thresholds(rows: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -106,7 +106,7 @@ def thresholds(rows: DataFrame, weights: Sequence[float] = WEIGHTS, most: int =
     t = targets(rows, weights, most)
     size = F.col("source_size")
     whole = F.when(size > 0, F.floor(F.col("target") / size)).otherwise(0).cast("long")
-    t = settle(t.withColumn("whole", whole))
+    t = compact(t.withColumn("whole", whole))
     need = t.select(
         "source", (F.col("target") - F.col("whole") * size).alias("need"), F.lit(0).cast("long").alias("below")
     )
@@ -117,12 +117,12 @@ def thresholds(rows: DataFrame, weights: Sequence[float] = WEIGHTS, most: int =
         inside = same(F.col("r.source"), F.col("e.source")) & (
             F.shiftright("r.h", shift) == F.col("e.bucket")
         )
-        rows = settle(rows.alias("r").join(at, inside, "left_semi"))
+        rows = compact(rows.alias("r").join(at, inside, "left_semi"))
         shift -= LEVEL
         ends = boundary(rows, ends.select("source", "need", "below"), shift)
     nearer = F.col("below") + F.col("words") - F.col("need") < F.col("need") - F.col("below")
     cuts = ends.select("source", (F.col("low") + nearer.cast("long")).alias("cut"))
-    return settle(
+    return compact(
         t.alias("t")
         .join(cuts.alias("c"), same(F.col("t.source"), F.col("c.source")), "left")
         .select("t.*", F.coalesce("cut", F.lit(0)).alias("cut"))
@@ -151,7 +151,7 @@ def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST,
         "row", F.col("row.source").alias("source"), doc_hash(F.col("row.doc_id"), seed).alias("h")
     )
     out = with_copies(whole, cuts, "row")
-    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+    return out.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 @query(

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epiframe.llm.common import query, settle, small, table
+from epiframe.llm.common import compact, query, settle, small, table
 from epiframe.llm.scan import batches
 from epiframe.llm.token_counts import PIECE, pieces
 
@@ -177,7 +177,7 @@ def pack(docs: DataFrame) -> DataFrame:
     items = rows.filter(F.col("length") < LENGTH)
     groups = max(1, -(-items.count() // GROUP))
     items = items.withColumn("g", F.pmod(F.xxhash64("item"), F.lit(groups))).drop("item")
-    local = settle(
+    local = compact(
         items.groupBy("g").applyInPandas(
             packed_group,
             f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, "
@@ -186,17 +186,17 @@ def pack(docs: DataFrame) -> DataFrame:
     )
     # where each travelling bin ends up: its sequence and its offset there
     moving = local.filter("travels").groupBy("bin").agg(F.max("fill").alias("fill"))
-    moving = settle(moving.select("bin", F.col("bin").alias("seq"), F.lit(0).cast("long").alias("base")))
-    bins = settle(local.filter("travels").groupBy(F.col("bin").alias("seq")).agg(F.max("fill").alias("fill")))
+    moving = compact(moving.select("bin", F.col("bin").alias("seq"), F.lit(0).cast("long").alias("base")))
+    bins = compact(local.filter("travels").groupBy(F.col("bin").alias("seq")).agg(F.max("fill").alias("fill")))
     span = 1
     while groups > 1:
         groups, span = -(-groups // FAN), span * FAN
         g = F.floor(F.shiftright("seq", 24) / span).alias("g")
-        moves = settle(
+        moves = compact(
             bins.groupBy(g).applyInPandas(merged_group, "seq bigint, to bigint, base bigint, fill bigint, travels boolean")
         )
         step = moves.select("seq", "to", F.col("base").alias("more"))
-        moving = settle(
+        moving = compact(
             moving.join(step, "seq", "left").select(
                 "bin", F.coalesce("to", "seq").alias("seq"), (F.col("base") + F.coalesce("more", F.lit(0))).alias("base")
             )

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from epiframe.llm.common import query, settle, table
+from epiframe.llm.common import compact, query, settle, table
 
 K = 10
 EVERY = 100
@@ -167,11 +167,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, shard_rows: int = SH
         F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).alias("block"),
         F.pmod(F.xxhash64("vec_id", F.lit("home")), F.lit(shards)).alias("home"),
     )
-    asked = settle(asked.dropDuplicates())
+    asked = compact(asked.dropDuplicates())
     each_block = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
     rows = rows.withColumn("block", each_block)
     first = asked.withColumn("kth", F.lit(None).cast("long")).withColumn("shard", F.col("home"))
-    seed = settle(kept_best(searched(rows, first, k), k))
+    seed = compact(kept_best(searched(rows, first, k), k))
     full = seed.filter(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
     each_shard = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
     rest = asked.join(full, "query_id", "left").withColumn("shard", each_shard).filter("shard <> home")

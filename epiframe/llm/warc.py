@@ -39,7 +39,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epiframe.llm.common import new_path, query, settle, small, table
+from epiframe.llm.common import compact, new_path, query, settle, small, table
 
 BLOCK = 3000
 ARCHIVE = 256 << 20
@@ -144,7 +144,7 @@ def with_types(pages: DataFrame, min_bytes: int) -> DataFrame:
     sizes = rows.select("page_id", "digest", F.octet_length("html").alias("size"))
     shared_by = sizes.filter(F.col("size") >= min_bytes).groupBy("digest", "size")
     shared_by = shared_by.agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared_by = small(settle(shared_by.select("digest", "size", "last")))
+    shared_by = small(compact(shared_by.select("digest", "size", "last")))
     rows = rows.withColumn("size", F.octet_length("html")).join(shared_by, ["digest", "size"], "left")
     again = F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last"))
     return rows.withColumn("refers_to", F.when(again, F.col("last"))).select(
@@ -228,7 +228,7 @@ def write_index(captures: DataFrame, folder: str, block: int = BLOCK) -> DataFra
     place.create_dir(root, recursive=True)
     order = ["key", "archive", "offset"]
     ranged = captures.select("key", "archive", "offset", "length").repartitionByRange(*order).sortWithinPartitions(*order)
-    return settle(ranged.mapInArrow(write, "name string, first string, last string, at bigint, size bigint, n bigint"))
+    return compact(ranged.mapInArrow(write, "name string, first string, last string, at bigint, size bigint, n bigint"))
 
 
 # -- reading --------------------------------------------------------------------------
