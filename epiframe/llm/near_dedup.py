@@ -6,14 +6,16 @@
    here on the smallest doc_id of a class stands for it.
 2. Classes that share a band hash are candidates. Two classes at the threshold share none
    with probability (1 - 0.75**4)**32, about 5e-6. Each band bucket has a leader, the member
-   with the fullest buckets; a class is compared with the leader that looks most similar.
+   with the fullest buckets; a class is compared with the most similar and the most central
+   of its leaders.
 3. Similarity is estimated by counting unequal bit pairs and correcting for chance matches;
    a pair goes on if the estimate is within five standard errors of the threshold, and is
    then confirmed on the full sets. Components of confirmed links are merged.
-4. In buckets that still hold several components, the members outside the largest are
-   compared with all members of other components, in blocks, by the packed bits alone;
-   pairs that pass are confirmed on the full sets. So every candidate pair is either within
-   one component already or tested, and a large group costs one pair a member, not all pairs.
+4. The members of a leader's buckets are its family; two classes of one bucket share a
+   family. Where a family still holds several components, the members outside the largest
+   meet the others in blocks: the packed bits first, then the full sets within the same
+   join, which puts out links only. So every candidate pair is within one component already
+   or tested, and a group of copies costs two pairs a member, not all pairs.
 
 Nothing is dropped, capped or sampled. Links, labels and sets stay in tables.
 
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epiframe.llm.common import query, settle, small, table
+from epiframe.llm.common import compact, query, settle, small, table
 from epiframe.llm.scan import Texts, U, batches, mixed, windows
 
 SHINGLE = 5
@@ -190,17 +192,22 @@ def may_link(a: str, b: str) -> Column:
     return (100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)) & (unequal(a, b) <= most_unequal())
 
 
+def reach(a: str, b: str) -> Column:
+    """The full sets reach the threshold."""
+    a, b = F.col(f"{a}.shingles"), F.col(f"{b}.shingles")
+    both = F.size(F.array_intersect(a, b))
+    return 100 * both >= PERCENT * (F.size(a) + F.size(b) - both)
+
+
 def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (u, v) that reach the threshold on their full sets."""
-    pairs = settle(pairs)
+    pairs = compact(pairs)
     nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    sets = settle(full_sets(docs, settle(nodes)))
-    a, b = F.col("a.shingles"), F.col("b.shingles")
-    both = F.size(F.array_intersect(a, b))
+    sets = settle(full_sets(docs, compact(nodes)))
     return (
         pairs.join(sets.alias("a"), F.col("u") == F.col("a.node"))
         .join(sets.alias("b"), F.col("v") == F.col("b.node"))
-        .filter(100 * both >= PERCENT * (F.size(a) + F.size(b) - both))
+        .filter(reach("a", "b"))
         .select("u", "v")
         .distinct()
     )
@@ -216,17 +223,17 @@ def components(edges: DataFrame) -> DataFrame:
     def state(e):
         return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
-    edges = settle(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    edges = compact(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = None
     while (now := state(edges)) != before:
         before = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = settle(large.filter("u <> v").distinct())
+        large = compact(large.filter("u <> v").distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         out = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        edges = settle(out.union(least.select("u", "m")).distinct())
+        edges = compact(out.union(least.select("u", "m")).distinct())
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
@@ -236,40 +243,64 @@ def labelled(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataFr
     return rows.join(labels, node, "left").withColumn(name, F.coalesce(name, F.col(node)))
 
 
+def linked_outside(docs: DataFrame, led: DataFrame) -> DataFrame:
+    """Links (u, v) between components, within the classes that share a leader's buckets.
+
+    led: leader, node, label, n_shingles, bits. Classes outside the largest component of a
+    leader meet all its classes in blocks. The bits first name the classes with a possible
+    partner; only these carry their sets, and a pair leaves the join only as a link.
+    """
+    per = led.groupBy("leader", "label").agg(F.count(F.lit(1)).alias("k"))
+    per = per.groupBy("leader").agg(
+        F.sum("k").alias("size"), F.count(F.lit(1)).alias("labels"), F.max(F.struct("k", "label"))["label"].alias("main")
+    )
+    rows = compact(led.join(per.filter("labels > 1").drop("labels"), "leader"))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+
+    def everywhere(df):
+        return df.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+
+    def met(x, y):
+        apart = (F.col(f"{x}.label") != F.col(f"{y}.label")) & (
+            (F.col(f"{y}.label") == F.col(f"{y}.main")) | (F.col(f"{x}.node") < F.col(f"{y}.node"))
+        )
+        at = (F.col("x.leader") == F.col("y.leader")) & (F.col("x.block") == F.col("y.block"))
+        return at & apart & may_link(x, y)
+
+    outside = rows.filter("label <> main")
+    left = everywhere(outside).alias("x").join(rows.alias("y"), met("x", "y"), "left_semi").drop("block").distinct()
+    right = rows.alias("y").join(everywhere(outside).alias("x"), met("x", "y"), "left_semi")
+    left, right = compact(left), compact(right)
+    nodes = left.select("node").union(right.select("node")).distinct()
+    sets = settle(full_sets(docs, compact(nodes)))
+    left, right = everywhere(left).join(sets, "node").alias("x"), right.join(sets, "node").alias("y")
+    found = left.join(right, met("x", "y") & reach("x", "y"))
+    return found.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct()
+
+
 def classes_linked(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """(node, label) of the classes linked with others; reps: node, n_shingles, bits, bands."""
     bands = reps.select("node", F.explode("bands").alias("b"))
     shared = bands.groupBy("b").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    found = settle(bands.join(shared, "b"))
+    found = compact(bands.join(shared, "b"))
     crowd = found.groupBy("node").agg(F.sum("n").alias("crowd"))
     about = reps.select("node", "n_shingles", "bits").join(crowd, "node")
-    members = settle(found.join(about, "node"))
+    members = compact(found.join(about, "node"))
 
     lead = F.struct("crowd", "node", "n_shingles", "bits")
     leaders = members.groupBy("b").agg(F.max(lead).alias("l")).select("b", "l.*")
     near = members.alias("m").join(leaders.alias("l"), "b")
     near = near.filter((F.col("m.node") != F.col("l.node")) & may_link("m", "l"))
-    best = F.struct(unequal("m", "l").alias("unequal"), F.col("l.node").alias("v"))
-    pairs = near.groupBy(F.col("m.node").alias("u")).agg(F.min(best).alias("best")).select("u", "best.v")
+    closest = F.min_by("l.node", F.struct(unequal("m", "l"), "l.node"))
+    central = F.max_by("l.node", F.struct("l.crowd", "l.node"))
+    chosen = near.groupBy(F.col("m.node").alias("u")).agg(F.array(closest, central).alias("v"))
+    pairs = chosen.select("u", F.explode(F.array_distinct("v")).alias("v"))
     labels = components(confirmed(docs, pairs))
 
-    at = labelled(members, labels, "node", "label").drop("crowd")
-    per = at.groupBy("b", "label").agg(F.count(F.lit(1)).alias("k"))
-    mixed_up = per.groupBy("b").agg(
-        F.count(F.lit(1)).alias("labels"), F.max(F.struct("k", "label"))["label"].alias("main")
-    )
-    rows = settle(at.join(mixed_up.filter("labels > 1").drop("labels"), "b"))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-    outside = rows.filter("label <> main").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    apart = (F.col("x.label") != F.col("y.label")) & (
-        (F.col("y.label") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
-    )
-    left = outside.select("b", "block", "node", "label", "n_shingles", "bits").alias("x")
-    right = rows.select("b", "block", "node", "label", "main", "n_shingles", "bits").alias("y")
-    on = (F.col("x.b") == F.col("y.b")) & (F.col("x.block") == F.col("y.block")) & apart & may_link("x", "y")
-    pairs = left.join(right, on).select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct()
-    more = confirmed(docs, pairs)
+    led = members.join(leaders.select("b", F.col("node").alias("leader")), "b")
+    led = led.groupBy("leader", "node").agg(F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"))
+    more = compact(linked_outside(docs, compact(labelled(led, labels, "node", "label"))))
     over = labelled(labelled(more, labels, "u", "lu"), labels, "v", "lv")
     merged = components(over.select(F.col("lu").alias("u"), F.col("lv").alias("v")))
     top = merged.select(F.col("node").alias("label"), F.col("label").alias("end"))
@@ -281,7 +312,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     rows = settle(signed(docs))
     named = rows.filter("cls IS NOT NULL AND doc_id IS NOT NULL")
-    reps = settle(
+    reps = compact(
         named.groupBy("cls").agg(
             F.min("doc_id").alias("node"),
             F.first("n_shingles").alias("n_shingles"),
@@ -292,7 +323,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = classes_linked(docs, reps)
     # documents with several texts link the classes of all of them
     several = named.groupBy("doc_id").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi")
-    several = settle(several.select("doc_id"))
+    several = compact(several.select("doc_id"))
     if not several.isEmpty():
         ties = named.select("doc_id", "cls").join(several, "doc_id").join(reps.select("cls", "node"), "cls")
         ties = ties.select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
@@ -307,10 +338,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def first_of_each(docs: DataFrame) -> DataFrame:
     """The documents that are kept, with all their columns; of rows with one doc_id, the one
     with the smallest text. Rows without a doc_id all stay."""
-    found = settle(near_duplicates(docs).select("doc_id", "kept"))
-    gone = settle(found.filter("NOT kept").select("doc_id").distinct())
+    found = compact(near_duplicates(docs).select("doc_id", "kept"))
+    gone = compact(found.filter("NOT kept").select("doc_id").distinct())
     again = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    again = settle(again.filter("n > 1").select("doc_id"))
+    again = compact(again.filter("n > 1").select("doc_id"))
     rest = docs.join(small(gone), "doc_id", "left_anti")
     if again.isEmpty():
         return rest.select(docs.columns)
