@@ -1,15 +1,16 @@
 """Ordered scans over keyed rows that stay parallel when one key is huge.
 
 Most keys are small, so their rows go through ordinary windows partitioned by the key:
-one exchange and one sort. Keys that hold more rows than a task should sort are found
-first by a heavy-hitter sketch over the keys, which moves no rows (skipped where the whole
-input is small). Their rows are range-partitioned on the full order into blocks, written
-once to shared storage, scanned per block, and joined to the per-block summaries of the
-blocks before (or after) them.
-
-The summary side is broadcast. Its size is bounded: a hot key owns more than about
-1/SHARE of all rows, so there are at most 2 * SHARE hot keys and SHARE blocks, and one
-summary row per key and block, whatever the table size.
+one exchange and one sort. Rows are counted first. Only if there are more than a task should
+sort, they are counted by key, and keys above that bound are hot: their rows are
+range-partitioned on the full order into blocks of about that many rows, written once to
+shared storage, scanned per block, and joined to the summaries of the blocks before (or
+after) them. The summaries are a series of their own, one row per key and block, and are
+scanned in the same way, so a key of any length is carried up a tree of blocks.
+
+No size is guessed, and no number of keys or blocks is capped: a table of n rows has at most
+n / MAX_ROWS hot keys and twice as many summaries. Joins with them are broadcast only if
+that number is small, else they share the exchange of the windows that follow.
 """
 
 from collections.abc import Callable, Mapping
@@ -22,37 +23,30 @@ from pyspark.sql import Window as W
 from epiframe.plans.shared import settle
 
 MAX_ROWS = 4_000_000
-SHARE = 10_000
-TRACKED = 131_072
-SMALL_BYTES = 64 << 20
+BROADCAST_ROWS = 500_000
 STEPS = 3
 BLOCK = "_blk"
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan, from file sizes; no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def key_hash(keys: list[str]) -> Column:
     """Keys are told apart by hash here; a cold key that collides is merely treated as hot."""
     return F.xxhash64(*keys)
 
 
-def hot_keys(df: DataFrame, keys: list[str], max_rows: int) -> list[tuple[int, int]]:
-    """(hash, rows) of keys with more than ``max_rows`` rows and 1/SHARE of the table.
+def hot_keys(df: DataFrame, keys: list[str], max_rows: int) -> tuple[DataFrame, int, int] | None:
+    """(table of ``_h``, its rows, the rows of these keys) of keys with more than ``max_rows``
+    rows; None if there are none. The counts are exact."""
+    if df.count() <= max_rows:
+        return None
+    counts = df.groupBy(key_hash(keys).alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
+    names = settle(counts.filter(F.col("_n") > max_rows))
+    row = names.agg(F.count(F.lit(1)).alias("keys"), F.sum("_n").alias("rows")).first()
+    return (names.select("_h"), row["keys"], row["rows"]) if row["keys"] else None
+
 
-    The sketch never misses such a key: it reports every key above 2 * 3.5 / TRACKED of
-    the table, which is less than 1/SHARE, and it never counts a key too low.
-    """
-    top = F.call_function("approx_top_k", F.col("_h"), F.lit(2 * SHARE), F.lit(TRACKED))
-    row = (
-        df.select(key_hash(keys).alias("_h"))
-        .agg(top.alias("top"), F.count(F.lit(1)).alias("total"))
-        .first()
-    )
-    bound = max(max_rows, row.total // SHARE)
-    return [(t["item"], t["count"]) for t in row.top if t["count"] > bound]
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """Marked for broadcast if the counted rows are few."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 @dataclass(frozen=True)
@@ -64,28 +58,34 @@ class Series:
     cold: DataFrame
     hot: DataFrame | None = None
     names: DataFrame | None = None
+    n_names: int = 0
+    n_blocks: int = 0
     pending: int = 0
 
     @staticmethod
-    def plan(df: DataFrame, keys: list[str], order: list[str], max_rows: int | None = None) -> "Series":
-        """Split hot keys off. Inputs that fit a task by their size alone are not counted."""
-        if max_rows is None and estimated_bytes(df) <= SMALL_BYTES:
-            return Series(keys, order, df)
+    def plan(
+        df: DataFrame, keys: list[str], order: list[str], max_rows: int | None = None, like: "Series | None" = None
+    ) -> "Series":
+        """Split hot keys off. ``like`` is a planned series that has all rows of each key of
+        ``df`` and maybe more; its hot keys are used, and nothing is counted again."""
         max_rows = max_rows or MAX_ROWS
-        found = hot_keys(df, keys, max_rows)
-        if not found:
+        if like is not None:
+            found = None if like.names is None else (like.names, like.n_names, like.n_blocks * max_rows)
+        else:
+            found = hot_keys(df, keys, max_rows)
+        if found is None:
             return Series(keys, order, df)
-        names = df.sparkSession.createDataFrame([(h,) for h, _ in found], "_h BIGINT")
+        names, n_names, n_rows = found
         hashed = df.withColumn("_h", key_hash(keys))
-        blocks = min(SHARE, sum(-(-n // max_rows) for _, n in found))
+        n_blocks = max(2, -(-n_rows // max_rows))
         hot = settle(
-            hashed.join(F.broadcast(names), "_h", "left_semi")
+            hashed.join(few(names, n_names), "_h", "left_semi")
             .drop("_h")
-            .repartitionByRange(max(blocks, 2), *keys, *order)
+            .repartitionByRange(n_blocks, *keys, *order)
             .withColumn(BLOCK, F.spark_partition_id())
         )
-        cold = hashed.join(F.broadcast(names), "_h", "left_anti").drop("_h")
-        return Series(keys, order, cold, hot, names)
+        cold = hashed.join(few(names, n_names), "_h", "left_anti").drop("_h")
+        return Series(keys, order, cold, hot, names, n_names, n_blocks)
 
     # -- row-wise steps ---------------------------------------------------------------
 
@@ -100,13 +100,17 @@ class Series:
         return self.map(lambda d: d.filter(condition))
 
     def join_keys(self, facts: DataFrame) -> "Series":
-        """Add columns of a table with one row per key. Facts of hot keys are few: broadcast."""
+        """Add columns of a table with one row per key."""
         cold = self.cold.join(facts, self.keys, "left")
         if self.hot is None:
             return replace(self, cold=cold)
-        few = facts.withColumn("_h", key_hash(self.keys))
-        few = few.join(F.broadcast(self.names), "_h", "left_semi").drop("_h")
-        return replace(self, cold=cold, hot=self.hot.join(F.broadcast(few), self.keys, "left"))
+        own = facts.withColumn("_h", key_hash(self.keys))
+        own = own.join(few(self.names, self.n_names), "_h", "left_semi").drop("_h")
+        return replace(self, cold=cold, hot=self.hot.join(few(own, self.n_names), self.keys, "left"))
+
+    def settled(self) -> "Series":
+        """The same rows from shared storage, for chains that are read more than once."""
+        return replace(self, cold=settle(self.cold), hot=None if self.hot is None else settle(self.hot), pending=0)
 
     def frame(self) -> DataFrame:
         if self.hot is None:
@@ -179,31 +183,23 @@ class Series:
         def hot_step(hot: DataFrame) -> DataFrame:
             temp = hot.withColumns(inputs) if inputs else hot
             at = F.struct(*self.order)
-            along = W.partitionBy(*self.keys).orderBy(BLOCK)
-            before = along.rowsBetween(W.unboundedPreceding, -1)
-            back = W.partitionBy(*self.keys).orderBy(F.col(BLOCK).desc())
-            after = back.rowsBetween(W.unboundedPreceding, -1)
-
-            aggs, carries = [], []
-            if number is not None:
-                aggs.append(F.count(F.lit(1)).alias("_n"))
-                carries.append(F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n"))
+            aggs = [F.count(F.lit(1)).alias("_n")]
             for n, kind in kinds.items():
-                v, e = F.col(f"_v_{n}"), f"_e_{n}"
+                v = F.col(f"_v_{n}")
                 present = F.when(v.isNotNull(), at)
                 # edge rows are wrapped, since their value itself may be null
-                agg, move = {
-                    "total": lambda: (F.sum(v), F.sum(e).over(before)),
-                    "held": lambda: (F.max_by(v, present), F.last(e, True).over(before)),
-                    "ahead": lambda: (F.min_by(v, present), F.last(e, True).over(after)),
-                    "previous": lambda: (F.max_by(F.struct(v.alias("v")), at), F.lag(e).over(along)),
-                    "following": lambda: (F.min_by(F.struct(v.alias("v")), at), F.lead(e).over(along)),
+                edge = F.struct(v.alias("v"))
+                agg = {
+                    "total": lambda: F.sum(v),
+                    "held": lambda: F.max_by(v, present),
+                    "ahead": lambda: F.min_by(v, present),
+                    "previous": lambda: F.max_by(edge, at),
+                    "following": lambda: F.min_by(edge, at),
                 }[kind]()
-                aggs.append(agg.alias(e))
-                carries.append(move.alias(e))
-            blocks = temp.groupBy(*self.keys, BLOCK).agg(*aggs)
-            moved = blocks.select(*self.keys, BLOCK, *carries)
-            out = temp.join(F.broadcast(moved), [*self.keys, BLOCK], "left")
+                aggs.append(agg.alias(f"_e_{n}"))
+            blocks = settle(temp.groupBy(*self.keys, BLOCK).agg(*aggs))
+            moved = self._carried(blocks, kinds)
+            out = temp.join(few(moved, self.n_names + self.n_blocks), [*self.keys, BLOCK], "left")
 
             w = self._window(True)
             here = local(out, True)
@@ -219,13 +215,32 @@ class Series:
                 }[kind]()
             if number is not None:
                 cols[number] = here[number] + F.col("_n")
-            extra = [f"_e_{n}" for n in kinds] + (["_n"] if number is not None else [])
+            extra = [*(f"_e_{n}" for n in kinds), "_n"]
             return out.withColumns(cols).drop(*inputs, *extra)
 
         cold = self.cold.withColumns(inputs) if inputs else self.cold
         cold = cold.withColumns(local(cold, False)).drop(*inputs)
         return self._next(cold, hot_step)
 
+    def _carried(self, blocks: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
+        """What each block gets from the blocks before it, or after it. The summaries are
+        scanned as a series over (key, block)."""
+        edges = {n: F.col(f"_e_{n}") for n in kinds}
+        rows = "_rows"
+        while rows in kinds:  # a summary of summaries has this name too
+            rows += "_"
+        taken = {kind: {f"_t_{n}": edges[n] for n, k in kinds.items() if k == kind} for kind in set(kinds.values())}
+        sums = {n: F.coalesce(e, F.lit(0)) for n, e in taken.pop("total", {}).items()}
+
+        s = Series.plan(blocks.withColumnRenamed(BLOCK, "_at"), self.keys, ["_at"])
+        s = s.scan(total={rows: F.col("_n"), **sums}, **taken).map(lambda d: d.drop("_n"))
+        # sums and held values of all blocks before are those at the block before
+        running = [rows, *sums, *taken.get("held", {})]
+        s = s.shift({f"_s{n}": F.col(n) for n in running})
+        cols = [F.coalesce(f"_s{rows}", F.lit(0)).alias("_n")]
+        cols += [F.col(f"_s_t_{n}" if f"_t_{n}" in running else f"_t_{n}").alias(f"_e_{n}") for n in kinds]
+        return s.frame().select(*self.keys, F.col("_at").alias(BLOCK), *cols)
+
     def number(self, name: str = "pos") -> "Series":
         return self.scan(number=name)
 

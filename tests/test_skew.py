@@ -35,7 +35,6 @@ FRAME_QUERIES = ["future_chunk", "verify_padding_mask", "cfr_resample", "interva
 
 def check(spark, monkeypatch, name, max_rows):
     monkeypatch.setattr(series, "MAX_ROWS", max_rows)
-    monkeypatch.setattr(series, "SMALL_BYTES", -1)
     plain, hot = series.Series.plan, []
 
     def plan(*args, **kwargs):
@@ -59,12 +58,31 @@ def test_hot_short_keys(spark, monkeypatch, name):
     check(spark, monkeypatch, name, 8)
 
 
-def test_small_inputs_are_not_counted(spark, monkeypatch):
-    monkeypatch.setattr(series, "hot_keys", lambda *a: pytest.fail("counted"))
+def test_inputs_that_fit_a_task_are_not_split(spark):
     df = spark.read.parquet(f"{SF}/events.parquet")
     assert series.Series.plan(df, ["user_id"], ["ts"]).hot is None
 
 
+def test_exploded_rows_of_one_key_stay_within_the_bound(spark):
+    """Ten million rows that look like a few bytes to the optimizer."""
+    df = spark.range(10).select(
+        F.lit(1).alias("k"), F.explode(F.sequence(F.col("id") * 1_000_000, F.col("id") * 1_000_000 + 999_999)).alias("t")
+    )
+    s = series.Series.plan(df, ["k"], ["t"])
+    assert s.cold.isEmpty()
+    sizes = [r["count"] for r in s.hot.groupBy(series.BLOCK).count().collect()]
+    assert sum(sizes) == 10_000_000 and max(sizes) <= 1.25 * series.MAX_ROWS
+
+
+def test_a_series_like_another_has_its_hot_keys(spark, monkeypatch):
+    df = spark.range(5000).selectExpr("id % 3 AS k", "id AS t")
+    s = series.Series.plan(df, ["k"], ["t"], 300)
+    with monkeypatch.context() as m:
+        m.setattr(series, "hot_keys", lambda *a: pytest.fail("counted again"))
+        again = series.Series.plan(df.filter("t % 2 = 0"), ["k"], ["t"], 300, like=s)
+    assert again.number("n").frame().count() == 2500 and again.hot is not None
+
+
 def test_one_key_with_all_rows(spark):
     df = spark.range(5000).selectExpr("1 AS k", "id AS t", "id % 7 AS v")
     s = series.Series.plan(df, ["k"], ["t"], 300).number("pos")
