@@ -37,7 +37,7 @@ from epiframe.queries.base import (
 )
 from epiframe.queries.joins import CALIBRATION, calibrations
 from epiframe.queries.sequence import DAY, HOUR, W_EV, props_k, K_SQL
-from epiframe.queries.stats import BOUNDS_SQL, DIMS, ST, bounds
+from epiframe.queries.stats import BOUNDS_SQL, DIMS, ST, bounds, bounds_row
 
 NINE = ("x", "y", "z", "c0", "c1", "c2", "c3", "c4", "c5")
 W_EM = "OVER (PARTITION BY label ORDER BY vec_id)"
@@ -606,10 +606,13 @@ def zero_pad_vector(spark, sf_dir):
 
 
 def scaled(spark, sf_dir, stats):
-    rows = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", F.posexplode(F.array(*DIMS)).alias("dim", "x")
-    )
-    rows = rows.join(F.broadcast(stats), "dim")  # one row per channel, four in all
+    rows = table(spark, sf_dir, "lineitem").withColumn("_b", bounds_row(stats))
+    channels = [
+        F.struct(F.lit(i).alias("dim"), F.col(c).alias("x"), F.col("_b")[i]["q01"].alias("q01"),
+                 F.col("_b")[i]["q99"].alias("q99"))
+        for i, c in enumerate(DIMS)
+    ]
+    rows = rows.select("l_orderkey", "l_linenumber", "l_partkey", F.inline(F.array(*channels)))
     return rows.withColumn("y", quantile_scale(F.col("x"), F.col("q01"), F.col("q99")))
 
 
@@ -711,9 +714,7 @@ def discretize_state(spark, sf_dir):
     ),
 )
 def state_prompt_text(spark, sf_dir):
-    entry = F.struct("dim", F.struct("q01", "q99"))
-    channels = bounds(spark, sf_dir).agg(F.map_from_entries(F.collect_list(entry))).scalar()
-    rows = table(spark, sf_dir, "lineitem").withColumn("b", channels)  # four entries
+    rows = table(spark, sf_dir, "lineitem").withColumn("b", bounds_row(bounds(spark, sf_dir)))
     bins = [
         state_bin(quantile_scale(F.col(c), F.col("b")[i]["q01"], F.col("b")[i]["q99"]))
         for i, c in enumerate(DIMS)
@@ -747,17 +748,19 @@ def clicks_with_pose(spark, sf_dir):
     pose = g.pack([*flat, zero, zero, F.sin(turn), F.cos(turn)])
     rows = kind(events(spark, sf_dir), "click").withColumn("k", props_k())
     return rows.select(
-        "user_id", "event_id", "ts_us", pose.alias("pose"), (F.col("value") >= 2).alias("pose_ok")
+        "user_id", "event_id", "ts_us", pose.alias("pose"), (F.col("value") >= 2).alias("pose_ok"),
+        (F.col("ts_us") + F.col("k") * 1_000_000).alias("frame_us"),
     )
 
 
-def episode_grid(spark, sf_dir, how=HOW, max_rows=None):
+def episode_grid(spark, sf_dir, how=HOW, max_rows=None, clock=None, gates=None):
+    """(grid rows, facts of each episode)"""
     ev = events(spark, sf_dir)
     cameras = {"cam0": source(ev, "view"), "cam1": source(ev, "purchase")}
     hands = {"left": source(ev, "error"), "right": source(ev, "signup")}
     return resampled_grid(
         clicks_with_pose(spark, sf_dir), cameras, hands, ["user_id"], "ts_us", "event_id",
-        "pose_ok", how, max_rows,
+        "pose_ok", how, max_rows, clock, gates,
     )
 
 
@@ -798,7 +801,7 @@ _GRID = [
 )
 def resampled_episode(spark, sf_dir):
     joints = F.array(F.col("left.value"), F.col("right.value"))
-    s = training_samples(episode_grid(spark, sf_dir), "pose", joints, HOW)
+    s = training_samples(episode_grid(spark, sf_dir)[0], "pose", joints, HOW)
     return s.frame().select(
         "user_id", "event_id", "source_row", "grid_index", "cam0_index", "cam0_delta", "cam1_index",
         "cam1_delta", "left_delta", "right_delta", "sample_valid", "transition_valid",
@@ -826,5 +829,161 @@ _STRICT = [
 )
 def resampled_episode_strict(spark, sf_dir):
     joints = F.array(F.col("left.value"), F.col("right.value"))
-    s = training_samples(episode_grid(spark, sf_dir, STRICT), "pose", joints, STRICT)
+    s = training_samples(episode_grid(spark, sf_dir, STRICT)[0], "pose", joints, STRICT)
     return s.frame().select("user_id", "event_id", "source_row", "grid_index", "run", "sample_pos")
+
+
+# -- rates of their own, two clocks, rejects -------------------------------------------------
+
+PER = 6 * DAY
+RATED = Sampling(
+    **{**HOW.__dict__, "output_rate": 2, "per_second": PER, "ratio_tolerance": 0.3, "interval_floor": 2 * DAY}
+)
+
+
+def gates_of(spark, sf_dir):
+    """Episodes with a value above 480 stand for those with a bad report."""
+    rows = events(spark, sf_dir).groupBy("user_id").agg(F.max("value").alias("v")).filter("v > 480")
+    return rows.select("user_id", F.lit("status_not_ok").alias("category"), F.lit("report").alias("message"))
+
+
+def rated_grid(spark, sf_dir):
+    return episode_grid(spark, sf_dir, RATED, clock="frame_us", gates=gates_of(spark, sf_dir))
+
+
+_CK = "(props->>'$.k')::BIGINT"
+_RATES = [
+    EV,
+    *[kind_sql(k) for k in ("click", "view", "purchase", "error", "signup")],
+    *[c for k in ("view", "purchase", "error", "signup") for c in asof_sql(k)],
+    f"fc AS (SELECT *, {_CK} AS k, ts_us + {_CK} * 1000000 AS frame_us FROM click)",
+    f"cd AS (SELECT *, frame_us - lag(frame_us) {W_EV} AS gap FROM fc)",
+    f"ms AS (SELECT user_id, {PER}.0::DOUBLE / nullif(median(gap), 0) AS rate, count(*) AS rows FROM cd GROUP BY 1)",
+    *[
+        f"""f_{k} AS (SELECT user_id, (count(*) - 1) * {PER}.0::DOUBLE / nullif(max(ts_us) - min(ts_us), 0) AS fps
+          FROM {k} GROUP BY 1)"""
+        for k in ("view", "purchase")
+    ],
+    "gt AS (SELECT user_id FROM ev GROUP BY 1 HAVING max(value) > 480)",
+    """r0 AS (SELECT ms.*, round_even(rate, 0)::BIGINT AS source_rate, (a.fps / 2 + b.fps / 2) / rate AS ratio,
+      gt.user_id IS NOT NULL AS gated FROM ms LEFT JOIN f_view a USING (user_id)
+      LEFT JOIN f_purchase b USING (user_id) LEFT JOIN gt USING (user_id))""",
+    """rt AS (SELECT *, CASE WHEN gated THEN 'status_not_ok'
+      WHEN NOT coalesce(abs(rate - source_rate) <= 0.25 AND source_rate > 0 AND source_rate % 2 = 0, false)
+      THEN 'unsupported_rate' WHEN NOT coalesce(round_even(ratio, 0) > 0 AND abs(ratio - round_even(ratio, 0)) <= 0.3, false)
+      THEN 'camera_ratio' END AS category FROM r0)""",
+]
+
+
+@query(
+    "episode_rejects",
+    with_sql(
+        _RATES,
+        f"""SELECT user_id, rows, source_rate, source_rate // 2 AS stride, category,
+        round_even({PER}.0::DOUBLE / nullif(source_rate, 0), 0)::BIGINT AS nominal FROM rt""",
+    ),
+)
+def episode_rejects(spark, sf_dir):
+    """Rate, stride and reject category of every episode."""
+    facts = rated_grid(spark, sf_dir)[1]
+    return facts.select("user_id", "rows", "source_rate", "stride", "category", "nominal")
+
+
+_RATED = [
+    *_RATES,
+    f"""raw AS (SELECT c.user_id, c.event_id, c.ts_us, c.pos, c.k, c.value AS cv, rt.source_rate // 2 AS stride,
+      c.value >= 2 AND coalesce(abs(gap - nominal) <= greatest({2 * DAY}, round_even(nominal * 0.1::DOUBLE, 0)::BIGINT),
+      true) AS row_ok, v.s_pos AS i0, p.s_pos AS i1, v.delta AS d0, p.delta AS d1, e.delta AS dl, s.delta AS dr,
+      e.s_value AS lj, s.s_value AS rj
+      FROM cd c JOIN (SELECT *, round_even({PER}.0::DOUBLE / source_rate, 0)::BIGINT AS nominal FROM rt
+        WHERE category IS NULL) rt USING (user_id) JOIN near_view v USING (user_id, event_id)
+      JOIN near_purchase p USING (user_id, event_id) JOIN near_error e USING (user_id, event_id)
+      JOIN near_signup s USING (user_id, event_id))""",
+    f"bad AS (SELECT *, sum(CASE WHEN row_ok THEN 0 ELSE 1 END) {W_EV} AS c FROM raw)",
+    f"""gr AS (SELECT *, pos // stride AS grid_index, coalesce(c = lag(c) {W_EV} AND i0 > lag(i0) {W_EV}
+      AND i1 > lag(i1) {W_EV}, lag(c) {W_EV} IS NULL) AS transition_valid,
+      coalesce(abs(d0) <= {2 * DAY} AND abs(d1) <= {2 * DAY} AND abs(dl) <= {2 * DAY}
+      AND abs(dr) <= {2 * DAY}, false) AS sample_valid, cv / 100.0::DOUBLE AS px, k / 100.0::DOUBLE AS py,
+      2 * k * pi() / 200 AS yaw, count(*) OVER (PARTITION BY user_id) AS n FROM bad WHERE pos % stride = 0)""",
+]
+_VECTORS = f"""ks AS (SELECT unnest(range(0, {HORIZON + 1})) AS slot),
+ends AS (SELECT a.user_id, a.event_id, slot, slot > 0 AND a.grid_index + slot >= a.n AS padded,
+  CASE WHEN slot = 0 THEN greatest(a.grid_index - 1, 0) ELSE a.grid_index END AS g0,
+  CASE WHEN slot = 0 THEN a.grid_index ELSE least(a.grid_index + slot, a.n - 1) END AS g1 FROM gr a, ks),
+mv AS (SELECT e.user_id, e.event_id, slot, padded, cos(x.yaw) AS c0, sin(x.yaw) AS s0, y.px - x.px AS dx,
+  y.py - x.py AS dy, y.yaw - x.yaw AS turn, y.lj, y.rj
+  FROM ends e JOIN gr x ON x.user_id = e.user_id AND x.grid_index = e.g0
+  JOIN gr y ON y.user_id = e.user_id AND y.grid_index = e.g1),
+vec AS (SELECT user_id, event_id, slot::INTEGER AS slot, padded, [c0 * dx + s0 * dy, c0 * dy - s0 * dx, 0, cos(turn), sin(turn), 0,
+  -sin(turn), cos(turn), 0, lj, rj] AS v FROM mv)"""
+
+
+@query(
+    "episode_vectors",
+    with_sql(
+        [*_RATED, _VECTORS],
+        """SELECT user_id, event_id, slot, padded, (dim - 1)::INTEGER AS dim, round(v[dim]::FLOAT::DOUBLE, 3) + 0.0 AS x
+        FROM vec, (SELECT unnest(range(1, 12)) AS dim)""",
+    ),
+)
+def episode_vectors(spark, sf_dir):
+    """State (slot 0) and action chunk (slots 1 up) of every grid row, unfolded."""
+    joints = F.array(F.col("left.value"), F.col("right.value"))
+    rows = training_samples(rated_grid(spark, sf_dir)[0], "pose", joints, RATED).frame()
+    whole = F.concat(F.array(F.struct(F.col("state").alias("v"), F.lit(False).alias("padded"))),
+                     F.arrays_zip(F.col("action").alias("v"), F.col("is_pad").alias("padded")))
+    rows = rows.select("user_id", "event_id", F.posexplode(whole).alias("slot", "e"))
+    rows = rows.select("user_id", "event_id", "slot", "e.padded", F.posexplode("e.v").alias("dim", "x"))
+    return rows.withColumn("x", F.round(F.col("x").cast("double"), 3) + 0.0)
+
+
+@query(
+    "preflight_report",
+    with_sql(
+        [*_RATED, f"ep AS (SELECT user_id, count(*) FILTER (WHERE grid_index + {HORIZON} < n) AS f FROM gr GROUP BY 1)"],
+        f"""SELECT (SELECT count(*) FROM rt) AS episodes, (SELECT count(*) FROM rt WHERE category IS NULL) AS accepted,
+        (SELECT count(*) FROM rt WHERE category = 'status_not_ok') AS status_not_ok,
+        (SELECT count(*) FROM rt WHERE category = 'unsupported_rate') AS unsupported_rate,
+        (SELECT count(*) FROM rt WHERE category = 'camera_ratio') AS camera_ratio,
+        (SELECT sum(rows)::BIGINT FROM rt WHERE category IS NULL) AS source_rows, count(*) AS grid_rows,
+        count(*) FILTER (WHERE sample_valid AND transition_valid) AS aligned_rows,
+        max(abs(d0)) AS max_cam0, max(abs(d1)) AS max_cam1,
+        max(abs(dl)) FILTER (WHERE abs(dl) <= {2 * DAY}) AS max_left,
+        max(abs(dr)) FILTER (WHERE abs(dr) <= {2 * DAY}) AS max_right,
+        count(*) FILTER (WHERE grid_index + {HORIZON} < n) AS full_horizon_rows,
+        sum(greatest(0, grid_index + {HORIZON} - n + 1))::BIGINT AS padded_slots,
+        (SELECT count(*) FROM ep WHERE f = 0) AS episodes_without_full_row FROM gr""",
+    ),
+)
+def preflight_report(spark, sf_dir):
+    """Rejects by category, maxima over grid rows (cameras) and fresh rows (hands), padding."""
+    s, facts = rated_grid(spark, sf_dir)
+    last = F.max("grid_index").alias("_last")
+    rows = s.settled().frame()
+    rows = rows.join(rows.groupBy("user_id").agg(last), "user_id")
+    ahead = F.least(F.lit(HORIZON), F.col("_last") - F.col("grid_index"))
+    full = F.col("grid_index") + HORIZON <= F.col("_last")
+
+    def hand(n):
+        delta = F.abs(f"{n}_delta")
+        return F.max(F.when(delta <= RATED.max_hand_age, delta))
+
+    grid = rows.agg(
+        F.count(F.lit(1)).alias("grid_rows"),
+        F.count_if(F.col("sample_valid") & F.col("transition_valid")).alias("aligned_rows"),
+        *[F.max(F.abs(f"{n}_delta")).alias(f"max_{n}") for n in ("cam0", "cam1")],
+        *[hand(n).alias(f"max_{n}") for n in ("left", "right")],
+        F.count_if(full).alias("full_horizon_rows"),
+        F.sum(HORIZON - ahead).alias("padded_slots"),
+    )
+    short = rows.groupBy("user_id").agg(F.count_if(full).alias("f")).agg(F.count_if(F.col("f") == 0)).scalar()
+    category = F.col("category")
+    names = ("status_not_ok", "unsupported_rate", "camera_ratio")
+    totals = facts.agg(
+        F.count(F.lit(1)).alias("episodes"),
+        F.count_if(category.isNull()).alias("accepted"),
+        *[F.count_if(F.coalesce(category == n, F.lit(False))).alias(n) for n in names],
+        F.sum(F.when(category.isNull(), F.col("rows"))).alias("source_rows"),
+    )
+    out = totals.withColumns({"_g": grid.select(F.struct("*")).scalar(), "episodes_without_full_row": short})
+    return out.select(*totals.columns, "_g.*", "episodes_without_full_row")
