@@ -3,9 +3,10 @@
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from epiframe.plans.series import Series
+from epiframe.plans.series import Series, few
 from epiframe.plans.shared import settle
 
 
@@ -24,8 +25,10 @@ def quantiles_of_counts(
 ) -> DataFrame:
     """Quantiles with linear interpolation from a table of distinct values and counts."""
     s = Series.plan(counts, keys, [value], max_rows).cumulate({"_upto": F.col("_c")})
-    totals = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    rows = s.join_keys(totals).frame()
+    if s.hot is None:  # the total is in reach of the same exchange
+        rows = s.cold.withColumn("_n", F.sum("_c").over(W.partitionBy(*keys)))
+    else:
+        rows = s.join_keys(s.frame().groupBy(*keys).agg(F.max("_upto").alias("_n"))).frame()
     aggs = []
     for name, q in points.items():
         at = (F.col("_n") - 1) * F.lit(float(q))
@@ -64,17 +67,38 @@ def exact_quantiles(
     return quantiles_of_counts(value_counts(df, keys, value), keys, value, points, max_rows)
 
 
-def moments_of_counts(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Mean, population std (about the mean, in a second pass) and number of values."""
-    v, c = F.col(value).cast("double"), F.col("_c")
-    centre = counts.groupBy(*keys).agg(
-        (F.sum(v * c) / F.sum(c)).alias("mean"), F.sum(c).alias("n")
-    )
-    spread = F.sqrt(F.sum(c * F.pow(v - F.col("mean"), 2)) / F.first("n"))
-    # one row per key; the counts stay where they are if the keys are few
-    return counts.join(centre, keys).groupBy(*keys).agg(
-        F.first("mean").alias("mean"), spread.alias("std"), F.first("n").alias("n")
+def bracketed_quantiles(
+    df: DataFrame, keys: list[str], value: str, points: Mapping[str, float], accuracy: int = 1000
+) -> DataFrame:
+    """Exact quantiles, mean, population std and count for few keys with many values.
+
+    The first pass keeps moments and a rank sketch per key, whose error is at most
+    1 / accuracy of the values for certain; so each point has a bracket of about four times
+    that share which holds its neighbours. The second pass moves every value outside the
+    brackets to the end below it. That keeps the order and the values at the wanted ranks,
+    so the counts by distinct value are exact and hold little else than the brackets.
+    """
+    v = F.col(value).cast("double")
+    e = 2.0 / accuracy
+    ends = [min(1.0, max(0.0, q + side * e)) for q in sorted(points.values()) for side in (-1, 1)]
+    first = df.groupBy(*keys).agg(
+        F.avg(v).alias("mean"),
+        F.stddev_pop(v).alias("std"),
+        F.count(v).alias("n"),
+        F.percentile_approx(v, ends, accuracy).alias("_ends"),
     )
+    first = settle(first)
+    ranges = first.select(*keys, "_ends", F.col("n").alias("_n"))
+    rows = df.filter(F.col(value).isNotNull()).join(few(ranges, first.count()), keys)
+    at = v
+    for i in range(1, len(ends) - 2, 2):  # between two brackets
+        at = F.when((v > F.col("_ends")[i]) & (v < F.col("_ends")[i + 1]), F.col("_ends")[i]).otherwise(at)
+    at = F.when(v < F.col("_ends")[0], F.col("_ends")[0]).otherwise(at)
+    at = F.when(v > F.col("_ends")[len(ends) - 1], F.col("_ends")[len(ends) - 1]).otherwise(at)
+    # a bracket is wider than the gap between two ranks only from ``accuracy`` values on
+    at = F.when(F.col("_n") < 4 * accuracy, v).otherwise(at)
+    counts = value_counts(rows.select(*keys, at.alias("_x")), keys, "_x")
+    return first.drop("_ends").join(quantiles_of_counts(counts, keys, "_x", points), keys)
 
 
 def vector_stats(df: DataFrame, keys: list[str], vector: str, dims: int | None = None) -> DataFrame:
@@ -111,14 +135,13 @@ def masked_vector_stats(
     rows: DataFrame,
     vectors: Mapping[str, str],
     slots: Mapping[str, tuple[str, str]],
-    max_rows: int | None = None,
 ) -> DataFrame:
     """Per name and dimension: mean, population std, q01 and q99, all exact, in doubles.
 
     ``vectors`` maps a name to a vector column. ``slots`` maps a name to an array of slot
     vectors and its padding mask; padded slots are left out. A NaN or infinity is an error.
-    The rows are unfolded once, into merged counts per distinct value that are written to
-    shared storage, and everything else is computed from the counts.
+    The rows are unfolded in two passes that aggregate where they are: what is shuffled does
+    not grow with the horizon but for the values inside the quantile brackets.
     """
     tags = [F.array(F.lit(n)) for n in vectors]
     tags += [F.array_repeat(F.lit(n), F.size(v)) for n, (v, _) in slots.items()]
@@ -133,9 +156,7 @@ def masked_vector_stats(
     finite = ~(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     checked = F.when(finite, x).otherwise(F.raise_error(F.lit("non-finite value")).cast("double"))
     keys = ["key", "dim"]
-    counts = settle(value_counts(flat.select(*keys, checked.alias("x")), keys, "x"))
-    tails = quantiles_of_counts(counts, keys, "x", {"q01": 0.01, "q99": 0.99}, max_rows)
-    return moments_of_counts(counts, keys, "x").join(tails, keys)
+    return bracketed_quantiles(flat.select(*keys, checked.alias("x")), keys, "x", {"q01": 0.01, "q99": 0.99})
 
 
 def merge_stats(stats: DataFrame, keys: list[str]) -> DataFrame:
@@ -220,11 +241,21 @@ def masked_mean(df: DataFrame, keys: list[str], value: Column, padded: Column) -
 
 
 def image_error(a: DataFrame, b: DataFrame, pixel: list[str], value: str, peak: float) -> DataFrame:
-    """MSE, MAE and PSNR of two pixel tables joined on the pixel key; PSNR infinite if equal."""
+    """MSE, MAE and PSNR of two pixel tables joined on the pixel key; PSNR infinite if equal.
+
+    ``one_sided`` counts pixels that one image lacks or has as null; with any, the images
+    differ in shape and the errors are null.
+    """
     diff = F.col(f"a.{value}") - F.col(f"b.{value}")
-    pairs = a.alias("a").join(b.alias("b"), pixel).select(diff.cast("double").alias("_d"))
+    pairs = a.alias("a").join(b.alias("b"), pixel, "full").select(diff.cast("double").alias("_d"))
     out = pairs.agg(
-        F.avg(F.col("_d") * F.col("_d")).alias("mse"), F.avg(F.abs("_d")).alias("mae")
+        F.count_if(F.col("_d").isNull()).alias("one_sided"),
+        F.avg(F.col("_d") * F.col("_d")).alias("_mse"),
+        F.avg(F.abs("_d")).alias("_mae"),
+    )
+    whole = F.col("one_sided") == 0
+    out = out.select(
+        "one_sided", F.when(whole, F.col("_mse")).alias("mse"), F.when(whole, F.col("_mae")).alias("mae")
     )
     psnr = F.when(F.col("mse") == 0, F.lit(float("inf"))).otherwise(
         F.lit(10.0) * F.log10(F.lit(peak * peak) / F.col("mse"))

@@ -492,7 +492,14 @@ def joint_extremes(spark, sf_dir):
 def bounds(spark, sf_dir):
     """Empirical 1 % and 99 % bounds of every state channel."""
     rows = table(spark, sf_dir, "lineitem").select(F.posexplode(F.array(*DIMS)).alias("dim", "x"))
-    return stats.exact_quantiles(rows, ["dim"], "x", {"q01": 0.01, "q99": 0.99})
+    found = stats.bracketed_quantiles(rows, ["dim"], "x", {"q01": 0.01, "q99": 0.99})
+    return found.select("dim", "q01", "q99")
+
+
+def bounds_row(found):
+    """The bounds as one map from dim to (q01, q99): four entries."""
+    entry = F.struct("dim", F.struct("q01", "q99"))
+    return found.agg(F.map_from_entries(F.collect_list(entry))).scalar()
 
 
 BOUNDS_SQL = (
@@ -514,14 +521,11 @@ BOUNDS_SQL = (
 )
 def target_energy(spark, sf_dir):
     """Sum of squared normalised channels per row, over 32 model dimensions."""
-    rows = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", F.posexplode(F.array(*DIMS)).alias("dim", "x")
-    )
-    # one row per channel, four in all
-    rows = rows.join(F.broadcast(bounds(spark, sf_dir)), "dim")
-    y = quantile_scale(F.col("x"), F.col("q01"), F.col("q99"))
-    energy = F.sum(y * y) / (F.count(F.lit(1)) / F.lit(float(len(DIMS)))) / 32
-    return rows.groupBy("l_orderkey").agg(r6(energy).alias("energy"))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", *DIMS)
+    rows = rows.withColumn("_b", bounds_row(bounds(spark, sf_dir)))
+    ys = [quantile_scale(F.col(c), F.col("_b")[i]["q01"], F.col("_b")[i]["q99"]) for i, c in enumerate(DIMS)]
+    rows = rows.select("l_orderkey", sum((y * y for y in ys[1:]), ys[0] * ys[0]).alias("e"))
+    return rows.groupBy("l_orderkey").agg(r6(F.avg("e") / 32).alias("energy"))
 
 
 @query(
@@ -542,7 +546,7 @@ def value_distribution(spark, sf_dir):
             "d AS (SELECT pos // 1024 AS leaf, sha256(string_agg(id, chr(10) ORDER BY pos)) AS h FROM c GROUP BY 1)",
         ],
         """SELECT CASE WHEN count(*) = 1 THEN min(h) ELSE sha256(string_agg(h, chr(10) ORDER BY leaf))
-        END AS digest FROM d""",
+        END AS tree_sha256, CASE WHEN count(*) = 1 THEN 1 ELSE 2 END AS levels, 1024 AS leaf FROM d""",
     ),
 )
 def ordered_digest(spark, sf_dir):
@@ -554,7 +558,7 @@ def ordered_digest(spark, sf_dir):
 
 
 def _quarter(i):
-    return f"sum(('0x' || substr(h, {8 * i + 1}, 8))::BIGINT)::BIGINT AS part{i}"
+    return f"sum(('0x' || substr(h, {8 * i + 1}, 8))::BIGINT)::VARCHAR AS part{i}"
 
 
 @query(
@@ -562,14 +566,17 @@ def _quarter(i):
     with_sql(
         [
             """j AS (SELECT md5(to_json({'event_id': event_id, 'event_type': event_type, 'props': props,
-              'user_id': user_id})::VARCHAR) AS h FROM events)"""
+              'ts': epoch_us(ts), 'user_id': user_id, 'value': round(value * 1000000)::BIGINT})::VARCHAR) AS h
+              FROM events)"""
         ],
         "SELECT count(*) AS rows, " + ", ".join(_quarter(i) for i in range(4)) + " FROM j",
     ),
 )
 def canonical_digest(spark, sf_dir):
-    rows = table(spark, sf_dir, "events")
-    return audit.canonical_digest(rows, ["event_id", "event_type", "props", "user_id"])
+    """All six columns; instants and values as integers, whose text is the same everywhere."""
+    rows = events(spark, sf_dir).withColumnRenamed("ts_us", "ts")
+    rows = rows.withColumn("value", F.round(F.col("value") * 1_000_000).cast("bigint"))
+    return audit.canonical_digest(rows, rows.columns)
 
 
 @query(
@@ -613,7 +620,7 @@ def failure_categories(spark, sf_dir):
     "image_error",
     with_sql(
         [LI, "e AS (SELECT l_quantity - floor(l_quantity * 0.9 + l_tax * 10) AS d FROM li)"],
-        f"""SELECT {r6_sql('avg(d * d)')} AS mse, {r6_sql('avg(abs(d))')} AS mae,
+        f"""SELECT 0::BIGINT AS one_sided, {r6_sql('avg(d * d)')} AS mse, {r6_sql('avg(abs(d))')} AS mae,
         {r6_sql('10 * log10(255.0 * 255.0 / avg(d * d))')} AS psnr FROM e""",
     ),
 )
