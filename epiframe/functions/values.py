@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The form of an episode id, and the words of a flag.
-EPISODE_ID = r"^\d{8}_\d{6}_\d+_\d+$"
+EPISODE_ID = r"\A\d{8}_\d{6}_\d+_\d+\z"
 TRUE_WORDS = ("1", "true", "yes")
 FALSE_WORDS = ("0", "false", "no")
 UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")

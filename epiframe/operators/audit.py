@@ -1,5 +1,7 @@
 """Dataset audits: verified joins, inventories, equivalence, contracts and digests."""
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -122,6 +124,57 @@ def dataset_equivalence(
     return out.select("_e.*", "rows", "one_sided", broken.alias("violation"))
 
 
+def episode_equivalence(
+    a: DataFrame, b: DataFrame, episode: list[str], key: list[str], fields: list[str], may_differ: set[str]
+) -> DataFrame:
+    """One row per episode and field that differ in value, type or presence of rows.
+
+    Empty if the datasets are equivalent but for the fields that may differ, whose rows
+    have ``violation`` false.
+    """
+    kinds = {f: (a.schema[f].dataType, b.schema[f].dataType) for f in fields}
+    left = a.select(*episode, *key, F.struct(*fields).alias("_a"))
+    right = b.select(*episode, *key, F.struct(*fields).alias("_b"))
+    both = left.join(right, [*episode, *key], "full")
+    one_side = F.col("_a").isNull() | F.col("_b").isNull()
+    facts = [F.count(F.lit(1)).alias("rows"), F.count_if(one_side).alias("one_sided")]
+    for f in fields:
+        same = kinds[f][0] == kinds[f][1]
+        equal = F.col(f"_a.{f}").eqNullSafe(F.col(f"_b.{f}")) if same else F.lit(False)
+        facts.append(F.count_if(~one_side & ~equal).alias(f"_d_{f}"))
+    entry = [
+        F.struct(
+            F.lit(f).alias("field"),
+            F.col(f"_d_{f}").alias("different"),
+            F.lit(kinds[f][0] == kinds[f][1]).alias("same_type"),
+            F.lit(f in may_differ).alias("_may"),
+        )
+        for f in fields
+    ]
+    out = both.groupBy(*episode).agg(*facts).select(*episode, "rows", "one_sided", F.inline(F.array(*entry)))
+    out = out.filter((F.col("different") > 0) | (F.col("one_sided") > 0))
+    return out.withColumn("violation", (F.col("one_sided") > 0) | ~F.col("_may")).drop("_may")
+
+
+def as_entries(row: DataFrame) -> DataFrame:
+    """A one-row table of numbers as (name, value)."""
+    each = [F.struct(F.lit(c).alias("name"), F.col(c).cast("bigint").alias("value")) for c in row.columns]
+    return row.select(F.inline(F.array(*each)))
+
+
+def contract_check(declared: DataFrame, actual: DataFrame) -> DataFrame:
+    """One row per entry of either table (name, value): ok, differs, undeclared, not computed."""
+    left, right = declared.select("name", F.col("value").alias("declared")), actual.select("name", F.col("value").alias("actual"))
+    both = left.withColumn("_d", F.lit(True)).join(right.withColumn("_a", F.lit(True)), "name", "full")
+    verdict = (
+        F.when(F.col("_d").isNull(), "undeclared")
+        .when(F.col("_a").isNull(), "not computed")
+        .when(F.col("declared").eqNullSafe(F.col("actual")), "ok")
+        .otherwise("differs")
+    )
+    return both.select("name", "declared", "actual", verdict.alias("verdict"))
+
+
 def partition_check(
     original: DataFrame, selected: DataFrame, excluded: DataFrame, key: str, pos: str
 ) -> DataFrame:
@@ -183,20 +236,33 @@ def nested_entries(entries: DataFrame, path: str) -> DataFrame:
     return hits.groupBy("inner").agg(F.max_by("outer", F.length("outer")).alias("outer"))
 
 
-def merge_plan(entries: DataFrame, existing: DataFrame, path: str, policy: str) -> DataFrame:
+def require_separate(source: str, target: str) -> None:
+    """A merge must not write into what it reads: the target is neither the source nor in it."""
+    a, b = (re.sub(r"/+", "/", re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:", "", p)).rstrip("/") for p in (source, target))
+    if a == b:
+        raise ValueError("the source is the target")
+    if b.startswith(a + "/"):
+        raise ValueError("the target lies inside the source")
+
+
+def merge_plan(
+    entries: DataFrame, existing: DataFrame, path: str, policy: str, directory: Column | None = None
+) -> DataFrame:
     """Bring entries into one namespace by their last path part.
 
     The first entry of a name in path order takes it, unless it exists already. Others are
     conflicts: reported (``error``), left out (``skip``) or given the lowest free
-    ``stem__n`` (``rename``). A number is free if neither an existing name nor the own name
+    ``stem__n`` (``rename``), before the suffix of a file; an entry that is a ``directory``
+    keeps its whole name before the number. A number is free if neither an existing name nor the own name
     of any entry has it. Columns: path, name, outcome, target.
     """
     if policy not in ("error", "skip", "rename"):
         raise ValueError(f"unsupported conflict policy {policy}")
     name = F.element_at(F.split(F.col(path), "/"), -1)
     # existing names come first within a name, so one scan tells both facts about an entry
-    rows = entries.select(path, name.alias("name"), F.lit(1).alias("_entry")).unionByName(
-        existing.select(F.lit("").alias(path), "name", F.lit(0).alias("_entry")).distinct()
+    whole = F.lit(False) if directory is None else F.coalesce(directory, F.lit(False))
+    rows = entries.select(path, name.alias("name"), F.lit(1).alias("_entry"), whole.alias("_dir")).unionByName(
+        existing.select(F.lit("").alias(path), "name", F.lit(0).alias("_entry"), F.lit(False).alias("_dir")).distinct()
     )
     s = Series.plan(rows, ["name"], ["_entry", path]).cumulate(
         {"_there": 1 - F.col("_entry"), "_nth": F.col("_entry")}
@@ -225,13 +291,13 @@ def merge_plan(entries: DataFrame, existing: DataFrame, path: str, policy: str)
     # the n-th used number is passed over by every conflict whose rank reaches the count of
     # free numbers below it
     marks = used.select("name", (F.col("_n") - 1 - F.col("_i")).alias("_at"), F.lit(0).alias("_t"),
-                        F.lit("").alias(path))
-    asks = clash.select("name", F.col("_conflict").alias("_at"), F.lit(1).alias("_t"), path)
+                        F.lit("").alias(path), F.lit(False).alias("_dir"))
+    asks = clash.select("name", F.col("_conflict").alias("_at"), F.lit(1).alias("_t"), path, "_dir")
     both = Series.plan(asks.unionByName(marks), ["name"], ["_at", "_t"])
     both = both.cumulate({"_passed": (F.col("_t") == 0).cast("bigint")}).frame().filter("_t = 1")
     number = (F.col("_at") + 1 + F.col("_passed")).cast("string")
-    stem = F.regexp_extract("name", r"^(.+?)(\.[^.]*)?$", 1)
-    suffix = F.regexp_extract("name", r"^(.+?)(\.[^.]*)?$", 2)
+    stem = F.when(F.col("_dir"), F.col("name")).otherwise(F.regexp_extract("name", r"^(.+?)(\.[^.]*)?$", 1))
+    suffix = F.when(F.col("_dir"), F.lit("")).otherwise(F.regexp_extract("name", r"^(.+?)(\.[^.]*)?$", 2))
     renamed = both.select(
         path,
         "name",
@@ -245,13 +311,13 @@ def canonical_digest(df: DataFrame, cols: list[str]) -> DataFrame:
     """Order-free digest of a record set: row count and sums of four hash quarters.
 
     Each record is hashed as JSON with sorted keys. Sums merge map-side, so no list of
-    records is ever collected. Equal sets have equal digests; the digest is ours.
+    records is ever collected. They have 38 digits, printed, which 10**27 rows don't fill.
+    Equal sets have equal digests; the digest is ours.
     """
     text = F.to_json(F.struct(*sorted(cols)), {"ignoreNullFields": "false"})
-    parts = [F.conv(F.substring("_h", 8 * i + 1, 8), 16, 10).cast("bigint") for i in range(4)]
-    return df.select(F.md5(text).alias("_h")).agg(
-        F.count(F.lit(1)).alias("rows"), *[F.sum(p).alias(f"part{i}") for i, p in enumerate(parts)]
-    )
+    parts = [F.conv(F.substring("_h", 8 * i + 1, 8), 16, 10).cast("decimal(20,0)") for i in range(4)]
+    sums = [F.sum(p).cast("decimal(38,0)").cast("string").alias(f"part{i}") for i, p in enumerate(parts)]
+    return df.select(F.md5(text).alias("_h")).agg(F.count(F.lit(1)).alias("rows"), *sums)
 
 
 def ordered_digest(df: DataFrame, keys: list[str], text: str, pos: str) -> DataFrame:
@@ -264,17 +330,19 @@ def ordered_digest(df: DataFrame, keys: list[str], text: str, pos: str) -> DataF
 
 
 def chained_digest(df: DataFrame, pos: str, text: str, leaf: int = 1024) -> DataFrame:
-    """SHA-256 of an ordered list of any length, as a tree of bounded leaves.
+    """Digest of an ordered list of any length: a SHA-256 tree of bounded leaves.
 
     ``pos`` is dense. Each leaf hashes ``leaf`` consecutive lines; the hashes of the
-    leaves are the lines of the next level, until one remains.
+    leaves are the lines of the next level, until one remains. ``levels`` and ``leaf`` are
+    part of the result, since they define the digest; it is no hash of the list itself.
     """
     level = df.select(F.col(pos).alias("_p"), F.col(text).alias("_t"))
-    longest = (level.agg(F.max("_p")).first()[0] or 0) + 1
+    longest, levels = (level.agg(F.max("_p")).first()[0] or 0) + 1, 0
     while True:
+        levels += 1
         level = ordered_digest(
             level.withColumn("_l", F.floor(F.col("_p") / leaf)), ["_l"], "_t", "_p"
         ).select(F.col("_l").alias("_p"), F.col("digest").alias("_t"))
         longest = -(-longest // leaf)
         if longest <= 1:
-            return level.select(F.col("_t").alias("digest"))
+            return level.select(F.col("_t").alias("tree_sha256"), F.lit(levels).alias("levels"), F.lit(leaf).alias("leaf"))

@@ -16,10 +16,14 @@ def frame_deltas(s: Series, frame: str, ts: str) -> Series:
     return s.with_columns({"dt": F.col(ts) - F.col("previous_ts")})
 
 
-def monotonic_check(s: Series, ts: str, row: str) -> DataFrame:
-    """Per key: rows whose clock does not exceed the previous row's, and the first of them."""
+def monotonic_check(s: Series, ts: str, row: str, strict: bool = True) -> DataFrame:
+    """Per key: rows whose clock does not exceed the previous row's, and the first of them.
+
+    Not strict, a clock may stand still, as it does between copies of a packet.
+    """
     s = s.shift({"_prev": F.col(ts)})
-    bad = F.col("_prev").isNotNull() & (F.col(ts) <= F.col("_prev"))
+    back = F.col(ts) <= F.col("_prev") if strict else F.col(ts) < F.col("_prev")
+    bad = F.col("_prev").isNotNull() & back
     return (
         s.frame()
         .groupBy(*s.keys)
@@ -65,10 +69,11 @@ def span_all_true(
     """Grid rows only, each saying whether the span from the previous grid row is sound.
 
     Sound means every raw row after the previous grid row up to this one is ok and each
-    ``increasing`` column grew. The first grid row is sound. A running count of bad rows
+    ``increasing`` column grew; null is not ok. The first grid row is sound. A running count of bad rows
     replaces a scan of each span. ``number`` names a column for the position on the grid.
     """
-    s = s.cumulate({"_bad": (~row_ok).cast("bigint")}).filter(on_grid)
+    bad = ~F.coalesce(row_ok, F.lit(False))
+    s = s.cumulate({"_bad": bad.cast("bigint")}).filter(on_grid)
     s = s.scan(
         number=number,
         previous={"_pbad": F.col("_bad"), **{f"_p_{c}": F.col(c) for c in increasing}},
@@ -85,9 +90,10 @@ def valid_runs(s: Series, sample: Column, transition: Column, name: str = "run")
     """Index of the run a row belongs to, -1 outside runs.
 
     A run is a maximal stretch of valid samples joined by valid transitions. A bad incoming
-    edge starts a new run at that row.
+    edge starts a new run at that row. A null sample or transition is not valid.
     """
-    s = s.with_columns({"_ok": sample}).shift({"_prev_ok": F.col("_ok")})
+    transition = F.coalesce(transition, F.lit(False))
+    s = s.with_columns({"_ok": F.coalesce(sample, F.lit(False))}).shift({"_prev_ok": F.col("_ok")})
     starts = F.col("_ok") & (~F.coalesce(F.col("_prev_ok"), F.lit(False)) | ~transition)
     s = s.cumulate({"_runs": starts.cast("bigint")})
     return s.with_columns(
@@ -95,6 +101,35 @@ def valid_runs(s: Series, sample: Column, transition: Column, name: str = "run")
     ).map(lambda d: d.drop("_ok", "_prev_ok", "_runs"))
 
 
+def contiguous_from_zero(df: DataFrame, keys: list[str], index: str) -> DataFrame:
+    """Per key: whether ``index`` takes every value from 0 up, once each."""
+    n = F.count(F.lit(1))
+    at = df.groupBy(*keys, index).agg(n.alias("_c")).groupBy(*keys)
+    out = at.agg(
+        F.sum("_c").alias("rows"), F.count(index).alias("_d"), F.min(index).alias("_lo"), F.max(index).alias("_hi")
+    )
+    whole = (F.col("_lo") == 0) & (F.col("_hi") == F.col("rows") - 1) & (F.col("_d") == F.col("rows"))
+    return out.select(*keys, "rows", F.coalesce(whole, F.lit(False)).alias("contiguous"))
+
+
+def emitted_runs(records: DataFrame, chosen: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Run records with ``emitted``, ``output_episode_id`` and ``discard_reason``.
+
+    Without ``chosen`` (full mode) every run is part of its episode's output; with it, the
+    rows of ``single_substantial_run``, only the chosen run is.
+    """
+    name = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
+    none = F.lit(None).cast("string")
+    if chosen is None:
+        facts = {"emitted": F.lit(True), "output_episode_id": name, "discard_reason": none}
+        return records.withColumns(facts)
+    out = records.join(chosen.select(*keys, "chosen_run", "reject_reason"), keys, "left")
+    taken = F.coalesce(F.col("run") == F.col("chosen_run"), F.lit(False))
+    reason = F.when(~taken, F.coalesce("reject_reason", F.lit("singleton")))
+    facts = {"emitted": taken, "output_episode_id": F.when(taken, name), "discard_reason": reason}
+    return out.withColumns(facts).drop("chosen_run", "reject_reason")
+
+
 def run_records(df: DataFrame, keys: list[str], pos: str, facts: list[str], run: str = "run") -> DataFrame:
     """One row per run: half-open bounds, size, and first and last value of each fact."""
     first = [F.min_by(c, pos).alias(f"first_{c}") for c in facts]
@@ -112,8 +147,13 @@ def run_records(df: DataFrame, keys: list[str], pos: str, facts: list[str], run:
     )
 
 
-def single_substantial_run(records: DataFrame, keys: list[str], run: str = "run") -> DataFrame:
-    """Per key: the only run of two or more samples, or why the key is rejected."""
+def single_substantial_run(
+    records: DataFrame, keys: list[str], run: str = "run", episodes: DataFrame | None = None
+) -> DataFrame:
+    """Per key: the only run of two or more samples, or why the key is rejected.
+
+    ``episodes`` has one row per key; those without any run are rejected with a row too.
+    """
     big = F.col("samples") >= 2
     picked = F.struct(F.col(run).alias("run"), "start", "end")
     out = records.groupBy(*keys).agg(
@@ -121,7 +161,10 @@ def single_substantial_run(records: DataFrame, keys: list[str], run: str = "run"
         F.count_if(big).alias("substantial"),
         F.min(F.when(big, picked)).alias("_pick"),
     )
-    reason = F.when(F.col("substantial") == 0, "all_singletons").when(
+    if episodes is not None:
+        out = episodes.select(*keys).join(out, keys, "left").fillna(0, ["runs", "substantial"])
+    reason = F.when(F.col("runs") == 0, "no_valid_run")
+    reason = reason.when(F.col("substantial") == 0, "all_singletons").when(
         F.col("substantial") > 1, "multiple_valid_runs"
     )
     one = F.when(F.col("substantial") == 1, F.col("_pick"))
@@ -141,13 +184,16 @@ def dedup_keep_last(
 ) -> DataFrame:
     """One row per instant: the latest by ``row``; ``conflict`` where payloads differ.
 
-    Pure partial aggregation, so any number of copies of one instant is merged map-side.
+    A null payload differs from any other. Pure partial aggregation, so any number of copies
+    of one instant is merged map-side. The order of the clock is checked apart, by
+    ``monotonic_check`` with ``strict`` off.
     """
+    some, all_of = F.count(payload), F.count(F.lit(1))
     return df.groupBy(*keys, ts).agg(
         F.max(row).alias(row),
         *[F.max_by(c, row).alias(c) for c in keep],
         (F.count(F.lit(1)) - 1).alias("duplicates"),
-        (F.min(payload) != F.max(payload)).alias("conflict"),
+        (F.coalesce(F.min(payload) != F.max(payload), F.lit(False)) | ((some > 0) & (some < all_of))).alias("conflict"),
     )
 
 
@@ -215,9 +261,12 @@ def global_index(s: Series, key: str, pos: str, max_rows: int | None = None):
     return s.map(lambda d: d.drop("from_index")), spans
 
 
-def cfr_resample(s: Series, ts: str, period: int, row: str) -> DataFrame:
+def cfr_resample(s: Series, ts: str, period: int, row: str, rate: tuple[int, int] = (1, 1)) -> DataFrame:
     """Constant-rate timeline: for each output frame, the last source row at or before it.
 
+    ``rate`` is the playback rate as a fraction: at (2, 1) the source runs twice as fast, so
+    an output frame covers twice the source time.
+
     Each source row emits the frames between its own time and the next row's, so the
     timeline is made where the rows are, with no join on time. The tail lasts the median
     positive delay.
@@ -225,16 +274,20 @@ def cfr_resample(s: Series, ts: str, period: int, row: str) -> DataFrame:
     first = s.frame().groupBy(*s.keys).agg(
         F.min(ts).alias("_t0"), (F.max(ts) - F.min(ts)).alias("_span")
     )
+    fast, slow = rate
+    if fast < 1 or slow < 1:
+        raise ValueError("rate must be positive")
     s = s.scan(previous={"_prev": F.col(ts)}, following={"_next": F.col(ts)})
     delays = s.frame().select(*s.keys, (F.col(ts) - F.col("_prev")).alias("_delay"))
     tail = exact_quantiles(delays.filter("_delay > 0"), s.keys, "_delay", {"_tail": 0.5})
     length = first.join(tail, s.keys, "left")
-    frames = F.floor((F.col("_span") + F.coalesce("_tail", F.lit(float(period)))) / period + 0.5)
+    tail = F.coalesce("_tail", F.lit(period * fast / slow))
+    frames = F.floor((F.col("_span") + tail) * slow / (period * fast) + 0.5)
     length = length.select(*s.keys, "_t0", F.greatest(F.lit(1), frames).alias("_frames"))
 
     def frame_at(t: Column) -> Column:
-        offset = t - F.col("_t0")
-        return F.call_function("div", offset + F.lit(period - 1), F.lit(period))
+        offset = (t - F.col("_t0")) * slow
+        return F.call_function("div", offset + F.lit(period * fast - 1), F.lit(period * fast))
 
     s = s.join_keys(length)
     s = s.with_columns(

@@ -5,6 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from epiframe.plans.series import Series
+
 # Statuses that raise no warning, and names of the status filters.
 HEALTHY = ("ok", "OK", "healthy")
 STATUS_ALIASES = {
@@ -96,12 +98,30 @@ def rejects(df: DataFrame, key: str, rules: Sequence[tuple[str, Column, Column]]
     return df.select(key, hit.alias("_r")).filter("_r IS NOT NULL").select(key, "_r.*")
 
 
-def page(df: DataFrame, order: Sequence[Column], number: int, limit: int) -> DataFrame:
-    """One page of an ordered listing, with the total of the whole listing on each row."""
+def page(df: DataFrame, order: list[str], number: int, limit: int) -> DataFrame:
+    """One page of an ordered listing, with the total of the whole listing on each row.
+
+    Rows are numbered in order, in blocks if they are many, so that a late page gathers no
+    more than an early one.
+    """
     if number < 1 or not 1 <= limit <= 500:
         raise ValueError("page must be at least 1 and limit in 1..500")
     total = df.agg(F.count(F.lit(1))).scalar()
-    return df.orderBy(*order).offset((number - 1) * limit).limit(limit).withColumn("total", total)
+    s = Series.plan(df.withColumn("_all", F.lit(1)), ["_all"], order).number("_pos")
+    first = (number - 1) * limit
+    return s.frame().filter(F.col("_pos").between(first, first + limit - 1)).drop("_all", "_pos").withColumn("total", total)
+
+
+def page_after(df: DataFrame, order: list[str], last: Sequence | None, limit: int) -> DataFrame:
+    """The page that follows the row with the values ``last`` in ``order``; the first if None.
+
+    Every task keeps at most ``limit`` rows, whatever the page.
+    """
+    if not 1 <= limit <= 500:
+        raise ValueError("limit must be in 1..500")
+    if last is not None:
+        df = df.filter(F.struct(*order) > F.struct(*[F.lit(v).alias(c) for c, v in zip(order, last)]))
+    return df.orderBy(*order).limit(limit)
 
 
 def seeded_pick(df: DataFrame, key: str, seed: int) -> DataFrame:

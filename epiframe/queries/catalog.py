@@ -34,7 +34,20 @@ def ordered_listing(spark, sf_dir):
 def page(spark, sf_dir):
     rows = catalog_status(spark, sf_dir).select("doc_id", "status", "source")
     rows = val.search_filter(rows, "pending", "", "status", F.col("source")).drop("source")
-    return val.page(rows, [F.col("doc_id")], 3, 20)
+    return val.page(rows, ["doc_id"], 3, 20)
+
+
+@query(
+    "page_after",
+    with_sql(
+        [STATUS_SQL],
+        """SELECT source, doc_id, status FROM cat WHERE (source, doc_id) > ('src1', 20)
+        ORDER BY source, doc_id LIMIT 20""",
+    ),
+)
+def page_after(spark, sf_dir):
+    rows = catalog_status(spark, sf_dir).select("source", "doc_id", "status")
+    return val.page_after(rows, ["source", "doc_id"], ["src1", 20], 20)
 
 
 @query(

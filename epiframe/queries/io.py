@@ -41,12 +41,17 @@ def scan_csv(spark, sf_dir):
 
 @query(
     "scan_json_object",
-    with_sql([EV], f"SELECT event_id, {K_SQL} AS k FROM ev"),
+    "SELECT n_nationkey::BIGINT AS n_nationkey, n_name, n_regionkey::BIGINT AS n_regionkey FROM nation",
 )
 def scan_json_object(spark, sf_dir):
-    """The props text of each event as one JSON object."""
-    fields = F.from_json("props", "k BIGINT", {"mode": "FAILFAST"})
-    return events(spark, sf_dir).select("event_id", fields.k.alias("k"))
+    """Each nation as a file of its own, one JSON object over several lines."""
+    path = new_path(spark, "nations-json")
+    rows = table(spark, sf_dir, "nation")
+    text = F.to_json(F.struct("n_nationkey", "n_name", "n_regionkey"), {"pretty": "true"})
+    rows.select("n_nationkey", text.alias("value")).repartition("n_nationkey").write.partitionBy("n_nationkey").text(path)
+    schema = "n_nationkey BIGINT, n_name STRING, n_regionkey BIGINT"
+    files = f"{path}/n_nationkey=*"
+    return readers.scan_json_object(spark, files, schema)
 
 
 @query("scan_jsonl", _EVENT_SQL)
@@ -201,27 +206,46 @@ def sink_write_once(spark, sf_dir):
 
 @query(
     "declare_feature_schema",
-    """SELECT unnest(['state', 'action', 'action_is_pad']) AS feature, 0::BIGINT AS violations, rows
-    FROM (SELECT count(*) AS rows FROM lineitem)""",
+    """SELECT unnest(['state', 'action', 'action_is_pad']) AS feature,
+    unnest([n, 0, 0]) AS violations, rows
+    FROM (SELECT count(*) AS rows, count(*) FILTER (WHERE l_linenumber = 7) AS n FROM lineitem)""",
 )
 def declare_feature_schema(spark, sf_dir):
+    """States of line 7 are one channel short; actions are padded to their shape and pass."""
     s = order_frames(spark, sf_dir, *DIMS).with_columns({"state": F.array(*DIMS)})
     s = future_chunk(s, F.col("state"), HORIZON, "pos")
+    short = F.when(F.col("l_linenumber") == 7, F.slice("state", 1, len(DIMS) - 1)).otherwise(F.col("state"))
     rows = s.frame().select(
-        "state", F.col("chunk").alias("action"), F.col("is_pad").alias("action_is_pad")
+        short.alias("state"), F.col("chunk").alias("action"), F.col("is_pad").alias("action_is_pad")
     )
     return sinks.shape_violations(rows, sinks.feature_shapes(len(DIMS), HORIZON, 640, 480))
 
 
-@query("manifest_verify", "SELECT 'ok' AS verdict, true AS present")
+@query(
+    "manifest_verify",
+    "SELECT unnest(['ok', 'size', 'sha256', 'unlisted', 'missing', 'outside']) AS verdict, true AS present",
+)
 def manifest_verify(spark, sf_dir):
-    """Events written as files, listed with their hashes, and checked against the list."""
+    """Events written as files, listed with their hashes, and checked against a spoiled list."""
     path = new_path(spark, "manifest")
     rows = event_rows(spark, sf_dir)
     rows.repartitionByRange("event_id").write.partitionBy("event_type").parquet(path)
     listed = new_path(spark, "listed")
     sinks.file_manifest(spark, path).write.parquet(listed)
-    checked = sinks.manifest_verify(spark, spark.read.parquet(listed), path)
+    rows = spark.read.parquet(listed)
+
+    def of(kind):
+        return F.contains("path", F.lit(f"event_type={kind}/"))
+
+    spoiled = rows.filter(~of("signup")).withColumns(
+        {
+            "size": F.when(of("view"), F.col("size") + 1).otherwise(F.col("size")),
+            "sha256": F.when(of("error"), F.lit("0")).otherwise(F.col("sha256")),
+        }
+    )
+    extra = [(f"{path}/nothing.parquet", 1, "0"), (f"/other{path}/a.parquet", 1, "0")]
+    spoiled = spoiled.unionByName(spark.createDataFrame(extra, "path string, size bigint, sha256 string"))
+    checked = sinks.manifest_verify(spark, spoiled, path)
     return checked.groupBy("verdict").agg((F.count(F.lit(1)) > 0).alias("present"))
 
 
@@ -234,23 +258,26 @@ _HALF = "round(l_tax / 2, 4)"
     false AS violation, min({_HALF}) AS min, max({_HALF}) AS max, {r6_sql(f'avg({_HALF})')} AS mean,
     {r6_sql(f'stddev_pop({_HALF})')} AS std FROM lineitem
     UNION ALL SELECT 'l_discount', count(*), 0, false, min(l_discount), max(l_discount),
-    round(avg(l_discount), 5) + 0.0, round(stddev_pop(l_discount), 5) + 0.0 FROM lineitem""".replace(
+    round(avg(l_discount), 5) + 0.0, round(stddev_pop(l_discount), 5) + 0.0 FROM lineitem
+    UNION ALL SELECT unnest(['l_returnflag', 'l_linestatus', 'l_shipdate']), n, 0, false, NULL, NULL, NULL, NULL
+    FROM (SELECT count(*) AS n FROM lineitem)""".replace(
         r6_sql(f"avg({_HALF})"), f"round(avg({_HALF}), 5) + 0.0"
     ).replace(r6_sql(f"stddev_pop({_HALF})"), f"round(stddev_pop({_HALF}), 5) + 0.0"),
 )
 def patch_columns(spark, sf_dir):
     """A new version with one column replaced, its statistics, and proof the rest is unchanged."""
-    fields = ["l_tax", "l_discount"]
-    old = order_frames(spark, sf_dir, *fields).frame()
+    numbers = ["l_tax", "l_discount"]
+    fields = [*numbers, "l_returnflag", "l_linestatus", "l_shipdate"]
+    old = order_frames(spark, sf_dir, *fields).frame().drop("pos")
     path = new_path(spark, "patched")
     sinks.write_once(old.withColumn("l_tax", F.round(F.col("l_tax") / 2, 4)), path)
     new = spark.read.parquet(path)
     key = ["l_orderkey", *LI_ORDER]
     proof = audit.dataset_equivalence(old, new, key, fields, {"l_tax"})
-    named = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("x")) for f in fields])
+    named = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("x")) for f in numbers])
     long = new.select(F.inline(named))
     fresh = stats.scalar_stats(long, ["field"], "x")
-    out = proof.join(fresh, "field").select(
+    out = proof.join(fresh, "field", "left").select(
         "field", "rows", "different", "violation", "min", "max", "mean", "std"
     )
     return out.withColumns({c: F.round(c, 5) + 0.0 for c in ("mean", "std")})

@@ -250,7 +250,7 @@ def snapshot_diff(spark, sf_dir):
     return audit.snapshot_diff(before, after, ["user_id", "event_type"], ["size", "mtime"])
 
 
-_FIELDS = ["l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+_FIELDS = ["l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
 @query(
@@ -264,7 +264,8 @@ _FIELDS = ["l_discount", "l_tax", "l_returnflag", "l_linestatus"]
           rows, 0::BIGINT AS one_sided, false AS violation FROM d
         UNION ALL SELECT 'l_tax', c, true, rows, 0, false FROM d
         UNION ALL SELECT 'l_returnflag', 0, false, rows, 0, false FROM d
-        UNION ALL SELECT 'l_linestatus', 0, false, rows, 0, false FROM d)""",
+        UNION ALL SELECT 'l_linestatus', 0, false, rows, 0, false FROM d
+        UNION ALL SELECT 'l_shipdate', 0, false, rows, 0, false FROM d)""",
     ),
 )
 def dataset_equivalence(spark, sf_dir):
@@ -275,6 +276,29 @@ def dataset_equivalence(spark, sf_dir):
     return audit.dataset_equivalence(a, b, key, _FIELDS, {"l_tax"})
 
 
+@query(
+    "episode_equivalence",
+    """SELECT l_orderkey, field, different, true AS same_type, rows, one_sided, one_sided > 0 OR field <> 'l_tax' AS violation
+    FROM (SELECT l_orderkey, count(*) AS rows, count(*) FILTER (WHERE gone) AS one_sided,
+        unnest(['l_discount', 'l_tax', 'l_returnflag', 'l_linestatus', 'l_shipdate']) AS field,
+        unnest([count(*) FILTER (WHERE NOT gone AND l_linenumber = 7),
+          count(*) FILTER (WHERE NOT gone AND l_tax <> round(l_tax / 2, 4)), 0, 0, 0]) AS different
+      FROM (SELECT *, l_linenumber = 6 AND l_partkey % 2 = 0 AS gone FROM lineitem) GROUP BY l_orderkey)
+    WHERE different > 0 OR one_sided > 0""",
+)
+def episode_equivalence(spark, sf_dir):
+    """A copy with halved taxes, which may differ, other discounts in line 7, and rows missing."""
+    a = order_frames(spark, sf_dir, *_FIELDS).frame()
+    b = order_frames(spark, sf_dir, *_FIELDS).frame().withColumns(
+        {
+            "l_tax": F.round(F.col("l_tax") / 2, 4),
+            "l_discount": F.when(F.col("l_linenumber") == 7, F.col("l_discount") + 1).otherwise(F.col("l_discount")),
+        }
+    )
+    b = b.filter(~((F.col("l_linenumber") == 6) & (F.col("l_partkey") % 2 == 0)))
+    return audit.episode_equivalence(a, b, ["l_orderkey"], LI_ORDER, _FIELDS, {"l_tax"})
+
+
 def padded_slots(n, horizon):
     """Padded slots of an episode of ``n`` rows, in closed form."""
     h = F.lit(horizon)
@@ -317,6 +341,29 @@ def contract_totals_verify(spark, sf_dir):
     )
 
 
+@query(
+    "contract_check",
+    with_sql(
+        [LI, f"k AS (SELECT unnest(range(1, {HORIZON + 1})) AS k)"],
+        """SELECT * FROM (SELECT 'episodes' AS name, (SELECT count(DISTINCT l_orderkey) FROM li) AS declared,
+          (SELECT count(DISTINCT l_orderkey) FROM li) AS actual, 'ok' AS verdict
+        UNION ALL SELECT 'frames', (SELECT count(*) + 1 FROM li), (SELECT count(*) FROM li), 'differs'
+        UNION ALL SELECT 'padded_slots', (SELECT count(*) FROM li, k WHERE pos + k >= n),
+          (SELECT count(*) FROM li, k WHERE pos + k >= n), 'ok'
+        UNION ALL SELECT 'real_slots', NULL, (SELECT count(*) FROM li, k WHERE pos + k < n), 'undeclared'
+        UNION ALL SELECT 'orders', (SELECT count(*) FROM orders), (SELECT count(*) FROM orders), 'ok'
+        UNION ALL SELECT 'suppliers', (SELECT count(*) FROM supplier), NULL, 'not computed')""",
+    ),
+)
+def contract_check(spark, sf_dir):
+    """A declared contract with a wrong, a missing and a superfluous entry, against the data."""
+    got = contract_totals_verify(spark, sf_dir).select("episodes", "frames", "padded_slots", "real_slots")
+    got = got.withColumn("orders", table(spark, sf_dir, "orders").agg(F.count(F.lit(1))).scalar())
+    said = got.withColumn("frames", F.col("frames") + 1).drop("real_slots")
+    said = said.withColumn("suppliers", table(spark, sf_dir, "supplier").agg(F.count(F.lit(1))).scalar())
+    return audit.contract_check(audit.as_entries(said), audit.as_entries(got))
+
+
 STATUS_SQL = """cat AS (SELECT d.doc_id, d.source, d.lang, d.text, d.n_chars, l.quality, l.toxic,
   CASE WHEN l.doc_id IS NULL THEN 'pending' WHEN toxic = 1 THEN 'trashed'
   WHEN quality = 1 THEN 'kept' ELSE 'skipped' END AS status

@@ -18,6 +18,7 @@ from epiframe.queries.base import (
     order_frames,
     query,
     source,
+    table,
     user_series,
     with_sql,
 )
@@ -85,6 +86,35 @@ def median_interval(s, ts="ts_us"):
     return exact_quantiles(gaps, s.keys, "gap", {"median": 0.5})
 
 
+@query(
+    "contiguous_index",
+    """SELECT l_orderkey, count(*) AS rows, min(i) = 0 AND max(i) = count(*) - 1 AND count(DISTINCT i) = count(*)
+    AS contiguous FROM (SELECT *, l_linenumber - 1 AS i FROM lineitem WHERE l_partkey % 9 <> 0) GROUP BY 1""",
+)
+def contiguous_index(spark, sf_dir):
+    """Line numbers from zero, with rows of some parts taken out."""
+    rows = table(spark, sf_dir, "lineitem").filter(F.col("l_partkey") % 9 != 0)
+    rows = rows.select("l_orderkey", (F.col("l_linenumber") - 1).alias("i"))
+    return seq.contiguous_from_zero(rows, ["l_orderkey"], "i")
+
+
+@query(
+    "packet_clock",
+    with_sql(
+        [EV, "n AS (SELECT *, ts_us // 86400000000 + CASE WHEN value > 200 THEN -3 ELSE 0 END AS day FROM ev)",
+         f"d AS (SELECT *, lag(day) {W_EV} AS p FROM n)"],
+        """SELECT user_id, count(*) FILTER (WHERE day < p) AS violations,
+        min(event_id) FILTER (WHERE day < p) AS first_bad_row,
+        count(*) FILTER (WHERE day < p) = 0 AS accepted FROM d GROUP BY 1""",
+    ),
+)
+def packet_clock(spark, sf_dir):
+    """Days as a packet clock that may stand still but not go back, as it does after large values."""
+    day = F.floor(F.col("ts_us") / DAY) + F.when(F.col("value") > 200, -3).otherwise(0)
+    s = user_series(events(spark, sf_dir), day.alias("day"))
+    return seq.monotonic_check(s, "day", "event_id", strict=False)
+
+
 @query(
     "interval_discontinuity",
     with_sql(
@@ -169,6 +199,52 @@ def single_substantial_run(spark, sf_dir):
     return seq.single_substantial_run(run_records(spark, sf_dir), ["user_id"])
 
 
+#: Runs of large values only, so that some episodes have one and some have none.
+RARE = RUNS.replace("value >= 20 AS ok", "value >= 150 AS ok")
+
+
+def rare_runs(spark, sf_dir):
+    s = user_series(events(spark, sf_dir), "event_type", "value").number("pos")
+    s = seq.valid_runs(s, F.col("value") >= 150, F.col("event_type") != "error")
+    return seq.run_records(s.settled().frame(), ["user_id"], "pos", [])
+
+
+def all_users(spark, sf_dir):
+    return events(spark, sf_dir).select("user_id").distinct()
+
+
+@query(
+    "run_rejects",
+    with_sql(
+        [EV, RARE, RECORDS, ONE_RUN],
+        """SELECT user_id, coalesce(runs, 0) AS runs, coalesce(substantial, 0) AS substantial,
+        CASE WHEN runs IS NULL THEN 'no_valid_run' WHEN substantial = 0 THEN 'all_singletons'
+        WHEN substantial > 1 THEN 'multiple_valid_runs' END AS reject_reason
+        FROM (SELECT DISTINCT user_id FROM ev) LEFT JOIN one USING (user_id)""",
+    ),
+)
+def run_rejects(spark, sf_dir):
+    """Every episode with its reject reason, also those without any valid row."""
+    out = seq.single_substantial_run(rare_runs(spark, sf_dir), ["user_id"], episodes=all_users(spark, sf_dir))
+    return out.select("user_id", "runs", "substantial", "reject_reason")
+
+
+@query(
+    "emitted_runs",
+    with_sql(
+        [EV, RARE, RECORDS, ONE_RUN],
+        """SELECT user_id, run, start, "end", samples, substantial = 1 AND samples >= 2 AS emitted,
+        CASE WHEN substantial = 1 AND samples >= 2 THEN user_id::VARCHAR END AS output_episode_id,
+        CASE WHEN substantial = 0 THEN 'all_singletons' WHEN substantial > 1 THEN 'multiple_valid_runs'
+        WHEN samples < 2 THEN 'singleton' END AS discard_reason FROM rec JOIN one USING (user_id)""",
+    ),
+)
+def emitted_runs(spark, sf_dir):
+    records = rare_runs(spark, sf_dir)
+    chosen = seq.single_substantial_run(records, ["user_id"])
+    return seq.emitted_runs(records, chosen, ["user_id"])
+
+
 @query(
     "run_membership",
     with_sql(

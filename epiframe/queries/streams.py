@@ -137,7 +137,7 @@ def stream_gap_runs(spark, sf_dir):
     def each():
         stream = jobs.arriving(spark, path, rows.schema)
         runs = jobs.gap_runs(stream, ["user_id"], "at", "1 day", "ts_us", late="1 hour")
-        jobs.run_available(runs, jobs.batch_writer(out), "append", mark)
+        jobs.run_available(runs, jobs.batch_writer(out), "append", mark, jobs.LOCAL_SESSIONS)
 
     deliver(rows, "ts_us", path, each, closing)
     return spark.read.parquet(out).drop(jobs.BATCH).filter("user_id IS NOT NULL")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from epiframe.functions.values import EPISODE_ID
-from epiframe.operators.validate import require_columns
 from epiframe.plans.series import Series
 
 
@@ -27,7 +26,6 @@ def scan_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFr
         .option("escape", '"')
         .csv(path)
     )
-    require_columns(df, df.columns)
     return _not_empty(df, path)
 
 
@@ -85,11 +83,18 @@ def scan_ordered_id_list(
     return rows.select((F.col("pos") + 1).alias("line"), text.alias("id"), problem.alias("problem"))
 
 
+def bad_lines(listed: DataFrame) -> DataFrame:
+    """Every bad line of a list: line, id, problem."""
+    return listed.filter("problem IS NOT NULL").select("line", "id", "problem")
+
+
 def require_clean_list(listed: DataFrame) -> DataFrame:
-    """The list itself, or an error that names the first bad lines."""
-    bad = listed.filter("problem IS NOT NULL").orderBy("line").limit(20).collect()
-    if bad:
-        raise ValueError("; ".join(f"line {r.line}: {r.problem} {r.id!r}" for r in bad))
+    """The list itself, or an error with the number of bad lines by problem; ``bad_lines``
+    has them all."""
+    found = bad_lines(listed).groupBy("problem").agg(F.count(F.lit(1)).alias("n"), F.min("line").alias("line"))
+    found = found.orderBy("line").collect()  # one row per kind of problem
+    if found:
+        raise ValueError("; ".join(f"{r.n} {r.problem}, first in line {r.line}" for r in found))
     return listed
 
 

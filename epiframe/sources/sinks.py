@@ -6,16 +6,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: A row of the sample schema with 1,024 slots of 64 floats stays below 300 KB.
+FILE_ROWS = 5_000
+
+
 def write_episodes(df: DataFrame, path: str, episode: str, order: str) -> None:
     """One folder per episode, rows in order.
 
     Rows are spread by range of (episode, order), so a long episode becomes several
-    consecutive files instead of one task. An existing target is refused.
+    consecutive files instead of one task. A file has at most ``FILE_ROWS`` rows, so that a
+    manifest can read it whole. An existing target is refused.
     """
     (
         df.repartitionByRange(episode, order)
         .sortWithinPartitions(episode, order)
         .write.mode("errorifexists")
+        .option("maxRecordsPerFile", FILE_ROWS)
         .partitionBy(episode)
         .parquet(path)
     )
@@ -59,13 +65,17 @@ def append_log(df: DataFrame, path: str) -> None:
 
 
 def write_once(df: DataFrame, path: str) -> bool:
-    """Write a new dataset; False if there is one already, which is then left untouched."""
+    """Write a new dataset; False if there is one already, which is then left untouched. An
+    empty folder is no dataset."""
     try:
         df.write.mode("errorifexists").parquet(path)
     except AnalysisException as e:
-        if e.getCondition() == "PATH_ALREADY_EXISTS":
+        if e.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        files = df.sparkSession.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        if not files.select("path").isEmpty():
             return False
-        raise
+        df.write.mode("append").parquet(path)
     return True
 
 
@@ -131,10 +141,25 @@ def shape_violations(df: DataFrame, shapes: dict[str, tuple]) -> DataFrame:
     return sums.select("rows", F.inline(each))
 
 
+def type_violations(df: DataFrame, declared: T.StructType) -> list[tuple[str, str, str]]:
+    """(column, declared type, actual type) of every declared column that is absent or of
+    another type; nullability is not compared, since files do not keep it."""
+
+    def plain(kind) -> str:
+        return kind.simpleString()
+
+    actual = {f.name: plain(f.dataType) for f in df.schema.fields}
+    return [
+        (f.name, plain(f.dataType), actual.get(f.name, "absent"))
+        for f in declared.fields
+        if actual.get(f.name) != plain(f.dataType)
+    ]
+
+
 def file_manifest(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
     """Path, size and SHA-256 of every data file of a dataset.
 
-    A file is one row and must be below 2 GB, which the episode writer keeps to.
+    A file is one row and must be below 2 GB, which the episode writer's row bound ensures.
     """
     files = (
         spark.read.format("binaryFile")
@@ -145,16 +170,22 @@ def file_manifest(spark: SparkSession, root: str, glob: str = "*.parquet") -> Da
     return files.select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
 
 
+def plain_path(path: Column) -> Column:
+    """A path without its scheme, which writers and readers spell in different ways."""
+    return F.regexp_replace(F.regexp_replace(path, r"\A[A-Za-z][A-Za-z0-9+.-]*:", ""), r"/{2,}", "/")
+
+
 def manifest_verify(spark: SparkSession, manifest: DataFrame, root: str) -> DataFrame:
     """Each manifest row or file with its verdict: ok, outside, missing, unlisted, size, sha256."""
     actual = file_manifest(spark, root).select(
         "path", F.col("size").alias("_size"), F.col("sha256").alias("_sha")
     )
     both = manifest.join(actual, "path", "full")
-    home = root.rstrip("/") + "/"
+    home = plain_path(F.lit(root.rstrip("/") + "/"))
+    inside = F.startswith(plain_path(F.col("path")), home) & ~F.contains("path", F.lit("/../"))
     verdict = (
         F.when(F.col("size").isNull(), "unlisted")
-        .when(~F.contains("path", F.lit(home)) | F.contains("path", F.lit("/../")), "outside")
+        .when(~inside, "outside")
         .when(F.col("_size").isNull(), "missing")
         .when(F.col("size") != F.col("_size"), "size")
         .when(F.col("sha256") != F.col("_sha"), "sha256")

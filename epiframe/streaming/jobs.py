@@ -4,7 +4,7 @@ Each job resumes from its checkpoint. Results of a micro-batch go to a folder na
 batch number and are overwritten if the batch is run again, so a retry changes nothing.
 """
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,20 +15,30 @@ from epiframe.operators.align import Stream, asof
 BATCH = "batch"
 
 
-def arriving(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(path)
+#: Rows of one key are merged into sessions before the exchange, so a hot key sends sessions.
+LOCAL_SESSIONS = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
 
 
-def run_available(stream: DataFrame, sink: Callable, mode: str, checkpoint: str) -> None:
+def arriving(spark: SparkSession, path: str, schema: StructType, max_bytes: int = 64 << 30) -> DataFrame:
+    """Files as they arrive; a backlog comes in micro-batches of about ``max_bytes``."""
+    return spark.readStream.schema(schema).option("maxBytesPerTrigger", str(max_bytes)).parquet(path)
+
+
+def run_available(
+    stream: DataFrame, sink: Callable, mode: str, checkpoint: str, settings: Mapping[str, str] | None = None
+) -> None:
     """Process everything that has arrived since the last run, then stop.
 
     A new job gets one state partition per core of the cluster; the checkpoint keeps that
-    number for later runs.
+    number for later runs. A started query has a session of its own, so the settings are
+    taken back as soon as it has started.
     """
-    spark = stream.sparkSession
-    name = "spark.sql.shuffle.partitions"
-    usual = spark.conf.get(name)
-    spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
+    conf = stream.sparkSession.conf
+    cores = str(stream.sparkSession.sparkContext.defaultParallelism)
+    settings = {"spark.sql.shuffle.partitions": cores, **(settings or {})}
+    usual = {k: conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        conf.set(k, v)
     try:
         query = (
             stream.writeStream.foreachBatch(sink)
@@ -37,9 +47,10 @@ def run_available(stream: DataFrame, sink: Callable, mode: str, checkpoint: str)
             .trigger(availableNow=True)
             .start()
         )
-        query.awaitTermination()
     finally:
-        spark.conf.set(name, usual)
+        for k, v in usual.items():
+            conf.unset(k) if v is None else conf.set(k, v)
+    query.awaitTermination()
 
 
 def _folder(base: str, batch: int) -> str:
@@ -192,12 +203,8 @@ def gap_runs(rows: DataFrame, keys: Sequence[str], time: str, gap: str, ts: str,
              late: str | None = None) -> DataFrame:
     """Runs of rows less than ``gap`` apart; on a stream, emitted when the gap has passed.
 
-    Rows of one key are merged into sessions before the exchange, so a hot key sends
-    sessions, not rows.
+    Run it with ``LOCAL_SESSIONS``.
     """
-    conf = rows.sparkSession.conf
-    conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
-    conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     if late is not None:
         rows = rows.withWatermark(time, late)
     return rows.groupBy(*keys, F.session_window(time, gap).alias("_w")).agg(

@@ -232,7 +232,8 @@ def test_digest_of_long_lists(spark):
         for i in range(0, 10, 4)
     ]
     want = hashlib.sha256("\n".join(leaves).encode()).hexdigest()
-    assert audit.chained_digest(df, "pos", "t", leaf=4).first().digest == want
+    row = audit.chained_digest(df, "pos", "t", leaf=4).first()
+    assert (row.tree_sha256, row.levels, row.leaf) == (want, 2, 4)
 
 
 def test_edge_repeats(spark):
@@ -259,3 +260,79 @@ def test_microseconds_do_not_depend_on_the_session_zone(spark):
             assert got == [1710037800500000, 1730597400000000, -1]
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_null_checks_are_not_passed(spark):
+    rows = [(1, 0, True, True, 0), (1, 1, None, True, 1), (1, 2, True, None, 2), (1, 3, True, True, 3)]
+    df = spark.createDataFrame(rows, "k INT, t INT, ok BOOLEAN, edge BOOLEAN, n INT")
+    s = seq.span_all_true(Series.plan(df, ["k"], ["t"]), F.col("t") % 2 == 0, F.col("ok"), ["n"])
+    assert [r.transition_valid for r in s.frame().orderBy("t").collect()] == [True, False]
+    s = seq.valid_runs(Series.plan(df, ["k"], ["t"]), F.lit(True), F.col("edge"))
+    assert [r.run for r in s.frame().orderBy("t").collect()] == [0, 0, 1, 1]
+    s = seq.valid_runs(Series.plan(df, ["k"], ["t"]), F.col("ok"), F.lit(True))
+    assert [r.run for r in s.frame().orderBy("t").collect()] == [0, -1, 1, 1]
+
+
+def test_episodes_without_runs_are_rejected(spark):
+    rec = runs(spark, bits("TT"), bits("TT"))
+    all_of = spark.createDataFrame([(1,), (9,)], "k INT")
+    got = {r.k: r for r in seq.single_substantial_run(rec, ["k"], episodes=all_of).collect()}
+    assert got[9].reject_reason == "no_valid_run" and got[9].runs == 0
+    full = seq.emitted_runs(rec, None, ["k"]).first()
+    assert full.emitted and full.output_episode_id == "1" and full.discard_reason is None
+
+
+def test_null_payloads_conflict(spark):
+    df = spark.createDataFrame([(1, 5, 0, 3), (1, 5, 1, None), (1, 6, 2, None), (1, 6, 3, None)], "k INT, t INT, r INT, v INT")
+    got = {r.t: r.conflict for r in seq.dedup_keep_last(df, ["k"], "t", "r", F.col("v"), ["v"]).collect()}
+    assert got == {5: True, 6: False}
+
+
+def test_missing_pixels_leave_no_error(spark):
+    a = spark.createDataFrame([(0, 1.0), (1, 2.0)], "p INT, v DOUBLE")
+    row = stats.image_error(a, a.filter("p = 0"), ["p"], "v", 255.0).first()
+    assert row.one_sided == 1 and row.mse is None and row.psnr is None
+
+
+def test_playback_rate(spark):
+    times = [0, 10, 25, 40]
+    df = spark.createDataFrame([(1, t, i) for i, t in enumerate(times)], "k INT, t BIGINT, i BIGINT")
+    rows = seq.cfr_resample(Series.plan(df, ["k"], ["t"]), "t", 5, "i", (2, 1)).orderBy("out_frame").collect()
+    # frame n shows source time 10 n; the tail is the median delay of 15
+    assert [r.i for r in rows] == [0, 1, 1, 2, 3, 3]
+
+
+def test_ids_end_where_the_text_ends(spark):
+    from epiframe.functions.values import EPISODE_ID
+
+    good = "20260101_120000_1_2"
+    df = spark.createDataFrame([(good,), (good + "\n",), ("x" + good,)], "id STRING")
+    assert [r.id for r in df.filter(F.col("id").rlike(EPISODE_ID)).collect()] == [good]
+
+
+@pytest.mark.parametrize("n", [3, 4, 5, 16, 17])
+def test_digest_is_one_kind_on_both_sides_of_a_leaf(spark, n):
+    import hashlib
+
+    lines, levels = [str(i) for i in range(n)], 0
+    while levels == 0 or len(lines) > 1:
+        lines = [hashlib.sha256("\n".join(lines[i : i + 4]).encode()).hexdigest() for i in range(0, len(lines), 4)]
+        levels += 1
+    df = spark.range(n).select(F.col("id").alias("pos"), F.col("id").cast("string").alias("t"))
+    row = audit.chained_digest(df, "pos", "t", leaf=4).first()
+    assert (row.tree_sha256, row.levels) == (lines[0], levels)
+
+
+def test_directories_keep_their_whole_name(spark):
+    rows = [("a/run.v1", True), ("b/run.v1", True), ("c/x.csv", False), ("d/x.csv", False)]
+    entries = spark.createDataFrame(rows, "path STRING, dir BOOLEAN")
+    none = spark.createDataFrame([], "name STRING")
+    got = {r.path: r.target for r in audit.merge_plan(entries, none, "path", "rename", F.col("dir")).collect()}
+    assert got == {"a/run.v1": "run.v1", "b/run.v1": "run.v1__1", "c/x.csv": "x.csv", "d/x.csv": "x__1.csv"}
+
+
+@pytest.mark.parametrize("source, target", [("/a/b", "file:///a/b/"), ("s3://k/a", "s3://k/a/out")])
+def test_merge_refuses_to_write_into_its_source(source, target):
+    with pytest.raises(ValueError):
+        audit.require_separate(source, target)
+    audit.require_separate("/a/b", "/a/bc")

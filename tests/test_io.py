@@ -43,7 +43,7 @@ def test_id_list_reports_lines(spark, tmp_path):
     listed = readers.scan_ordered_id_list(spark, path)
     rows = listed.orderBy("line").collect()
     assert [r.problem for r in rows] == [None, "untrimmed", "empty", "malformed", "duplicate"]
-    with pytest.raises(ValueError, match="line 2: untrimmed"):
+    with pytest.raises(ValueError, match="1 untrimmed, first in line 2"):
         readers.require_clean_list(listed)
     with pytest.raises(ValueError, match="no data rows"):
         readers.scan_ordered_id_list(spark, write(tmp_path / "none.txt", ""))
@@ -139,11 +139,13 @@ def test_headers(spark):
 
 def test_page_bounds(spark):
     df = spark.range(30)
-    rows = val.page(df, [F.col("id")], 2, 10).collect()
+    rows = val.page(df, ["id"], 2, 10).collect()
     assert [r.id for r in rows] == list(range(10, 20)) and rows[0].total == 30
+    assert [r.id for r in val.page_after(df, ["id"], None, 10).collect()] == list(range(10))
+    assert [r.id for r in val.page_after(df, ["id"], [24], 10).collect()] == list(range(25, 30))
     for number, limit in ((0, 10), (1, 501)):
         with pytest.raises(ValueError):
-            val.page(df, [F.col("id")], number, limit)
+            val.page(df, ["id"], number, limit)
     with pytest.raises(ValueError):
         val.search_filter(df, "odd", "", "s", F.col("id"))
 
