@@ -93,3 +93,59 @@ def dot(a, b):
 
 def counted(rows):
     return Counter(map(tuple, rows))
+
+
+def masked(text):
+    """The text with base spans replaced by labels; spans that overlap become one."""
+    spans = []
+    for i, (kind, pattern, ok) in enumerate(PII):
+        spans += [(m.start(), m.end(), i, kind) for m in re.finditer(pattern, text or "") if ok(m.group())]
+    out, at, islands = [], 0, []
+    for a, z, i, kind in sorted(spans):
+        if islands and a < islands[-1][1]:
+            last = islands[-1]
+            islands[-1] = (last[0], max(last[1], z), min(last[2], (i, kind)))
+        else:
+            islands.append((a, z, (i, kind)))
+    for a, z, (_, kind) in islands:
+        out += [text[at:a], f"<{kind}>"]
+        at = z
+    return "".join(out) + (text or "")[at:]
+
+
+def mixed_copies(rows, weights=(5, 2, 1), most=3, seed=0):
+    """{doc_id: copies} for rows (doc_id, source, text) of distinct ids."""
+    size = {i: len(words(t)) for i, _, t in rows}
+    h = {i: int(hashlib.md5(f"mix-{seed}:{i}".encode()).hexdigest()[:15], 16) for i in size}
+    of = defaultdict(list)
+    for i, s, _ in rows:
+        of[s].append(i)
+    total = {s: sum(size[i] for i in ids) for s, ids in of.items()}
+    order = sorted(total, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[n % len(weights)] for n, s in enumerate(order)}
+    full, share = set(), None
+    while True:
+        free = [s for s in order if s not in full]
+        share = (sum(total.values()) - sum(most * total[s] for s in full)) / max(1, sum(weight[s] for s in free))
+        above = {s for s in free if share * weight[s] > most * total[s]}
+        if not above:
+            break
+        full |= above
+    copies = {}
+    for s, ids in of.items():
+        target = most * total[s] if s in full else share * weight[s]
+        whole = int(target // total[s]) if total[s] else 0
+        need, below = target - whole * total[s], 0
+        taken = set()
+        for i in sorted(ids, key=h.get):
+            # the document on the threshold counts if it brings the source nearer
+            if below >= need and below > 0 or need <= 0 and size[i] > 0:
+                break
+            if below + size[i] >= need:
+                if below + size[i] - need < need - below:
+                    taken.add(i)
+                break
+            taken.add(i)
+            below += size[i]
+        copies |= {i: whole + (i in taken) for i in ids}
+    return copies

@@ -384,8 +384,27 @@ def test_pipeline_stages(spark, edge_docs, tmp_path):
                 assert docs.columns == edge_docs.columns, name
 
 
-def test_pipeline(spark):
-    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
+def test_pipeline(spark, tokenizer):  # noqa: F811
+    """Against plain Python, but for the verdicts of the model, which are the operator's."""
+    import zlib
+
+    import numpy as np
+
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    good = {r.doc_id for r in quality.quality(docs, labels).filter("kept").collect()}
+    docs = {r.doc_id: (r.source, r.text) for r in docs.collect() if r.doc_id in good}
+    groups = brute.near_groups([(i, t) for i, (_, t) in docs.items()])
+    docs = {i: (s, brute.masked(t)) for i, (s, t) in docs.items() if groups[i][1] == i}
+    copies = brute.mixed_copies([(i, s, t) for i, (s, t) in docs.items()])
+    want = []
+    for i, (_, text) in docs.items():
+        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [0], "<u4")
+        ends = packing.cut(len(ids))
+        rows = [(i, k, a, z - a, zlib.crc32(ids[a:z].tobytes())) for k, (a, z) in enumerate(zip(ends, ends[1:]))]
+        want += rows * copies[i]
+    rows = corpus_pipeline.run(spark, sf).collect()
+    assert brute.counted(r[:5] for r in rows) == brute.counted(want)
     by = {}
     for r in rows:
         by.setdefault(r.sequence_id, []).append((r.offset, r.length))
