@@ -47,7 +47,7 @@ PLANES = BITS * HASHES // 64
 PERCENT = 75
 ERRORS = 5
 BLOCK = 256
-BATCH = 1 << 20
+BATCH = 1 << 18
 
 _rng = np.random.default_rng(20240607)
 _XOR = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)
@@ -252,29 +252,39 @@ def linked_outside(docs: DataFrame, led: DataFrame) -> DataFrame:
     """
     per = led.groupBy("leader", "label").agg(F.count(F.lit(1)).alias("k"))
     per = per.groupBy("leader").agg(
-        F.sum("k").alias("size"), F.count(F.lit(1)).alias("labels"), F.max(F.struct("k", "label"))["label"].alias("main")
+        F.sum("k").alias("size"), F.count(F.lit(1)).alias("labels"), F.max(F.struct("k", "label")).alias("main")
     )
-    rows = compact(led.join(per.filter("labels > 1").drop("labels"), "leader"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    per = per.filter("labels > 1").select("leader", "size", "main.label", "main.k")
+    rows = compact(led.join(per.select("leader", "size", F.col("label").alias("main"), "k"), "leader"))
+    # a group of the joins is a block of outsiders and a block of all
+    outsiders, all_of = F.ceil((F.col("size") - F.col("k")) / BLOCK).cast("int"), F.ceil(F.col("size") / BLOCK).cast("int")
 
-    def everywhere(df):
-        return df.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    def own(n, name):
+        return F.pmod(F.xxhash64("node", F.lit(name)), n).cast("int").alias(name)
+
+    def each(n, name):
+        return F.explode(F.sequence(F.lit(0), n - 1)).alias(name)
+
+    def outer(df):
+        return df.select("*", own(outsiders, "bx"), each(all_of, "by"))
+
+    def inner(df):
+        return df.select("*", own(all_of, "by"), each(outsiders, "bx"))
 
     def met(x, y):
         apart = (F.col(f"{x}.label") != F.col(f"{y}.label")) & (
             (F.col(f"{y}.label") == F.col(f"{y}.main")) | (F.col(f"{x}.node") < F.col(f"{y}.node"))
         )
-        at = (F.col("x.leader") == F.col("y.leader")) & (F.col("x.block") == F.col("y.block"))
+        at = (F.col("x.leader") == F.col("y.leader")) & (F.col("x.bx") == F.col("y.bx")) & (F.col("x.by") == F.col("y.by"))
         return at & apart & may_link(x, y)
 
     outside = rows.filter("label <> main")
-    left = everywhere(outside).alias("x").join(rows.alias("y"), met("x", "y"), "left_semi").drop("block").distinct()
-    right = rows.alias("y").join(everywhere(outside).alias("x"), met("x", "y"), "left_semi")
-    left, right = compact(left), compact(right)
+    left = outer(outside).alias("x").join(inner(rows).alias("y"), met("x", "y"), "left_semi")
+    right = inner(rows).alias("y").join(outer(outside).alias("x"), met("x", "y"), "left_semi")
+    left, right = (compact(d.drop("bx", "by").dropDuplicates(["leader", "node"])) for d in (left, right))
     nodes = left.select("node").union(right.select("node")).distinct()
     sets = settle(full_sets(docs, compact(nodes)))
-    left, right = everywhere(left).join(sets, "node").alias("x"), right.join(sets, "node").alias("y")
+    left, right = outer(left).join(sets, "node").alias("x"), inner(right).join(sets, "node").alias("y")
     found = left.join(right, met("x", "y") & reach("x", "y"))
     return found.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct()
 

@@ -30,7 +30,7 @@ from epiframe.llm.scan import Texts, U, batches, mixed, windows
 SAMPLE = 1500
 BITS = 17
 KEEP = 0.25
-BATCH = 1 << 20
+BATCH = 1 << 18
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 SYMBOLS = b"#*$%&|<>"
@@ -119,33 +119,33 @@ def sigmoid(z):
 
 def fit(texts: list[bytes], y: np.ndarray, shares: np.ndarray, steps: int = 80, l2: float = 1e-6):
     """(weights, bias, slope, offset); every fifth text is held out to calibrate."""
-    feature, row, value = [], [], []
+    held = np.arange(len(y)) % 5 == 4
+    parts = []  # (texts, row, feature, value) of each batch
     for s in batches([len(x) for x in texts], BATCH):
         t = Texts(texts[s])
+        found = []
         for f, text in families(t, t.word_hashes()):
             n = np.bincount(text, minlength=s.stop - s.start)
             key, times = np.unique(text << (BITS + 2) | f, return_counts=True)
-            row.append((key >> (BITS + 2)) + s.start)
-            feature.append((key & ((1 << (BITS + 2)) - 1)).astype(np.int32))
-            value.append((times / n[key >> (BITS + 2)]).astype(np.float32))
-    row, feature, value = map(np.concatenate, (row, feature, value))
-    held = np.arange(len(y)) % 5 == 4
-    use = ~held[row]
-    row_u, feature_u, value_u = row[use], feature[use], value[use]
+            at = key >> (BITS + 2)
+            found.append((at.astype(np.int32), (key & ((1 << (BITS + 2)) - 1)).astype(np.int32), (times / n[at]).astype(np.float32)))
+        parts.append((s, *map(np.concatenate, zip(*found))))
     each = np.where(held, 0, 1.0) / max(1, (~held).sum())
     w, b = np.zeros(3 << BITS), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, steps + 1):  # Adam on the whole sample
-        z = np.bincount(row_u, w[feature_u] * value_u, len(y)) + b
-        error = (sigmoid(z) - y) * each
-        g = np.bincount(feature_u, error[row_u] * value_u, len(w)) + l2 * w
-        gb = error.sum()
+        g, gb = l2 * w, 0.0
+        for s, row, feature, value in parts:
+            z = np.bincount(row, w[feature] * value, s.stop - s.start) + b
+            error = (sigmoid(z) - y[s]) * each[s]
+            g += np.bincount(feature, error[row] * value, len(w))
+            gb += error.sum()
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         fix, fix2 = 1 - 0.9**step, 1 - 0.999**step
         w -= 0.5 * (m / fix) / (np.sqrt(v / fix2) + 1e-12)
         b -= 0.1 * (mb / fix) / (np.sqrt(vb / fix2) + 1e-12)
-    z = np.bincount(row, w[feature] * value, len(y)) + b
+    z = np.concatenate([np.bincount(row, w[feature] * value, s.stop - s.start) for s, row, feature, value in parts]) + b
     check = held if len(set(y[held])) == 2 else ~held
     z, target = z[check], y[check]
     weight = np.where(target == 1, shares[1] / max(1, (target == 1).sum()), shares[0] / max(1, (target == 0).sum()))

@@ -18,7 +18,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers
     if len(_powers) < 2 * n:
         inverse = pow(int(_BASE), -1, 1 << 64)
-        out = np.empty((2, 1 << max(20, n.bit_length())), U)
+        out = np.empty((2, 1 << max(18, n.bit_length())), U)
         for row, factor in zip(out, (int(_BASE), inverse)):
             row[0], filled = 1, 1
             while filled < len(row):  # doubling: the next block is the last one times factor**filled
