@@ -225,20 +225,20 @@ class Series:
     def _carried(self, blocks: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
         """What each block gets from the blocks before it, or after it. The summaries are
         scanned as a series over (key, block)."""
-        edges = {n: F.col(f"_e_{n}") for n in kinds}
-        rows = "_rows"
-        while rows in kinds:  # a summary of summaries has this name too
-            rows += "_"
-        taken = {kind: {f"_t_{n}": edges[n] for n, k in kinds.items() if k == kind} for kind in set(kinds.values())}
-        sums = {n: F.coalesce(e, F.lit(0)) for n, e in taken.pop("total", {}).items()}
-
-        s = Series.plan(blocks.withColumnRenamed(BLOCK, "_at"), self.keys, ["_at"])
-        s = s.scan(total={rows: F.col("_n"), **sums}, **taken).map(lambda d: d.drop("_n"))
+        # names by position, so that a summary of summaries has no column twice
+        edges = [F.col(f"_e_{n}").alias(f"_x{i}") for i, n in enumerate(kinds)]
+        rows = blocks.select(*self.keys, F.col(BLOCK).alias("_at"), F.col("_n").alias("_x"), *edges)
+        taken: dict[str, dict[str, Column]] = {}
+        for i, kind in enumerate(kinds.values()):
+            edge = F.col(f"_x{i}")
+            taken.setdefault(kind, {})[f"_t{i}"] = F.coalesce(edge, F.lit(0)) if kind == "total" else edge
+        sums = {"_t": F.col("_x"), **taken.pop("total", {})}
+        s = Series.plan(rows, self.keys, ["_at"]).scan(total=sums, **taken)
         # sums and held values of all blocks before are those at the block before
-        running = [rows, *sums, *taken.get("held", {})]
-        s = s.shift({f"_s{n}": F.col(n) for n in running})
-        cols = [F.coalesce(f"_s{rows}", F.lit(0)).alias("_n")]
-        cols += [F.col(f"_s_t_{n}" if f"_t_{n}" in running else f"_t_{n}").alias(f"_e_{n}") for n in kinds]
+        running = [*sums, *taken.get("held", {})]
+        s = s.shift({n.replace("_t", "_b"): F.col(n) for n in running})
+        cols = [F.coalesce("_b", F.lit(0)).alias("_n")]
+        cols += [F.col(f"_b{i}" if f"_t{i}" in running else f"_t{i}").alias(f"_e_{n}") for i, n in enumerate(kinds)]
         return s.frame().select(*self.keys, F.col("_at").alias(BLOCK), *cols)
 
     def number(self, name: str = "pos") -> "Series":

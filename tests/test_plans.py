@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from epiframe.plans import series
 from epiframe.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -42,3 +43,17 @@ def test_columns_and_filters_reach_the_scan(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
     plan = plan_of(spark, "stride_sample")
     assert "EqualTo(event_type,click)" in plan and "props" not in plan
+
+
+@pytest.mark.parametrize("name", ["asof_nearest", "valid_runs", "future_chunk", "cumulative_pose"])
+def test_plans_for_hot_keys(spark, monkeypatch, name):
+    """With hot keys there is still no cross join, and only counted tables are broadcast."""
+    monkeypatch.setattr(series, "MAX_ROWS", 20)
+    monkeypatch.setattr(series, "BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(spark, name)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastHashJoin", "Python"):
+        assert word not in plan

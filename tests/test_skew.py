@@ -29,8 +29,38 @@ EVENT_QUERIES = [
     "global_spans",
     "scan_ordered_id_list",
     "ordered_listing",
+    "asof_backward_strict",
+    "asof_tolerance_flag",
+    "zip_join_verify",
+    "select_by_list",
+    "page",
+    "partition_check",
+    "sequence_gaps",
+    "packet_clock",
+    "run_records",
+    "run_rejects",
+    "emitted_runs",
+    "run_membership",
+    "reuse_flag",
+    "global_index",
+    "median_rate_and_ratio",
+    "trajectory_qa",
+    "preflight_summary",
+    "ordered_digest",
+    "pose_compose",
+    "delta_roundtrip_check",
+    "integrate_hold",
+    "state_delta",
+    "anchor_relative_action",
+    "resampled_episode_strict",
+    "episode_rejects",
+    "episode_vectors",
+    "preflight_report",
+    "scan_log_metrics",
 ]
 FRAME_QUERIES = ["future_chunk", "verify_padding_mask", "cfr_resample", "interval_discontinuity"]
+#: Blocks of so few rows that the summaries have summaries of their own.
+DEEP_QUERIES = ["masked_vector_stats", "edge_repeats", "ordered_listing"]
 
 
 def check(spark, monkeypatch, name, max_rows):
@@ -58,6 +88,11 @@ def test_hot_short_keys(spark, monkeypatch, name):
     check(spark, monkeypatch, name, 8)
 
 
+@pytest.mark.parametrize("name", DEEP_QUERIES)
+def test_summaries_of_summaries(spark, monkeypatch, name):
+    check(spark, monkeypatch, name, 3)
+
+
 def test_inputs_that_fit_a_task_are_not_split(spark):
     df = spark.read.parquet(f"{SF}/events.parquet")
     assert series.Series.plan(df, ["user_id"], ["ts"]).hot is None
