@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epiframe.llm.common import query, table
-from epiframe.llm.scan import Texts, U, batches, mixed, windows
+from epiframe.llm.scan import BLOCK, SPACE, Texts, U, batches, mixed, windows
 
 SAMPLE = 1500
 BITS = 17
@@ -35,9 +35,10 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
+GRAM = 4
 
 COUNTS = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
-_SYMBOL = np.zeros(256, np.int64)
+_SYMBOL = np.zeros(256, np.uint8)
 _SYMBOL[list(SYMBOLS)] = 1
 
 
@@ -64,16 +65,14 @@ def repeat_words(text: bytes) -> int:
 def inside(t: Texts, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the k-word windows that lie within one text, and that text."""
     n = max(0, len(t.start) - k + 1)
-    text = np.repeat(np.arange(len(t.word) - 1), np.diff(t.word))[:n]
+    text = np.repeat(np.arange(len(t.word) - 1, dtype=np.int32), np.diff(t.word))[:n]
     at = np.flatnonzero(np.arange(n) + k <= t.word[text + 1])
     return at, text[at]
 
 
 def counts(texts: list[bytes], t: Texts, words: np.ndarray) -> list[np.ndarray]:
     """The plain counts. Windows that recur by hash are counted again on the words themselves."""
-    space = np.zeros(256, np.int64)
-    space[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 1
-    lead = ((t.data & 0xC0) != 0x80) & (space[t.data] == 0)
+    lead = ((t.data & 0xC0) != 0x80) & ~SPACE[t.data]
     at, text = inside(t, WINDOW)
     keys = windows(words, WINDOW)[at] ^ mixed(text.astype(U))
     order = np.argsort(keys)
@@ -90,26 +89,36 @@ def counts(texts: list[bytes], t: Texts, words: np.ndarray) -> list[np.ndarray]:
     ]
 
 
-def families(t: Texts, words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(feature, text) of every word, word pair and character sequence."""
+def family_sizes(t: Texts) -> list[np.ndarray]:
+    """Number of words, word pairs and character sequences of each text."""
+    n, length = np.diff(t.word), np.diff(t.first) - 1
+    return [n, np.maximum(n - 1, 0), np.maximum(length - GRAM + 1, 0)]
+
+
+def families(t: Texts, words: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(family, feature, text) of every word, word pair and character sequence, in blocks."""
     shift = U(64 - BITS)
-    at, text = inside(t, 1)
-    yield (words[at] >> shift).astype(np.int64), text
-    at, text = inside(t, 2)
-    yield (windows(words, 2)[at] >> shift).astype(np.int64) + (1 << BITS), text
-    d = t.data.astype(U)
-    n = max(0, len(d) - 3)
-    grams = d[:n] | d[1 : n + 1] << U(8) | d[2 : n + 2] << U(16) | d[3 : n + 3] << U(24)
-    text = np.repeat(np.arange(len(t.first) - 1), np.diff(t.first))[:n]
-    at = np.flatnonzero(np.arange(n) + 4 < t.first[text + 1])
-    yield (mixed(grams[at]) >> shift).astype(np.int64) + (2 << BITS), text[at]
+    for k in (1, 2):
+        at, text = inside(t, k)
+        found = words if k == 1 else windows(words, 2)
+        yield k - 1, (found[at] >> shift).astype(np.int64) + ((k - 1) << BITS), text
+    n = max(0, len(t.data) - GRAM + 1)
+    for a in range(0, n, BLOCK):
+        z = min(n, a + BLOCK)
+        d = t.data[a : z + GRAM - 1].astype(U)
+        grams = d[: z - a]
+        for i in range(1, GRAM):
+            grams = grams | d[i : i + z - a] << U(8 * i)
+        position = np.arange(a, z)
+        text = np.searchsorted(t.first, position, "right") - 1
+        at = np.flatnonzero(position + GRAM < t.first[text + 1])
+        yield 2, (mixed(grams[at]) >> shift).astype(np.int64) + (2 << BITS), text[at]
 
 
 def logits(t: Texts, words: np.ndarray, weights: np.ndarray, bias: float) -> np.ndarray:
-    z = np.full(len(t.first) - 1, bias)
-    for feature, text in families(t, words):
-        n = np.bincount(text, minlength=len(z))
-        z += np.bincount(text, weights[feature], len(z)) / np.maximum(n, 1)
+    sizes, z = family_sizes(t), np.full(len(t.first) - 1, bias)
+    for family, feature, text in families(t, words):
+        z += np.bincount(text, weights[feature], len(z)) / np.maximum(sizes[family], 1)
     return z
 
 
@@ -124,11 +133,11 @@ def fit(texts: list[bytes], y: np.ndarray, shares: np.ndarray, steps: int = 80,
     for s in batches([len(x) for x in texts], BATCH):
         t = Texts(texts[s])
         found = []
-        for f, text in families(t, t.word_hashes()):
-            n = np.bincount(text, minlength=s.stop - s.start)
-            key, times = np.unique(text << (BITS + 2) | f, return_counts=True)
-            at = key >> (BITS + 2)
-            found.append((at.astype(np.int32), (key & ((1 << (BITS + 2)) - 1)).astype(np.int32), (times / n[at]).astype(np.float32)))
+        sizes = family_sizes(t)
+        for family, f, text in families(t, t.word_hashes()):
+            key, times = np.unique(text.astype(np.int64) << (BITS + 2) | f, return_counts=True)
+            row, feature = key >> (BITS + 2), key & ((1 << (BITS + 2)) - 1)
+            found.append((row.astype(np.int32), feature.astype(np.int32), (times / sizes[family][row]).astype(np.float32)))
         parts.append((s, *map(np.concatenate, zip(*found))))
     each = np.where(held, 0, 1.0) / max(1, (~held).sum())
     w, b = np.zeros(3 << BITS), 0.0
@@ -183,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE):
     def task(frame):
         import pandas as pd
 
-        frame = frame.sort_values(["order", "text"]).drop_duplicates("doc_id").reset_index(drop=True)
+        frame = frame.sort_values(["order", "doc_id"]).reset_index(drop=True)
         texts = [(x or "").encode() for x in frame["text"]]
         y = frame["y"].to_numpy()
         if len(set(y)) < 2:
@@ -191,8 +200,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE):
         w, *rest = fit(texts, y, np.array(shares) / sum(shares))
         return pd.DataFrame({"weights": [w.tobytes()], "rest": [np.array(rest, float).tobytes()]})
 
-    rows = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y",
-                       F.xxhash64("doc_id", F.lit("order")).alias("order"))
+    # one row per id before they meet, however often it is repeated
+    rows = rows.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.first("y").alias("y"))
+    rows = rows.withColumn("order", F.xxhash64("doc_id", F.lit("order")))
     row = rows.groupBy(F.lit(0).alias("all")).applyInPandas(task, "weights binary, rest binary").first()
     return None if row is None else (np.frombuffer(row.weights, np.float32), *np.frombuffer(row.rest))
 
