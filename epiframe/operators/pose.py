@@ -67,13 +67,14 @@ def cumulative_pose(
             "pose": F.when(F.col("linked"), F.col(delta)).otherwise(g.pack(g.identity())),
         }
     ).map(lambda d: d.drop("_pos", "_start"))
-    return prefix_products(s.frame(), [*s.keys, "segment"], "_i", "pose").drop("_i")
+    # the longest segment is asked for first, so the numbered rows are read twice
+    return prefix_products(s.settled().frame(), [*s.keys, "segment"], "_i", "pose").drop("_i")
 
 
 def integrate_hold(s: Series, delta: Column, valid: Column) -> DataFrame:
     """Target trajectory from deltas; an invalid delta keeps the last pose."""
     s = s.number("_i").with_columns({"pose": F.when(valid, delta).otherwise(g.pack(g.identity()))})
-    return prefix_products(s.frame(), s.keys, "_i", "pose").drop("_i")
+    return prefix_products(s.settled().frame(), s.keys, "_i", "pose").drop("_i")
 
 
 def relative_deltas(s: Series, pose: str, valid: str, frame: str, ts: str, step: int = 1,
