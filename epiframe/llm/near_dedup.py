@@ -361,6 +361,20 @@ def first_of_each(docs: DataFrame) -> DataFrame:
     return rest.join(small(again), "doc_id", "left_anti").select(docs.columns).unionByName(one)
 
 
-@query("op6_minhash_dedup")
+#: Exact, by counting shared shingles; for small tables only.
+DEDUP_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(2, len(w) - 3)),
+    lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM w WHERE len(w) > 0),
+  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+  l AS (SELECT a.doc_id AS u, b.doc_id AS v FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+  r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.v, r.c FROM r JOIN l ON l.u = r.doc_id)
+  SELECT r.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.c) AS component_id,
+    min(r.c) = r.doc_id AS kept FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id"""
+
+
+@query("op6_minhash_dedup", DEDUP_SQL)
 def op6_minhash_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
