@@ -156,6 +156,23 @@ def episode_equivalence(
     return out.withColumn("violation", (F.col("one_sided") > 0) | ~F.col("_may")).drop("_may")
 
 
+def spans_check(spans: DataFrame, index: str, start: str, length: str) -> DataFrame:
+    """One row: is a declared list of spans dense from zero, by its own index and by rows?
+
+    ``index_breaks`` counts entries whose index is not one above the entry before (or not
+    zero at first), ``start_breaks`` those that do not begin where the entry before ends.
+    """
+    s = Series.plan(spans.select(index, start, length, F.lit(1).alias("_all")), ["_all"], [index, start])
+    s = s.shift({"_i": F.col(index), "_end": F.col(start) + F.col(length)})
+    at = F.coalesce(F.col("_i") + 1, F.lit(0))
+    return s.frame().agg(
+        F.count(F.lit(1)).alias("spans"),
+        F.sum(length).alias("rows"),
+        F.count_if(~F.col(index).eqNullSafe(at)).alias("index_breaks"),
+        F.count_if(~F.col(start).eqNullSafe(F.coalesce("_end", F.lit(0)))).alias("start_breaks"),
+    )
+
+
 def as_entries(row: DataFrame) -> DataFrame:
     """A one-row table of numbers as (name, value)."""
     each = [F.struct(F.lit(c).alias("name"), F.col(c).cast("bigint").alias("value")) for c in row.columns]

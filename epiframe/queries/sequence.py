@@ -2,10 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from epiframe.operators import audit
 from epiframe.operators import sequence as seq
 from epiframe.operators.align import align_series, fresh
 from epiframe.operators.pose import future_chunk, slots
 from epiframe.operators.stats import exact_quantiles
+from epiframe.plans.series import Series
 from epiframe.queries.base import (
     EV,
     HORIZON,
@@ -467,6 +469,26 @@ def global_spans(spark, sf_dir):
     return seq.global_index(order_frames(spark, sf_dir), "l_orderkey", "pos")[1]
 
 
+@query(
+    "spans_check",
+    """WITH c AS (SELECT l_orderkey, count(*) AS length FROM lineitem GROUP BY 1),
+    t AS (SELECT *, row_number() OVER (ORDER BY l_orderkey) - 1 AS i,
+      sum(length) OVER (ORDER BY l_orderkey) - length + (l_orderkey % 100 = 0)::INTEGER AS start FROM c),
+    p AS (SELECT *, lag(i) OVER w AS pi, lag(start + length) OVER w AS pe FROM t WHERE l_orderkey % 77 <> 0
+      WINDOW w AS (ORDER BY i, start))
+    SELECT count(*) AS spans, sum(length)::BIGINT AS rows, count(*) FILTER (WHERE i <> coalesce(pi + 1, 0)) AS index_breaks,
+    count(*) FILTER (WHERE start <> coalesce(pe, 0)) AS start_breaks FROM p""",
+)
+def spans_check(spark, sf_dir):
+    """The orders' spans as a declared list, some shifted and some taken out."""
+    s = order_frames(spark, sf_dir)
+    spans = seq.global_index(s, "l_orderkey", "pos")[1].withColumn("_all", F.lit(1))
+    spans = Series.plan(spans, ["_all"], ["l_orderkey"]).number("i").frame()
+    start = F.col("from_index") + (F.col("l_orderkey") % 100 == 0).cast("int")
+    spans = spans.withColumn("start", start).filter(F.col("l_orderkey") % 77 != 0)
+    return audit.spans_check(spans, "i", "start", "length")
+
+
 @query(
     "cfr_resample",
     with_sql(
