@@ -5,13 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
 
-#: Names that the operators use inside; the input may have them too.
-CLASHES = "size h bucket row s kept node label copies item g th cuts b length key archive n taken target slot".split()
-LONG = "lorem ipsum dolor " * 20_000
-CODE = "x" * 200_000
-BASE = " ".join(f"word{i}" for i in range(200))
-NEAR = BASE.replace("word100 ", "other ")
-
+from brute import BASE, CLASHES, CODE, LONG, NEAR  # noqa: E402
 
 @pytest.fixture(scope="session")
 def edge_rows():

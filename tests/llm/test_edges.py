@@ -2,7 +2,7 @@
 
 import brute
 import pytest
-from conftest import LONG
+from brute import LONG
 from pyspark.sql import functions as F
 from test_queries import packed_right, tokenizer  # noqa: F401
 
