@@ -34,9 +34,9 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def compact(df: DataFrame) -> DataFrame:
-    """``settle`` for what comes out of a shuffle: at most two files a core, since small
-    files cost more than the rows in them."""
-    return settle(df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism))
+    """``settle`` for tables much smaller than their source: at most one file a core, since
+    every file costs the writer processes and the store requests."""
+    return settle(df.coalesce(df.sparkSession.sparkContext.defaultParallelism))
 
 
 def same(a: Column, b: Column) -> Column:

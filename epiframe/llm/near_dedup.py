@@ -203,7 +203,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (u, v) that reach the threshold on their full sets."""
     pairs = compact(pairs)
     nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    sets = settle(full_sets(docs, compact(nodes)))
+    sets = compact(full_sets(docs, compact(nodes)))
     return (
         pairs.join(sets.alias("a"), F.col("u") == F.col("a.node"))
         .join(sets.alias("b"), F.col("v") == F.col("b.node"))
@@ -230,10 +230,11 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = compact(large.filter("u <> v").distinct())
+        large = large.filter("u <> v").distinct().persist()  # lost blocks come from the written edges
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         out = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         edges = compact(out.union(least.select("u", "m")).distinct())
+        large.unpersist()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
@@ -283,7 +284,7 @@ def linked_outside(docs: DataFrame, led: DataFrame) -> DataFrame:
     right = inner(rows).alias("y").join(outer(outside).alias("x"), met("x", "y"), "left_semi")
     left, right = (compact(d.drop("bx", "by").dropDuplicates(["leader", "node"])) for d in (left, right))
     nodes = left.select("node").union(right.select("node")).distinct()
-    sets = settle(full_sets(docs, compact(nodes)))
+    sets = compact(full_sets(docs, compact(nodes)))
     left, right = outer(left).join(sets, "node").alias("x"), inner(right).join(sets, "node").alias("y")
     found = left.join(right, met("x", "y") & reach("x", "y"))
     return found.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct()
