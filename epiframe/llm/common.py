@@ -33,10 +33,10 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def compact(df: DataFrame) -> DataFrame:
-    """``settle`` for tables much smaller than their source: at most one file a core, since
-    every file costs the writer processes and the store requests."""
-    return settle(df.coalesce(df.sparkSession.sparkContext.defaultParallelism))
+def compact(df: DataFrame, per_core: int = 1) -> DataFrame:
+    """``settle`` for tables much smaller than their source: so many files a core at most,
+    since every file costs the writer processes and the store requests."""
+    return settle(df.coalesce(per_core * df.sparkSession.sparkContext.defaultParallelism))
 
 
 def same(a: Column, b: Column) -> Column:

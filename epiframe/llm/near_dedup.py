@@ -203,7 +203,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (u, v) that reach the threshold on their full sets."""
     pairs = compact(pairs)
     nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    sets = compact(full_sets(docs, compact(nodes)))
+    sets = compact(full_sets(docs, compact(nodes)), 4)
     return (
         pairs.join(sets.alias("a"), F.col("u") == F.col("a.node"))
         .join(sets.alias("b"), F.col("v") == F.col("b.node"))
@@ -256,7 +256,7 @@ def linked_outside(docs: DataFrame, led: DataFrame) -> DataFrame:
         F.sum("k").alias("size"), F.count(F.lit(1)).alias("labels"), F.max(F.struct("k", "label")).alias("main")
     )
     per = per.filter("labels > 1").select("leader", "size", "main.label", "main.k")
-    rows = compact(led.join(per.select("leader", "size", F.col("label").alias("main"), "k"), "leader"))
+    rows = compact(led.join(per.select("leader", "size", F.col("label").alias("main"), "k"), "leader"), 4)
     # a group of the joins is a block of outsiders and a block of all
     outsiders, all_of = F.ceil((F.col("size") - F.col("k")) / BLOCK).cast("int"), F.ceil(F.col("size") / BLOCK).cast("int")
 
@@ -282,9 +282,9 @@ def linked_outside(docs: DataFrame, led: DataFrame) -> DataFrame:
     outside = rows.filter("label <> main")
     left = outer(outside).alias("x").join(inner(rows).alias("y"), met("x", "y"), "left_semi")
     right = inner(rows).alias("y").join(outer(outside).alias("x"), met("x", "y"), "left_semi")
-    left, right = (compact(d.drop("bx", "by").dropDuplicates(["leader", "node"])) for d in (left, right))
+    left, right = (compact(d.drop("bx", "by").distinct(), 4) for d in (left, right))
     nodes = left.select("node").union(right.select("node")).distinct()
-    sets = compact(full_sets(docs, compact(nodes)))
+    sets = compact(full_sets(docs, compact(nodes)), 4)
     left, right = outer(left).join(sets, "node").alias("x"), inner(right).join(sets, "node").alias("y")
     found = left.join(right, met("x", "y") & reach("x", "y"))
     return found.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct()
@@ -294,10 +294,10 @@ def classes_linked(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """(node, label) of the classes linked with others; reps: node, n_shingles, bits, bands."""
     bands = reps.select("node", F.explode("bands").alias("b"))
     shared = bands.groupBy("b").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    found = compact(bands.join(shared, "b"))
+    found = compact(bands.join(shared, "b"), 4)
     crowd = found.groupBy("node").agg(F.sum("n").alias("crowd"))
     about = reps.select("node", "n_shingles", "bits").join(crowd, "node")
-    members = compact(found.join(about, "node"))
+    members = compact(found.join(about, "node"), 4)
 
     lead = F.struct("crowd", "node", "n_shingles", "bits")
     leaders = members.groupBy("b").agg(F.max(lead).alias("l")).select("b", "l.*")
@@ -310,8 +310,8 @@ def classes_linked(docs: DataFrame, reps: DataFrame) -> DataFrame:
     labels = components(confirmed(docs, pairs))
 
     led = members.join(leaders.select("b", F.col("node").alias("leader")), "b")
-    led = led.groupBy("leader", "node").agg(F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"))
-    more = compact(linked_outside(docs, compact(labelled(led, labels, "node", "label"))))
+    led = led.select("leader", "node", "n_shingles", "bits").distinct()  # a node with two texts has two rows
+    more = compact(linked_outside(docs, compact(labelled(led, labels, "node", "label"), 4)))
     over = labelled(labelled(more, labels, "u", "lu"), labels, "v", "lv")
     merged = components(over.select(F.col("lu").alias("u"), F.col("lv").alias("v")))
     top = merged.select(F.col("node").alias("label"), F.col("label").alias("end"))
@@ -329,7 +329,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             F.first("n_shingles").alias("n_shingles"),
             F.first("bits").alias("bits"),
             F.first("bands").alias("bands"),
-        )
+        ),
+        4,
     )
     labels = classes_linked(docs, reps)
     # documents with several texts link the classes of all of them

@@ -415,3 +415,31 @@ def test_pipeline(spark, tokenizer):  # noqa: F811
             at += length
         assert at <= packing.LENGTH
     assert len(by) <= 1.05 * -(-sum(r.length for r in rows) // packing.LENGTH)
+
+
+def test_second_texts_keep_their_links(spark):
+    """Among many near copies, documents with two texts link what either text is near to."""
+    import random
+
+    rng = random.Random(11)
+    rows = []
+    for g in range(3):
+        centre = [f"g{g}w{i}" for i in range(100)]
+        for n in range(60):
+            w = list(centre)
+            for k in rng.sample(range(100), 1):
+                w[k] = f"x{g}_{n}_{k}"
+            rows.append((1000 * g + n, " ".join(w)))
+    rows.append((2500, rows[3][1] + " tail"))  # a text near the first group
+    rows.append((2500, rows[130][1] + " tail"))  # and one near the third
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs).collect()}
+    want = {}
+    for g in range(3):
+        own = [(i, t) for i, t in rows if i // 1000 == g and i != 2500]
+        want |= {i: c for i, (_, c) in brute.near_groups(own).items()}
+    first = {c for i, c in want.items() if i < 1000}
+    third = {c for i, c in want.items() if i >= 2000}
+    assert len(first) == len(third) == 1  # so the two groups become one through 2500
+    for i, c in got.items():
+        assert c == (0 if i < 1000 or i >= 2000 else want[i])
