@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epiframe.llm.common import compact, query, settle, small, table
-from epiframe.llm.scan import Texts, U, batches, mixed, windows
+from epiframe.llm.scan import Texts, U, as_bytes, batches, mixed, windows
 
 SHINGLE = 5
 HASHES = 128
@@ -100,7 +100,7 @@ def lists(values: np.ndarray, width: int, present: np.ndarray) -> pa.Array:
 
 
 def texts_of(column: pa.Array) -> Iterator[list[bytes]]:
-    column = column.cast(pa.binary()).fill_null(b"")
+    column = as_bytes(column)
     for s in batches(pa.compute.binary_length(column).to_pylist(), BATCH):
         yield column.slice(s.start, s.stop - s.start).to_pylist()
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epiframe.llm.common import query, table
-from epiframe.llm.scan import BLOCK, SPACE, Texts, U, batches, mixed, windows
+from epiframe.llm.scan import BLOCK, SPACE, Texts, U, as_bytes, batches, mixed, windows
 
 SAMPLE = 1500
 BITS = 17
@@ -213,7 +213,7 @@ def scorer(model):
     @F.arrow_udf(f"struct<{COUNTS.replace(' bigint', ':bigint').replace(', ', ',')},p_good:double>")
     def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in parts:
-            column = column.cast(pa.binary()).fill_null(b"")
+            column = as_bytes(column)
             out = []
             for s in batches(pa.compute.binary_length(column).to_pylist(), BATCH):
                 texts = column.slice(s.start, s.stop - s.start).to_pylist()

@@ -7,6 +7,7 @@ takes about ten times its size.
 """
 
 import numpy as np
+import pyarrow as pa
 
 U = np.uint64
 BLOCK = 1 << 18
@@ -84,6 +85,12 @@ def windows(words: np.ndarray, k: int) -> np.ndarray:
     return mixed(out)
 
 
+def as_bytes(column: pa.Array) -> pa.Array:
+    """A text column as bytes, nulls as empty; copied only if there are nulls."""
+    column = column.cast(pa.binary())
+    return column.fill_null(b"") if column.null_count else column
+
+
 def batches(sizes, most: int):
     """Slices of consecutive items with about ``most`` bytes; a larger item stands alone."""
     first = total = 0
