@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from epiframe.llm.common import new_path, query, table, text_bytes
 
 SHARDS = 8
-#: Bytes of text in a bucket; a task holds a few buckets at once, so keep it below a tenth of its memory.
+#: Bytes of text in a bucket. A task holds one bucket, a few times over while it shuffles it.
 BUCKET = 32 << 20
 SEED = 17
 
@@ -34,7 +34,7 @@ def scattered(docs: DataFrame, identity: Column | None, bucket_bytes: int, seed:
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     identity = F.monotonically_increasing_id() if identity is None else identity
     rows = docs.select(row, F.xxhash64(F.lit(seed), identity).alias("h"))
-    return rows.withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets))), buckets
+    return rows.withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets)).cast("int")), buckets
 
 
 def write_shards(
@@ -50,10 +50,9 @@ def write_shards(
     def order(a, b):
         return F.when(a["h"] < b["h"], -1).when(a["h"] > b["h"], 1).otherwise(0)
 
-    held = rows.repartition(buckets, "bucket").groupBy("bucket")
+    held = rows.repartitionById(buckets, F.col("bucket")).groupBy("bucket")
     held = held.agg(F.array_sort(F.collect_list(F.struct("h", "row")), order).alias("rows"))
-    # ``shuffle`` draws on for each bucket of a task, so these need an order too
-    held = held.sortWithinPartitions("bucket").withColumn("rows", F.shuffle("rows", seed))
+    held = held.withColumn("rows", F.shuffle("rows", seed))
     out = held.join(F.broadcast(first), "bucket") if buckets <= 100_000 else held.join(first, "bucket")
     out = out.select("first", F.posexplode("rows").alias("pos", "r"))
     place = F.col("first") + F.col("pos")
