@@ -60,7 +60,7 @@ EVENT_QUERIES = [
 ]
 FRAME_QUERIES = ["future_chunk", "verify_padding_mask", "cfr_resample", "interval_discontinuity"]
 #: Blocks of so few rows that the summaries have summaries of their own.
-DEEP_QUERIES = ["masked_vector_stats", "edge_repeats", "ordered_listing"]
+DEEP_QUERIES = ["masked_vector_stats"]
 
 
 def check(spark, monkeypatch, name, max_rows):
