@@ -25,7 +25,7 @@ def near_duplicates(spark, docs, sf_dir):
 
 def personal_data(spark, docs, sf_dir):
     """Personal data and the terms that give it away replaced by labels."""
-    return sanitised(docs)
+    return sanitised(docs, whole=True)
 
 
 def source_mix(spark, docs, sf_dir):

@@ -244,6 +244,26 @@ def test_terms_that_give_an_entity_away(spark):
     assert gone[1].startswith("the note 1 of  at <email>") and gone[101] == text[101]
 
 
+def plain_words(n):
+    return [(1000 + i, " ".join(f"word{chr(97 + i // 7 ** k % 7)}{'xyz'[k % 3]}{k}" for k in range(6))) for i in range(n)]
+
+
+def personal_data(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    return {r.doc_id: r.text for r in corpus_pipeline.personal_data(spark, docs, None).collect()}
+
+
+def test_terms_of_a_rare_entity_at_production_thresholds(spark):
+    """An address in two documents gives its nickname; common words of the same lines stay."""
+    rows = plain_words(3000)
+    rows += [(i, f"{rows[i][1]} zorblatt sue@ex.org {rows[i + 9][1]}") for i in range(2)]
+    out = personal_data(spark, rows)
+    text = dict(rows)
+    for i in range(2):
+        assert out[i] == text[i].replace("zorblatt", "<term>").replace("sue@ex.org", "<email>")
+    assert all(out[i] == text[i] for i in text if i >= 1000)
+
+
 def test_packing(edge_docs, edge_rows, tokenizer):  # noqa: F811
     named = edge_docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     texts = {i: t for i, t, _ in edge_rows if i is not None}
