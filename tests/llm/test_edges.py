@@ -245,7 +245,7 @@ def test_terms_that_give_an_entity_away(spark):
 
 
 def plain_words(n):
-    return [(1000 + i, " ".join(f"word{chr(97 + i // 7 ** k % 7)}{'xyz'[k % 3]}{k}" for k in range(6))) for i in range(n)]
+    return [(1000 + i, "é " + " ".join(f"word{chr(97 + i // 7 ** k % 7)}{'xyz'[k % 3]}{k}" for k in range(6))) for i in range(n)]
 
 
 def personal_data(spark, rows):
@@ -264,6 +264,19 @@ def test_terms_of_a_rare_entity_at_production_thresholds(spark):
     assert all(out[i] == text[i] for i in text if i >= 1000)
 
 
+def test_terms_are_generalised_wherever_they_occur(spark):
+    """Also in the next line, and in a document without any protected value."""
+    rows = plain_words(3000)
+    rows += [(i, f"{rows[i][1]} sue@ex.org\n{rows[i + 9][1]} Zorblatt,\n") for i in range(4)]
+    rows += [(8, f"{rows[50][1]}\n\nzorblatt {rows[51][1]}"), (9, None), (None, "zorblatt")]
+    out = personal_data(spark, rows)
+    text = dict(rows)
+    for i in range(4):
+        assert out[i] == text[i].replace("Zorblatt,", "<term>").replace("sue@ex.org", "<email>")
+    assert out[8] == text[8].replace("zorblatt", "<term>") and out[9] is None and out[None] == "<term>"
+    assert all(out[i] == text[i] for i in text if i and i >= 1000)
+
+
 def test_packing(edge_docs, edge_rows, tokenizer):  # noqa: F811
     named = edge_docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     texts = {i: t for i, t, _ in edge_rows if i is not None}
