@@ -277,6 +277,25 @@ def test_terms_are_generalised_wherever_they_occur(spark):
     assert all(out[i] == text[i] for i in text if i and i >= 1000)
 
 
+def test_handles_and_numbers_are_terms(spark):
+    """Words with digits or @ count; words that overlap a base span don't."""
+    rows = plain_words(3000)
+    rows += [(i, f"{rows[i][1]} @jdoe, user4711 sue@ex.org/ +49 (30) 1234567 {rows[i + 9][1]}") for i in range(4)]
+    rows += [(8, "é user4711"), (9, "é (30)")]
+    out = personal_data(spark, rows)
+    text = dict(rows)
+    for i in range(4):
+        assert out[i] == " ".join([text[i].split(" @")[0], "<term> <term> <email>/ <phone>", text[i].split("567 ")[1]])
+    assert out[8] == "é <term>" and out[9] == text[9] and all(out[i] == text[i] for i in text if i >= 1000)
+
+
+def test_free_terms(spark):
+    text = "A.b@c.org: x.b@c, +1 (555) 123-4567, (555) \uE000 4111 1111 1111 1111x 1.2.3.4 1.2.3.444 @JDoe; a@b"
+    got = spark.createDataFrame([(text,), (None,), ("",)], "text string").select(pii.free_terms(F.col("text")).alias("t"))
+    words = "x.b@c 555 \uE000 1.2.3.444 @jdoe a@b".split()
+    assert [r.t for r in got.collect()] == [words, None, []]
+
+
 def test_packing(edge_docs, edge_rows, tokenizer):  # noqa: F811
     named = edge_docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     texts = {i: t for i, t, _ in edge_rows if i is not None}
