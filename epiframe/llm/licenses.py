@@ -11,8 +11,11 @@ Defined results
 * ``license`` is null if no known text matches; ``notices`` is empty if no line does.
 * Two known texts with one canonical form count as the one with the smaller name.
 * Other columns of the input are ignored.
+* The SQL knows the texts of ``KNOWN`` only, not the files in ``license_texts``.
 """
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,6 +94,12 @@ KNOWN = [
 ]
 
 
+def whole_texts() -> list[tuple[str, str]]:
+    """(name, text) of the files in ``license_texts``, read by the driver."""
+    files = sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
+    return [(f.stem, f.read_text(encoding="utf-8")) for f in files]
+
+
 def canonical(text: Column) -> Column:
     """Words of the canonical form, each between two spaces of its own."""
     plain = F.translate(F.concat(F.lit("\n"), F.coalesce(text, F.lit(""))), UPPER, UPPER.lower())
@@ -106,15 +115,18 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
-def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """digest, license of known texts: a list of (name, text) or a DataFrame name, text."""
+def known_digests(spark: SparkSession, known=None) -> DataFrame:
+    """digest, license of known texts: a list of (name, text) or a DataFrame name, text;
+    ``KNOWN`` and the whole texts if there is none."""
+    if known is None:
+        known = KNOWN + whole_texts()
     if not isinstance(known, DataFrame):
         known = spark.createDataFrame(known, "name string, text string")
     found = known.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("name").alias("license"))
     return compact(found.filter(F.col("digest") != digest(F.lit(""))))
 
 
-def scan(docs: DataFrame, known=KNOWN) -> DataFrame:
+def scan(docs: DataFrame, known=None) -> DataFrame:
     """One row per document: doc_id, digest, license, notices (names, sorted, comma-joined)."""
     names = small(known_digests(docs.sparkSession, known))
     text = F.coalesce("text", F.lit(""))

@@ -204,6 +204,16 @@ def test_every_known_license_finds_itself(spark):
         assert r.license == licenses.KNOWN[r.doc_id][0]
 
 
+def test_whole_license_texts(spark):
+    """Common licences are known by their whole text, also in another layout."""
+    texts = licenses.whole_texts()
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "CC0-1.0", "Unlicense"} <= {n for n, _ in texts}
+    rows = [(i, t.upper().replace("\n", " \n  ") if i % 2 else t) for i, (_, t) in enumerate(texts)]
+    rows.append((len(texts), texts[0][1] + " more"))
+    got = {r.doc_id: r.license for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [got[i] for i in range(len(rows))] == [n for n, _ in texts] + [None]
+
+
 def test_personal_data(edge_docs, edge_rows):
     want = brute.counted((i, brute.base_spans(t)[1]) for i, t, _ in edge_rows)
     assert brute.counted(pii.findings(edge_docs).select("doc_id", "spans").collect()) == want
