@@ -1,6 +1,8 @@
 """Vector statistics, exact quantiles, mergeable summaries and histograms."""
 
+import math
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -67,38 +69,97 @@ def exact_quantiles(
     return quantiles_of_counts(value_counts(df, keys, value), keys, value, points, max_rows)
 
 
-def bracketed_quantiles(
-    df: DataFrame, keys: list[str], value: str, points: Mapping[str, float], accuracy: int = 1000
+#: Buckets for each doubling of a value, and the shift that keeps their numbers above zero.
+PER_OCTAVE = 256
+ABOVE_ZERO = 300_000
+#: Parts that a bucket is cut into where it holds too many rows to count its values.
+CUTS = 4096
+COUNTED_ROWS = 4_000_000
+
+
+def value_bucket(v: Column) -> Column:
+    """A number that never falls as the value grows: its sign and logarithm in 1/256 octaves,
+    at most 1.1 million different ones; infinities and NaN have their own."""
+    size = F.floor(F.ln(F.abs(v)) * F.lit(PER_OCTAVE / math.log(2))) + F.lit(ABOVE_ZERO)
+    side = F.when(v < 0, F.lit(-1)).otherwise(F.lit(1))
+    return (
+        F.when(F.isnan(v), F.lit(1 << 41))
+        .when(v == 0, F.lit(0))
+        .when(F.abs(v) == F.lit(float("inf")), side * F.lit(1 << 40))
+        .otherwise(side * size)
+        .cast("bigint")
+    )
+
+
+def _ranked(hist: DataFrame, group: list[str], order: str, before: Column, ranks: Column) -> DataFrame:
+    """Buckets (n, lo, hi in ``order``) that hold wanted ranks, with the rows before them."""
+    w = W.partitionBy(*group).orderBy(order)
+    upto = before + F.sum("n").over(w.rowsBetween(W.unboundedPreceding, 0))
+    # proves for these data what the choice rests on: later buckets have larger values
+    fine = F.coalesce(F.lag("hi").over(w) < F.col("lo"), F.lit(True))
+    upto = F.when(fine, upto).otherwise(F.raise_error(F.lit("buckets out of order")).cast("bigint"))
+    out = hist.withColumn("_upto", upto).withColumn("_want", ranks)
+    out = out.withColumn("_want", F.filter("_want", lambda r: (r >= F.col("_upto") - F.col("n")) & (r < F.col("_upto"))))
+    return out.filter(F.size("_want") > 0).withColumn("_before", F.col("_upto") - F.col("n")).drop("_upto")
+
+
+def selected_quantiles(
+    df: DataFrame, keys: list[str], value: str, points: Mapping[str, float], counted_rows: int | None = None
 ) -> DataFrame:
     """Exact quantiles, mean, population std and count for few keys with many values.
 
-    The first pass keeps moments and a rank sketch per key, whose error is at most
-    1 / accuracy of the values for certain; so each point has a bracket of about four times
-    that share which holds its neighbours. The second pass moves every value outside the
-    brackets to the end below it. That keeps the order and the values at the wanted ranks,
-    so the counts by distinct value are exact and hold little else than the brackets.
+    Selection by histograms: the first pass counts values by ``value_bucket``, together with
+    moments, and knows exactly which buckets hold the wanted ranks. Only rows of these buckets
+    are looked at again. If they are still more than can be counted value by value, the buckets
+    are cut into equal parts and counted once more; a part holds the ends of its values, so
+    every round either shrinks it or ends with a single value. Nothing is estimated, and the
+    order of the buckets is checked on the data.
     """
+    counted_rows = counted_rows or COUNTED_ROWS
     v = F.col(value).cast("double")
-    e = 2.0 / accuracy
-    ends = [min(1.0, max(0.0, q + side * e)) for q in sorted(points.values()) for side in (-1, 1)]
-    first = df.groupBy(*keys).agg(
-        F.avg(v).alias("mean"),
-        F.stddev_pop(v).alias("std"),
-        F.count(v).alias("n"),
-        F.percentile_approx(v, ends, accuracy).alias("_ends"),
+    df = df.filter(v.isNotNull()).select(*keys, (v + 0.0).alias("_v"))
+    v = F.col("_v")
+    size = [F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi")]
+    moments = [F.avg(v).alias("_m"), F.var_pop(v).alias("_s")]
+    hist = settle(df.groupBy(*keys, value_bucket(v).alias("_b")).agg(*size, *moments))
+    all_of = W.partitionBy(*keys)
+    n, mean = F.sum("n").over(all_of), F.sum(F.col("n") * F.col("_m")).over(all_of)
+    rows = hist.withColumns({"_n": n, "_mean": mean / n})
+    second = F.sum(F.col("n") * (F.col("_s") + F.pow(F.col("_m") - F.col("_mean"), 2)))
+    facts = settle(rows.groupBy(*keys).agg(
+        F.first("_mean").alias("mean"), F.sqrt(second / F.first("_n")).alias("std"), F.first("_n").alias("n")
+    ))
+    at = {name: (F.col("n") - 1) * F.lit(float(q)) for name, q in points.items()}
+    ends = F.array_distinct(F.array(*[f(a).cast("bigint") for a in at.values() for f in (F.floor, F.ceil)]))
+
+    n_keys = facts.count()
+    wanted = facts.select(*keys, ends.alias("_ranks"))
+    here = _ranked(hist.join(few(wanted, n_keys), keys), keys, "_b", F.lit(0), F.col("_ranks"))
+    here = settle(here.select(*keys, "n", "lo", "hi", "_before", "_want"))
+    found = []
+    while True:
+        same = F.coalesce(F.col("lo") == F.col("hi"), F.lit(False))
+        found.append(here.filter(same).select(*keys, F.explode("_want").alias("_r"), F.col("lo").alias("_x")))
+        here = here.filter(~same)
+        left = here.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("buckets")).first()
+        if not left["rows"]:
+            break
+        targets = here.select(*keys, "lo", "hi", "_before", "_want").withColumnsRenamed({"lo": "_lo", "hi": "_hi"})
+        inside = df.join(few(targets, left["buckets"]), keys).filter((v >= F.col("_lo")) & (v <= F.col("_hi")))
+        few_rows = left["rows"] <= counted_rows
+        part = v if few_rows else F.floor((v - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * CUTS)
+        group = [*keys, "_lo"]
+        hist = inside.groupBy(*group, "_before", "_want", part.alias("_b")).agg(*size)
+        here = _ranked(hist, group, "_b", F.col("_before"), F.col("_want"))
+        here = settle(here.select(*keys, "n", "lo", "hi", "_before", "_want"))
+    values = reduce(DataFrame.unionByName, found).groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("_r", "_x"))).alias("_at")  # two values a point
     )
-    first = settle(first)
-    ranges = first.select(*keys, "_ends", F.col("n").alias("_n"))
-    rows = df.filter(F.col(value).isNotNull()).join(few(ranges, first.count()), keys)
-    at = v
-    for i in range(1, len(ends) - 2, 2):  # between two brackets
-        at = F.when((v > F.col("_ends")[i]) & (v < F.col("_ends")[i + 1]), F.col("_ends")[i]).otherwise(at)
-    at = F.when(v < F.col("_ends")[0], F.col("_ends")[0]).otherwise(at)
-    at = F.when(v > F.col("_ends")[len(ends) - 1], F.col("_ends")[len(ends) - 1]).otherwise(at)
-    # a bracket is wider than the gap between two ranks only from ``accuracy`` values on
-    at = F.when(F.col("_n") < 4 * accuracy, v).otherwise(at)
-    counts = value_counts(rows.select(*keys, at.alias("_x")), keys, "_x")
-    return first.drop("_ends").join(quantiles_of_counts(counts, keys, "_x", points), keys)
+    out = facts.join(values, keys)
+    low = {name: F.col("_at")[F.floor(a).cast("bigint")] for name, a in at.items()}
+    high = {name: F.col("_at")[F.ceil(a).cast("bigint")] for name, a in at.items()}
+    cols = {name: low[name] + (high[name] - low[name]) * (a - F.floor(a)) for name, a in at.items()}
+    return out.withColumns(cols).drop("_at")
 
 
 def vector_stats(df: DataFrame, keys: list[str], vector: str, dims: int | None = None) -> DataFrame:
@@ -141,7 +202,7 @@ def masked_vector_stats(
     ``vectors`` maps a name to a vector column. ``slots`` maps a name to an array of slot
     vectors and its padding mask; padded slots are left out. A NaN or infinity is an error.
     The rows are unfolded in two passes that aggregate where they are: what is shuffled does
-    not grow with the horizon but for the values inside the quantile brackets.
+    not grow with the horizon but for the values next to a quantile.
     """
     tags = [F.array(F.lit(n)) for n in vectors]
     tags += [F.array_repeat(F.lit(n), F.size(v)) for n, (v, _) in slots.items()]
@@ -156,7 +217,7 @@ def masked_vector_stats(
     finite = ~(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     checked = F.when(finite, x).otherwise(F.raise_error(F.lit("non-finite value")).cast("double"))
     keys = ["key", "dim"]
-    return bracketed_quantiles(flat.select(*keys, checked.alias("x")), keys, "x", {"q01": 0.01, "q99": 0.99})
+    return selected_quantiles(flat.select(*keys, checked.alias("x")), keys, "x", {"q01": 0.01, "q99": 0.99})
 
 
 def merge_stats(stats: DataFrame, keys: list[str]) -> DataFrame:

@@ -1,12 +1,16 @@
 """Ordered scans over keyed rows that stay parallel when one key is huge.
 
 Most keys are small, so their rows go through ordinary windows partitioned by the key:
-one exchange and one sort. Rows are counted first. Only if there are more than a task should
-sort, they are counted by key, and keys above that bound are hot: their rows are
-range-partitioned on the full order into blocks of about that many rows, written once to
-shared storage, scanned per block, and joined to the summaries of the blocks before (or
-after) them. The summaries are a series of their own, one row per key and block, and are
-scanned in the same way, so a key of any length is carried up a tree of blocks.
+one exchange and one sort. If the plan and the footers of its files prove that all rows fit
+one task (``plans.bounds``), nothing is looked at before. Otherwise one pass over the key
+columns alone looks for keys with more rows than a task should sort; if there is none, the
+rows themselves are read once, by the query.
+
+Only if there are such hot keys are all rows written once, hot ones apart. The hot rows are
+range-partitioned on the full order into blocks of about the bound, scanned per block, and
+joined to the summaries of the blocks before (or after) them. The summaries are a series of
+their own, one row per key and block, and are scanned in the same way, so a key of any length
+is carried up a tree of blocks.
 
 No size is guessed, and no number of keys or blocks is capped: a table of n rows has at most
 n / MAX_ROWS hot keys and twice as many summaries. Joins with them are broadcast only if
@@ -20,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from epiframe.plans.bounds import rows_within
 from epiframe.plans.shared import settle
 
 MAX_ROWS = 4_000_000
@@ -36,12 +41,14 @@ def key_hash(keys: list[str]) -> Column:
 def hot_keys(df: DataFrame, keys: list[str], max_rows: int) -> tuple[DataFrame, int, int] | None:
     """(table of ``_h``, its rows, the rows of these keys) of keys with more than ``max_rows``
     rows; None if there are none. The counts are exact."""
-    if df.count() <= max_rows:
+    if rows_within(df, max_rows) is not None:
         return None
     counts = df.groupBy(key_hash(keys).alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
+    if (counts.agg(F.max("_n")).first()[0] or 0) <= max_rows:
+        return None
     names = settle(counts.filter(F.col("_n") > max_rows))
     row = names.agg(F.count(F.lit(1)).alias("keys"), F.sum("_n").alias("rows")).first()
-    return (names.select("_h"), row["keys"], row["rows"]) if row["keys"] else None
+    return names.select("_h"), row["keys"], row["rows"]
 
 
 def few(df: DataFrame, rows: int) -> DataFrame:
@@ -76,15 +83,14 @@ class Series:
         if found is None:
             return Series(keys, order, df)
         names, n_names, n_rows = found
-        hashed = df.withColumn("_h", key_hash(keys))
+        # one pass over the rows: both kinds are written by it, and read apart from there
+        marked = few(names.withColumn("_hot", F.lit(True)), n_names)
+        rows = df.withColumn("_h", key_hash(keys)).join(marked, "_h", "left").drop("_h")
+        rows = settle(rows.withColumn("_hot", F.col("_hot").isNotNull()), by="_hot")
         n_blocks = max(2, -(-n_rows // max_rows))
-        hot = settle(
-            hashed.join(few(names, n_names), "_h", "left_semi")
-            .drop("_h")
-            .repartitionByRange(n_blocks, *keys, *order)
-            .withColumn(BLOCK, F.spark_partition_id())
-        )
-        cold = hashed.join(few(names, n_names), "_h", "left_anti").drop("_h")
+        hot = rows.filter("_hot").drop("_hot").repartitionByRange(n_blocks, *keys, *order)
+        hot = settle(hot.withColumn(BLOCK, F.spark_partition_id()))
+        cold = rows.filter("NOT _hot").drop("_hot")
         return Series(keys, order, cold, hot, names, n_names, n_blocks)
 
     # -- row-wise steps ---------------------------------------------------------------

@@ -23,12 +23,16 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, by: str | None = None) -> DataFrame:
     """Write a table to shared storage and go on from there.
 
     This cuts the lineage, so lost executors cost no recomputation, and later steps read
-    only the columns they need.
+    only the columns they need; with ``by``, filters on that column read its files alone.
     """
     path = new_path(df.sparkSession, "settled")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if by is None:
+        df.write.parquet(path)
+    else:
+        df.write.partitionBy(by).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    return out if by is None else out.select(df.columns)

@@ -492,7 +492,7 @@ def joint_extremes(spark, sf_dir):
 def bounds(spark, sf_dir):
     """Empirical 1 % and 99 % bounds of every state channel."""
     rows = table(spark, sf_dir, "lineitem").select(F.posexplode(F.array(*DIMS)).alias("dim", "x"))
-    found = stats.bracketed_quantiles(rows, ["dim"], "x", {"q01": 0.01, "q99": 0.99})
+    found = stats.selected_quantiles(rows, ["dim"], "x", {"q01": 0.01, "q99": 0.99})
     return found.select("dim", "q01", "q99")
 
 

@@ -230,12 +230,12 @@ def test_resampling_equals_searchsorted(spark):
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 50, 999, 30_000])
-def test_bracketed_quantiles_equal_numpy(spark, n):
+def test_selected_quantiles_equal_numpy(spark, n):
     rng = np.random.default_rng(n)
     x = np.concatenate([rng.normal(size=n - n // 3), rng.integers(0, 3, n // 3)])
     df = spark.createDataFrame([(1, float(v)) for v in x] + [(2, None), (3, 1.5)], "k INT, x DOUBLE").repartition(4)
     points = {"a": 0.0, "b": 0.01, "c": 0.5, "d": 0.99, "e": 1.0}
-    got = {r.k: r for r in stats.bracketed_quantiles(df, ["k"], "x", points).collect()}
+    got = {r.k: r for r in stats.selected_quantiles(df, ["k"], "x", points).collect()}
     np.testing.assert_allclose([got[1][p] for p in points], np.quantile(x, list(points.values())), rtol=1e-12, atol=1e-12)
     np.testing.assert_allclose([got[1].mean, got[1].std, got[1].n], [x.mean(), x.std(), n], atol=1e-12)
     assert got[3].c == 1.5 and got[3].n == 1
