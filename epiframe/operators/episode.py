@@ -163,24 +163,55 @@ def resampled_grid(
     return s.map(lambda d: d.drop("_stride")), facts
 
 
-def emitted_rows(s: Series, how: Sampling) -> Series:
-    """Full mode keeps the whole grid; strict keeps the only run of two or more samples."""
+def strict_choice(s: Series, facts: DataFrame) -> tuple[Series, DataFrame, DataFrame]:
+    """The grid rows (settled), the run that strict mode keeps of each episode, and the facts
+    with the rejects that only the runs show.
+
+    ``facts`` has one row per episode. An episode that was accepted so far is rejected here
+    as ``no_valid_run``, ``all_singletons`` or ``multiple_valid_runs``; earlier rejects stay.
+    The rows are written once, and read for the choice and again by what follows.
+    """
+    s = s.settled()
+    if "category" not in facts.columns:
+        none = F.lit(None).cast("string")
+        facts = facts.withColumns({"category": none, "message": none})
+    accepted = facts.filter("category IS NULL")
+    records = seq.run_records(s.frame(), s.keys, "grid_index", [])
+    chosen = settle(seq.single_substantial_run(records, s.keys, episodes=accepted))
+    late = chosen.select(*s.keys, "runs", "substantial", F.col("reject_reason").alias("_late"))
+    said = F.format_string("%d valid runs, %d of two or more samples", "runs", "substantial")
+    out = facts.join(late, s.keys, "left").withColumns(
+        {
+            "category": F.coalesce("category", "_late"),
+            "message": F.when(F.col("_late").isNotNull(), said).otherwise(F.col("message")),
+        }
+    )
+    return s, chosen, out.drop("_late", "runs", "substantial")
+
+
+def emitted_rows(s: Series, how: Sampling, chosen: DataFrame | None = None) -> Series:
+    """Full mode keeps the whole grid; strict keeps the only run of two or more samples.
+
+    ``chosen`` has the runs found by ``strict_choice``, whose settled rows ``s`` then are.
+    """
     if not how.strict:
         return s.with_columns({"sample_pos": F.col("grid_index")})
-    s = s.settled()  # read for the choice of the run and again for its rows
-    records = seq.run_records(s.frame(), s.keys, "grid_index", [])
-    chosen = seq.single_substantial_run(records, s.keys)
+    if chosen is None:
+        s = s.settled()  # read for the choice of the run and again for its rows
+        chosen = seq.single_substantial_run(seq.run_records(s.frame(), s.keys, "grid_index", []), s.keys)
     s = s.join_keys(chosen.select(*s.keys, "chosen_run")).filter("run = chosen_run")
     return s.map(lambda d: d.drop("chosen_run")).number("sample_pos")
 
 
-def training_samples(s: Series, pose: str, joints: Column, how: Sampling) -> Series:
+def training_samples(
+    s: Series, pose: str, joints: Column, how: Sampling, chosen: DataFrame | None = None
+) -> Series:
     """State, shared-anchor action chunk and padding mask for every emitted row.
 
     state = pose9 of the motion since the previous row, then joints;
     action k = pose9 of the motion from this row to row + k, then joints of row + k.
     """
-    s = emitted_rows(s, how).with_columns({"_j": joints})
+    s = emitted_rows(s, how, chosen).with_columns({"_j": joints})
     s = future_chunk(s, F.struct(F.col(pose).alias("p"), F.col("_j").alias("j")), how.horizon,
                      "sample_pos")
     s = state_delta(s, pose, strict=how.strict)

@@ -17,7 +17,8 @@ from epiframe.functions.values import (
 )
 from epiframe.operators import pose as po
 from epiframe.operators.align import Stream
-from epiframe.operators.episode import Sampling, emitted_rows, resampled_grid, training_samples
+from epiframe.plans.shared import settle
+from epiframe.operators.episode import Sampling, emitted_rows, resampled_grid, strict_choice, training_samples
 from epiframe.queries.base import (
     EM,
     EV,
@@ -958,11 +959,19 @@ def episode_vectors(spark, sf_dir):
 def preflight_report(spark, sf_dir):
     """Rejects by category, maxima over grid rows (cameras) and fresh rows (hands), padding."""
     s, facts = rated_grid(spark, sf_dir)
-    last = F.max("grid_index").alias("_last")
-    rows = s.settled().frame()
+    return preflight(s.settled().frame(), facts, "grid_index", RATE_REJECTS)
+
+
+RATE_REJECTS = ("status_not_ok", "unsupported_rate", "camera_ratio")
+RUN_REJECTS = ("no_valid_run", "all_singletons", "multiple_valid_runs")
+
+
+def preflight(rows, facts, pos, names):
+    """One row about the samples ``rows`` (settled; ``pos`` is dense in an episode) and ``facts``."""
+    last = F.max(pos).alias("_last")
     rows = rows.join(rows.groupBy("user_id").agg(last), "user_id")
-    ahead = F.least(F.lit(HORIZON), F.col("_last") - F.col("grid_index"))
-    full = F.col("grid_index") + HORIZON <= F.col("_last")
+    ahead = F.least(F.lit(HORIZON), F.col("_last") - F.col(pos))
+    full = F.col(pos) + HORIZON <= F.col("_last")
 
     def hand(n):
         delta = F.abs(f"{n}_delta")
@@ -978,7 +987,6 @@ def preflight_report(spark, sf_dir):
     )
     short = rows.groupBy("user_id").agg(F.count_if(full).alias("f")).agg(F.count_if(F.col("f") == 0)).scalar()
     category = F.col("category")
-    names = ("status_not_ok", "unsupported_rate", "camera_ratio")
     totals = facts.agg(
         F.count(F.lit(1)).alias("episodes"),
         F.count_if(category.isNull()).alias("accepted"),
@@ -987,3 +995,69 @@ def preflight_report(spark, sf_dir):
     )
     out = totals.withColumns({"_g": grid.select(F.struct("*")).scalar(), "episodes_without_full_row": short})
     return out.select(*totals.columns, "_g.*", "episodes_without_full_row")
+
+
+# -- strict mode: episodes of one run ----------------------------------------------------------
+
+_RUNS = [
+    *_RATED,
+    f"""rs AS (SELECT *, sample_valid AND (NOT coalesce(lag(sample_valid) {W_EV}, false)
+      OR NOT transition_valid) AS st FROM gr)""",
+    f"rn AS (SELECT * EXCLUDE n, CASE WHEN sample_valid THEN sum(st::INTEGER) {W_EV} - 1 END AS run FROM rs)",
+    "rr AS (SELECT user_id, run, count(*) AS c FROM rn WHERE run IS NOT NULL GROUP BY ALL)",
+    """ch AS (SELECT user_id, count(*) AS runs, count(*) FILTER (WHERE c >= 2) AS big,
+      min(run) FILTER (WHERE c >= 2) AS run FROM rr GROUP BY 1)""",
+    """ft AS (SELECT rt.* EXCLUDE category, coalesce(category, CASE WHEN runs IS NULL THEN 'no_valid_run' WHEN big = 0
+      THEN 'all_singletons' WHEN big > 1 THEN 'multiple_valid_runs' END) AS category, coalesce(runs, 0) AS runs,
+      coalesce(big, 0) AS big, category IS NULL AS planned FROM rt LEFT JOIN ch USING (user_id))""",
+]
+RATED_STRICT = Sampling(**{**RATED.__dict__, "strict": True})
+
+
+def strict_grid(spark, sf_dir):
+    """(settled grid rows, chosen runs, facts with all rejects)"""
+    grid = episode_grid(spark, sf_dir, RATED_STRICT, clock="frame_us", gates=gates_of(spark, sf_dir))
+    return strict_choice(*grid)
+
+
+@query(
+    "episode_rejects_strict",
+    with_sql(
+        _RUNS,
+        """SELECT user_id, rows, source_rate, category, CASE WHEN planned AND category IS NOT NULL
+        THEN concat(runs, ' valid runs, ', big, ' of two or more samples') END AS message FROM ft""",
+    ),
+)
+def episode_rejects_strict(spark, sf_dir):
+    """Every episode with its rate and the reason why strict mode refuses it, found early or late."""
+    facts = strict_grid(spark, sf_dir)[2]
+    late = F.col("category").isin(*RUN_REJECTS)
+    return facts.select("user_id", "rows", "source_rate", "category", F.when(late, F.col("message")).alias("message"))
+
+
+@query(
+    "preflight_strict",
+    with_sql(
+        [
+            *_RUNS,
+            f"""ss AS (SELECT rn.*, row_number() {W_EV} - 1 AS sp FROM rn JOIN ch USING (user_id, run) WHERE big = 1)""",
+            "em AS (SELECT *, max(sp) OVER (PARTITION BY user_id) AS last FROM ss)",
+            f"ep AS (SELECT user_id, count(*) FILTER (WHERE sp + {HORIZON} <= last) AS f FROM em GROUP BY 1)",
+        ],
+        "SELECT (SELECT count(*) FROM ft) AS episodes, (SELECT count(*) FROM ft WHERE category IS NULL) AS accepted, "
+        + " ".join(f"(SELECT count(*) FROM ft WHERE category = '{n}') AS {n}," for n in (*RATE_REJECTS, *RUN_REJECTS))
+        + f"""(SELECT sum(rows)::BIGINT FROM ft WHERE category IS NULL) AS source_rows, count(*) AS grid_rows,
+        count(*) FILTER (WHERE sample_valid AND transition_valid) AS aligned_rows,
+        max(abs(d0)) AS max_cam0, max(abs(d1)) AS max_cam1,
+        max(abs(dl)) FILTER (WHERE abs(dl) <= {2 * DAY}) AS max_left,
+        max(abs(dr)) FILTER (WHERE abs(dr) <= {2 * DAY}) AS max_right,
+        count(*) FILTER (WHERE sp + {HORIZON} <= last) AS full_horizon_rows,
+        sum({HORIZON} - least({HORIZON}, last - sp))::BIGINT AS padded_slots,
+        (SELECT count(*) FROM ep WHERE f = 0) AS episodes_without_full_row FROM em""",
+    ),
+)
+def preflight_strict(spark, sf_dir):
+    """The report in strict mode: rejects found before and after the runs were known."""
+    s, chosen, facts = strict_grid(spark, sf_dir)
+    rows = emitted_rows(s, RATED_STRICT, chosen).settled().frame()
+    return preflight(rows, settle(facts), "sample_pos", (*RATE_REJECTS, *RUN_REJECTS))

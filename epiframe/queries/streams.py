@@ -12,7 +12,7 @@ from epiframe.queries.base import EV, asof_sql, events, kind_sql, query, r6_sql,
 from epiframe.queries.io import ACTION_SQL, action_rows
 from epiframe.queries.rows import KINDS
 from epiframe.queries.sequence import DAY, W_EV
-from epiframe.streaming import jobs
+from epiframe.streaming import jobs, state
 
 SLICES = 3
 
@@ -24,7 +24,7 @@ def deliver(df, order, path, each, closing=None):
     for i in range(SLICES):
         lo, hi = low + i * width, low + (i + 1) * width
         part = df.filter((F.col(order) >= lo) & (F.col(order) < hi))
-        part.write.mode("append").parquet(path)
+        part.drop("_arrival").write.mode("append").parquet(path)
         each()
     if closing is not None:
         closing.write.mode("append").parquet(path)
@@ -44,12 +44,11 @@ def stream_new_episodes(spark, sf_dir):
         "user_id", "event_type", F.floor(F.col("value") / 30).alias("size"), "ts_us"
     )
     path, out, mark = [new_path(spark, n) for n in ("files", "complete", "checkpoint")]
-    sink = jobs.new_episodes_sink(out, "user_id", KINDS)
 
     def each():
         stream = jobs.arriving(spark, path, files.schema)
-        state = jobs.completeness(stream, "user_id", "event_type", "size", "ts_us", KINDS)
-        jobs.run_available(state, sink, "update", mark)
+        found = state.new_episodes(stream, "user_id", "event_type", "size", "ts_us", KINDS)
+        jobs.run_available(found, jobs.batch_writer(out), "update", mark, state.STATE)
 
     deliver(files, "ts_us", path, each)
     return jobs.latest(spark, out, ["user_id"])
@@ -88,25 +87,63 @@ def stream_decision_state(spark, sf_dir):
     ),
 )
 def stream_asof_backward(spark, sf_dir):
-    rows = events(spark, sf_dir).select("user_id", "event_id", "ts_us", "event_type")
-    kind = F.col("event_type")
-    path, out, state, mark = [new_path(spark, n) for n in ("rows", "matched", "state", "checkpoint")]
-    sink = jobs.AsofBackwardSink(
-        out, state, ["user_id"], "ts_us", "event_id", "is_query", ["event_id"], DAY
+    rows = events(spark, sf_dir).select(
+        "user_id", "event_id", "ts_us", "event_type", F.timestamp_micros("ts_us").alias("at")
     )
-    batches = []
+    kind = F.col("event_type")
+    path, out, mark = [new_path(spark, n) for n in ("rows", "matched", "checkpoint")]
+
+    def each():
+        stream = jobs.arriving(spark, path, rows.schema).filter(kind.isin("click", "error", "end"))
+        found = state.asof_backward(stream, ["user_id"], "at", "ts_us", "event_id", kind == "click", ["event_id"], "1 day", DAY)
+        jobs.run_available(found, jobs.batch_writer(out), "append", mark, state.STATE)
+
+    deliver(rows, "ts_us", path, each, the_end(rows, event_id=-1, event_type="end"))
+    return spark.read.parquet(out).drop(jobs.BATCH)
 
-    def counted(df, batch):
-        sink(df, batch)
-        batches.append(batch)
+
+def the_end(rows, **values):
+    """One late row of no user, which moves the watermark past everything that waits."""
+    last = rows.agg((F.max("ts_us") + 30 * DAY).alias("m"))
+    own = {"ts_us": F.col("m"), "at": F.timestamp_micros("m"), **{k: F.lit(v) for k, v in values.items()}}
+    return last.select(*[own.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema])
+
+
+IDLE = 2 * DAY
+#: Rows arrive up to 20 hours after their time, out of order.
+_ARRIVAL = "ts_us + event_id * 7919 % 72000 * 1000000"
+
+
+@query(
+    "stream_flag_runs",
+    with_sql(
+        [
+            EV,
+            f"""f AS (SELECT *, value >= 20 AS ok, coalesce(lag(value) {W_EV} >= 20, false) AS prev_ok,
+              event_type <> 'signup' AND ts_us - lag(ts_us) {W_EV} <= {IDLE} AS edge FROM ev)""",
+            f"r AS (SELECT *, sum((ok AND NOT (prev_ok AND coalesce(edge, false)))::INTEGER) {W_EV} - 1 AS run FROM f)",
+        ],
+        """SELECT user_id, run::BIGINT AS run, min(ts_us) AS first_ts, max(ts_us) AS last_ts, arg_min(event_id, (ts_us, event_id))
+        AS first_row, arg_max(event_id, (ts_us, event_id)) AS last_row, count(*) AS samples FROM r WHERE ok GROUP BY user_id, run""",
+    ),
+)
+def stream_flag_runs(spark, sf_dir):
+    """Runs broken by low values, by sign-ups and by idle time; rows come late and out of order."""
+    rows = events(spark, sf_dir).select(
+        "user_id", "event_id", "ts_us", "event_type", "value", F.timestamp_micros("ts_us").alias("at")
+    )
+    path, out, mark = [new_path(spark, n) for n in ("rows", "runs", "checkpoint")]
 
     def each():
         stream = jobs.arriving(spark, path, rows.schema)
-        tagged = jobs.as_asof_input(stream, kind == "click", kind == "error")
-        jobs.run_available(tagged, counted, "append", mark)
-
-    deliver(rows, "ts_us", path, each)
-    sink.flush(spark, max(batches) + 1)
+        runs = state.flag_runs(
+            stream, ["user_id"], "at", "ts_us", "event_id", F.col("value") >= 20, F.col("event_type") != "signup", IDLE, "1 day", DAY
+        )
+        late = jobs.run_available(runs, jobs.batch_writer(out), "append", mark, state.STATE)
+        if late:
+            raise ValueError(f"{late} rows came after the watermark")
+
+    deliver(rows.withColumn("_arrival", F.expr(_ARRIVAL)), "_arrival", path, each, the_end(rows, event_id=-1))
     return spark.read.parquet(out).drop(jobs.BATCH)
 
 
@@ -127,19 +164,12 @@ def stream_gap_runs(spark, sf_dir):
         "user_id", "ts_us", F.timestamp_micros("ts_us").alias("at")
     )
     path, out, mark = [new_path(spark, n) for n in ("rows", "runs", "checkpoint")]
-    # one late row of no user moves the watermark past every open run
-    closing = rows.agg(F.max("ts_us").alias("m")).select(
-        F.lit(None).cast("bigint").alias("user_id"),
-        (F.col("m") + 30 * DAY).alias("ts_us"),
-        F.timestamp_micros(F.col("m") + 30 * DAY).alias("at"),
-    )
-
     def each():
         stream = jobs.arriving(spark, path, rows.schema)
         runs = jobs.gap_runs(stream, ["user_id"], "at", "1 day", "ts_us", late="1 hour")
         jobs.run_available(runs, jobs.batch_writer(out), "append", mark, jobs.LOCAL_SESSIONS)
 
-    deliver(rows, "ts_us", path, each, closing)
+    deliver(rows, "ts_us", path, each, the_end(rows))
     return spark.read.parquet(out).drop(jobs.BATCH).filter("user_id IS NOT NULL")
 
 

@@ -1,17 +1,16 @@
 """Structured Streaming forms of the operators that run while recordings keep arriving.
 
 Each job resumes from its checkpoint. Results of a micro-batch go to a folder named by the
-batch number and are overwritten if the batch is run again, so a retry changes nothing.
+batch number and are overwritten if the batch is run again, so a retry changes nothing. Operators
+that keep rows or facts of their own per key are in ``state``.
 """
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from epiframe.operators.align import Stream, asof
-
 BATCH = "batch"
 
 
@@ -26,8 +25,9 @@ def arriving(spark: SparkSession, path: str, schema: StructType, max_bytes: int
 
 def run_available(
     stream: DataFrame, sink: Callable, mode: str, checkpoint: str, settings: Mapping[str, str] | None = None
-) -> None:
-    """Process everything that has arrived since the last run, then stop.
+) -> int:
+    """Process everything that has arrived since the last run, then stop. Returns the number of
+    rows that came after the watermark had passed them and were dropped.
 
     A new job gets one state partition per core of the cluster; the checkpoint keeps that
     number for later runs. A started query has a session of its own, so the settings are
@@ -51,6 +51,7 @@ def run_available(
         for k, v in usual.items():
             conf.unset(k) if v is None else conf.set(k, v)
     query.awaitTermination()
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
 
 
 def _folder(base: str, batch: int) -> str:
@@ -72,33 +73,6 @@ def latest(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(newest).select(*keys, "_v.*")
 
 
-# -- newly complete episodes ---------------------------------------------------------------
-
-
-def completeness(files: DataFrame, key: str, name: str, size: str, changed: str,
-                 required: Sequence[str]) -> DataFrame:
-    """Bit set of required files seen so far, and the time of the last change."""
-    bit = F.lit(0)
-    for i, r in enumerate(required):
-        bit = F.when((F.col(name) == r) & (F.col(size) > 0), F.lit(1 << i)).otherwise(bit)
-    return files.groupBy(key).agg(F.bit_or(bit).alias("seen"), F.max(changed).alias("changed_at"))
-
-
-def new_episodes_sink(out: str, key: str, required: Sequence[str]) -> Callable:
-    """Emit an episode when it is complete, and again only if its files have changed since."""
-    full = (1 << len(required)) - 1
-
-    def write(df: DataFrame, batch: int) -> None:
-        spark = df.sparkSession
-        done = df.filter(F.col("seen") == full).select(key, "changed_at")
-        if batch > 0:
-            before = spark.read.parquet(out).filter(F.col(BATCH) < batch)
-            done = done.join(before, [key, "changed_at"], "left_anti")
-        done.write.mode("overwrite").parquet(_folder(out, batch))
-
-    return write
-
-
 # -- decisions -----------------------------------------------------------------------------
 
 
@@ -116,86 +90,6 @@ def decision_state(actions: DataFrame) -> DataFrame:
     )
 
 
-# -- causal as-of --------------------------------------------------------------------------
-
-
-class AsofBackwardSink:
-    """Last source row at or before each query, emitted once the watermark has passed it.
-
-    State between batches is a table: rows newer than the watermark, and the last source
-    row of each key up to it. Rows older than the watermark on arrival are dropped and
-    counted. Each batch is matched by the batch operator, so hot keys are split as there.
-    """
-
-    def __init__(self, out: str, state: str, keys: Sequence[str], ts: str, row_id: str,
-                 is_query: str, payload: Sequence[str], delay: int):
-        self.out, self.state = out, state
-        self.keys, self.ts, self.row_id = list(keys), ts, row_id
-        self.is_query, self.payload, self.delay = is_query, list(payload), delay
-
-    def _load(self, spark: SparkSession, batch: int, part: str) -> DataFrame | None:
-        if batch == 0:
-            return None
-        return spark.read.parquet(f"{_folder(self.state, batch - 1)}/{part}")
-
-    def __call__(self, df: DataFrame, batch: int) -> None:
-        df = df.persist()
-        try:
-            self._receive(df, batch)
-        finally:
-            df.unpersist()
-
-    def _receive(self, df: DataFrame, batch: int) -> None:
-        spark = df.sparkSession
-        mark = self._load(spark, batch, "mark")
-        old = mark.first() if mark is not None else None
-        passed = old.passed if old else None
-        dropped = old.dropped if old else 0
-        if passed is not None:
-            dropped += df.filter(F.col(self.ts) <= passed).count()
-            df = df.filter(F.col(self.ts) > passed)
-        newest = df.agg(F.max(self.ts)).first()[0]
-        if newest is not None:
-            passed = max(newest - self.delay, passed if passed is not None else newest - self.delay)
-        self._step(df, batch, passed, dropped)
-
-    def flush(self, spark: SparkSession, batch: int) -> None:
-        """Emit what is still waiting: the stream has ended."""
-        waiting = self._load(spark, batch, "rows")
-        mark = self._load(spark, batch, "mark").first()
-        newest = waiting.agg(F.max(self.ts)).first()[0]
-        self._step(waiting.limit(0), batch, mark.passed if newest is None else newest, mark.dropped)
-
-    def _step(self, df: DataFrame, batch: int, passed: int | None, dropped: int) -> None:
-        spark = df.sparkSession
-        held = self._load(spark, batch, "rows")
-        rows = df if held is None else held.unionByName(df)
-        due = F.lit(False) if passed is None else F.col(self.ts) <= passed
-        ready = rows.filter(due)
-        source = Stream(ready.filter(~F.col(self.is_query)), self.ts, self.payload)
-        grid = ready.filter(F.col(self.is_query))
-        matched = asof(
-            grid.select(*self.keys, self.row_id, self.ts), source, self.keys, self.ts,
-            self.row_id, "causal_strict",
-        )
-        matched.drop("src_index").write.mode("overwrite").parquet(_folder(self.out, batch))
-
-        last = ready.filter(~F.col(self.is_query)).groupBy(*self.keys).agg(
-            F.max_by(F.struct(*[c for c in rows.columns if c not in self.keys]), self.ts).alias("_l")
-        )
-        keep = rows.filter(~due).unionByName(last.select(*self.keys, "_l.*"))
-        keep.write.mode("overwrite").parquet(f"{_folder(self.state, batch)}/rows")
-        facts = spark.range(1).select(
-            F.lit(passed).cast("bigint").alias("passed"), F.lit(dropped).cast("bigint").alias("dropped")
-        )
-        facts.write.mode("overwrite").parquet(f"{_folder(self.state, batch)}/mark")
-
-
-def as_asof_input(df: DataFrame, query: Column, source: Column) -> DataFrame:
-    """Rows that are queries or sources, marked as such."""
-    return df.filter(query | source).withColumn("is_query", query)
-
-
 # -- runs closed by a gap ------------------------------------------------------------------
 
 

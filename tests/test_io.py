@@ -1,12 +1,14 @@
 """Readers, writers and streams: refusals, reports and repeats."""
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from epiframe.operators import validate as val
 from epiframe.sources import readers, sinks
-from epiframe.streaming import jobs
+from epiframe.streaming import jobs, state
 
 
 def write(path, text):
@@ -150,44 +152,91 @@ def test_page_bounds(spark):
         val.search_filter(df, "odd", "", "s", F.col("id"))
 
 
-ASOF_SCHEMA = (
-    T.StructType().add("k", "integer").add("t", "long").add("id", "long").add("is_query", "boolean")
-)
+def run_slices(spark, tmp_path, schema, slices, operator, mode="append"):
+    """Delivers slices of rows one after the other, each to a new run of the job; yields the
+    output so far and the late rows of that run."""
+    src, out, mark = [str(tmp_path / n) for n in ("src", "out", "mark")]
+    schema = T.StructType.fromDDL(schema)
+    for rows in slices:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(src)
+        stream = operator(jobs.arriving(spark, src, schema))
+        late = jobs.run_available(stream, jobs.batch_writer(out), mode, mark, state.STATE)
+        yield spark.read.parquet(out).drop(jobs.BATCH), late
+
+
+SECOND = 1_000_000
+
+
+def at(*rows):
+    """(key, time in seconds, ...) rows with the time in microseconds too."""
+    start = datetime.datetime(1970, 1, 1, tzinfo=datetime.timezone.utc)
+    return [(k, t * SECOND, start + datetime.timedelta(seconds=t), *rest) for k, t, *rest in rows]
 
 
 def test_stream_asof_drops_and_counts_late_rows(spark, tmp_path):
-    src, out, state, mark = [str(tmp_path / n) for n in ("src", "out", "state", "mark")]
-    sink = jobs.AsofBackwardSink(out, state, ["k"], "t", "id", "is_query", ["id"], delay=10)
-    batches = [
-        [(1, 100, 1, False), (1, 105, 2, True), (1, 130, 3, False)],
+    slices = [
+        at((1, 100, 1, False), (1, 105, 2, True), (1, 130, 3, False), (2, 101, 8, True)),
         # 121 arrives late but within the delay; 90 is older than the watermark of 120
-        [(1, 121, 4, False), (1, 125, 5, True), (1, 90, 6, True), (1, 160, 7, True)],
+        at((1, 121, 4, False), (1, 125, 5, True), (1, 90, 6, True), (1, 160, 7, True)),
+        at((None, 900, 9, False)),
+    ]
+
+    def matched(stream):
+        return state.asof_backward(stream, ["k"], "at", "t", "id", F.col("q"), ["id"], "10 seconds")
+
+    runs = run_slices(spark, tmp_path, "k INT, t BIGINT, at TIMESTAMP, id BIGINT, q BOOLEAN", slices, matched)
+    got = [(sorted((r.id, r.src_id, r.src_delta) for r in out.collect()), late) for out, late in runs]
+    first = [(2, 1, -5 * SECOND), (8, None, None)]
+    second = [(2, 1, -5 * SECOND), (5, 4, -4 * SECOND), (8, None, None)]
+    assert got[0] == (first, 0)
+    assert got[1] == (second, 1)
+    assert got[2] == (sorted([*second, (7, 3, -30 * SECOND)]), 0)
+
+
+def test_stream_asof_keeps_ties_and_repeats_apart(spark, tmp_path):
+    slices = [
+        at((1, 10, 3, True), (1, 10, 1, False), (1, 10, 2, True)),  # a source at the instant of two queries
+        at((1, 11, 5, False), (1, 11, 4, False), (1, 12, 6, True)),  # two sources at one instant
+        at((None, 900, 9, False)),
     ]
-    for rows in batches:
-        spark.createDataFrame(rows, ASOF_SCHEMA).write.mode("append").parquet(src)
-        jobs.run_available(jobs.arriving(spark, src, ASOF_SCHEMA), sink, "append", mark)
-    early = spark.read.parquet(out).orderBy("t").collect()
-    assert [(r.t, r.src_id) for r in early] == [(105, 1), (125, 4)]
-    sink.flush(spark, 2)
-    rows = spark.read.parquet(out).orderBy("t").collect()
-    assert [(r.t, r.src_id) for r in rows] == [(105, 1), (125, 4), (160, 3)]
-    assert spark.read.parquet(state).select("dropped").agg(F.max("dropped")).first()[0] == 1
+
+    def matched(stream):
+        return state.asof_backward(stream, ["k"], "at", "t", "id", F.col("q"), ["id"], "10 seconds")
+
+    runs = list(run_slices(spark, tmp_path, "k INT, t BIGINT, at TIMESTAMP, id BIGINT, q BOOLEAN", slices, matched))
+    assert sorted((r.id, r.src_id) for r in runs[-1][0].collect()) == [(2, 1), (3, 1), (6, 5)]
+
+
+def test_flag_runs_with_late_rows_and_restarts(spark, tmp_path):
+    slices = [
+        at((1, 10, 1, True, True), (1, 30, 3, True, True), (2, 12, 1, None, True), (2, 13, 2, True, None)),
+        at((1, 20, 2, True, True), (1, 40, 4, False, True), (2, 14, 3, True, False)),  # 20 and 14 come late
+        at((1, 50, 5, True, True), (1, 60, 6, True, True), (1, 5, 0, True, True)),  # 5 comes too late
+        at((1, 200, 7, True, True)),  # too long after 60
+        at((None, 9_000, 9, False, False)),
+    ]
+
+    def runs_of(stream):
+        return state.flag_runs(stream, ["k"], "at", "t", "id", F.col("ok"), F.col("edge"), 100 * SECOND, "20 seconds")
+
+    runs = list(run_slices(spark, tmp_path, "k INT, t BIGINT, at TIMESTAMP, id BIGINT, ok BOOLEAN, edge BOOLEAN", slices, runs_of))
+    assert [late for _, late in runs] == [0, 0, 1, 0, 0]
+    got = sorted((r.k, r.run, r.first_row, r.last_row, r.samples, r.first_ts // SECOND, r.last_ts // SECOND) for r in runs[-1][0].collect())
+    assert got == [(1, 0, 1, 3, 3, 10, 30), (1, 1, 5, 6, 2, 50, 60), (1, 2, 7, 7, 1, 200, 200), (2, 0, 2, 2, 1, 13, 13), (2, 1, 3, 3, 1, 14, 14)]
 
 
 def test_complete_episodes_are_emitted_once(spark, tmp_path):
-    schema = T.StructType.fromDDL("e INT, f STRING, size BIGINT, at BIGINT")
-    src, out, mark = [str(tmp_path / n) for n in ("src", "out", "mark")]
-    sink = jobs.new_episodes_sink(out, "e", ["a", "b"])
     arrivals = [
         [(1, "a", 5, 10), (2, "a", 5, 10)],
         [(1, "b", 5, 11), (2, "b", 0, 11)],
-        [(3, "a", 1, 12)],
+        [(3, "a", 1, 12), (1, "b", 5, 11)],
         [(1, "a", 6, 13)],
     ]
-    seen = []
-    for rows in arrivals:
-        spark.createDataFrame(rows, schema).write.mode("append").parquet(src)
-        state = jobs.completeness(jobs.arriving(spark, src, schema), "e", "f", "size", "at", ["a", "b"])
-        jobs.run_available(state, sink, "update", mark)
-        seen.append(spark.read.parquet(out).count())
-    assert seen == [0, 1, 1, 2]  # the second report of episode 1 follows a change of its files
+
+    def found(stream):
+        return state.new_episodes(stream, "e", "f", "size", "at", ["a", "b"])
+
+    runs = run_slices(spark, tmp_path, "e INT, f STRING, size BIGINT, at BIGINT", arrivals, found, "update")
+    got = [sorted((r.e, r.changed_at) for r in out.collect()) for out, _ in runs]
+    # the second report of episode 1 follows a change of its files, a listing without one gives none
+    assert got == [[], [(1, 11)], [(1, 11)], [(1, 11), (1, 13)]]
