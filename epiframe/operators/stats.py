@@ -123,18 +123,19 @@ def selected_quantiles(
     moments = [F.avg(v).alias("_m"), F.var_pop(v).alias("_s")]
     hist = settle(df.groupBy(*keys, value_bucket(v).alias("_b")).agg(*size, *moments))
     all_of = W.partitionBy(*keys)
-    n, mean = F.sum("n").over(all_of), F.sum(F.col("n") * F.col("_m")).over(all_of)
-    rows = hist.withColumns({"_n": n, "_mean": mean / n})
+    rows = hist.withColumn("_n", F.sum("n").over(all_of))
+    rows = rows.withColumn("_mean", F.sum(F.col("n") * F.col("_m")).over(all_of) / F.col("_n"))
     second = F.sum(F.col("n") * (F.col("_s") + F.pow(F.col("_m") - F.col("_mean"), 2)))
-    facts = settle(rows.groupBy(*keys).agg(
+    facts = rows.groupBy(*keys).agg(
         F.first("_mean").alias("mean"), F.sqrt(second / F.first("_n")).alias("std"), F.first("_n").alias("n")
-    ))
-    at = {name: (F.col("n") - 1) * F.lit(float(q)) for name, q in points.items()}
-    ends = F.array_distinct(F.array(*[f(a).cast("bigint") for a in at.values() for f in (F.floor, F.ceil)]))
+    )
+
+    def places(n: str) -> dict[str, Column]:
+        return {name: (F.col(n) - 1) * F.lit(float(q)) for name, q in points.items()}
 
-    n_keys = facts.count()
-    wanted = facts.select(*keys, ends.alias("_ranks"))
-    here = _ranked(hist.join(few(wanted, n_keys), keys), keys, "_b", F.lit(0), F.col("_ranks"))
+    at = places("n")
+    ranks = F.array_distinct(F.array(*[f(a).cast("bigint") for a in places("_n").values() for f in (F.floor, F.ceil)]))
+    here = _ranked(rows, keys, "_b", F.lit(0), ranks)
     here = settle(here.select(*keys, "n", "lo", "hi", "_before", "_want"))
     found = []
     while True:

@@ -239,3 +239,32 @@ def test_selected_quantiles_equal_numpy(spark, n):
     np.testing.assert_allclose([got[1][p] for p in points], np.quantile(x, list(points.values())), rtol=1e-12, atol=1e-12)
     np.testing.assert_allclose([got[1].mean, got[1].std, got[1].n], [x.mean(), x.std(), n], atol=1e-12)
     assert got[3].c == 1.5 and got[3].n == 1
+
+
+ADVERSARIAL = {
+    "sorted": np.arange(40_000, dtype=float),
+    "close": 1000 + np.arange(40_000) * 2.0**-40,
+    "ties": np.repeat([1.0, 2.0, 2.0 + 2**-50], [100, 30_000, 9_900]),
+    "scales": np.concatenate([s * 10.0 ** np.arange(-300, 300, 0.05) for s in (1, -1)]),
+    "ends": np.array([-0.0, 0.0, 5e-324, -5e-324, 1.7976931348623157e308, -1.7976931348623157e308] * 50),
+    "infinite": np.array([-np.inf] * 30 + [np.inf] * 30 + [1.0] * 40),
+}
+
+
+@pytest.mark.parametrize("counted_rows", [1, 500, None])
+@pytest.mark.parametrize("name", ADVERSARIAL)
+def test_quantiles_of_hard_values(spark, name, counted_rows):
+    """Sorted, close, tied and far apart values, cut into parts until each is a single value."""
+    x = ADVERSARIAL[name]
+    if counted_rows is not None:
+        x = x[:: max(1, len(x) // 4000)]
+    df = spark.createDataFrame([(float(v),) for v in x], "x DOUBLE").repartition(3).withColumn("k", F.lit("a"))
+    points = {"a": 0.0, "b": 0.01, "c": 0.4999, "d": 0.99, "e": 1.0}
+    got = stats.selected_quantiles(df, ["k"], "x", points, counted_rows).first()
+    ordered = np.sort(x)
+    for p, q in points.items():
+        at = (len(x) - 1) * q
+        lo, hi = ordered[int(np.floor(at))], ordered[int(np.ceil(at))]
+        want = lo if lo == hi and np.isfinite(lo) else lo + (hi - lo) * (at - np.floor(at))
+        assert got[p] == want or (np.isnan(got[p]) and np.isnan(want)) or np.isclose(got[p], want, rtol=1e-12)
+    assert got.n == len(x)
