@@ -5,22 +5,23 @@ the matches and ``regexp_extract_all`` the matches, so a running sum of their le
 code point offsets. The patterns use possessive loops and look behind for a run's beginning:
 the matches are the same, and no text makes them recurse or take quadratic time.
 
-Terms: an entity is a value found (an address, a number). The unit of co-occurrence is a
-distinct line of the corpus, so copies of a text add no evidence. For a term t and an entity
-e that share at least ``SUPPORT`` lines, the disclosure is PMI(t; e) / IC(e), where
-IC(e) = -log2 p(e) is what there is to know about e: 1 means that whoever reads t knows e.
-From ``DISCLOSES`` on, t is generalised in the lines that name e, and from ``REVEALS`` on
-removed there. Lines without e stay as they are. Counts cover all lines of all documents.
-That is the rule of ``findings`` and of its SQL.
-
-With ``whole`` the unit is a distinct document, so a name in the line above an address counts,
-and there is no least number of units: p(e|t) is smoothed by ``PRIOR`` observations at the base
-rate p(e), and the disclosure is log2(p(e|t) / p(e)) / IC(e). A single shared document thus
-counts for less than many, and how much less depends on how rare e is. A term that gives some
-entity away is generalised or removed wherever it occurs, also in documents that don't name e.
-Terms are words of any characters there, such as handles and account numbers, but for words
-that overlap a base span; ``findings`` leaves out all words with a digit or @. Names of several
-words are found only by one of their words.
+Terms: an entity is a value found (an address, a number), and the unit of co-occurrence is a
+document with a text of its own, over the whole corpus. Whoever reads term t knows entity e
+with probability p(e|t); what counts is the lower end of its Wilson interval, ``CHANCE`` being
+the square of the normal quantile. t discloses e if that end is at least ``DISCLOSES`` (at most
+one bit about e is left) and ``GAIN`` times the share of documents with e (five bits are
+gained). So three documents are the least evidence at any size of the corpus, and a word that
+is independent of all entities is taken for a term with probability below the number of
+entities in a document over 4,096, as a rule far below.
+
+A disclosing term is generalised at every occurrence in the corpus, also in documents that
+don't name e, and removed from ``REVEALS`` on. Terms are words of any characters, such as
+handles and account numbers, without marks at their ends, but for words that overlap a base
+span. Names of several words are found by any of their words. Near copies of a document count
+as documents, exact copies don't; the pipeline removes near copies first.
+
+Entities that occur in the same documents are one class, and so are terms, so pairs are made
+of classes: a page that lists 10,000 values and words makes few of them.
 
 Defined results
 * A null text counts as empty and has no spans. A null doc_id is kept.
@@ -36,10 +37,14 @@ from pyspark.sql import functions as F
 
 from epiframe.llm.common import WORD, compact, query, same, small, table
 
-SUPPORT = 3
-DISCLOSES = 0.9
-REVEALS = 0.98
-PRIOR = 1
+DISCLOSES = 0.5
+REVEALS = 0.9
+CHANCE = 3.0
+GAIN = 32
+#: Rounding at the threshold itself.
+SLACK = 1e-9
+#: Code points in a piece of a text that is cut at spans.
+PIECE = 4096
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 TERM = KINDS.index("term")
@@ -104,9 +109,10 @@ def base_spans(docs: DataFrame) -> DataFrame:
             for i, k in enumerate(KINDS[:TERM])
         ]
     )
-    rows = keyed(docs).filter(F.col("text").rlike(MAYBE)).select("doc_id", "th", F.explode(kinds).alias("k"))
-    rows = rows.filter(F.size("k.found") > 1)
-    rows = rows.select("doc_id", "th", "k.kind", F.posexplode("k.found").alias("pos", "f")).filter("f.m IS NOT NULL")
+    rows = keyed(docs).filter(F.col("text").rlike(MAYBE)).select("doc_id", "th", F.inline(kinds))
+    # the array of matches is a column of its own, so its rows don't carry it along
+    rows = rows.filter(F.size("found") > 1).select("doc_id", "th", "kind", F.posexplode("found").alias("pos", "f"))
+    rows = rows.filter("f.m IS NOT NULL")
     rows = rows.select(
         "doc_id", "th", "kind", "pos",
         F.length("f.gap").cast("long").alias("gap_length"),
@@ -127,22 +133,6 @@ def entities(text: Column, i: int) -> Column:
     return F.transform(values, lambda m: F.concat(F.lit(KINDS[i] + ":"), plain(m)))
 
 
-def entity_lines(docs: DataFrame) -> DataFrame:
-    """Distinct lines with entities: line (hash), text, entities (kind:value, normalised)."""
-    lines = docs.filter(F.col("text").rlike(MAYBE)).select(F.explode(F.split("text", "\n", -1)).alias("text"))
-    lines = lines.filter(F.col("text").rlike(MAYBE)).select(F.xxhash64("text").alias("line"), "text")
-    found = [entities(F.col("text"), i) for i in range(TERM)]
-    lines = lines.withColumn("entities", F.array_distinct(F.concat(*found)))
-    lines = lines.filter(F.size("entities") > 0)
-    return lines.groupBy("line").agg(F.first("text").alias("text"), F.first("entities").alias("entities"))
-
-
-def terms(text: Column) -> Column:
-    """Distinct lower-case words without digits and @, and without marks at their edges."""
-    words = F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), term)
-    return F.array_distinct(F.filter(words, lambda w: (w != "") & ~w.rlike("[0-9@]")))
-
-
 def free_terms(text: Column) -> Column:
     """Distinct lower-case words of any characters that overlap no valid base span."""
 
@@ -175,44 +165,6 @@ def term(word: Column) -> Column:
     return F.regexp_replace(F.lower(word), EDGES, "")
 
 
-def disclosing(docs: DataFrame, support: int, discloses: float) -> DataFrame | None:
-    """(line, term, share): terms of a line that give away an entity of that line; None if
-    there are none. Entities with too few lines are left out before terms are paired."""
-    lines = compact(entity_lines(docs))
-    named = lines.select("line", F.explode("entities").alias("entity"))
-    often = compact(named.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).filter(F.col("n_e") >= support))
-    if often.isEmpty():
-        return None
-    named = named.join(small(often), "entity")
-    words = lines.select("line", F.explode(terms(F.col("text"))).alias("term"))
-    pairs = compact(named.join(words, "line"))
-    both = pairs.groupBy("entity", "n_e", "term").agg(F.count(F.lit(1)).alias("n_te"))
-    both = compact(both.filter(F.col("n_te") >= support))
-    if both.isEmpty():
-        return None
-    every = docs.select(F.explode(F.split("text", "\n", -1)).alias("text"))
-    total = float(every.select(F.xxhash64("text").alias("line")).distinct().count())
-    known = F.log2(F.lit(total) / F.col("n_e"))
-
-    def share(n_t):
-        pmi = F.log2(F.col("n_te") * total / (F.col(n_t) * F.col("n_e")))
-        return F.when(known > 0, pmi / known).otherwise(0.0)
-
-    # lines with entities are some of all lines, so their counts bound the share from above
-    here = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_here"))
-    both = compact(both.join(here, "term").filter(share("n_here") >= discloses))
-    if both.isEmpty():
-        return None
-    wanted = compact(both.select("term").distinct())
-    seen = every.select(F.xxhash64("text").alias("line"), F.explode(terms(F.col("text"))).alias("term"))
-    seen = seen.join(small(wanted), "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    risk = both.join(seen, "term").withColumn("share", share("n_t"))
-    risk = compact(risk.filter(F.col("share") >= discloses).select("entity", "term", "share"))
-    if risk.isEmpty():
-        return None
-    return compact(pairs.join(risk, ["entity", "term"]).groupBy("line", "term").agg(F.max("share").alias("share")))
-
-
 def entity_docs(docs: DataFrame) -> DataFrame:
     """Distinct documents with entities: th, entities, terms."""
     rows = keyed(docs).filter(F.col("text").rlike(MAYBE))
@@ -221,87 +173,90 @@ def entity_docs(docs: DataFrame) -> DataFrame:
     return rows.select("th", "entities", free_terms(F.col("text")).alias("terms")).dropDuplicates(["th"])
 
 
-def document_risks(docs: DataFrame, discloses: float) -> DataFrame | None:
-    """(entity, term, share) of the terms that give an entity away, by documents; None if none."""
-    known = compact(entity_docs(docs))
-    if known.isEmpty():
-        return None
-    total = float(keyed(docs).select("th").distinct().count())
-    named = known.select("th", F.explode("entities").alias("entity"))
-    n_e = compact(named.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")))
-    words = known.select("th", F.explode("terms").alias("term"))
-    here = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_here"))
-    base = F.col("n_e") / total
+def least_documents(discloses: float) -> int:
+    """Documents that a term has to share with an entity if it occurs in no others."""
+    n = 1
+    while n / (n + CHANCE) < discloses - SLACK:
+        n += 1
+    return n
 
-    def share(n_te, n_t):
-        given = (n_te + PRIOR * base) / (n_t + PRIOR)
-        return F.when(base < 1, -F.log2(given / base) / F.log2(base)).otherwise(0.0)
 
-    # documents with entities are some of all documents, so their counts bound the share from above
-    pairs = named.join(small(n_e), "entity").join(words.join(here, "term"), "th")
-    pairs = pairs.filter(share(F.least("n_e", "n_here"), F.col("n_here")) >= discloses)
-    both = pairs.groupBy("entity", "n_e", "term", "n_here").agg(F.count(F.lit(1)).alias("n_te"))
-    both = compact(both.filter(share(F.col("n_te"), F.col("n_here")) >= discloses))
-    if both.isEmpty():
-        return None
-    wanted = compact(both.select("term").distinct())
-    seen = keyed(docs).select("th", F.explode(free_terms(F.col("text"))).alias("term"))
-    seen = seen.join(small(wanted), "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    risk = both.join(seen, "term").withColumn("share", share(F.col("n_te"), F.col("n_t")))
-    risk = compact(risk.filter(F.col("share") >= discloses).select("entity", "term", "share"))
-    return None if risk.isEmpty() else risk
+def sure(both: Column, of: Column) -> Column:
+    """The lower end of the Wilson interval for a share of ``both`` out of ``of``."""
+    p = both / of
+    spread = F.sqrt(CHANCE * (p * (1 - p) / of + CHANCE / (4 * of * of)))
+    return (p + CHANCE / (2 * of) - spread) / (1 + CHANCE / of)
+
+
+def classed(rows: DataFrame, name: str, least: int) -> tuple[DataFrame, DataFrame]:
+    """(members, places): values with their class, and (th, class, n) of each class, from
+    distinct (th, value). A class has the same n documents, told by two hashes over them."""
+    marks = F.count(F.lit(1)).alias("n"), F.bit_xor("th").alias("a"), F.bit_xor(F.xxhash64("th")).alias("b")
+    members = rows.groupBy(name).agg(*marks).filter(F.col("n") >= least)
+    members = compact(members.select(name, "n", F.xxhash64("n", "a", "b").alias("class")))
+    first = members.groupBy("class", "n").agg(F.min(name).alias(name))
+    return members, rows.join(first, name).select("th", "class", "n")
 
 
-def told_by_documents(docs: DataFrame, discloses: float) -> DataFrame | None:
-    """(line, term, share): every line of the corpus with a term that gives any entity away."""
-    risk = document_risks(docs, discloses)
-    if risk is None:
+def term_risks(docs: DataFrame, discloses: float) -> tuple[DataFrame, DataFrame] | None:
+    """(term, share) of the terms that give some entity away, and (th, term) of all documents
+    with them; None if there are none."""
+    least = least_documents(discloses)
+    known = compact(entity_docs(docs))
+    named, named_in = classed(known.select("th", F.explode("entities").alias("entity")), "entity", least)
+    if named.isEmpty():
+        return None
+    words, words_in = classed(known.select("th", F.explode("terms").alias("term")), "term", least)
+    pairs = named_in.select("th", F.col("class").alias("e"), F.col("n").alias("n_e"))
+    pairs = pairs.join(words_in, "th").groupBy("e", "n_e", "class", "n").agg(F.count(F.lit(1)).alias("n_te"))
+    # documents with entities are some of all documents, so their counts bound the share from above
+    pairs = pairs.filter(sure(F.col("n_te"), F.col("n")) >= discloses - SLACK)
+    pairs = compact(pairs.select("class", "n_e", "n_te").distinct())
+    if pairs.isEmpty():
         return None
-    risk = compact(risk.groupBy("term").agg(F.max("share").alias("share")))
-    lines = docs.select(F.explode(F.split("text", "\n", -1)).alias("text"))
-    words = lines.select(F.xxhash64("text").alias("line"), F.explode(free_terms(F.col("text"))).alias("term"))
-    return compact(words.join(small(risk), "term").distinct())
-
-
-def term_spans(docs: DataFrame, told: DataFrame, whole: bool = False) -> DataFrame:
-    """doc_id, th, kind, start, end, share of the disclosing terms."""
-    rows = keyed(docs) if whole else keyed(docs).filter(F.col("text").rlike(MAYBE))
-    rows = rows.select("doc_id", "th", F.posexplode(F.split("text", "\n", -1)).alias("at", "text"))
-    rows = rows.select("doc_id", "th", "at", F.xxhash64("text").alias("line"), F.length("text").cast("long").alias("n"), "text")
-    # lines that matter need their offset, the others only their length
-    named = small(compact(told.select("line").distinct().withColumn("named", F.lit(True))))
-    rows = rows.join(named, "line", "left").withColumn("text", F.when(F.col("named"), F.col("text")))
-    rows = rows.dropDuplicates(["doc_id", "th", "at"])
-    first = F.sum(F.col("n") + 1).over(W.partitionBy("doc_id", "th").orderBy("at")) - F.col("n") - 1
-    rows = rows.withColumn("first", first).filter("named")
-    words = rows.select("doc_id", "th", "at", "line", "first", F.posexplode(matches(F.col("text"), WORD)).alias("pos", "f"))
+    likely = compact(words.join(pairs, "class").select("term", "n_e", "n_te"))
+    wanted = compact(likely.select(F.xxhash64("term").alias("h")).distinct())
+    seen = keyed(docs).select("th", F.explode(free_terms(F.col("text"))).alias("term"))
+    seen = seen.withColumn("h", F.xxhash64("term")).join(small(wanted), "h", "left_semi")
+    seen = compact(seen.select("th", "term").distinct())
+    total = keyed(docs).select("th").distinct().count()
+    share = sure(F.col("n_te"), F.col("n_t"))
+    risk = likely.join(seen.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")), "term").withColumn("share", share)
+    tells = (F.col("share") >= discloses - SLACK) & (F.col("share") * total >= GAIN * F.col("n_e"))
+    risk = compact(risk.filter(tells).groupBy("term").agg(F.max("share").alias("share")))
+    return None if risk.isEmpty() else (risk, seen)
+
+
+def term_spans(docs: DataFrame, risk: DataFrame, seen: DataFrame) -> DataFrame:
+    """doc_id, th, kind, start, end, share of the disclosing terms, once for repeated rows."""
+    told = compact(seen.join(risk, "term"))
+    there = small(compact(told.select("th").distinct()))
+    rows = keyed(docs).join(there, "th", "left_semi")
+    words = rows.select("doc_id", "th", F.posexplode(matches(F.col("text"), WORD)).alias("pos", "f"))
     words = words.filter("f.m IS NOT NULL").select(
-        "doc_id", "th", "at", "line", "first", "pos",
+        "doc_id", "th", "pos",
         F.length("f.gap").cast("long").alias("gap_length"),
         F.length("f.m").cast("long").alias("m_length"),
         term(F.col("f.m")).alias("term"),
-    )
-    words = located(words, ["doc_id", "th", "at"]).join(told, ["line", "term"])
-    return words.select(
-        "doc_id", "th", F.lit(TERM).alias("kind"), (F.col("first") + F.col("start")).alias("start"),
-        (F.col("first") + F.col("end")).alias("end"), "share",
-    )
+    ).dropDuplicates(["doc_id", "th", "pos"])
+    words = located(words, ["doc_id", "th"]).join(told, ["th", "term"])
+    return words.select("doc_id", "th", F.lit(TERM).alias("kind"), "start", "end", "share")
 
 
-def all_spans(docs: DataFrame, support: int = SUPPORT, discloses: float = DISCLOSES, whole: bool = False) -> DataFrame:
+def all_spans(docs: DataFrame, discloses: float = DISCLOSES) -> DataFrame:
     """doc_id, th, kind (place in KINDS), start, end, share (null for base spans)."""
     spans = base_spans(docs).withColumn("share", F.lit(None).cast("double"))
-    told = told_by_documents(docs, discloses) if whole else disclosing(docs, support, discloses)
-    return compact(spans if told is None else spans.unionByName(term_spans(docs, told, whole)))
+    found = term_risks(docs, discloses)
+    return compact(spans if found is None else spans.unionByName(term_spans(docs, *found)))
 
 
 def on_key(a: str, b: str) -> Column:
     return same(F.col(f"{a}.doc_id"), F.col(f"{b}.doc_id")) & (F.col(f"{a}.th") == F.col(f"{b}.th"))
 
 
-def findings(docs: DataFrame, support: int = SUPPORT, discloses: float = DISCLOSES) -> DataFrame:
+def findings(docs: DataFrame, discloses: float = DISCLOSES) -> DataFrame:
     """One row per document: doc_id, n_email, n_ip, n_card, n_phone, n_term, base_sha256, spans."""
-    spans = all_spans(docs, support, discloses).groupBy("doc_id", "th")
+    spans = all_spans(docs, discloses).groupBy("doc_id", "th")
     spans = spans.agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("s")).alias("f")
     rows = keyed(docs).select("doc_id", "th").alias("d").join(spans, on_key("d", "f"), "left")
     s = F.coalesce("f.s", F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>"))
@@ -341,20 +296,39 @@ def masks(spans: DataFrame, reveals: float = REVEALS) -> DataFrame:
     return rows.agg(F.sort_array(F.collect_list(F.struct("start", "end", "after", "label"))).alias("cuts"))
 
 
-def sanitised(
-    docs: DataFrame, support: int = SUPPORT, discloses: float = DISCLOSES, reveals: float = REVEALS, whole: bool = False
-) -> DataFrame:
+def between(pieces: Column, start: Column, end: Column) -> Column:
+    """The code points from start to end of a text cut into pieces of PIECE."""
+    i, j = F.floor(start / PIECE).cast("int"), F.floor(end / PIECE).cast("int")
+    a, z = (start % PIECE).cast("int"), (end % PIECE).cast("int")
+
+    def piece(k):
+        return F.coalesce(F.get(pieces, k), F.lit(""))
+
+    apart = F.concat(
+        F.substr(piece(i), a + 1),
+        F.array_join(F.slice(pieces, i + 2, F.greatest(j - i - 1, F.lit(0))), ""),
+        F.substr(piece(j), F.lit(1), z),
+    )
+    return F.when(i == j, F.substr(piece(i), a + 1, z - a)).otherwise(apart)
+
+
+def sanitised(docs: DataFrame, discloses: float = DISCLOSES, reveals: float = REVEALS) -> DataFrame:
     """The documents with all their columns, spans in the text replaced by labels."""
-    cuts = compact(masks(all_spans(docs, support, discloses, whole), reveals))
-    # a term can be in any text, a base span only in some
-    maybe = F.lit(True) if whole else F.coalesce(F.col("text").rlike(MAYBE), F.lit(False))
+    cuts = compact(masks(all_spans(docs, discloses), reveals))
+    there = small(compact(cuts.select(F.col("th").alias("_th")).distinct()))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.filter(maybe).select(row, "doc_id", F.xxhash64("text").alias("th")).alias("d")
+    th = F.xxhash64(F.coalesce("text", F.lit("")))
+    rows = docs.select(row, "doc_id", th.alias("th"))
+    others = rows.join(there, rows["th"] == there["_th"], "left_anti").select("row.*")
+    rows = rows.join(there, rows["th"] == there["_th"], "left_semi").alias("d")
     rows = rows.join(cuts.alias("f"), on_key("d", "f"), "left")
-    text, cut = F.col("row.text"), F.col("f.cuts")
-    parts = F.transform(cut, lambda x: F.concat(F.substr(text, (x["after"] + 1).cast("int"), (x["start"] - x["after"]).cast("int")), x["label"]))
-    rest = F.substr(text, (F.element_at(cut, -1)["end"] + 1).cast("int"))
-    new = F.when(cut.isNotNull(), F.concat(F.array_join(parts, ""), rest)).otherwise(text)
+    pieces = F.regexp_extract_all(F.col("row.text"), F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    rows = rows.select("row", "f.cuts", F.when(F.col("f.cuts").isNotNull(), pieces).alias("pieces"))
+    text, cut = F.col("pieces"), F.col("cuts")
+    parts = F.transform(cut, lambda x: F.concat(between(text, x["after"], x["start"]), x["label"]))
+    last = F.element_at(cut, -1)["end"]
+    rest = between(text, last, F.length("row.text").cast("long"))
+    new = F.when(cut.isNotNull(), F.concat(F.array_join(parts, ""), rest)).otherwise(F.col("row.text"))
     rows = rows.select("row", cut.isNotNull().alias("changed"), new.alias("new"))
     out = []
     for c in docs.columns:
@@ -365,7 +339,7 @@ def sanitised(
             kind = docs.schema[c].dataType
             old = F.when(F.col("changed"), F.length("new").cast(kind)).otherwise(old)
         out.append(old.alias(c))
-    return docs.filter(~maybe).unionByName(rows.select(*out))
+    return others.unionByName(rows.select(*out))
 
 
 # -- the same in SQL, with the patterns as they are meant, for an engine without backtracking --
@@ -395,38 +369,30 @@ def _sql_found(name: str, source: str, key: str) -> str:
 {name} AS (SELECT {key}, kind, e - length(m) AS s, e, m, g FROM {name}2 WHERE {_SQL_VALID})"""
 
 
+_SQL_SURE = f"(n_te / n_t + {CHANCE} / (2 * n_t) - sqrt({CHANCE} * (n_te / n_t * (1 - n_te / n_t) / n_t + {CHANCE} / (4 * n_t * n_t)))) / (1 + {CHANCE} / n_t)"
 FINDINGS_SQL = rf"""WITH kinds(kind, name, p) AS (VALUES {_SQL_KINDS}),
 d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-{_sql_found("base", "d", "doc_id")},
-lines AS (SELECT DISTINCT unnest(string_split(text, chr(10))) AS text FROM documents WHERE text IS NOT NULL),
-{_sql_found("inl", "lines", "text")},
-ent AS (SELECT DISTINCT text, kind || ':' || CASE WHEN kind < 2 THEN lower(m) ELSE g END AS entity FROM inl),
-ne AS (SELECT entity, count(*) AS n_e FROM ent GROUP BY 1 HAVING count(*) >= {SUPPORT}),
-w AS (SELECT DISTINCT text, unnest(list_transform(regexp_extract_all(text, '{WORD}'),
-  lambda x: regexp_replace(lower(x), '{_SQL_EDGES}', '', 'g'))) AS term FROM lines),
-wt AS (SELECT * FROM w WHERE term <> '' AND NOT regexp_matches(term, '[0-9@]')),
-nt AS (SELECT term, count(*) AS n_t FROM wt GROUP BY 1),
-te AS (SELECT entity, n_e, term, count(*) AS n_te FROM ent JOIN ne USING (entity) JOIN wt USING (text)
-  GROUP BY ALL HAVING count(*) >= {SUPPORT}),
-total AS (SELECT count(*)::DOUBLE AS n FROM lines),
-risk AS (SELECT entity, term FROM te JOIN nt USING (term), total WHERE n > n_e
-  AND log2(n_te * n / (n_t * n_e)) / log2(n / n_e) >= {DISCLOSES}),
-told AS (SELECT DISTINCT text, term FROM ent JOIN risk USING (entity) JOIN wt USING (text, term)),
-dl AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS ln, l FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM d)),
-dp AS (SELECT doc_id, ln, l[ln] AS text, sum(length(l[ln]) + 1) OVER (PARTITION BY doc_id ORDER BY ln)
-  - length(l[ln]) - 1 AS first FROM dl),
-dw AS (SELECT doc_id, ln, first, text, regexp_extract_all(text, '{WORD}') AS ms, string_split_regex(text, '{WORD}') AS gaps
-  FROM dp WHERE text IN (SELECT text FROM told)),
-dx AS (SELECT doc_id, ln, first, text, ms, gaps, unnest(range(1, len(ms) + 1)) AS i FROM dw),
-dy AS (SELECT doc_id, text, first, ms[i] AS m, regexp_replace(lower(ms[i]), '{_SQL_EDGES}', '', 'g') AS term,
-  sum(length(gaps[i]) + length(ms[i])) OVER (PARTITION BY doc_id, ln ORDER BY i) AS e FROM dx),
-spans AS (SELECT doc_id, kind, s, e FROM base UNION ALL
-  SELECT doc_id, {TERM}, (first + e - length(m))::BIGINT, (first + e)::BIGINT FROM dy JOIN told USING (text, term)),
-named AS (SELECT doc_id, kind, s, [{", ".join(f"'{k}'" for k in KINDS)}][kind + 1] || ':' || s || ':' || e AS t FROM spans)
-SELECT d.doc_id, {", ".join(f"count(*) FILTER (WHERE kind = {i}) AS n_{k}" for i, k in enumerate(KINDS))},
+x AS (SELECT text, row_number() OVER () AS x FROM (SELECT DISTINCT text FROM d)),
+{_sql_found("base", "x", "x")},
+w0 AS (SELECT x, regexp_extract_all(text, '{WORD}') AS ms, string_split_regex(text, '{WORD}') AS gaps FROM x),
+w1 AS (SELECT x, unnest(ms) AS m, unnest(gaps[1:len(ms)]) AS gap, unnest(range(1, len(ms) + 1)) AS i FROM w0),
+w AS (SELECT x, i, regexp_replace(lower(m), '{_SQL_EDGES}', '', 'g') AS term, length(m) AS n,
+  sum(length(gap) + length(m)) OVER (PARTITION BY x ORDER BY i)::BIGINT AS e FROM w1),
+hit AS (SELECT DISTINCT w.x, i FROM w JOIN base b ON b.x = w.x AND b.s < w.e AND b.e > w.e - w.n),
+xt AS (SELECT DISTINCT x, term FROM w ANTI JOIN hit USING (x, i) WHERE term <> ''),
+ent AS (SELECT DISTINCT x, kind || ':' || CASE WHEN kind < 2 THEN lower(m) ELSE g END AS entity FROM base),
+ne AS (SELECT entity, count(*) AS n_e FROM ent GROUP BY 1),
+nt AS (SELECT term, count(*)::DOUBLE AS n_t FROM xt GROUP BY 1),
+te AS (SELECT n_e, term, count(*)::DOUBLE AS n_te FROM ent JOIN ne USING (entity) JOIN xt USING (x) GROUP BY entity, n_e, term),
+risk AS (SELECT DISTINCT term FROM te JOIN nt USING (term) WHERE {_SQL_SURE} >= {DISCLOSES} - {SLACK}
+  AND {_SQL_SURE} * (SELECT count(*) FROM x) >= {GAIN} * n_e),
+spans AS (SELECT x, kind, s, e FROM base UNION ALL
+  SELECT x, {TERM}, e - n, e FROM w JOIN (SELECT x, term FROM xt SEMI JOIN risk USING (term)) USING (x, term)),
+named AS (SELECT x, kind, s, [{", ".join(f"'{k}'" for k in KINDS)}][kind + 1] || ':' || s || ':' || e AS t FROM spans),
+per AS (SELECT x.text, {", ".join(f"count(*) FILTER (WHERE kind = {i}) AS n_{k}" for i, k in enumerate(KINDS))},
   sha256(coalesce(string_agg(t, ',' ORDER BY kind, s) FILTER (WHERE kind < {TERM}), '')) AS base_sha256,
-  coalesce(string_agg(t, ',' ORDER BY kind, s), '') AS spans
-FROM d LEFT JOIN named USING (doc_id) GROUP BY d.doc_id"""
+  coalesce(string_agg(t, ',' ORDER BY kind, s), '') AS spans FROM x LEFT JOIN named USING (x) GROUP BY x.text)
+SELECT doc_id, per.* EXCLUDE text FROM d JOIN per USING (text)"""
 
 
 @query("op8_pii_sanitise", FINDINGS_SQL)
