@@ -8,9 +8,11 @@ until one hash value is left. Nothing is sorted but at most 1,024 bucket sums pe
 
 Defined results
 * A null text has size 0. A null source is a source of its own, the last one.
-* Rows with the same doc_id share a hash and are taken or left together; a null doc_id
-  counts as one id. Sources of size 0 have target 0; documents of size 0 take 0 words.
-* The document on the threshold is taken if that brings its source nearer to its target.
+* The hash is over the doc_id and the text, so rows with a null or repeated doc_id are taken
+  or left one by one; only rows equal in both move together. Sources of size 0 have target 0;
+  documents of size 0 take 0 words.
+* The document on the threshold is taken if that brings its source nearer to its target, so
+  a target is missed by at most half of that document.
 * An empty table gives an empty result. Other columns of the input are ignored.
 """
 
@@ -28,9 +30,10 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 
 
-def doc_hash(doc_id: Column, seed: int) -> Column:
+def doc_hash(doc_id: Column, text: Column, seed: int) -> Column:
     """A hash in [0, 2**60) that any engine with MD5 can compute."""
-    key = F.concat(F.lit(f"mix-{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))
+    name = F.coalesce(doc_id.cast("string"), F.lit(""))
+    key = F.concat(F.lit(f"mix-{seed}:"), name, F.lit(":"), F.md5(F.coalesce(text, F.lit(""))))
     return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
 
 
@@ -40,7 +43,7 @@ def hashed(docs: DataFrame, seed: int) -> DataFrame:
         "doc_id",
         "source",
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        doc_hash(F.col("doc_id"), seed).alias("h"),
+        doc_hash(F.col("doc_id"), F.col("text"), seed).alias("h"),
     )
 
 
@@ -148,7 +151,7 @@ def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST,
     cuts = thresholds(settle(hashed(docs, seed).drop("doc_id")), weights, most)
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     whole = whole.select(
-        "row", F.col("row.source").alias("source"), doc_hash(F.col("row.doc_id"), seed).alias("h")
+        "row", F.col("row.source").alias("source"), doc_hash(F.col("row.doc_id"), F.col("row.text"), seed).alias("h")
     )
     out = with_copies(whole, cuts, "row")
     return out.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
@@ -158,7 +161,7 @@ def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST,
     "op1_source_mix",
     r"""WITH RECURSIVE d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-    ('0x' || substr(md5('mix-0:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
+    ('0x' || substr(md5('mix-0:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS h FROM documents),
 t AS (SELECT source, sum(size)::BIGINT AS s,
     [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM d GROUP BY source),
 lam(i, l) AS (

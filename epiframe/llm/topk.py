@@ -2,25 +2,28 @@
 
 Vectors are scaled to integers and dealt into shards of about ``SHARD`` by hash. In each
 shard a KD-tree splits at medians of the widest component down to leaves, and keeps the
-tight box of every node. For a query the largest inner product within a box bounds all its
-vectors, so nodes are visited best first, and the search ends when no open box can beat the
-k-th best. The k-th score of a first round over one shard per query is handed to all other
-shards, so most of their boxes are never opened.
+tight box of every node; trees are built once and written as a table. For a query the largest
+inner product within a box bounds all its vectors, so nodes are visited best first, and the
+search ends when no open box can beat the k-th best.
 
-Queries meet vectors in blocks: each shard with each block of ``QUERIES`` queries is a group
-of bounded size; nothing is broadcast.
+Queries come in blocks of about ``QUERIES``. A block is handed to the tasks that hold trees,
+first each query to one shard only; the k-th scores of that round are then handed to all
+other shards, so most of their boxes are never opened. What travels is a block, not the
+vectors, and its size is fixed; the driver holds one block and its k-th scores.
 
 Defined results
 * Vectors that are null or hold null or non-finite components take no part, and neither do
   queries of that kind or with a null id. Vectors meet only vectors of their own length;
   an empty vector scores 0 with others of its kind.
-* Rows with the query's vec_id are the query's own. If an id has several query vectors, the
-  best score with any of them counts; repeated rows are candidates once each.
+* Rows with the query's vec_id are the query's own. If an id has several query vectors, a
+  candidate's best score with any of them counts, and it takes one rank; rows that repeat a
+  candidate are candidates of their own.
 * Ties go to the smaller vec_id, a null one last. Scores beyond 64 bits are cut to them.
 * An empty table gives an empty result; other columns are ignored.
 """
 
 import heapq
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -33,7 +36,8 @@ K = 10
 EVERY = 100
 SCALE = 1024
 SHARD = 4096
-QUERIES = 1024
+QUERIES = 1 << 15
+SLICE = 1024
 LEAF = 32
 EXACT = 2.0**53
 LONG = 2**63 - 1
@@ -115,68 +119,104 @@ def search(tree: Tree, ids: list, q: np.ndarray, own, bounds: np.ndarray, kth: f
     return sorted(best, reverse=True)
 
 
-def searcher(k: int):
-    def run(key, vectors, queries):
-        import pandas as pd
-
-        out = []
-        if len(vectors) and len(queries):
-            points = np.stack(vectors["v"].to_numpy()).reshape(len(vectors), -1)
-            ids = [None if pd.isna(i) else int(i) for i in vectors["vec_id"]]
-            if points.shape[1] == 0:
-                points = np.zeros((len(points), 1))
-            tree = Tree(points)
-            q = np.stack(queries["v"].to_numpy()).reshape(len(queries), -1)
-            q = np.zeros((len(q), 1)) if q.shape[1] == 0 else q
-            with np.errstate(over="ignore", invalid="ignore"):
-                bounds = np.nan_to_num(tree.bounds(q), nan=np.inf, posinf=np.inf)
-            for own, v, b, kth in zip(queries["query_id"], q, bounds, queries["kth"]):
-                kth = float("-inf") if pd.isna(kth) else float(kth)
-                for score, _, _, i in search(tree, ids, v, int(own), b, kth, k):
-                    out.append((int(own), i, max(-LONG - 1, min(LONG, score))))
-        frame = pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
-        return frame.astype({"query_id": "int64", "vec_id": "Int64", "score": "int64"})
-
-    return run
-
-
-def searched(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """Candidates of (dim, shard, block) groups; both sides carry these three columns."""
-    group = ["dim", "shard", "block"]
-    return (
-        vectors.groupBy(*group).cogroup(queries.groupBy(*group))
-        .applyInPandas(searcher(k), "query_id bigint, vec_id bigint, score bigint")
-    )
+_ARRAYS = {"points": "f8", "low": "f8", "high": "f8", "left": "i4", "right": "i4", "rows": "i4", "order": "i4"}
+_TREE = ", ".join(f"{c} binary" for c in _ARRAYS)
+
+
+def grow(pdf):
+    """One row with the tree of a shard."""
+    import pandas as pd
+
+    points = np.stack(pdf["v"].to_numpy()).reshape(len(pdf), -1)
+    points = points if points.shape[1] else np.zeros((len(points), 1))
+    tree = Tree(points)
+    packed = {c: [np.ascontiguousarray(getattr(tree, c), "<" + kind).tobytes()] for c, kind in _ARRAYS.items()}
+    ids = [None if pd.isna(i) else int(i) for i in pdf["vec_id"]]
+    own = {"dim": [int(pdf["dim"].iloc[0])], "shard": [int(pdf["shard"].iloc[0])]}
+    return pd.DataFrame({**own, "ids": [ids], "items": [pdf["item"].tolist()], **packed})
+
+
+def planted(rows: DataFrame, shards: int) -> DataFrame:
+    """The table of trees, one for each length of vectors and shard."""
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("item"), F.lit(shards)).cast("long"))
+    return dealt.groupBy("dim", "shard").applyInPandas(
+        grow, f"dim int, shard long, ids array<bigint>, items array<bigint>, {_TREE}"
+    )
+
+
+def opened(row: dict) -> Tree:
+    tree = Tree.__new__(Tree)
+    for c, kind in _ARRAYS.items():
+        setattr(tree, c, np.frombuffer(row[c], "<" + kind))
+    width = max(1, row["dim"])
+    tree.points, tree.low, tree.high = (x.reshape(-1, width) for x in (tree.points, tree.low, tree.high))
+    tree.rows = tree.rows.reshape(-1, 2)
+    return tree
+
+
+def searched(trees: DataFrame, block: dict, kth: np.ndarray | None, shards: int, k: int) -> DataFrame:
+    """query_id, item, vec_id, score of the candidates of a block: without ``kth`` from each
+    query's home shard, with it from the other shards, as far as they reach it."""
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                home = block["home"] == row["shard"]
+                mine = np.flatnonzero((block["dim"] == row["dim"]) & (home if kth is None else ~home))
+                tree, out = opened(row), []
+                for a in range(0, len(mine), SLICE):
+                    some = mine[a : a + SLICE]
+                    q = np.stack([block["v"][j] for j in some]).reshape(len(some), -1)
+                    q = q if q.shape[1] else np.zeros((len(q), 1))
+                    with np.errstate(over="ignore", invalid="ignore"):
+                        bounds = np.nan_to_num(tree.bounds(q), nan=np.inf, posinf=np.inf)
+                    for j, v, b in zip(some.tolist(), q, bounds):
+                        own, least = int(block["id"][j]), float("-inf") if kth is None else float(kth[j])
+                        for score, _, at, found in search(tree, row["ids"], v, own, b, least, k):
+                            item = row["items"][tree.order[at]]
+                            out.append((own, item, found, max(-LONG - 1, min(LONG, score))))
+                columns = list(zip(*out)) if out else [[]] * 4
+                names = ["query_id", "item", "vec_id", "score"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
+    return trees.mapInArrow(run, "query_id bigint, item bigint, vec_id bigint, score bigint")
 
 
 def kept_best(found: DataFrame, k: int) -> DataFrame:
-    order = W.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    """The k best candidates of each query, each with its best score."""
+    best = found.groupBy("query_id", "item", "vec_id").agg(F.max("score").alias("score"))
+    order = W.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last(), "item")
+    return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = K, shard_rows: int = SHARD, block: int = QUERIES) -> DataFrame:
     """One row per query and rank: query_id, rank, vec_id, score. ``is_query`` is over vec_id."""
     rows = settle(scaled(vectors).withColumn("item", F.monotonically_increasing_id()))
-    asked = rows.filter(is_query & F.col("vec_id").isNotNull())
-    n, n_asked = rows.count(), asked.count()
-    shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-n_asked // block))
-    h = F.xxhash64("item")
-    rows = rows.withColumn("shard", F.pmod(h, F.lit(shards))).drop("item")
-    asked = asked.select(
-        F.col("vec_id").alias("query_id"), "v", "dim",
-        F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).alias("block"),
-        F.pmod(F.xxhash64("vec_id", F.lit("home")), F.lit(shards)).alias("home"),
-    )
-    asked = compact(asked.dropDuplicates())
-    each_block = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-    rows = rows.withColumn("block", each_block)
-    first = asked.withColumn("kth", F.lit(None).cast("long")).withColumn("shard", F.col("home"))
-    seed = compact(kept_best(searched(rows, first, k), k))
-    full = seed.filter(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
-    each_shard = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
-    rest = asked.join(full, "query_id", "left").withColumn("shard", each_shard).filter("shard <> home")
-    found = searched(rows, rest, k).unionByName(seed.select("query_id", "vec_id", "score"))
-    found = kept_best(found, k)
+    asked = rows.filter(is_query & F.col("vec_id").isNotNull()).select("vec_id", "v", "dim").distinct()
+    shards = max(1, -(-rows.count() // shard_rows))
+    trees = settle(planted(rows, shards))
+    blocks = max(1, -(-asked.count() // block))
+    asked = settle(asked.select(
+        "vec_id", "v", "dim",
+        F.pmod(F.xxhash64("vec_id", "v", F.lit("block")), F.lit(blocks)).alias("block"),
+        F.pmod(F.xxhash64("vec_id", "v", F.lit("home")), F.lit(shards)).alias("home"),
+    ))
+    out = []
+    for b in range(blocks):
+        some = asked.filter(F.col("block") == b).drop("block").toPandas()  # about ``block`` rows
+        own = {
+            "id": some["vec_id"].to_numpy(np.int64), "dim": some["dim"].to_numpy(), "home": some["home"].to_numpy(),
+            "v": [np.asarray(v, float) for v in some["v"]],
+        }
+        seed = compact(kept_best(searched(trees, own, None, shards, k), k))
+        full = {r["query_id"]: r["score"] for r in seed.filter(F.col("rank") == k).select("query_id", "score").collect()}
+        kth = np.array([full.get(i, float("-inf")) for i in own["id"].tolist()], float)
+        kth = np.nextafter(kth, -np.inf)  # a score of more than 53 bits may have been rounded up
+        found = searched(trees, own, kth, shards, k).unionByName(seed.drop("rank"))
+        out.append(compact(kept_best(found, k)))
+    found = reduce(DataFrame.unionByName, out)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 

@@ -123,7 +123,8 @@ def masked(text):
 def mixed_copies(rows, weights=(5, 2, 1), most=3, seed=0):
     """{doc_id: copies} for rows (doc_id, source, text) of distinct ids."""
     size = {i: len(words(t)) for i, _, t in rows}
-    h = {i: int(hashlib.md5(f"mix-{seed}:{i}".encode()).hexdigest()[:15], 16) for i in size}
+    inner = {i: hashlib.md5((t or "").encode()).hexdigest() for i, _, t in rows}
+    h = {i: int(hashlib.md5(f"mix-{seed}:{i}:{inner[i]}".encode()).hexdigest()[:15], 16) for i in size}
     of = defaultdict(list)
     for i, s, _ in rows:
         of[s].append(i)

@@ -79,6 +79,16 @@ def test_mix_meets_its_targets_and_nests(spark):
     assert mixing.mixed(docs).count() == mixing.mix(docs).agg(F.sum("copies")).first()[0]
 
 
+def test_mix_meets_its_targets_with_null_and_repeated_ids(spark):
+    docs = spark.range(10_000).select(
+        F.when(F.col("id") % 5 > 1, F.col("id") % 700).alias("doc_id"),  # 40 percent null, the others repeated
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 4)).alias("source"),
+        F.concat(F.col("id").cast("string"), F.repeat(F.lit(" w"), (F.col("id") % 7 + F.col("id") % 4).cast("int"))).alias("text"),
+    )
+    got = mixing.mix(docs).groupBy("source_size", "target").agg(F.sum("taken").alias("t")).collect()
+    assert len(got) == 5 and all(abs(r.t - r.target) <= 10 for r in got)
+
+
 def test_token_counts(edge_docs, edge_rows, tokenizer):  # noqa: F811
     want = brute.counted(
         (i, len((t or "").encode()), len(tokenizer.encode(t or "", add_special_tokens=False).ids)) for i, t, _ in edge_rows
@@ -411,6 +421,17 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 100 == 0).collect() == []
 
 
+def test_a_candidate_takes_one_rank(spark):
+    """Two vectors of one query: the better score of each candidate counts, once."""
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), *[(i, [i / 64, 1 - i / 64]) for i in range(1, 30)], (7, [7 / 64, 1 - 7 / 64])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    best = sorted(((-1024 * max(16 * i, 1024 - 16 * i), i) for i in [*range(1, 30), 7]))
+    for shard_rows in (4, 4096):
+        got = topk.top_k(df, F.col("vec_id") == 0, k=8, shard_rows=shard_rows).orderBy("rank").collect()
+        assert [(-r.score, r.vec_id) for r in got] == best[:8]
+
+
+
 def test_top_k_over_shards_and_ties(spark):
     df = spark.range(3000).select(
         F.col("id").alias("vec_id"), F.array(*[(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(7)) - 3).cast("float") for i in range(4)]).alias("embedding")
