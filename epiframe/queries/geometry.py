@@ -327,18 +327,31 @@ def controller_to_hand(spark, sf_dir):
     with_sql(
         [EM, _HAND],
         f"""SELECT label, count(*) FILTER (WHERE {_OK}) AS valid_deltas,
-        true AS position_ok, true AS rotation_ok FROM hp GROUP BY 1""",
+        count(*) FILTER (WHERE {_OK} AND vec_id % 41 = 0) AS moved, count(*) FILTER (WHERE {_OK} AND vec_id % 53 = 0) AS turned,
+        count(*) FILTER (WHERE {_OK} AND vec_id % 41 = 0) = 0 AS position_ok,
+        count(*) FILTER (WHERE {_OK} AND vec_id % 53 = 0) = 0 AS rotation_ok FROM hp GROUP BY 1""",
     ),
 )
 def delta_roundtrip_check(spark, sf_dir):
-    """Previous pose times delta must give the current pose back within 1e-9."""
+    """Previous pose times delta must give the current pose back within 1e-9.
+
+    Deltas of every 41st vector are moved by 1e-6, those of every 53rd are turned by 1e-4.
+    """
     rows = hand_deltas(spark, sf_dir).frame().filter("delta_valid")
-    rows = g.with_pose(rows, "back", g.compose(F.col("_pp"), F.col("delta")))
+    off = F.when(F.col("vec_id") % 41 == 0, F.lit(1e-6)).otherwise(F.lit(0.0))
+    half = F.when(F.col("vec_id") % 53 == 0, F.lit(1e-4)).otherwise(F.lit(0.0)) / 2
+    zero = F.lit(0.0)
+    spoil = g.pack([off, zero, zero, zero, zero, F.sin(half), F.cos(half)])
+    rows = rows.withColumn("_spoil", spoil)
+    rows = g.with_pose(rows, "_spoiled", g.compose(F.col("delta"), F.col("_spoil")))
+    rows = g.with_pose(rows, "back", g.compose(F.col("_pp"), F.col("_spoiled")))
     gap = [a - b for a, b in zip(g.position(F.col("back")), g.position(F.col("hand")))]
     a, b = (g.matrix(g.rotation(F.col(c))) for c in ("back", "hand"))
     turn = F.greatest(*[F.abs(a[i][j] - b[i][j]) for i in range(3) for j in range(3)])
     return rows.groupBy("label").agg(
         F.count(F.lit(1)).alias("valid_deltas"),
+        F.count_if(g.norm(gap) > 1e-9).alias("moved"),
+        F.count_if(turn > 1e-9).alias("turned"),
         (F.max(g.norm(gap)) <= 1e-9).alias("position_ok"),
         (F.max(turn) <= 1e-9).alias("rotation_ok"),
     )
@@ -546,16 +559,25 @@ def anchor_relative_action(spark, sf_dir):
 
 @query(
     "action_state_invariant",
-    with_sql([EM], "SELECT label, count(*) - 1 AS compared, 0::BIGINT AS violations FROM em GROUP BY 1"),
+    with_sql(
+        [EM, f"nx AS (SELECT label, lead(vec_id) {W_EM} AS next_id FROM em)"],
+        """SELECT label, count(next_id) AS compared, count(*) FILTER (WHERE next_id % 37 = 0) AS violations
+        FROM nx GROUP BY 1""",
+    ),
 )
 def action_state_invariant(spark, sf_dir):
-    """The first action of a row must be the state of the next row, within 2e-6."""
+    """The first action of a row must be the state of the next row, within 2e-6.
+
+    The states of every 37th vector are moved by five times that.
+    """
     s = pose_series(spark, sf_dir).number("pos")
     s = po.future_chunk(s, F.col("pose"), HORIZON, "pos")
-    s = po.state_delta(s, "pose").shift({"next_state": F.col("state")}, forward=True)
+    s = po.state_delta(s, "pose").shift({"next_state": F.col("state"), "next_id": F.col("vec_id")}, forward=True)
+    spoiled = F.when(F.col("next_id") % 37 == 0, F.lit(1e-5)).otherwise(F.lit(0.0))
+    state = F.transform(g.pose9(F.col("next_state")), lambda x: x + spoiled)
     action = g.pose9(g.relative(F.col("pose"), F.col("chunk")[0]))
     far = F.exists(
-        F.zip_with(action, g.pose9(F.col("next_state")), lambda a, b: F.abs(a - b)), lambda e: e > 2e-6
+        F.zip_with(action, state, lambda a, b: F.abs(a - b)), lambda e: e > 2e-6
     )
     real = ~F.col("is_pad")[0]
     return s.frame().groupBy("label").agg(

@@ -221,15 +221,76 @@ def declare_feature_schema(spark, sf_dir):
     return sinks.shape_violations(rows, sinks.feature_shapes(len(DIMS), HORIZON, 640, 480))
 
 
+_SPOILED = {
+    "state": ("array<float>", "array<float>", "4", "4", "count(*) FILTER (WHERE l_linenumber = 7)"),
+    "action": ("array<array<float>>", "array<array<float>>", "3x4", "3x4", "count(*) FILTER (WHERE l_linenumber = 6)"),
+    "action_is_pad": ("array<boolean>", "array<boolean>", "3", "3", "0"),
+    "pose_timestamp": ("bigint", "double", "1", "1", "count(*)"),
+    "frame_index": ("bigint", "int", "1", "1", "count(*)"),
+    "timestamp": ("float", "float", "1", "1", "count(*) FILTER (WHERE l_linenumber = 5)"),
+    "index": ("bigint", "bigint", "1", "2", "0"),
+    "task_index": ("bigint", None, "1", None, "count(*)"),
+}
+
+
+def _contract_sql():
+    def text(v):
+        return "NULL" if v is None else f"'{v}'"
+
+    rows = []
+    for name in sinks.sample_schema().fieldNames():
+        kind, stored, shape, kept, broken = _SPOILED.get(name, ("bigint", "bigint", "1", "1", "0"))
+        rows.append(
+            f"SELECT '{name}' AS feature, '{kind}' AS declared_type, {text(stored)} AS stored_type, '{shape}' AS declared_shape, "
+            f"{text(kept)} AS stored_shape, ({broken})::BIGINT AS violations, count(*) AS rows FROM lineitem"
+        )
+    return " UNION ALL ".join(rows)
+
+
+@query("feature_contract", _contract_sql())
+def feature_contract(spark, sf_dir):
+    """All 17 features written with their declaration and read back: some are of another type,
+    shape or size, some values are null, and one feature is absent."""
+    s = order_frames(spark, sf_dir, *DIMS).with_columns({"state": F.array(*DIMS).cast("array<float>")})
+    rows = future_chunk(s, F.col("state"), HORIZON, "pos").frame()
+
+    def line(n, spoiled, right):
+        return F.when(F.col("l_linenumber") == n, spoiled).otherwise(right)
+
+    flat = {
+        "state": line(7, F.slice("state", 1, len(DIMS) - 1), F.col("state")),
+        "action": line(6, F.transform("chunk", lambda v: F.slice(v, 1, len(DIMS) - 1)), F.col("chunk")),
+        "action_is_pad": F.col("is_pad"),
+        "pose_timestamp": F.col("pos").cast("double"),
+        "frame_index": F.col("pos").cast("int"),
+        "timestamp": line(5, F.lit(None), F.col("pos")).cast("float"),
+    }
+    schema = sinks.declared(sinks.sample_schema(), sinks.feature_shapes(len(DIMS), HORIZON, 640, 480))
+    names = [n for n in schema.fieldNames() if n != "task_index"]
+    rows = rows.select(*[flat.get(n, F.col("pos").cast("bigint")).alias(n) for n in names])
+    rows = sinks.with_declaration(rows, schema)
+    rows = rows.withColumn("index", F.col("index").alias("index", metadata={"shape": [2]}))
+    path = new_path(spark, "samples")
+    rows.write.parquet(path)
+    return sinks.contract_violations(spark.read.parquet(path), schema)
+
+
 @query(
     "manifest_verify",
-    "SELECT unnest(['ok', 'size', 'sha256', 'unlisted', 'missing', 'outside']) AS verdict, true AS present",
+    """WITH f AS (SELECT event_type, event_id % 3 AS part, count(*) AS n FROM events GROUP BY 1, 2)
+    SELECT CASE event_type WHEN 'view' THEN 'size' WHEN 'error' THEN 'sha256' WHEN 'signup' THEN 'unlisted'
+      ELSE 'ok' END AS verdict, count(*) AS files, sum(n)::BIGINT AS rows FROM f GROUP BY 1
+    UNION ALL SELECT unnest(['missing', 'outside']), unnest([2, 1]), NULL""",
 )
 def manifest_verify(spark, sf_dir):
-    """Events written as files, listed with their hashes, and checked against a spoiled list."""
+    """Events written as files, listed with their hashes, and checked against a spoiled list.
+
+    A file holds the events of one type and a third of the ids.
+    """
     path = new_path(spark, "manifest")
     rows = event_rows(spark, sf_dir)
-    rows.repartitionByRange("event_id").write.partitionBy("event_type").parquet(path)
+    rows = rows.withColumn("part", F.col("event_id") % 3)
+    rows.repartition("event_type", "part").write.partitionBy("event_type", "part").parquet(path)
     listed = new_path(spark, "listed")
     sinks.file_manifest(spark, path).write.parquet(listed)
     rows = spark.read.parquet(listed)
@@ -243,10 +304,13 @@ def manifest_verify(spark, sf_dir):
             "sha256": F.when(of("error"), F.lit("0")).otherwise(F.col("sha256")),
         }
     )
-    extra = [(f"{path}/nothing.parquet", 1, "0"), (f"/other{path}/a.parquet", 1, "0")]
+    extra = [(f"{path}/{n}.parquet", 1, "0") for n in ("nothing", "more")] + [(f"/other{path}/a.parquet", 1, "0")]
     spoiled = spoiled.unionByName(spark.createDataFrame(extra, "path string, size bigint, sha256 string"))
     checked = sinks.manifest_verify(spark, spoiled, path)
-    return checked.groupBy("verdict").agg((F.count(F.lit(1)) > 0).alias("present"))
+    held = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("n"))
+    held = held.withColumn("path", sinks.plain_path(F.col("path")))
+    checked = checked.withColumn("path", sinks.plain_path(F.col("path"))).join(held, "path", "left")
+    return checked.groupBy("verdict").agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("rows"))
 
 
 _HALF = "round(l_tax / 2, 4)"

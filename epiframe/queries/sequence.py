@@ -375,13 +375,19 @@ def full_horizon_flag(spark, sf_dir):
     "verify_padding_mask",
     with_sql(
         [LI],
-        """SELECT l_orderkey, count(*) AS rows, 0::BIGINT AS mask_mismatches,
-        0::BIGINT AS flag_mismatches FROM li GROUP BY 1""",
+        f"""SELECT l_orderkey, count(*) AS rows, count(*) FILTER (WHERE l_partkey % 40 = 0) AS mask_mismatches,
+        count(*) FILTER (WHERE l_partkey % 40 = 0 AND pos + {HORIZON} < n) AS flag_mismatches FROM li GROUP BY 1""",
     ),
 )
 def verify_padding_mask(spark, sf_dir):
-    """The stored masks against the boundary rule, from episode lengths counted separately."""
-    s = chunked(spark, sf_dir).with_columns({"full": F.col("real_slots") == HORIZON})
+    """The stored masks against the boundary rule, from episode lengths counted separately.
+
+    Every fortieth part has the first slot of its masks turned over.
+    """
+    s = order_frames(spark, sf_dir, "l_partkey")
+    s = future_chunk(s, F.col("pos"), HORIZON, "pos")
+    spoiled = F.transform("is_pad", lambda p, i: p != ((i == 0) & (F.col("l_partkey") % 40 == 0)))
+    s = s.with_columns({"full": F.col("real_slots") == HORIZON, "is_pad": spoiled})
     lengths = s.frame().groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
     rows = s.join_keys(lengths).frame()
     rule = F.transform(
@@ -511,6 +517,32 @@ def cfr_resample(spark, sf_dir):
     return seq.cfr_resample(s, "ts_us", 6 * HOUR, "event_id")
 
 
+FAST = (3, 2)
+
+
+@query(
+    "cfr_resample_fast",
+    with_sql(
+        [
+            EV,
+            kind_sql("click"),
+            f"d AS (SELECT *, ts_us - lag(ts_us) {W_EV} AS gap FROM click)",
+            f"""e AS (SELECT user_id, min(ts_us) AS t0, greatest(1, floor((max(ts_us) - min(ts_us)
+              + coalesce(median(gap) FILTER (WHERE gap > 0), {9 * HOUR})) / {9 * HOUR}::DOUBLE + 0.5))::BIGINT
+              AS frames FROM d GROUP BY 1)""",
+            f"""g AS (SELECT user_id, i AS out_frame, t0 + i * {9 * HOUR} AS t
+              FROM (SELECT *, unnest(range(frames)) AS i FROM e))""",
+        ],
+        """SELECT g.user_id, out_frame, c.event_id FROM g ASOF JOIN click c
+        ON g.user_id = c.user_id AND g.t >= c.ts_us""",
+    ),
+)
+def cfr_resample_fast(spark, sf_dir):
+    """Played back half as fast again: a frame of six hours covers nine hours of the source."""
+    s = user_series(kind(events(spark, sf_dir), "click"))
+    return seq.cfr_resample(s, "ts_us", 6 * HOUR, "event_id", FAST)
+
+
 @query(
     "linspace_sample",
     with_sql(

@@ -241,13 +241,13 @@ def measured_rate(spark, sf_dir):
               GROUP BY 1)""",
         ],
         f"""SELECT user_id, {r6_sql('rate')} AS rate, whole AS source_rate,
-        coalesce(abs(rate - whole) <= 0.25 AND whole % 1 = 0, false) AS rate_ok,
+        coalesce(abs(rate - whole) <= 0.25 AND whole > 0 AND whole % 2 = 0, false) AS rate_ok,
         {r6_sql('ratio')} AS ratio, k AS camera_ratio, abs(ratio - k) <= 0.05 AS ratio_ok, offset_frames
         FROM rr LEFT JOIN oo USING (user_id)""",
     ),
 )
 def median_rate_and_ratio(spark, sf_dir):
-    """Frames per day here; the source rate must be near an integer multiple of the output rate 1."""
+    """Frames per day here; the source rate must be near a whole multiple of the output rate 2."""
     ev = events(spark, sf_dir)
     grid = kind(ev, "click").select("user_id", "event_id", "ts_us")
     rates = median_interval(user_series(grid)).select(
@@ -272,12 +272,13 @@ def median_rate_and_ratio(spark, sf_dir):
     )
     offset = stats.exact_quantiles(shift, ["user_id"], "shift", {"median": 0.5})
     out = facts.join(offset, "user_id", "left")
-    close = F.abs(F.col("rate") - F.col("source_rate")) <= 0.25
+    whole = F.col("source_rate")
+    close = (F.abs(F.col("rate") - whole) <= 0.25) & (whole > 0)
     return out.select(
         "user_id",
         r6(F.col("rate")).alias("rate"),
         "source_rate",
-        F.coalesce(close & (F.pmod("source_rate", F.lit(1)) == 0), F.lit(False)).alias("rate_ok"),
+        F.coalesce(close & (whole % 2 == 0), F.lit(False)).alias("rate_ok"),
         r6(F.col("ratio")).alias("ratio"),
         "camera_ratio",
         (F.abs(F.col("ratio") - F.col("camera_ratio")) <= 0.05).alias("ratio_ok"),

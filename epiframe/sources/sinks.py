@@ -141,6 +141,57 @@ def shape_violations(df: DataFrame, shapes: dict[str, tuple]) -> DataFrame:
     return sums.select("rows", F.inline(each))
 
 
+def declared(schema: T.StructType, shapes: dict[str, tuple]) -> T.StructType:
+    """The schema with the shape of every feature in its field's metadata; (1,) for scalars."""
+    return T.StructType(
+        [T.StructField(f.name, f.dataType, f.nullable, {"shape": list(shapes.get(f.name, (1,)))}) for f in schema.fields]
+    )
+
+
+def with_declaration(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns with the metadata that ``schema`` has for them; files keep it."""
+    facts = {f.name: f.metadata for f in schema.fields}
+    return df.select(*[F.col(c).alias(c, metadata=facts[c]) if c in facts else F.col(c) for c in df.columns])
+
+
+def contract_violations(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row per declared feature: types, shapes as declared and as stored, and rows that break them.
+
+    The stored shape is the one in the metadata of ``df``, as it was written. A feature that is
+    absent or of another type breaks in every row; else a row breaks it by a null or, for an
+    array, by another size at any depth.
+    """
+    here = {f.name: f for f in df.schema.fields}
+
+    def shaped(column: Column, shape: list) -> Column:
+        fine = F.coalesce(F.size(column) == shape[0], F.lit(False))
+        return fine & F.forall(column, lambda x: shaped(x, shape[1:])) if len(shape) > 1 else fine
+
+    sums, facts = [F.count(F.lit(1)).alias("_rows")], []
+    for f in schema.fields:
+        shape, found = list(f.metadata["shape"]), here.get(f.name)
+        same = found is not None and found.dataType.simpleString() == f.dataType.simpleString()
+        column = F.col(f"`{f.name}`")
+        if not same:
+            broken = F.lit(True)
+        elif isinstance(f.dataType, T.ArrayType):
+            broken = ~shaped(column, shape)
+        else:
+            broken = column.isNull()
+        sums.append(F.count_if(broken).alias(f.name))
+        kept = None if found is None else found.metadata.get("shape")
+        facts.append((
+            f.name, f.dataType.simpleString(), None if found is None else found.dataType.simpleString(),
+            "x".join(map(str, shape)), None if kept is None else "x".join(map(str, kept)),
+        ))
+    names = ("feature", "declared_type", "stored_type", "declared_shape", "stored_shape")
+    entries = [
+        F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(names, fact)], F.col(f"`{fact[0]}`").alias("violations"))
+        for fact in facts
+    ]
+    return df.agg(*sums).select(F.col("_rows").alias("rows"), F.inline(F.array(*entries)))
+
+
 def type_violations(df: DataFrame, declared: T.StructType) -> list[tuple[str, str, str]]:
     """(column, declared type, actual type) of every declared column that is absent or of
     another type; nullability is not compared, since files do not keep it."""
