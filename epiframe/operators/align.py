@@ -72,9 +72,55 @@ def align_series(
             )
         )
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    return _matched(union, grid.columns, chosen, keys, max_rows, number)
 
-    series = Series.plan(union, keys, ["_t", "_q", "_id"], max_rows)
-    rows = {n: F.col(f"_s_{n}") for n in streams}
+
+def align_tagged(
+    rows: DataFrame,
+    is_grid: Column,
+    streams: Mapping[str, tuple[Column, list[str]]],
+    keys: list[str],
+    ts: str,
+    row_id: str,
+    grid: list[str],
+    policy: str | Mapping[str, str] = "nearest",
+    max_rows: int | None = None,
+    number: str | None = None,
+) -> Series:
+    """As ``align_series`` for a grid and streams that are rows of one table.
+
+    ``is_grid`` and the condition of each stream say which rows are whose; a stream also
+    names its payload, and ``grid`` the columns of a grid row. No row may be two of them. The
+    table is read once, and not exchanged if it is stored by these keys (``write_layout``).
+    """
+    chosen = {n: policy if isinstance(policy, str) else policy[n] for n in streams}
+    for name, value in chosen.items():
+        if value not in POLICIES:
+            raise ValueError(f"{name}: unsupported alignment policy {value}")
+    wanted = is_grid
+    for of, _ in streams.values():
+        wanted = wanted | of
+    tagged = rows.filter(wanted).select(
+        *keys,
+        F.col(ts).alias("_t"),
+        F.when(is_grid, 1).otherwise(0).alias("_q"),
+        F.when(is_grid, F.col(row_id)).alias("_id"),
+        F.when(is_grid, F.struct(*grid)).alias("_g"),
+        *[
+            F.when(of, F.struct(F.col(ts).alias("ts"), F.struct(*payload).alias("row"))).alias(f"_s_{n}")
+            for n, (of, payload) in streams.items()
+        ],
+    )
+    return _matched(tagged, grid, chosen, keys, max_rows, number)
+
+
+def _matched(
+    tagged: DataFrame, grid: list[str], chosen: Mapping[str, str], keys: list[str], max_rows: int | None, number: str | None
+) -> Series:
+    """Grid rows with their matches, from rows tagged as grid (_q, _id, _g) or stream (_s_name)."""
+    base = [F.col(k) for k in keys]
+    series = Series.plan(tagged, keys, ["_t", "_q", "_id"], max_rows)
+    rows = {n: F.col(f"_s_{n}") for n in chosen}
     counts = {f"_c_{n}": c.isNotNull().cast("bigint") for n, c in rows.items()}
     if number is not None:
         counts["_grid"] = F.col("_q").cast("bigint")
@@ -89,7 +135,7 @@ def align_series(
         cols = {} if number is None else {number: F.col("_grid") - 1}
         for name, rule in chosen.items():
             cols.update(_choose(name, rule))
-        extra = [c for c in grid.columns if c not in keys]
+        extra = [c for c in grid if c not in keys]
         block = [BLOCK] if BLOCK in df.columns else []
         return df.select(
             *base,
@@ -131,11 +177,15 @@ def align(grid, streams, keys, ts, row_id, policy="nearest", max_rows=None) -> D
     )
 
 
+def flat(rows: DataFrame, payload: list[str]) -> DataFrame:
+    """The matched columns of the stream ``src`` with that prefix."""
+    return rows.select("*", *[F.col(f"src.{c}").alias(f"src_{c}") for c in payload]).drop("src")
+
+
 def asof(grid, source: Stream, keys, ts, row_id, policy="nearest", max_rows=None) -> DataFrame:
     """One-stream alignment with the matched payload columns prefixed ``src_``."""
     out = align(grid, {"src": source}, keys, ts, row_id, policy, max_rows)
-    flat = [F.col(f"src.{c}").alias(f"src_{c}") for c in source.payload]
-    return out.select("*", *flat).drop("src")
+    return flat(out, source.payload)
 
 
 def fresh(delta: Column, tolerance: int, policy: str = "nearest") -> Column:

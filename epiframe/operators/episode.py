@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from epiframe.functions import geometry as g
 from epiframe.operators import sequence as seq
-from epiframe.operators.align import Stream, align_series, fresh
+from epiframe.operators.align import Stream, align_series, align_tagged, fresh
 from epiframe.operators.pose import future_chunk, state_delta
 from epiframe.operators.stats import exact_quantiles
 from epiframe.plans.series import Series
@@ -115,6 +115,8 @@ def resampled_grid(
     max_rows: int | None = None,
     clock: str | None = None,
     gates: DataFrame | None = None,
+    rows: DataFrame | None = None,
+    tags: Mapping[str, Column] | None = None,
 ) -> tuple[Series, DataFrame]:
     """Grid rows with matches, validity flags and run index, and the facts of each episode.
 
@@ -124,11 +126,18 @@ def resampled_grid(
     the previous grid row both cameras moved on, every raw pose was valid and no raw
     interval was off its nominal length. Rejected episodes have no rows, only a fact row
     with ``category`` and ``message``.
+
+    If master and streams are rows of one table ``rows``, ``tags`` has the condition of each
+    stream and of the master under ``""``; the table is then read once for all of them.
     """
     clock = clock or ts
     policy = {n: "nearest" for n in cameras} | {n: how.hand_policy for n in hands}
     streams = {**cameras, **hands}
-    s = align_series(master, streams, keys, ts, row_id, policy, max_rows, number="source_row")
+    if rows is None:
+        s = align_series(master, streams, keys, ts, row_id, policy, max_rows, number="source_row")
+    else:
+        of = {n: (tags[n], st.payload) for n, st in streams.items()}
+        s = align_tagged(rows, tags[""], of, keys, ts, row_id, master.columns, policy, max_rows, number="source_row")
 
     rows = Series.plan(master.select(*dict.fromkeys([*keys, ts, row_id, clock])), keys, [ts, row_id], max_rows, like=s)
     if how.output_rate is None:

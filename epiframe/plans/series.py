@@ -257,23 +257,26 @@ class Series:
         return self.scan(following=cols) if forward else self.scan(previous=cols)
 
     def future(self, name: str, value: Column, horizon: int, pos: str) -> "Series":
-        """Array of the values of the next ``horizon`` rows (shorter at the end).
+        """Array of the values of the next ``horizon`` rows, nulls too (shorter at the end).
 
         ``pos`` is the dense position. For hot keys, rows are regrouped by position and
         the first ``horizon`` rows of a group are also sent to the group before it.
         """
 
+        held = F.struct(value.alias("v"))  # a list leaves out nulls, but not structs that hold them
+        plain = F.transform(name, lambda x: x["v"])
+
         def hot_step(hot):
             size = max(MAX_ROWS // 4, horizon)
             block = F.floor(F.col(pos) / size)
-            rows = hot.withColumns({"_v": value, BLOCK: block, "_halo": F.lit(False)})
+            rows = hot.withColumns({"_v": held, BLOCK: block, "_halo": F.lit(False)})
             halo = rows.filter((F.col(pos) % size < horizon) & (F.col(BLOCK) > 0)).withColumns(
                 {BLOCK: F.col(BLOCK) - 1, "_halo": F.lit(True)}
             )
             w = W.partitionBy(*self.keys, BLOCK).orderBy(pos).rowsBetween(1, horizon)
             out = rows.unionByName(halo).withColumn(name, F.collect_list("_v").over(w))
-            return out.filter(~F.col("_halo")).drop("_v", "_halo")
+            return out.filter(~F.col("_halo")).drop("_v", "_halo").withColumn(name, plain)
 
         w = self._window(False).rowsBetween(1, horizon)
-        cold = self.cold.withColumn(name, F.collect_list(value).over(w))
+        cold = self.cold.withColumn(name, F.collect_list(held).over(w)).withColumn(name, plain)
         return self._next(cold, hot_step)

@@ -763,27 +763,29 @@ HOW = Sampling(
 )
 
 
-def clicks_with_pose(spark, sf_dir):
-    """Click rows with a planar pose made of their value and counter."""
+def events_with_pose(spark, sf_dir):
+    """Events with a planar pose made of their value and counter; the clicks are the frames."""
     turn = F.col("k") * F.lit(math.pi / 200)
     zero = F.lit(0.0)
     flat = [F.col("value") / 100.0, F.col("k") / 100.0, zero]
     pose = g.pack([*flat, zero, zero, F.sin(turn), F.cos(turn)])
-    rows = kind(events(spark, sf_dir), "click").withColumn("k", props_k())
+    rows = events(spark, sf_dir).withColumn("k", props_k())
     return rows.select(
         "user_id", "event_id", "ts_us", pose.alias("pose"), (F.col("value") >= 2).alias("pose_ok"),
-        (F.col("ts_us") + F.col("k") * 1_000_000).alias("frame_us"),
+        (F.col("ts_us") + F.col("k") * 1_000_000).alias("frame_us"), "event_type", "value",
     )
 
 
 def episode_grid(spark, sf_dir, how=HOW, max_rows=None, clock=None, gates=None):
     """(grid rows, facts of each episode)"""
-    ev = events(spark, sf_dir)
-    cameras = {"cam0": source(ev, "view"), "cam1": source(ev, "purchase")}
-    hands = {"left": source(ev, "error"), "right": source(ev, "signup")}
+    ev = events_with_pose(spark, sf_dir)
+    names = {"cam0": "view", "cam1": "purchase", "left": "error", "right": "signup"}
+    cameras = {n: source(ev, names[n]) for n in ("cam0", "cam1")}
+    hands = {n: source(ev, names[n]) for n in ("left", "right")}
+    tags = {n: F.col("event_type") == k for n, k in {"": "click", **names}.items()}
     return resampled_grid(
-        clicks_with_pose(spark, sf_dir), cameras, hands, ["user_id"], "ts_us", "event_id",
-        "pose_ok", how, max_rows, clock, gates,
+        kind(ev, "click").drop("event_type", "value"), cameras, hands, ["user_id"], "ts_us", "event_id",
+        "pose_ok", how, max_rows, clock, gates, ev, tags,
     )
 
 

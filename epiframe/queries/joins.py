@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 from epiframe.functions import geometry as g
 from epiframe.functions.values import r6
 from epiframe.operators import audit
-from epiframe.operators.align import align, asof, fresh
-from epiframe.operators.pose import future_chunk
+from epiframe.operators.align import align_tagged, flat, fresh
+from epiframe.operators.pose import future_chunk, slots
 from epiframe.plans.series import Series
+from epiframe.plans.shared import new_path
+from epiframe.sources.sinks import write_layout
 from epiframe.queries.base import (
     EM,
     EV,
@@ -23,7 +25,6 @@ from epiframe.queries.base import (
     pose_rows,
     query,
     r6_sql,
-    source,
     table,
     user_series,
     with_sql,
@@ -33,9 +34,18 @@ GRID = ["user_id", "event_id", "ts_us"]
 
 
 def _asof(spark, sf_dir, name, policy):
-    ev = events(spark, sf_dir)
-    grid = kind(ev, "click").select(*GRID)
-    return asof(grid, source(ev, name), ["user_id"], "ts_us", "event_id", policy)
+    rows = tagged(events(spark, sf_dir), {"src": name}, policy)
+    return flat(rows, PAYLOAD)
+
+
+PAYLOAD = ["event_id", "value"]
+
+
+def tagged(ev, names, policy="nearest"):
+    """Clicks with their match from events of other types, all from one pass over the events."""
+    streams = {n: (F.col("event_type") == k, PAYLOAD) for n, k in names.items()}
+    s = align_tagged(ev, F.col("event_type") == "click", streams, ["user_id"], "ts_us", "event_id", GRID, policy)
+    return s.frame().drop("_t", "_q", "_id")
 
 
 @query(
@@ -50,6 +60,44 @@ def asof_nearest(spark, sf_dir):
     return _asof(spark, sf_dir, "view", "nearest")
 
 
+BUCKETS = 8
+
+
+def stored_events(spark, sf_dir):
+    """The events as a table bucketed by user and sorted by time."""
+    ev = events(spark, sf_dir).select("user_id", "event_id", "ts_us", "value", "event_type")
+    return write_layout(ev, new_path(spark, "events"), ["user_id"], ["ts_us", "event_id"], BUCKETS)
+
+
+@query(
+    "asof_stored",
+    with_sql(
+        [EV, kind_sql("click"), kind_sql("view"), *asof_sql("view")],
+        """SELECT user_id, event_id, ts_us, s_id AS src_event_id, s_value AS src_value,
+        s_pos AS src_index, delta AS src_delta FROM near_view""",
+    ),
+)
+def asof_stored(spark, sf_dir):
+    """The nearest match between rows of a stored table, without an exchange."""
+    return flat(tagged(stored_events(spark, sf_dir), {"src": "view"}), PAYLOAD)
+
+
+@query(
+    "chunk_stored",
+    with_sql(
+        [EV, kind_sql("click"), f"k AS (SELECT unnest(range(1, {HORIZON + 1})) AS k)",
+         "c AS (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM click)"],
+        """SELECT a.user_id, a.event_id, k::INTEGER AS k, t.event_id AS target, a.pos + k >= a.n AS padded
+        FROM c a CROSS JOIN k JOIN c t ON t.user_id = a.user_id AND t.pos = least(a.pos + k, a.n - 1)""",
+    ),
+)
+def chunk_stored(spark, sf_dir):
+    """Future chunks of a stored table, without an exchange."""
+    clicks = kind(stored_events(spark, sf_dir), "click").drop("event_type")
+    s = Series.plan(clicks, ["user_id"], ["ts_us", "event_id"]).number("pos")
+    return slots(future_chunk(s, F.col("event_id"), HORIZON, "pos").frame(), ["user_id", "event_id"])
+
+
 @query(
     "asof_backward",
     with_sql(
@@ -96,9 +144,7 @@ def asof_backward_strict(spark, sf_dir):
     ),
 )
 def asof_tolerance_flag(spark, sf_dir):
-    ev = events(spark, sf_dir)
-    packets = {"left": source(ev, "error"), "right": source(ev, "signup")}
-    rows = align(kind(ev, "click").select(*GRID), packets, ["user_id"], "ts_us", "event_id")
+    rows = tagged(events(spark, sf_dir), {"left": "error", "right": "signup"})
     rows = rows.select(
         "user_id",
         "event_id",
@@ -126,10 +172,8 @@ def asof_tolerance_flag(spark, sf_dir):
     ),
 )
 def multi_stream_align(spark, sf_dir):
-    ev = events(spark, sf_dir)
     names = {"cam0": "view", "cam1": "purchase", "left": "error", "right": "signup"}
-    streams = {n: source(ev, k) for n, k in names.items()}
-    rows = align(kind(ev, "click").select(*GRID), streams, ["user_id"], "ts_us", "event_id")
+    rows = tagged(events(spark, sf_dir), names)
     cols = [
         c
         for n in names

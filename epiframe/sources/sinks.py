@@ -27,6 +27,19 @@ def write_episodes(df: DataFrame, path: str, episode: str, order: str) -> None:
     )
 
 
+def write_layout(df: DataFrame, path: str, keys: list[str], order: list[str], buckets: int) -> DataFrame:
+    """Write rows bucketed by ``keys`` and sorted by ``order``, and read them as a table.
+
+    Windows by these keys, as-of joins of tables laid out alike and future chunks need no
+    exchange then; each bucket is one task. Choose ``buckets`` so that one fits a task. The
+    table is external, named after its folder, and known to this session's catalog.
+    """
+    name = "layout_" + path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
+    laid = df.repartition(buckets, *keys).sortWithinPartitions(*keys, *order)
+    laid.write.bucketBy(buckets, *keys).sortBy(*keys, *order).option("path", path).format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_csv_exact(df: DataFrame, path: str) -> DataFrame:
     """Write CSV with a header, read it back, and count rows lost or gained.
 

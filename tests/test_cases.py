@@ -336,3 +336,16 @@ def test_merge_refuses_to_write_into_its_source(source, target):
     with pytest.raises(ValueError):
         audit.require_separate(source, target)
     audit.require_separate("/a/b", "/a/bc")
+
+
+def test_null_values_keep_their_slots(spark, monkeypatch):
+    """A null among the values of a chunk is a slot of its own, for plain and for hot keys."""
+    df = spark.createDataFrame([(1, i, None if i % 3 == 1 else i) for i in range(12)], "k INT, t INT, v INT")
+    for max_rows in (None, 5):
+        s = Series.plan(df.join(spark.range(1)) if max_rows else df, ["k"], ["t"], max_rows).number("pos")
+        assert (s.hot is not None) == (max_rows is not None)
+        got = {r.t: (r.chunk, r.is_pad) for r in future_chunk(s, F.col("v"), 3, "pos").frame().collect()}
+        for i in range(12):
+            want = [None if j % 3 == 1 else j for j in range(i + 1, min(i + 4, 12))]
+            last = want[-1] if want else (None if i % 3 == 1 else i)
+            assert got[i] == (want + [last] * (3 - len(want)), [k >= len(want) for k in range(3)])

@@ -101,3 +101,8 @@ def test_hot_keys_cost_one_pass_over_the_rows(spark, monkeypatch):
     assert s.cold.count() == 20 and s.hot.count() == 4000
     for part in (s.cold, s.hot):
         assert "Range" not in part._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["asof_stored", "chunk_stored"])
+def test_stored_tables_need_no_exchange(spark, name):
+    assert "Exchange" not in plan_of(spark, name)
