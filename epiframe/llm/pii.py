@@ -43,6 +43,8 @@ CHANCE = 3.0
 GAIN = 32
 #: Rounding at the threshold itself.
 SLACK = 1e-9
+#: Words in a row while terms are looked for.
+RUN = 128
 #: Code points in a piece of a text that is cut at spans.
 PIECE = 4096
 
@@ -228,18 +230,33 @@ def term_risks(docs: DataFrame, discloses: float) -> tuple[DataFrame, DataFrame]
 
 
 def term_spans(docs: DataFrame, risk: DataFrame, seen: DataFrame) -> DataFrame:
-    """doc_id, th, kind, start, end, share of the disclosing terms, once for repeated rows."""
+    """doc_id, th, kind, start, end, share of the disclosing terms, once for repeated rows.
+
+    Documents with terms are unfolded into runs of ``RUN`` words; only words that are terms
+    become rows.
+    """
     told = compact(seen.join(risk, "term"))
     there = small(compact(told.select("th").distinct()))
-    rows = keyed(docs).join(there, "th", "left_semi")
-    words = rows.select("doc_id", "th", F.posexplode(matches(F.col("text"), WORD)).alias("pos", "f"))
-    words = words.filter("f.m IS NOT NULL").select(
-        "doc_id", "th", "pos",
-        F.length("f.gap").cast("long").alias("gap_length"),
-        F.length("f.m").cast("long").alias("m_length"),
-        term(F.col("f.m")).alias("term"),
-    ).dropDuplicates(["doc_id", "th", "pos"])
-    words = located(words, ["doc_id", "th"]).join(told, ["th", "term"])
+    per = told.groupBy("th").agg(F.collect_set("term").alias("terms"))
+    rows = keyed(docs).join(there, "th", "left_semi").dropDuplicates(["doc_id", "th"]).join(per, "th")
+    rows = rows.select("doc_id", "th", "terms", matches(F.col("text"), WORD).alias("f"))
+    each = F.sequence(F.lit(0), F.floor((F.size("f") - 1) / RUN).cast("int"))
+    rows = rows.select("doc_id", "th", "terms", F.posexplode(F.transform(each, lambda k: F.slice("f", k * RUN + 1, RUN))).alias("run", "f"))
+
+    def length(f):
+        return F.aggregate(f, F.lit(0), lambda n, x: n + F.length(x["gap"]) + F.coalesce(F.length(x["m"]), F.lit(0))).cast("long")
+
+    hits = F.filter(
+        F.transform("f", lambda x, i: F.struct(i.alias("i"), F.length(x["m"]).alias("n"), term(x["m"]).alias("term"))),
+        lambda x: F.coalesce(F.array_contains("terms", x["term"]), F.lit(False)),
+    )
+    rows = rows.withColumns({"n": length(F.col("f")), "hits": hits})
+    rows = rows.withColumn("first", F.sum("n").over(W.partitionBy("doc_id", "th").orderBy("run")) - F.col("n"))
+    rows = rows.filter(F.size("hits") > 0)
+    ends = F.transform("hits", lambda x: F.struct(length(F.slice("f", 1, x["i"] + 1)).alias("end"), x["n"].alias("n"), x["term"].alias("term")))
+    words = rows.select("doc_id", "th", "first", F.inline(ends))
+    end = F.col("first") + F.col("end")
+    words = words.select("doc_id", "th", (end - F.col("n")).alias("start"), end.alias("end"), "term").join(risk, "term")
     return words.select("doc_id", "th", F.lit(TERM).alias("kind"), "start", "end", "share")
 
 
