@@ -23,6 +23,10 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+#: Tables written by ``settle`` in this process.
+SETTLED: list[str] = []
+
+
 def settle(df: DataFrame, by: str | None = None) -> DataFrame:
     """Write a table to shared storage and go on from there.
 
@@ -30,9 +34,23 @@ def settle(df: DataFrame, by: str | None = None) -> DataFrame:
     only the columns they need; with ``by``, filters on that column read its files alone.
     """
     path = new_path(df.sparkSession, "settled")
+    SETTLED.append(path)
     if by is None:
         df.write.parquet(path)
     else:
         df.write.partitionBy(by).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     return out if by is None else out.select(df.columns)
+
+
+def remove_settled(spark: SparkSession) -> int:
+    """Remove the tables that ``settle`` has written in this process, and return their number.
+
+    Call it when the results that were made from them are written; frames that still read
+    them can't be used any more.
+    """
+    conf, n = spark._jsc.hadoopConfiguration(), 0
+    while SETTLED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(SETTLED.pop())
+        n += path.getFileSystem(conf).delete(path, True)
+    return n

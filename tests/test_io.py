@@ -1,12 +1,14 @@
 """Readers, writers and streams: refusals, reports and repeats."""
 
 import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from epiframe.operators import validate as val
+from epiframe.plans import shared
 from epiframe.sources import readers, sinks
 from epiframe.streaming import jobs, state
 
@@ -240,3 +242,11 @@ def test_complete_episodes_are_emitted_once(spark, tmp_path):
     got = [sorted((r.e, r.changed_at) for r in out.collect()) for out, _ in runs]
     # the second report of episode 1 follows a change of its files, a listing without one gives none
     assert got == [[], [(1, 11)], [(1, 11)], [(1, 11), (1, 13)]]
+
+
+def test_settled_tables_can_be_removed(spark, monkeypatch):
+    monkeypatch.setattr(shared, "SETTLED", [])
+    out = shared.settle(spark.range(5))
+    assert out.count() == 5 and len(shared.SETTLED) == 1
+    path = shared.SETTLED[0]
+    assert shared.remove_settled(spark) == 1 and shared.SETTLED == [] and not os.path.exists(path)
