@@ -159,7 +159,7 @@ def quoted(x: str) -> str:
 
 SCAN_SQL = f"""WITH known AS (
   SELECT sha256({canonical_sql("text")}) AS digest, min(name) AS license
-  FROM (VALUES {", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in KNOWN)}) k(name, text) GROUP BY 1),
+  FROM (VALUES {", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in KNOWN + whole_texts())}) k(name, text) GROUP BY 1),
 d AS (SELECT doc_id, text, sha256({canonical_sql("text")}) AS digest FROM documents),
 l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
 n AS (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS notices

@@ -120,3 +120,21 @@ def test_packing(spark, texts, tokenizer):
     rows = QUERIES["op9_bestfit_packing"](spark, SF).collect()
     n = packed_right(rows, texts, tokenizer)
     assert n <= 1.02 * -(-sum(r.length for r in rows) // LENGTH)
+
+
+def test_licence_sql_knows_the_same_texts(spark):
+    """Every known text as a document, and spoiled ones."""
+    import duckdb
+
+    from epiframe.llm import licenses
+
+    known = licenses.KNOWN + licenses.whole_texts()
+    rows = [(i, t) for i, (_, t) in enumerate(known)] + [(100 + i, t.upper() + " more") for i, (_, t) in enumerate(known[:4])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    df = licenses.scan(docs)
+    got = df.collect()
+    assert difference(got, df.columns, con, SQL["op7_license_scan"]) is None
+    assert sum(r.license is not None for r in got) == len(known)
