@@ -1,5 +1,8 @@
 """Helpers shared by the operators over documents."""
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +42,19 @@ def compact(df: DataFrame, per_core: int = 1) -> DataFrame:
     return settle(df.coalesce(per_core * df.sparkSession.sparkContext.defaultParallelism))
 
 
+@contextmanager
+def rows_a_batch(spark: SparkSession, rows: int = 64) -> Iterator[None]:
+    """Batches handed to Python have so few rows meanwhile: for tables whose rows are large, so
+    that a task holds some tens of megabytes of them. The work has to be done inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, usual)
+
+
 def same(a: Column, b: Column) -> Column:
     """Equality that also holds between nulls."""
     return a.eqNullSafe(b)

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epiframe.llm.common import compact, query, settle, table
+from epiframe.llm.common import compact, query, rows_a_batch, settle, table
 from epiframe.llm.near_dedup import components, labelled
 
 COSINE = 0.95
@@ -279,7 +279,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, levels: int | No
         levels = next((k for k, most in ROWS.items() if n <= most), max(SETTINGS))
     sketches = settle(signed(classes, levels))
     blocks = blocked(sketches)
-    found = compact(compared(block_pairs(sketches, blocks), classes, blocks, cosine), 4)
+    with rows_a_batch(vectors.sparkSession):  # a row is a pair of blocks
+        found = compact(compared(block_pairs(sketches, blocks), classes, blocks, cosine), 4)
     links = found.groupBy("node").agg(F.sum("n").alias("n"))
     labels = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
     named = labelled(classes.select("node", "key", "weight", "least"), labels, "node", "root")

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from epiframe.llm.common import compact, query, settle, table
+from epiframe.llm.common import compact, query, rows_a_batch, settle, table
 
 K = 10
 EVERY = 100
@@ -210,12 +210,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, shard_rows: int = SH
             "id": some["vec_id"].to_numpy(np.int64), "dim": some["dim"].to_numpy(), "home": some["home"].to_numpy(),
             "v": [np.asarray(v, float) for v in some["v"]],
         }
-        seed = compact(kept_best(searched(trees, own, None, shards, k), k))
+        with rows_a_batch(vectors.sparkSession):  # a row is a shard
+            seed = compact(kept_best(searched(trees, own, None, shards, k), k))
         full = {r["query_id"]: r["score"] for r in seed.filter(F.col("rank") == k).select("query_id", "score").collect()}
         kth = np.array([full.get(i, float("-inf")) for i in own["id"].tolist()], float)
         kth = np.nextafter(kth, -np.inf)  # a score of more than 53 bits may have been rounded up
         found = searched(trees, own, kth, shards, k).unionByName(seed.drop("rank"))
-        out.append(compact(kept_best(found, k)))
+        with rows_a_batch(vectors.sparkSession):
+            out.append(compact(kept_best(found, k)))
     found = reduce(DataFrame.unionByName, out)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 

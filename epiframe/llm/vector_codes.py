@@ -37,7 +37,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epiframe.llm.common import query, settle, table
+from epiframe.llm.common import query, rows_a_batch, settle, table
 
 PARTS = 4
 ENTRIES = 256
@@ -334,7 +334,9 @@ def refined(trees: DataFrame, codebooks: np.ndarray) -> np.ndarray:
     found = trees.mapInArrow(run, "part int, entry int, n bigint, s array<string>")
     sums = [F.sum(F.col("s")[i].cast("decimal(38,0)")).alias(f"s{i}") for i in range(width)]
     out = codebooks.copy()
-    for row in found.groupBy("part", "entry").agg(F.sum("n").alias("n"), *sums).collect():  # parts x entries rows
+    with rows_a_batch(trees.sparkSession):  # a row is a shard
+        rows = found.groupBy("part", "entry").agg(F.sum("n").alias("n"), *sums).collect()  # parts x entries of them
+    for row in rows:
         out[row["part"], row["entry"]] = [int(row[f"s{i}"]) // row["n"] for i in range(width)]
     return out
 
@@ -379,7 +381,9 @@ def compressed(
     trees = settle(planted(rows, parts, length, shard_rows, rows.count()))
     for _ in range(rounds):
         codebooks = refined(trees, codebooks)
-    out = rows.select("item", "vec_id", "label").join(coded(trees, codebooks), "item")
+    with rows_a_batch(vectors.sparkSession):
+        found = settle(coded(trees, codebooks))
+    out = rows.select("item", "vec_id", "label").join(found, "item")
     return out.select("vec_id", "label", "code", "error"), codebooks
 
 
