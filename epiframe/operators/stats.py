@@ -103,8 +103,19 @@ def _ranked(hist: DataFrame, group: list[str], order: str, before: Column, ranks
     return out.filter(F.size("_want") > 0).withColumn("_before", F.col("_upto") - F.col("n")).drop("_upto")
 
 
+def bucket_value(b: Column) -> Column:
+    """A value in or next to a bucket of finite values."""
+    size = F.exp((F.abs(b) - F.lit(ABOVE_ZERO)) * F.lit(math.log(2) / PER_OCTAVE))
+    return F.when(b == 0, F.lit(0.0)).otherwise(F.signum(b) * size)
+
+
 def selected_quantiles(
-    df: DataFrame, keys: list[str], value: str, points: Mapping[str, float], counted_rows: int | None = None
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    points: Mapping[str, float],
+    counted_rows: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact quantiles, mean, population std and count for few keys with many values.
 
@@ -114,14 +125,26 @@ def selected_quantiles(
     are cut into equal parts and counted once more; a part holds the ends of its values, so
     every round either shrinks it or ends with a single value. Nothing is estimated, and the
     order of the buckets is checked on the data.
+
+    With ``weight``, a whole number, a row counts as so many equal rows. Squares are then taken
+    about a value of the bucket, so std is right to 1e-10 of the largest magnitude.
     """
     counted_rows = counted_rows or COUNTED_ROWS
     v = F.col(value).cast("double")
-    df = df.filter(v.isNotNull()).select(*keys, (v + 0.0).alias("_v"))
-    v = F.col("_v")
-    size = [F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi")]
-    moments = [F.avg(v).alias("_m"), F.var_pop(v).alias("_s")]
-    hist = settle(df.groupBy(*keys, value_bucket(v).alias("_b")).agg(*size, *moments))
+    df = df.filter(v.isNotNull()).select(*keys, (v + 0.0).alias("_v"), *([weight] if weight else []))
+    v, n = F.col("_v"), F.count(F.lit(1))
+    moments = {"_m": F.avg(v), "_s": F.var_pop(v)}
+    if weight:
+        df, n, w = df.filter(F.col(weight) > 0), F.sum(weight), F.col(weight)
+        off = v - bucket_value(F.col("_b"))
+        moments = {"_m": F.sum(w * off) / n, "_s": F.sum(w * off * off) / n}
+    size = [n.alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi")]
+    cut = df.withColumn("_b", value_bucket(v))
+    hist = cut.groupBy(*keys, "_b").agg(*size, *[c.alias(name) for name, c in moments.items()])
+    if weight:
+        spread = F.greatest(F.lit(0.0), F.col("_s") - F.col("_m") * F.col("_m"))
+        hist = hist.withColumns({"_s": spread, "_m": F.col("_m") + bucket_value(F.col("_b"))})
+    hist = settle(hist)
     all_of = W.partitionBy(*keys)
     rows = hist.withColumn("_n", F.sum("n").over(all_of))
     rows = rows.withColumn("_mean", F.sum(F.col("n") * F.col("_m")).over(all_of) / F.col("_n"))
@@ -197,28 +220,56 @@ def masked_vector_stats(
     rows: DataFrame,
     vectors: Mapping[str, str],
     slots: Mapping[str, tuple[str, str]],
+    repeated: Mapping[str, tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Per name and dimension: mean, population std, q01 and q99, all exact, in doubles.
 
     ``vectors`` maps a name to a vector column. ``slots`` maps a name to an array of slot
-    vectors and its padding mask; padded slots are left out. A NaN or infinity is an error.
-    The rows are unfolded in two passes that aggregate where they are: what is shuffled does
+    vectors and its padding mask; padded slots are left out. ``repeated`` maps a name to a
+    vector column and a column with the number of times it counts. A NaN or infinity is an
+    error. The rows are unfolded in two passes that aggregate where they are: what is shuffled does
     not grow with the horizon but for the values next to a quantile.
     """
-    tags = [F.array(F.lit(n)) for n in vectors]
-    tags += [F.array_repeat(F.lit(n), F.size(v)) for n, (v, _) in slots.items()]
-    values = [F.array(c) for c in vectors.values()] + [F.col(v) for v, _ in slots.values()]
-    masks = [F.array(F.lit(False)) for _ in vectors] + [F.col(m) for _, m in slots.values()]
-    entries = F.arrays_zip(
-        F.concat(*tags).alias("key"), F.concat(*values).alias("v"), F.concat(*masks).alias("pad")
-    )
-    real = rows.select(F.inline(entries)).filter(~F.col("pad"))
-    flat = real.select("key", F.posexplode("v").alias("dim", "x"))
+    repeated = repeated or {}
+    single = [*vectors.values(), *(v for v, _ in repeated.values())]
+    masks = [F.array(F.lit(False))] * len(single) + [F.col(m) for _, m in slots.values()]
+    parts = {
+        "key": [F.array(F.lit(n)) for n in [*vectors, *repeated]]
+        + [F.array_repeat(F.lit(n), F.size(v)) for n, (v, _) in slots.items()],
+        "v": [F.array(c) for c in single] + [F.col(v) for v, _ in slots.values()],
+        "pad": masks,
+    }
+    if repeated:
+        one = F.lit(1).cast("bigint")
+        parts["times"] = (
+            [F.array(one)] * len(vectors)
+            + [F.array(F.col(c).cast("bigint")) for _, c in repeated.values()]
+            + [F.array_repeat(one, F.size(v)) for v, _ in slots.values()]
+        )
+    real = rows.select(F.inline(F.arrays_zip(*[F.concat(*c).alias(n) for n, c in parts.items()]))).filter(~F.col("pad"))
+    times = ["times"] if repeated else []
+    if repeated:
+        real = real.filter("times > 0")
+    flat = real.select("key", F.posexplode("v").alias("dim", "x"), *times)
     x = F.col("x").cast("double")
     finite = ~(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     checked = F.when(finite, x).otherwise(F.raise_error(F.lit("non-finite value")).cast("double"))
     keys = ["key", "dim"]
-    return selected_quantiles(flat.select(*keys, checked.alias("x")), keys, "x", {"q01": 0.01, "q99": 0.99})
+    flat = flat.select(*keys, checked.alias("x"), *times)
+    return selected_quantiles(flat, keys, "x", {"q01": 0.01, "q99": 0.99}, weight=times[0] if times else None)
+
+
+def future_stats(rows: DataFrame, vector: str, horizon: int, pos: str) -> DataFrame:
+    """``masked_vector_stats`` of the vectors ("state") and of all real slots of their chunks of
+    the next ``horizon`` vectors ("actions"), without building the chunks.
+
+    The row at position p lies in the chunks of the min(p, horizon) rows before it, so its
+    values count so often: work and storage are the same for every horizon.
+    """
+    if horizon < 1:
+        raise ValueError("horizon must be 1 or more")
+    rows = rows.withColumn("_in", F.least(F.col(pos), F.lit(horizon)))
+    return masked_vector_stats(rows, {"state": vector}, {}, {"actions": (vector, "_in")})
 
 
 def merge_stats(stats: DataFrame, keys: list[str]) -> DataFrame:

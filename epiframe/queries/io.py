@@ -275,14 +275,13 @@ def feature_contract(spark, sf_dir):
     return sinks.contract_violations(spark.read.parquet(path), schema)
 
 
-@query(
-    "manifest_verify",
-    """WITH f AS (SELECT event_type, event_id % 3 AS part, count(*) AS n FROM events GROUP BY 1, 2)
+MANIFEST_SQL = """WITH f AS (SELECT event_type, event_id % 3 AS part, count(*) AS n FROM events GROUP BY 1, 2)
     SELECT CASE event_type WHEN 'view' THEN 'size' WHEN 'error' THEN 'sha256' WHEN 'signup' THEN 'unlisted'
       ELSE 'ok' END AS verdict, count(*) AS files, sum(n)::BIGINT AS rows FROM f GROUP BY 1
-    UNION ALL SELECT unnest(['missing', 'outside']), unnest([2, 1]), NULL""",
-)
-def manifest_verify(spark, sf_dir):
+    UNION ALL SELECT unnest(['missing', 'outside']), unnest([2, 1]), NULL"""
+
+
+def manifest_verdicts(spark, sf_dir, leaf=None):
     """Events written as files, listed with their hashes, and checked against a spoiled list.
 
     A file holds the events of one type and a third of the ids.
@@ -292,7 +291,7 @@ def manifest_verify(spark, sf_dir):
     rows = rows.withColumn("part", F.col("event_id") % 3)
     rows.repartition("event_type", "part").write.partitionBy("event_type", "part").parquet(path)
     listed = new_path(spark, "listed")
-    sinks.file_manifest(spark, path).write.parquet(listed)
+    sinks.file_manifest(spark, path, leaf=leaf).write.parquet(listed)
     rows = spark.read.parquet(listed)
 
     def of(kind):
@@ -306,13 +305,24 @@ def manifest_verify(spark, sf_dir):
     )
     extra = [(f"{path}/{n}.parquet", 1, "0") for n in ("nothing", "more")] + [(f"/other{path}/a.parquet", 1, "0")]
     spoiled = spoiled.unionByName(spark.createDataFrame(extra, "path string, size bigint, sha256 string"))
-    checked = sinks.manifest_verify(spark, spoiled, path)
+    checked = sinks.manifest_verify(spark, spoiled, path, leaf=leaf)
     held = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("n"))
     held = held.withColumn("path", sinks.plain_path(F.col("path")))
     checked = checked.withColumn("path", sinks.plain_path(F.col("path"))).join(held, "path", "left")
     return checked.groupBy("verdict").agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("rows"))
 
 
+@query("manifest_verify", MANIFEST_SQL)
+def manifest_verify(spark, sf_dir):
+    return manifest_verdicts(spark, sf_dir)
+
+
+@query("manifest_verify_tree", MANIFEST_SQL)
+def manifest_verify_tree(spark, sf_dir):
+    """The same with files read in ranges by several tasks."""
+    return manifest_verdicts(spark, sf_dir, leaf=1 << 14)
+
+
 _HALF = "round(l_tax / 2, 4)"
 
 

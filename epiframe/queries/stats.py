@@ -53,20 +53,53 @@ def _rounded(df, *cols):
     return df.withColumns({c: r6(F.col(c)) for c in cols})
 
 
-@query(
-    "masked_vector_stats",
-    with_sql(
-        [LI, KS, ST, AC, "al AS (SELECT 'state' AS key, dim, x FROM st UNION ALL SELECT 'actions', dim, x FROM ac)"],
-        """SELECT key, dim, round(avg(x), 5) + 0.0 AS mean, round(stddev_pop(x), 5) + 0.0 AS std, count(*) AS n,
+ALL_SQL = """SELECT key, dim, round(avg(x), 5) + 0.0 AS mean, round(stddev_pop(x), 5) + 0.0 AS std, count(*) AS n,
         round(quantile_cont(x, 0.01), 5) + 0.0 AS q01, round(quantile_cont(x, 0.99), 5) + 0.0 AS q99
-        FROM al GROUP BY key, dim""",
-    ),
+        FROM al GROUP BY key, dim"""
+MASKED_SQL = with_sql(
+    [LI, KS, ST, AC, "al AS (SELECT 'state' AS key, dim, x FROM st UNION ALL SELECT 'actions', dim, x FROM ac)"],
+    ALL_SQL,
 )
+
+
+def _five(df):
+    # five digits: the true mean of a channel ends in a 5 at the seventh
+    return df.withColumns({c: F.round(c, 5) + 0.0 for c in ("mean", "std", "q01", "q99")})
+
+
+@query("masked_vector_stats", MASKED_SQL)
 def masked_vector_stats(spark, sf_dir):
     rows = chunks(spark, sf_dir).frame()
-    both = stats.masked_vector_stats(rows, {"state": "state"}, {"actions": ("chunk", "is_pad")})
-    # five digits: the true mean of a channel ends in a 5 at the seventh
-    return both.withColumns({c: F.round(c, 5) + 0.0 for c in ("mean", "std", "q01", "q99")})
+    return _five(stats.masked_vector_stats(rows, {"state": "state"}, {"actions": ("chunk", "is_pad")}))
+
+
+@query("future_stats", MASKED_SQL)
+def future_stats(spark, sf_dir):
+    """The same numbers from rows that count as often as they lie in a chunk."""
+    return _five(stats.future_stats(frames(spark, sf_dir).frame(), "state", HORIZON, "pos"))
+
+
+LONG = 1024
+
+
+@query(
+    "future_stats_long",
+    with_sql(
+        [
+            EV,
+            """n AS (SELECT user_id, value AS x, row_number() OVER (PARTITION BY user_id ORDER BY ts_us, event_id) - 1 AS pos
+            FROM ev WHERE value IS NOT NULL)""",
+            f"""al AS (SELECT 'state' AS key, 0 AS dim, x FROM n UNION ALL SELECT 'actions', 0, b.x FROM n a
+            JOIN n b ON b.user_id = a.user_id AND b.pos > a.pos AND b.pos <= a.pos + {LONG})""",
+        ],
+        ALL_SQL,
+    ),
+)
+def future_stats_long(spark, sf_dir):
+    """Chunks of the next 1,024 readings of a user."""
+    s = user_series(events(spark, sf_dir).filter("value IS NOT NULL"), "value").number("pos")
+    s = s.with_columns({"state": F.array("value")})
+    return _five(stats.future_stats(s.frame(), "state", LONG, "pos"))
 
 
 def episode_stats(spark, sf_dir):

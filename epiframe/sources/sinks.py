@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from epiframe.sources import ranges
 
 #: A row of the sample schema with 1,024 slots of 64 floats stays below 300 KB.
 FILE_ROWS = 5_000
@@ -14,8 +15,7 @@ def write_episodes(df: DataFrame, path: str, episode: str, order: str) -> None:
     """One folder per episode, rows in order.
 
     Rows are spread by range of (episode, order), so a long episode becomes several
-    consecutive files instead of one task. A file has at most ``FILE_ROWS`` rows, so that a
-    manifest can read it whole. An existing target is refused.
+    consecutive files instead of one task. A file has at most ``FILE_ROWS`` rows. An existing target is refused.
     """
     (
         df.repartitionByRange(episode, order)
@@ -220,18 +220,13 @@ def type_violations(df: DataFrame, declared: T.StructType) -> list[tuple[str, st
     ]
 
 
-def file_manifest(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
-    """Path, size and SHA-256 of every data file of a dataset.
+def file_manifest(spark: SparkSession, root: str, glob: str = "*.parquet", leaf: int | None = None) -> DataFrame:
+    """Path, size and SHA-256 of every data file of a dataset; files may have any size.
 
-    A file is one row and must be below 2 GB, which the episode writer's row bound ensures.
+    A file is read by one task, a few megabytes at a time. With ``leaf``, files of more bytes
+    are read by several tasks and have a tree of digests (``ranges.tree_digests``) instead.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .load(root)
-    )
-    return files.select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+    return ranges.tree_digests(ranges.listed(spark, root, glob), leaf)
 
 
 def plain_path(path: Column) -> Column:
@@ -239,11 +234,17 @@ def plain_path(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(path, r"\A[A-Za-z][A-Za-z0-9+.-]*:", ""), r"/{2,}", "/")
 
 
-def manifest_verify(spark: SparkSession, manifest: DataFrame, root: str) -> DataFrame:
-    """Each manifest row or file with its verdict: ok, outside, missing, unlisted, size, sha256."""
-    actual = file_manifest(spark, root).select(
-        "path", F.col("size").alias("_size"), F.col("sha256").alias("_sha")
-    )
+def manifest_verify(
+    spark: SparkSession, manifest: DataFrame, root: str, glob: str = "*.parquet", leaf: int | None = None
+) -> DataFrame:
+    """Each manifest row or file with its verdict: ok, outside, missing, unlisted, size, sha256.
+
+    Only files that are listed with their size are read; ``leaf`` is that of the manifest.
+    """
+    files = ranges.listed(spark, root, glob)
+    worth = files.join(manifest.select("path", "size").distinct(), ["path", "size"], "left_semi")
+    digests = ranges.tree_digests(worth, leaf).select("path", F.col("sha256").alias("_sha"))
+    actual = files.withColumnRenamed("size", "_size").join(digests, "path", "left")
     both = manifest.join(actual, "path", "full")
     home = plain_path(F.lit(root.rstrip("/") + "/"))
     inside = F.startswith(plain_path(F.col("path")), home) & ~F.contains("path", F.lit("/../"))

@@ -2,6 +2,9 @@
 
 import datetime
 import os
+import random
+import re
+from hashlib import sha256
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +12,7 @@ from pyspark.sql import types as T
 
 from epiframe.operators import validate as val
 from epiframe.plans import shared
-from epiframe.sources import readers, sinks
+from epiframe.sources import ranges, readers, sinks
 from epiframe.streaming import jobs, state
 
 
@@ -95,6 +98,50 @@ def test_csv_round_trip_of_awkward_doubles(spark, tmp_path):
     assert (r.rows, r.lost, r.gained) == (6, 0, 0)
 
 
+def tree_digest(data, leaf):
+    level = [sha256(data[a : a + leaf]).hexdigest() for a in range(0, max(1, len(data)), leaf)]
+    while len(level) > 1:
+        level = [sha256("".join(level[a : a + ranges.FAN]).encode()).hexdigest() for a in range(0, len(level), ranges.FAN)]
+    return level[0]
+
+
+def test_digests_of_ranges(spark, tmp_path):
+    """Files of no, one and many leaves, with two levels above, in a folder with a blank."""
+    root = tmp_path / "a b"
+    root.mkdir()
+    data = random.Random(3).randbytes(41_000)
+    sizes = [1, 7, 8, 9, 8 * 1024, 8 * 1024 + 1, 41_000]
+    for n in sizes:
+        (root / f"{n}.parquet").write_bytes(data[:n])
+    for leaf in (8, 4096, None):
+        rows = sinks.file_manifest(spark, str(root), leaf=leaf).collect()
+        want = {(n, tree_digest(data[:n], leaf or 1 << 20)) for n in sizes}
+        assert {(r.size, r.sha256) for r in rows} == want and len(rows) == len(sizes)
+    (root / "none").touch()
+    none = spark.createDataFrame([(f"file:{root}/none", 0)], "path string, size bigint")
+    assert ranges.tree_digests(none, 8).first().sha256 == sha256(b"").hexdigest()
+    assert ranges.tree_digests(none.limit(0), 8).count() == 0
+
+
+def test_a_large_file_is_verified_by_several_tasks(spark, tmp_path):
+    """2.3 GB, mostly a hole; one byte changes in the middle."""
+    path = tmp_path / "big.parquet"
+    with path.open("wb") as f:
+        f.truncate(2_300_000_000)
+    leaf = 64 << 20
+    files = ranges.listed(spark, str(tmp_path), "*.parquet")
+    made = ranges.tree_digests(files, leaf)
+    listed = spark.createDataFrame(made.collect(), made.schema)
+    assert [r.verdict for r in sinks.manifest_verify(spark, listed, str(tmp_path), leaf=leaf).collect()] == ["ok"]
+    with path.open("r+b") as f:
+        f.seek(1_200_000_000)
+        f.write(b"x")
+    assert [r.verdict for r in sinks.manifest_verify(spark, listed, str(tmp_path), leaf=leaf).collect()] == ["sha256"]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    tasks = int(re.search(r"RepartitionByExpression \[[^]]*\], (\d+)", plan).group(1))
+    assert tasks >= 8
+
+
 def test_manifest_finds_changes(spark, tmp_path):
     root = str(tmp_path / "d")
     spark.range(10).repartition(3).write.parquet(root)

@@ -13,7 +13,7 @@ from epiframe.operators import sequence as seq
 from epiframe.operators import stats
 from epiframe.operators.align import Stream, asof
 from epiframe.operators.episode import Sampling, training_samples
-from epiframe.operators.pose import cumulative_pose, prefix_products
+from epiframe.operators.pose import cumulative_pose, future_chunk, prefix_products
 from epiframe.plans import series
 from epiframe.plans.series import Series
 
@@ -268,3 +268,38 @@ def test_quantiles_of_hard_values(spark, name, counted_rows):
         want = lo if lo == hi and np.isfinite(lo) else lo + (hi - lo) * (at - np.floor(at))
         assert got[p] == want or (np.isnan(got[p]) and np.isnan(want)) or np.isclose(got[p], want, rtol=1e-12)
     assert got.n == len(x)
+
+
+def test_weighted_selection_equals_repeated_rows(spark):
+    """Whole weights, also none, count like copies; hard values and few rows counted at once."""
+    rng = random.Random(8)
+    pool = [0.0, -0.0, 1e-300, -1e300, 5.0, 5.0000001, -5.0, 1e9, 1e9 + 1, 2.5, -7.25]
+    rows = [(k, rng.choice(pool) if rng.random() < 0.5 else rng.gauss(0, 3), rng.randrange(0, 6)) for k in "ab" for _ in range(400)]
+    rows = [r for r in rows if abs(r[1]) < 1e200] + [("c", 4.0, 3), ("d", 1.0, 0), ("d", 2.0, 2), ("e", None, 4)]
+    df = spark.createDataFrame(rows, "k string, x double, w bigint")
+    copies = df.select("k", "x", F.explode(F.expr("array_repeat(0, cast(w as int))")))
+    points = {"q0": 0.0, "q1": 0.01, "mid": 0.5, "q9": 0.99, "top": 1.0}
+    got = stats.selected_quantiles(df, ["k"], "x", points, counted_rows=40, weight="w")
+    want = stats.selected_quantiles(copies, ["k"], "x", points)
+    got, want = ({r.k: r for r in d.collect()} for d in (got, want))
+    assert set(got) == set(want) == set("abcd")
+    for k, r in want.items():
+        assert [got[k][p] for p in [*points, "n"]] == [r[p] for p in [*points, "n"]]
+        assert got[k]["mean"] == pytest.approx(r["mean"], rel=1e-12, abs=1e-9)
+        assert got[k]["std"] == pytest.approx(r["std"], rel=1e-9, abs=0.2 if k in "ab" else 1e-10)
+
+
+@pytest.mark.parametrize("horizon", [1, 3, 50])
+def test_future_stats_equal_those_of_chunks(spark, horizon):
+    rng = random.Random(horizon)
+    rows = [(k, i, [rng.gauss(0, 1), float(i % 5)]) for k, n in (("a", 1), ("b", 2), ("c", 70)) for i in range(n)]
+    s = Series.plan(spark.createDataFrame(rows, "k string, pos bigint, v array<double>"), ["k"], ["pos"])
+    built = future_chunk(s, F.col("v"), horizon, "pos").frame()
+    want = stats.masked_vector_stats(built, {"state": "v"}, {"actions": ("chunk", "is_pad")})
+    got = stats.future_stats(s.frame(), "v", horizon, "pos")
+    got, want = ({(r.key, r.dim): r for r in d.collect()} for d in (got, want))
+    assert set(got) == set(want)
+    for at, r in want.items():
+        assert tuple(got[at][c] for c in ("n", "q01", "q99")) == tuple(r[c] for c in ("n", "q01", "q99"))
+        assert got[at]["mean"] == pytest.approx(r["mean"], abs=1e-12)
+        assert got[at]["std"] == pytest.approx(r["std"], rel=1e-9)
