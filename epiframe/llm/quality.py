@@ -1,6 +1,6 @@
 """Quality rules: plain counts and a calibrated logistic regression on hashed n-grams.
 
-The model sees hashed words, word pairs and four-byte character sequences, each as the mean
+The model sees hashed words, word pairs and sequences of four code points, each as the mean
 weight over its family. It is trained by one task on a bounded sample of labelled documents
 (``SAMPLE`` per class, the smallest hashes of their ids), a fifth of which is held out to fit
 a probability by Platt scaling, weighted to the class shares of all labels. Documents are
@@ -72,7 +72,7 @@ def inside(t: Texts, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 def counts(texts: list[bytes], t: Texts, words: np.ndarray) -> list[np.ndarray]:
     """The plain counts. Windows that recur by hash are counted again on the words themselves."""
-    lead = ((t.data & 0xC0) != 0x80) & ~SPACE[t.data]
+    lead = leads(t.data) & ~SPACE[t.data]
     at, text = inside(t, WINDOW)
     keys = windows(words, WINDOW)[at] ^ mixed(text.astype(U))
     order = np.argsort(keys)
@@ -89,9 +89,14 @@ def counts(texts: list[bytes], t: Texts, words: np.ndarray) -> list[np.ndarray]:
     ]
 
 
+def leads(data: np.ndarray) -> np.ndarray:
+    """Which bytes begin a code point."""
+    return (data & 0xC0) != 0x80
+
+
 def family_sizes(t: Texts) -> list[np.ndarray]:
     """Number of words, word pairs and character sequences of each text."""
-    n, length = np.diff(t.word), np.diff(t.first) - 1
+    n, length = np.diff(t.word), t.totals(leads(t.data)) - 1  # without the line feed
     return [n, np.maximum(n - 1, 0), np.maximum(length - GRAM + 1, 0)]
 
 
@@ -102,17 +107,21 @@ def families(t: Texts, words: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.
         at, text = inside(t, k)
         found = words if k == 1 else windows(words, 2)
         yield k - 1, (found[at] >> shift).astype(np.int64) + ((k - 1) << BITS), text
-    n = max(0, len(t.data) - GRAM + 1)
-    for a in range(0, n, BLOCK):
-        z = min(n, a + BLOCK)
-        d = t.data[a : z + GRAM - 1].astype(U)
-        grams = d[: z - a]
-        for i in range(1, GRAM):
-            grams = grams | d[i : i + z - a] << U(8 * i)
-        position = np.arange(a, z)
-        text = np.searchsorted(t.first, position, "right") - 1
-        at = np.flatnonzero(position + GRAM < t.first[text + 1])
-        yield 2, (mixed(grams[at]) >> shift).astype(np.int64) + (2 << BITS), text[at]
+    for a in range(0, len(t.data), BLOCK):
+        z = min(len(t.data), a + BLOCK)
+        d = t.data[a : z + 4 * GRAM]  # a window that begins in the block, and the byte after it
+        at = np.flatnonzero(leads(d))
+        stop = np.append(at[1:], len(d))
+        point = np.zeros(len(at), U)  # the bytes of each code point
+        for i in range(4):
+            here = np.flatnonzero(at + i < stop)
+            point[here] |= d[at[here] + i].astype(U) << U(8 * i)
+        n = min(int(np.searchsorted(at, z - a)), max(0, len(at) - GRAM))
+        begin, end = at[:n] + a, at[GRAM : n + GRAM] + a
+        text = np.searchsorted(t.first, begin, "right") - 1
+        within = np.flatnonzero(end < t.first[text + 1])  # the line feed after a text may follow
+        grams = windows(point, GRAM)[within]
+        yield 2, (grams >> shift).astype(np.int64) + (2 << BITS), text[within]
 
 
 def logits(t: Texts, words: np.ndarray, weights: np.ndarray, bias: float) -> np.ndarray:

@@ -1,6 +1,9 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing names."""
 
+import random
+
 import brute
+import numpy as np
 import pytest
 from brute import LONG
 from pyspark.sql import functions as F
@@ -563,3 +566,21 @@ def test_second_texts_keep_their_links(spark):
     assert len(first) == len(third) == 1  # so the two groups become one through 2500
     for i, c in got.items():
         assert c == (0 if i < 1000 or i >= 2000 else want[i])
+
+
+@pytest.mark.parametrize("block", [1, 7, 64, 1 << 18])
+def test_character_windows_are_code_points(monkeypatch, block):
+    """Windows of four code points of one to four bytes, wherever a block ends."""
+    rng = random.Random(1)
+    texts = ["".join(rng.choice("ab é界😀\n ") for _ in range(rng.randrange(40))) for _ in range(60)]
+    texts += ["", "x" * 5, "界" * 3, "😀" * 4]
+
+    def feature(window):
+        points = np.array([int.from_bytes(c.encode(), "little") for c in window], np.uint64)
+        return (int(quality.windows(points, 4)[0]) >> (64 - quality.BITS)) + (2 << quality.BITS)
+
+    monkeypatch.setattr(quality, "BLOCK", block)
+    t = quality.Texts([x.encode() for x in texts])
+    found = [(i, f) for k, fs, of in quality.families(t, t.word_hashes()) if k == 2 for i, f in zip(of, fs)]
+    assert sorted(found) == sorted((i, feature(x[j : j + 4])) for i, x in enumerate(texts) for j in range(len(x) - 3))
+    assert quality.family_sizes(t)[2].tolist() == [max(0, len(x) - 3) for x in texts]
