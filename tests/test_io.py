@@ -256,6 +256,53 @@ def test_stream_asof_keeps_ties_and_repeats_apart(spark, tmp_path):
     assert sorted((r.id, r.src_id) for r in runs[-1][0].collect()) == [(2, 1), (3, 1), (6, 5)]
 
 
+def test_stream_asof_of_keys_in_few_shards(spark, tmp_path):
+    """Keys of a shard stay apart, the null key too, and whole numbers beside nulls stay exact."""
+    big = (1 << 60) + 1
+    keys = [None, 0, *range(big, big + 20)]
+    slices = [
+        at(*[(k, 10 + i, 2 * i, False, None if i == 3 else big + i) for i, k in enumerate(keys) if i != 5]),
+        at(*[(k, 100, 2 * i + 1, True, None) for i, k in enumerate(keys)]),
+        at((7, 90_000, 999, False, 0)),
+    ]
+
+    def matched(stream):
+        return state.asof_backward(stream, ["k"], "at", "t", "id", F.col("q"), ["id", "v"], "20 seconds", shards=2)
+
+    runs = list(run_slices(spark, tmp_path, "k BIGINT, t BIGINT, at TIMESTAMP, id BIGINT, q BOOLEAN, v BIGINT", slices, matched))
+    assert [late for _, late in runs] == [0, 0, 0]
+    got = {r.k: (r.id, r.src_id, r.src_v, r.src_delta) for r in runs[-1][0].collect()}
+    want = {k: (2 * i + 1, 2 * i, None if i == 3 else big + i, (i - 90) * SECOND) for i, k in enumerate(keys)}
+    assert got == {**want, keys[5]: (11, None, None, None)}
+    # state grows with shards, not with keys: one value of last sources each
+    last = spark.read.format("statestore").option("stateVarName", "last").load(str(tmp_path / "mark"))
+    assert last.count() <= 3
+
+
+def test_flag_runs_of_keys_in_few_shards(spark, tmp_path):
+    rows = [(k, 10 + 10 * i + k % 7, 100 * k + i, (i + k) % 5 != 0, (i * k) % 11 != 3) for k in range(40) for i in range(12)]
+    slices = [at(*rows[::3]), at(*rows[1::3]), at(*rows[2::3]), at((99, 9_000, 1, False, False))]
+
+    def runs_of(shards):
+        return lambda df: state.flag_runs(df, ["k"], "at", "t", "id", F.col("ok"), F.col("edge"), 25 * SECOND, "1 hour", shards=shards)
+
+    schema = "k INT, t BIGINT, at TIMESTAMP, id BIGINT, ok BOOLEAN, edge BOOLEAN"
+    *_, (out, _) = run_slices(spark, tmp_path, schema, slices, runs_of(3))
+    got = sorted((r.k, r.run, r.first_row, r.last_row, r.samples) for r in out.collect())
+    want = []
+    for k in range(40):
+        run = -1
+        for i in range(12):
+            ok, edge = (i + k) % 5 != 0, (i * k) % 11 != 3
+            if not ok:
+                continue
+            if i == 0 or (i - 1 + k) % 5 == 0 or not edge:
+                run += 1
+                want.append([k, run, 100 * k + i, None, 0])
+            want[-1][3:] = [100 * k + i, want[-1][4] + 1]
+    assert got == sorted(map(tuple, want))
+
+
 def test_flag_runs_with_late_rows_and_restarts(spark, tmp_path):
     slices = [
         at((1, 10, 1, True, True), (1, 30, 3, True, True), (2, 12, 1, None, True), (2, 13, 2, True, None)),
@@ -291,6 +338,22 @@ def test_complete_episodes_are_emitted_once(spark, tmp_path):
     assert got == [[], [(1, 11)], [(1, 11)], [(1, 11), (1, 13)]]
 
 
+def test_complete_episodes_of_one_shard(spark, tmp_path):
+    arrivals = [
+        [(e, "a", 1, 10 + (e or 0)) for e in [None, *range(30)]] + [(e, "b", 1, 5) for e in range(0, 30, 2)],
+        [(e, "b", 1, 5) for e in [None, *range(0, 30, 3)]],
+    ]
+
+    def found(stream):
+        return state.new_episodes(stream, "e", "f", "size", "at", ["a", "b"], shards=1)
+
+    runs = run_slices(spark, tmp_path, "e BIGINT, f STRING, size BIGINT, at BIGINT", arrivals, found, "update")
+    got = [sorted(((r.e, r.changed_at) for r in out.collect()), key=str) for out, _ in runs]
+    first = [(e, 10 + e) for e in range(0, 30, 2)]
+    second = [(None, 10), *[(e, 10 + e) for e in range(3, 30, 6)]]
+    assert got == [sorted(first, key=str), sorted(first + second, key=str)]
+
+
 def test_settled_tables_can_be_removed(spark, monkeypatch):
     monkeypatch.setattr(shared, "SETTLED", [])
     out = shared.settle(spark.range(5))
