@@ -156,13 +156,17 @@ def episode_equivalence(
     return out.withColumn("violation", (F.col("one_sided") > 0) | ~F.col("_may")).drop("_may")
 
 
-def spans_check(spans: DataFrame, index: str, start: str, length: str) -> DataFrame:
+def spans_check(spans: DataFrame | Series, index: str, start: str, length: str) -> DataFrame:
     """One row: is a declared list of spans dense from zero, by its own index and by rows?
 
     ``index_breaks`` counts entries whose index is not one above the entry before (or not
     zero at first), ``start_breaks`` those that do not begin where the entry before ends.
+    Entries are taken by index and start; a series, which has one key, in its own order.
     """
-    s = Series.plan(spans.select(index, start, length, F.lit(1).alias("_all")), ["_all"], [index, start])
+    if isinstance(spans, Series):
+        s = spans
+    else:
+        s = Series.plan(spans.select(index, start, length, F.lit(1).alias("_all")), ["_all"], [index, start])
     s = s.shift({"_i": F.col(index), "_end": F.col(start) + F.col(length)})
     at = F.coalesce(F.col("_i") + 1, F.lit(0))
     return s.frame().agg(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from epiframe.operators.stats import exact_quantiles
 from epiframe.plans.series import Series
+from epiframe.plans.shared import settle
 
 
 def frame_deltas(s: Series, frame: str, ts: str) -> Series:
@@ -245,20 +246,24 @@ def edge_repeats(s: Series, value: str) -> DataFrame:
     )
 
 
-def global_index(s: Series, key: str, pos: str, max_rows: int | None = None):
-    """Rows with a dense index across keys, and the (start, end) span of every key.
+def spans(rows: DataFrame, key: str, index: str | None = None, max_rows: int | None = None) -> Series:
+    """The (start, end) span of every key in a dense index across keys, as a series in key order,
+    with the key's own position as ``index`` if named.
 
     The running total covers only one row per key; rows are never sorted globally.
     """
-    lengths = s.frame().groupBy(key).agg(F.count(F.lit(1)).alias("length"))
-    spans = Series.plan(lengths.withColumn("_all", F.lit(1)), ["_all"], [key], max_rows)
-    spans = spans.cumulate({"to_index": F.col("length")}).frame()
-    spans = spans.select(
-        key, "length", (F.col("to_index") - F.col("length")).alias("from_index"), "to_index"
-    )
-    s = s.join_keys(spans.select(key, "from_index"))
+    lengths = settle(rows.groupBy(key).agg(F.count(F.lit(1)).alias("length")))
+    s = Series.plan(lengths.withColumn("_all", F.lit(1)), ["_all"], [key], max_rows)
+    s = s.scan(number=index, total={"to_index": F.col("length")})
+    return s.with_columns({"from_index": F.col("to_index") - F.col("length")})
+
+
+def global_index(s: Series, key: str, pos: str, max_rows: int | None = None):
+    """Rows with a dense index across keys, and the (start, end) span of every key."""
+    found = spans(s.frame(), key, max_rows=max_rows).frame().select(key, "length", "from_index", "to_index")
+    s = s.join_keys(found.select(key, "from_index"))
     s = s.with_columns({"index": F.col("from_index") + F.col(pos)})
-    return s.map(lambda d: d.drop("from_index")), spans
+    return s.map(lambda d: d.drop("from_index")), found
 
 
 def cfr_resample(s: Series, ts: str, period: int, row: str, rate: tuple[int, int] = (1, 1)) -> DataFrame:

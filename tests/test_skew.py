@@ -97,6 +97,14 @@ def test_summaries_of_summaries(spark, monkeypatch):
         assert r.p == (r.t - 1 if r.t % 50 == 8 else None)
 
 
+def test_spans_are_planned_once(spark, monkeypatch):
+    """Index, rows and edges of the spans come from one division into blocks."""
+    settled, plain = [], series.settle
+    monkeypatch.setattr(series, "settle", lambda df, by=None: settled.append(by) or plain(df, by))
+    check(spark, monkeypatch, "spans_check", 200)
+    assert settled.count("_hot") == 1
+
+
 def test_inputs_that_fit_a_task_are_not_split(spark):
     df = spark.read.parquet(f"{SF}/events.parquet")
     assert series.Series.plan(df, ["user_id"], ["ts"]).hot is None
