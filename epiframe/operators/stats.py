@@ -275,13 +275,13 @@ def future_stats(rows: DataFrame, vector: str, horizon: int, pos: str) -> DataFr
 def merge_stats(stats: DataFrame, keys: list[str]) -> DataFrame:
     """Combine rows of (min, max, mean, std, n) into one per key.
 
-    Squared deviations are taken about the pooled mean in a second pass over the small
-    statistics table, which avoids the cancellation of a difference of squares.
+    Squared deviations are taken about the pooled mean in a second pass over the statistics
+    table, which avoids the cancellation of a difference of squares. The table is written once;
+    few means are handed to its rows where they are, so no task gets all rows of a key.
     """
-    pooled = stats.groupBy(*keys).agg(
-        (F.sum(F.col("mean") * F.col("n")) / F.sum("n")).alias("_m")
-    )
-    joined = stats.join(pooled, keys)
+    stats = settle(stats)
+    pooled = settle(stats.groupBy(*keys).agg((F.sum(F.col("mean") * F.col("n")) / F.sum("n")).alias("_m")))
+    joined = stats.join(few(pooled, pooled.count()), keys)
     second = F.col("n") * (F.col("std") * F.col("std") + F.pow(F.col("mean") - F.col("_m"), 2))
     return joined.groupBy(*keys).agg(
         F.min("min").alias("min"),

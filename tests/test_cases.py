@@ -180,6 +180,20 @@ def test_merging_twice_keeps_moments(spark):
     assert (r.min, r.max, r.mean, r.n) == (1.0, 5.0, 3.0, 22) and abs(r.std - 0.5) < 1e-15
 
 
+def test_merged_stats_are_joined_where_they_lie(spark):
+    """All rows of a dimension in one task would be a share of the table."""
+    rows = spark.range(40).selectExpr("id % 2 AS d", "0.0D AS min", "1.0D AS max", "id * 1.0D AS mean", "0.5D AS std", "2L AS n")
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = stats.merge_stats(rows, ["d"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert {r.d: (r["mean"], r.n) for r in out.collect()} == {0: (19.0, 40), 1: (20.0, 40)}
+
+
 def test_masked_mean(spark):
     df = spark.createDataFrame(
         [(1, 1.0, False), (1, 100.0, True), (1, 3.0, False), (2, 9.0, True)], "g INT, x DOUBLE, p BOOLEAN"
