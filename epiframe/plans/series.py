@@ -7,13 +7,13 @@ columns alone looks for keys with more rows than a task should sort; if there is
 rows themselves are read once, by the query.
 
 Only if there are such hot keys are all rows written once, hot ones apart. The hot rows are
-range-partitioned on the full order into blocks of about the bound, scanned per block, and
+range-partitioned on the full order into blocks of at most about half a million rows, scanned per block, and
 joined to the summaries of the blocks before (or after) them. The summaries are a series of
 their own, one row per key and block, and are scanned in the same way, so a key of any length
 is carried up a tree of blocks.
 
 No size is guessed, and no number of keys or blocks is capped: a table of n rows has at most
-n / MAX_ROWS hot keys and twice as many summaries. Joins with them are broadcast only if
+n / MAX_ROWS hot keys and about n / BLOCK_ROWS summaries. Joins with them are broadcast only if
 that number is small, else they share the exchange of the windows that follow.
 """
 
@@ -28,6 +28,8 @@ from epiframe.plans.bounds import rows_within
 from epiframe.plans.shared import settle
 
 MAX_ROWS = 4_000_000
+#: Rows of a block of a hot key: small beside a task's memory, and many blocks for many cores.
+BLOCK_ROWS = 500_000
 BROADCAST_ROWS = 500_000
 STEPS = 3
 BLOCK = "_blk"
@@ -76,8 +78,9 @@ class Series:
         """Split hot keys off. ``like`` is a planned series that has all rows of each key of
         ``df`` and maybe more; its hot keys are used, and nothing is counted again."""
         max_rows = max_rows or MAX_ROWS
+        block_rows = min(max_rows, BLOCK_ROWS)
         if like is not None:
-            found = None if like.names is None else (like.names, like.n_names, like.n_blocks * max_rows)
+            found = None if like.names is None else (like.names, like.n_names, like.n_blocks * block_rows)
         else:
             found = hot_keys(df, keys, max_rows)
         if found is None:
@@ -87,7 +90,7 @@ class Series:
         marked = few(names.withColumn("_hot", F.lit(True)), n_names)
         rows = df.withColumn("_h", key_hash(keys)).join(marked, "_h", "left").drop("_h")
         rows = settle(rows.withColumn("_hot", F.col("_hot").isNotNull()), by="_hot")
-        n_blocks = max(2, -(-n_rows // max_rows))
+        n_blocks = max(2, -(-n_rows // block_rows))
         hot = rows.filter("_hot").drop("_hot").repartitionByRange(n_blocks, *keys, *order)
         hot = settle(hot.withColumn(BLOCK, F.spark_partition_id()))
         cold = rows.filter("NOT _hot").drop("_hot")

@@ -97,6 +97,14 @@ def test_summaries_of_summaries(spark, monkeypatch):
         assert r.p == (r.t - 1 if r.t % 50 == 8 else None)
 
 
+def test_blocks_of_a_hot_key_stay_small(spark):
+    """A block is far smaller than the most rows that a task may sort."""
+    df = spark.range(1_200_000).selectExpr("1 AS k", "id AS t")
+    s = series.Series.plan(df, ["k"], ["t"], 1_000_000)
+    assert s.n_blocks == 3
+    assert s.hot.groupBy(series.BLOCK).count().agg(F.max("count")).first()[0] < 550_000
+
+
 def test_spans_are_planned_once(spark, monkeypatch):
     """Index, rows and edges of the spans come from one division into blocks."""
     settled, plain = [], series.settle
