@@ -186,12 +186,17 @@ def selected_quantiles(
     return out.withColumns(cols).drop("_at")
 
 
-def vector_stats(df: DataFrame, keys: list[str], vector: str, dims: int | None = None) -> DataFrame:
+def vector_stats(df: DataFrame | Series, keys: list[str], vector: str, dims: int | None = None) -> DataFrame:
     """Long form: per key and dimension min, max, mean, population std and count.
 
     With the number of dimensions known, a key sends one wide row through the exchange
-    and is unfolded after it.
+    and is unfolded after it. That row has eight numbers per dimension, so where the rows of a
+    key lie apart it is the rows themselves that should be sent: of a series over ``keys``,
+    those of ordinary keys are, and only those of hot keys are summed up before the exchange.
     """
+    if isinstance(df, Series):
+        out = vector_stats(df.cold.select(*keys, vector).repartition(*keys), keys, vector, dims)
+        return out if df.hot is None else out.unionByName(vector_stats(df.hot, keys, vector, dims))
     if dims is None:
         flat = df.select(*keys, F.posexplode(vector).alias("dim", "x"))
         return scalar_stats(flat, [*keys, "dim"], "x")

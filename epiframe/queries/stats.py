@@ -103,8 +103,7 @@ def future_stats_long(spark, sf_dir):
 
 
 def episode_stats(spark, sf_dir):
-    rows = frames(spark, sf_dir).frame()
-    return stats.vector_stats(rows, ["l_orderkey"], "state", len(DIMS))
+    return stats.vector_stats(frames(spark, sf_dir), ["l_orderkey"], "state", len(DIMS))
 
 
 @query(

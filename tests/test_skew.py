@@ -7,6 +7,7 @@ import pytest
 from oracle import difference, duck
 from pyspark.sql import functions as F
 
+from epiframe.operators import stats
 from epiframe.plans import series
 from epiframe.queries import QUERIES, SQL
 
@@ -113,6 +114,25 @@ def test_spans_are_planned_once(spark, monkeypatch):
     assert settled.count("_hot") == 1
 
 
+def test_vector_stats_of_hot_and_ordinary_keys(spark):
+    df = spark.range(600).selectExpr("IF(id < 400, 0, id % 30) AS k", "id AS t", "array(id % 7, id * 0.5D) AS v")
+    s = series.Series.plan(df, ["k"], ["t"], 100)
+    assert s.hot is not None
+    names = ["k", "dim", "n", "min", "max", "mean", "std"]
+    got, want = [
+        {tuple(r[:3]): [pytest.approx(x) for x in r[3:]] for r in stats.vector_stats(x, ["k"], "v", 2).select(names).collect()} for x in (s, df)
+    ]
+    assert len(got) == 60 and got.keys() == want.keys() and all(got[k] == [x.expected for x in want[k]] for k in want)
+
+
+def test_vector_stats_send_rows_not_sums(spark):
+    """Where the rows of a key lie apart, sums before the exchange are wider than the rows."""
+    s = series.Series.plan(spark.range(90).selectExpr("id % 30 AS k", "id AS t", "array(id * 0.5D) AS v"), ["k"], ["t"])
+    plan = stats.vector_stats(s, ["k"], "v", 1)._jdf.queryExecution().sparkPlan().toString()
+    plan = plan[plan.rindex("HashAggregate") :]
+    assert "REPARTITION_BY_COL" in plan
+
+
 def test_inputs_that_fit_a_task_are_not_split(spark):
     df = spark.read.parquet(f"{SF}/events.parquet")
     assert series.Series.plan(df, ["user_id"], ["ts"]).hot is None
