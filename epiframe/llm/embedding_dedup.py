@@ -519,7 +519,7 @@ def linked(classes: DataFrame, levels: int, kind: str, cosine: float, n: int, lo
         hot = compact(counted(classes, levels, kind))
         extra = F.sum(F.col("n") * (F.col("parts") - 1))  # a row goes to as many units as its cell has blocks
         more = dict(map(tuple, hot.groupBy("t").agg(extra).collect()))
-    first, most, spark = 0, max(SENT // longest, rows * 5 // 4), classes.sparkSession
+    first, most, spark = 0, max(1, SENT // longest, rows * 5 // 4), classes.sparkSession
     while first < tables:
         last, total = first + 1, rows + more.get(first, 0)
         while last < tables and total + rows + more.get(last, 0) <= most:
@@ -528,7 +528,7 @@ def linked(classes: DataFrame, levels: int, kind: str, cosine: float, n: int, lo
         for t in [t for t in range(first, last) if t in more]:
             of = sorted(map(tuple, hot.filter(F.col("t") == t).select("cell", "parts").collect()))
             cut[t] = tuple(np.array(of, np.int64).T)
-        shares = -(-total // most)
+        shares = max(1, -(-total // most))
         groups = max(4 * spark.sparkContext.defaultParallelism, -(-total * longest // shares // PACKED))
         for share in range(shares):
             with rows_a_batch(spark):  # a row is a pack
